@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 
@@ -19,6 +20,8 @@ _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_NOT_LETTER = np.ones(256, dtype=bool)
+_NOT_LETTER[65:91] = _NOT_LETTER[97:123] = _NOT_LETTER[128:] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -40,7 +43,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of ``column`` that hold at most ``limit`` bytes (or a single row)."""
-    size = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(size):
         if i > start and held + n > limit:
@@ -58,15 +61,20 @@ class Words:
     number of words before each row (length rows + 1).
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False) -> None:
-        column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False) -> None:
+        """``lower`` folds A-Z; ``letters`` takes runs of letters (any byte past ASCII is one) and folds Latin-1 too."""
+        column = pc.fill_null(column.cast(pa.large_string()), "")
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
         buffer = column.buffers()[2]
         data = np.frombuffer(buffer, dtype=np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
         row_start = offsets[:-1] - offsets[0]
         row_end = offsets[1:] - offsets[0]
-        self.data = _LOWER[data] if lower else data
-        inside = ~_SEP[data]
+        self.data = _LOWER[data] if lower or letters else data
+        if letters and len(data):
+            fold = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+            self.data[fold] += 32
+        self.outside = (_NOT_LETTER if letters else _SEP)[data]
+        inside = ~self.outside
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]
@@ -87,19 +95,33 @@ class Words:
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), self.counts())
 
+    def _terms(self, seed: int) -> np.ndarray:
+        """Each byte's share of its word's polynomial hash; 0 between words."""
+        gap = np.diff(np.concatenate(([0], self.start, [len(self.data)])))
+        at = np.arange(len(self.data)) - np.repeat(np.concatenate(([0], self.start)), gap)
+        value = (self.data.astype(np.uint64) + np.uint64(1)) * _powers(int(at.max()) + 1, (_BASE + 2 * seed) & _MASK)[at]
+        value[self.outside] = 0
+        return value
+
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes, its length included."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        length = self.end - self.start
-        at = np.arange(len(self.data)) - np.repeat(self.start, np.diff(np.append(self.start, len(self.data))))[-len(self.data) :] if self.start[0] == 0 else None
-        if at is None:
-            gap = np.diff(np.concatenate(([0], self.start, [len(self.data)])))
-            at = np.arange(len(self.data)) - np.repeat(np.concatenate(([0], self.start)), gap)
-        power = _powers(int(at.max()) + 1, (_BASE + 2 * seed) & _MASK)
-        value = (self.data.astype(np.uint64) + np.uint64(1)) * power[at]
-        value[_SEP[self.data]] = 0
-        return mix(np.add.reduceat(value, self.start) + length.astype(np.uint64), seed)
+        return mix(np.add.reduceat(self._terms(seed), self.start) + (self.end - self.start).astype(np.uint64), seed)
+
+    def prefix_hashes(self, lengths: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length in characters: the words that are longer, and the hash of their first characters."""
+        if not len(self.start):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.uint64)) for _ in lengths]
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self._terms(0))))
+        char_at = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
+        first = np.searchsorted(char_at, self.start)
+        out = []
+        for k in lengths:
+            cut = char_at[np.minimum(first + k, len(char_at) - 1)]
+            longer = np.flatnonzero(cut < self.end)
+            out.append((longer, mix(total[cut[longer]] - total[self.start[longer]], k)))
+        return out
 
 
 def grams(word_hash: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
