@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import preference, toxicity
+from . import decontamination, preference, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_preference": preference.op1_preference,
+        "op5_decontamination": decontamination.op5_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
     }
 

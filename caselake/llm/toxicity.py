@@ -1,6 +1,6 @@
 """Toxicity scores by a factorisation machine over hashed terms.
 
-Terms are words (runs of letters, folded) and their first 3 to 6 characters,
+Terms are words (runs of letters and digits, folded) and their first 3 to 6 characters,
 so that inflected insults share weight.  Terms whose share differs between the
 classes are screened on the training sample; the machine then learns a weight
 and a vector for each of them, and pairs of terms interact through the inner

@@ -21,7 +21,7 @@ _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _NOT_LETTER = np.ones(256, dtype=bool)
-_NOT_LETTER[65:91] = _NOT_LETTER[97:123] = _NOT_LETTER[128:] = False
+_NOT_LETTER[48:58] = _NOT_LETTER[65:91] = _NOT_LETTER[97:123] = _NOT_LETTER[128:] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -62,7 +62,7 @@ class Words:
     """
 
     def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False) -> None:
-        """``lower`` folds A-Z; ``letters`` takes runs of letters (any byte past ASCII is one) and folds Latin-1 too."""
+        """``lower`` folds A-Z; ``letters`` takes runs of letters and digits (any byte past ASCII is one) and folds Latin-1 too."""
         column = pc.fill_null(column.cast(pa.large_string()), "")
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
         buffer = column.buffers()[2]
