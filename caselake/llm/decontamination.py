@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .words import Words, grams, mix, slices
+from .words import LETTERS, Words, grams, mix, slices
 
 #: Most characters of benchmark text that one index holds (about as many bytes in each worker, times ten).
 INDEX_CHARS = 8_000_000
@@ -30,7 +30,7 @@ class _Items:
     """The items of one index: sizes, shingles with weights, fingerprints, blocks."""
 
     def __init__(self, ids: list[int], texts: list[str], shingle: int, threshold: float, radius: int) -> None:
-        w = Words(pa.array(texts, pa.large_string()), letters=True)
+        w = Words(pa.array(texts, pa.large_string()), lower=True, classes=LETTERS)
         size = w.counts()
         held = np.flatnonzero(size)
         self.k, self.threshold, self.radius = shingle, threshold, radius
@@ -94,7 +94,7 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _matches(text: pa.Array, items: _Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of one slice: row, item number, start word, words and similarity of each matching window."""
-    w = Words(text, letters=True)
+    w = Words(text, lower=True, classes=LETTERS)
     h, words, row = w.hashes(), w.counts(), w.row_of_word()
     g = grams(h, items.k)
     last = w.first[1:] - items.k  # the last word of a row that begins a shingle

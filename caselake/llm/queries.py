@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, preference, toxicity
+from . import decontamination, preference, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_preference": preference.op1_preference,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op9_secrets": secrets.op9_secrets,
     }
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .words import Words, slices
+from .words import LETTERS, Words, slices
 
 PREFIXES = (3, 4, 5, 6)
 #: Bound on the labelled rows that the machine is fitted on; 24 bytes each when broadcast.
@@ -28,7 +28,7 @@ MAX_TERMS = 16_384
 
 def _doc_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, term hash) of a slice."""
-    w = Words(column, letters=True)
+    w = Words(column, lower=True, classes=LETTERS)
     row = w.row_of_word()
     parts = [(row, w.hashes())] + [(row[longer], h) for longer, h in w.prefix_hashes(PREFIXES)]
     rows, terms = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -49,7 +49,7 @@ class Machine:
 
     def known(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (row, term number) of a slice, screened terms only, by row."""
-        w = Words(column, letters=True)
+        w = Words(column, lower=True, classes=LETTERS)
         row = w.row_of_word()
         rows, numbers = [], []
         for at, h in [(slice(None), w.hashes()), *w.prefix_hashes(PREFIXES)]:

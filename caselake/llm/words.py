@@ -16,12 +16,15 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 
-_SEP = np.zeros(256, dtype=bool)
-_SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Byte classes; 0 separates words, and a word ends where the class changes.
+SPACED = np.ones(256, dtype=np.uint8)
+SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+LETTERS = np.zeros(256, dtype=np.uint8)
+LETTERS[48:58] = LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = 1
+#: letters and digits, or runs of other signs
+RUNS = np.where(SPACED == 0, 0, 2 - LETTERS).astype(np.uint8)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_NOT_LETTER = np.ones(256, dtype=bool)
-_NOT_LETTER[48:58] = _NOT_LETTER[65:91] = _NOT_LETTER[97:123] = _NOT_LETTER[128:] = False
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -61,28 +64,29 @@ class Words:
     number of words before each row (length rows + 1).
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False, letters: bool = False) -> None:
-        """``lower`` folds A-Z; ``letters`` takes runs of letters and digits (any byte past ASCII is one) and folds Latin-1 too."""
+    def __init__(self, column: pa.Array, lower: bool = False, classes: np.ndarray = SPACED) -> None:
+        """``lower`` folds A-Z; with ``LETTERS`` or ``RUNS`` it folds the capitals of Latin-1 too."""
         column = pc.fill_null(column.cast(pa.large_string()), "")
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
         buffer = column.buffers()[2]
         data = np.frombuffer(buffer, dtype=np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
         row_start = offsets[:-1] - offsets[0]
         row_end = offsets[1:] - offsets[0]
-        self.data = _LOWER[data] if lower or letters else data
-        if letters and len(data):
+        self.text = data
+        self.data = _LOWER[data] if lower else data
+        if lower and classes is not SPACED and len(data):
             fold = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
             self.data[fold] += 32
-        self.outside = (_NOT_LETTER if letters else _SEP)[data]
-        inside = ~self.outside
-        begins, ends = inside.copy(), inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
+        kind = classes[data]
+        self.outside = kind == 0
+        begins = ~self.outside
+        ends = begins.copy()
+        same = kind[1:] == kind[:-1]
+        begins[1:] &= ~same
+        ends[:-1] &= ~same
         full = row_start < row_end
-        edge = row_start[full]
-        begins[edge] = inside[edge]
-        edge = row_end[full] - 1
-        ends[edge] = inside[edge]
+        begins[row_start[full]] = ~self.outside[row_start[full]]
+        ends[row_end[full] - 1] = ~self.outside[row_end[full] - 1]
         self.start = np.flatnonzero(begins)
         self.end = np.flatnonzero(ends) + 1
         self.rows = len(column)
