@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, preference, secrets, toxicity
+from . import decontamination, near_duplicates, preference, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_preference": preference.op1_preference,
+        "op2_near_duplicates": near_duplicates.op2_near_duplicates,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
         "op9_secrets": secrets.op9_secrets,
@@ -21,4 +22,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_preference": preference.OP1_SQL,
+        "op2_near_duplicates": near_duplicates.OP2_SQL,
     }
