@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, near_duplicates, preference, secrets, toxicity
+from . import decontamination, near_duplicates, preference, secrets, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_near_duplicates": near_duplicates.op2_near_duplicates,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
+        "op8_substrings": substrings.op8_substrings,
         "op9_secrets": secrets.op9_secrets,
     }
 
@@ -23,4 +24,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_preference": preference.OP1_SQL,
         "op2_near_duplicates": near_duplicates.OP2_SQL,
+        "op8_substrings": substrings.OP8_SQL,
     }
