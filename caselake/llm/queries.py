@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, near_duplicates, preference, secrets, substrings, toxicity
+from . import decontamination, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_preference": preference.op1_preference,
         "op2_near_duplicates": near_duplicates.op2_near_duplicates,
+        "op3_url_filter": url_filter.op3_url_filter,
         "op4_mixing": mixing.op4_mixing,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_toxicity": toxicity.op7_toxicity,
