@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
+from . import decontamination, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": url_filter.op3_url_filter,
         "op4_mixing": mixing.op4_mixing,
         "op5_decontamination": decontamination.op5_decontamination,
+        "op6_main_text": main_text.op6_main_text,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_substrings": substrings.op8_substrings,
         "op9_secrets": secrets.op9_secrets,
