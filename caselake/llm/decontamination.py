@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -171,18 +171,17 @@ def _index(items: list, shingle: int, threshold: float, radius: int) -> _Items:
     return _Items([r[0] for r in items], [r[1] for r in items], shingle, threshold, radius)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 22, index_chars: int = INDEX_CHARS) -> DataFrame:
-    """``docs`` with a column leaks: for each similar item its best window.
+def leaks_of(text: Column, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 22, index_chars: int = INDEX_CHARS) -> Column:
+    """For each similar item of ``benchmark`` (item_id, text) the best window of ``text``.
 
-    ``docs`` has text, ``benchmark`` item_id and text.  A leak is an item with a
-    window of as many words (the whole text, if that is shorter) whose weighted
-    shingle similarity is ``threshold`` or more; of equal windows the first
-    counts.  Words are folded runs of letters and digits; fewer than ``shingle``
-    words are one shingle.  A null or empty text has no leaks, a null id or an
-    item without words leaks nowhere, repeated items leak each under its own id.
-    An empty table on either side gives no leaks.  A column named leaks is
-    replaced.  A benchmark beyond ``index_chars`` is held against the documents
-    in several indexes of that size, one after the other.
+    A leak is an item with a window of as many words (the whole text, if that is
+    shorter) whose weighted shingle similarity is ``threshold`` or more; of equal
+    windows the first counts.  Words are folded runs of letters and digits; fewer
+    than ``shingle`` words are one shingle.  A null or empty text has no leaks, a
+    null id or an item without words leaks nowhere, repeated items leak each
+    under its own id, and an empty benchmark leaks nothing.  A benchmark beyond
+    ``index_chars`` is held against the texts in several indexes of that size,
+    one after the other.
     """
     known = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -190,8 +189,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshol
     out = F.array().cast(LEAKS)
     for p in range(parts):
         part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) if parts > 1 else known
-        out = F.concat(out, _leaks_udf(_index(sorted(part.collect()), shingle, threshold, radius))(F.col("text")))
-    return docs.withColumn("leaks", out)
+        out = F.concat(out, _leaks_udf(_index(sorted(part.collect()), shingle, threshold, radius))(text))
+    return out
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` with a column leaks, as of ``leaks_of``; a column of that name is replaced."""
+    return docs.withColumn("leaks", leaks_of(F.col("text"), benchmark, **options))
+
+
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without the rows that leak an item; all columns stay as they are."""
+    return docs.filter(F.size(leaks_of(F.col("text"), benchmark, **options)) == 0)
 
 
 def _leaks_udf(items: _Items):

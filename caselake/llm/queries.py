@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
+from . import ann, decontamination, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_substrings": substrings.op8_substrings,
         "op9_secrets": secrets.op9_secrets,
+        "op10_ann": ann.op10_ann,
     }
 
 

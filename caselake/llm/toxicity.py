@@ -151,23 +151,31 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
     return _fit(terms, label, np.repeat(np.arange(len(got)), size), np.array([k for r in got for k in r[1]], np.int64))
 
 
-def score_toxicity(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
-    """``docs`` (any columns, text among them) with toxicity double and is_toxic boolean.
-
-    Whole texts are scored.  A null or empty text has no terms and gets the
-    score of the bias.  Both columns replace columns of the same names.  An
-    empty table gives an empty result.
-    """
+def toxicity_of(text: Column, machine: Machine) -> Column:
+    """The score of whole texts, 0 to 1.  A null or empty text has no terms and gets the bias' score."""
 
     @F.arrow_udf("double")
-    def score(text: pa.Array) -> pa.Array:
+    def score(column: pa.Array) -> pa.Array:
         found = [np.zeros(0)]
-        for s, e in slices(text):
-            r, k = machine.known(text.slice(s, e - s))
+        for s, e in slices(column):
+            r, k = machine.known(column.slice(s, e - s))
             found.append(machine.scores(r, k, e - s))
         return pa.array(np.concatenate(found))
 
-    return docs.withColumn("toxicity", score("text")).withColumn("is_toxic", F.col("toxicity") >= threshold)
+    return score(text)
+
+
+def score_toxicity(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """``docs`` (text and any other columns) with toxicity double and is_toxic boolean.
+
+    Both replace columns of the same names.  An empty table gives an empty result.
+    """
+    return docs.withColumn("toxicity", toxicity_of(F.col("text"), machine)).withColumn("is_toxic", F.col("toxicity") >= threshold)
+
+
+def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFrame:
+    """``docs`` without the rows whose score is ``threshold`` or more; all columns stay as they are."""
+    return docs.filter(toxicity_of(F.col("text"), machine) < threshold)
 
 
 def held_out() -> Column:
