@@ -26,6 +26,8 @@ from .words import Words, grams, mix, slices
 BANDS, ROWS = 56, 6
 #: Up to so many ids (16 bytes each) go to all executors; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Most members of a bucket that are compared with as many others in one step.
+BLOCK = 512
 
 
 def few(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -116,7 +118,6 @@ def components(links: DataFrame) -> DataFrame:
     listed; an empty table gives an empty one.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
-    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -127,10 +128,11 @@ def components(links: DataFrame) -> DataFrame:
         small = staged(small, "small")
         unstage(edges)
         unstage(large)
-        edges, now = small, small.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        edges = small
+        # done when all edges lead to a centre that leads nowhere itself
+        ends = edges.groupBy("a").agg(F.count("*").alias("n"), F.lit(0).alias("m")).unionByName(edges.select(F.col("b").alias("a")).distinct().select("a", F.lit(1).cast("long").alias("n"), F.lit(1).alias("m")))
+        if ends.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1").isEmpty():
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        before = now
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -145,7 +147,74 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, rounds: int = 4) -> DataFrame:
+def _links_within(sets: list[np.ndarray], ids: np.ndarray, component: np.ndarray, side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of some sets that are not of one component yet, as each id and the smallest id it reaches here.
+
+    All shared shingles are counted at once, as products of incidence matrices of
+    some columns each.  With ``side`` only pairs from different sides count.
+    """
+    n = np.array([len(x) for x in sets])
+    owner, flat = np.repeat(np.arange(len(sets)), n), np.concatenate(sets)
+    _, column, seen = np.unique(flat, return_inverse=True, return_counts=True)
+    owner, column = owner[seen[column] > 1], column[seen[column] > 1]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(column.max(initial=-1)) + 1, 4096):
+        s, e = np.searchsorted(column, (low, low + 4096))
+        held = np.zeros((len(sets), int(column[e - 1]) - low + 1), np.float32)
+        held[owner[s:e], column[s:e] - low] = 1
+        shared += held @ held.T
+    linked = shared * 100 >= percent * (n[:, None] + n[None, :] - shared)
+    linked &= component[:, None] != component[None, :]
+    if side is not None:
+        linked &= side[:, None] != side[None, :]
+    label = ids.copy()
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], np.iinfo(np.int64).max).min(1))
+        if (least == label).all():
+            break
+        label = least
+    moved = np.flatnonzero(label != ids)
+    return ids[moved], label[moved]
+
+
+def _compare(percent: int):
+    """Links of each bucket block, from rows sorted by key, i and j."""
+
+    def links(group: pa.Table, i: int, j: int) -> pa.RecordBatch | None:
+        group = group.combine_chunks()
+        lists = group["shingles"].chunk(0)
+        flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        sets = [flat[s:e] for s, e in zip(offsets[:-1], offsets[1:])]
+        side = group["block"].to_numpy() if i != j else None
+        a, b = _links_within(sets, group["id"].to_numpy(), group["c"].to_numpy(), side, percent)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]) if len(a) else None
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)], 1)
+            first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(1))))
+            for s, e in zip(first, np.append(first[1:], batch.num_rows)):
+                key = tuple(keys[s])
+                if now is not None and key != now:
+                    if out := links(pa.Table.from_batches(held), now[1], now[2]):
+                        yield out
+                    held = []
+                now = key
+                held.append(batch.slice(s, e - s))
+        if held and (out := links(pa.Table.from_batches(held), now[1], now[2])):
+            yield out
+
+    return compare
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, n_shingles and component of every row of ``docs`` (doc_id, text).
 
     Words are runs of anything but white space, A-Z lower-cased; a text of
@@ -158,10 +227,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     Equal sets are first put into one class, of which only the smallest id goes
     on.  In a bucket, every member is held against the smallest and the largest
-    id there, so a bucket of any size gives as many pairs as it has members.  As
-    long as members of a bucket are in different components, they are held
-    against further members of it, drawn anew each round, and at last against
-    all that are still in another component, so that no link is lost.
+    id there, so a bucket of any size gives as many pairs as it has members.
+    Buckets whose members are then still in different components are gone through
+    pair by pair, in blocks of ``BLOCK`` members, so that no link is lost; a block
+    gives no more rows than it has members.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     described = staged(texts.mapInArrow(_describe(shingle, bands, rows), "id long, n long, p long, q long, keys array<long>"), "sketches")
@@ -182,31 +251,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     candidates = ordered(
         met.filter(near("n", "low.n")).select("id", F.col("low.id").alias("to")).unionByName(met.filter(near("n", "high.n")).select("id", F.col("high.id").alias("to"))), "id", "to"
     )
-    tried = staged(candidates, "pairs")
-    links = _verified(tried, texts, shingle, percent)
-    found = components(links)
-
-    for turn in range(rounds + 1):
-        placed = met.select("key", "id", "n").join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-        apart = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
-        split = staged(placed.join(apart, "key"), "split")
-        if turn < rounds:
-            drawn = split.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "n", "c")).alias("with"))
-            pairs = split.join(drawn, "key").filter((F.col("c") != F.col("with.c")) & near("n", "with.n")).select("id", F.col("with.id").alias("to"))
-        else:
-            other = split.select("key", F.col("id").alias("to"), F.col("n").alias("m"), F.col("c").alias("d"))
-            pairs = split.join(other, "key").filter((F.col("id") < F.col("to")) & (F.col("c") != F.col("d")) & near("n", "m")).select("id", "to")
-        fresh = staged(ordered(pairs, "id", "to").join(tried, ["a", "b"], "left_anti"), "pairs")
-        unstage(split)
-        if fresh.isEmpty():
-            if turn < rounds:
-                continue
-            break
-        more = _verified(fresh, texts, shingle, percent)
-        tried = tried.unionByName(fresh)
+    found = components(_verified(staged(candidates, "pairs"), texts, shingle, percent))
+
+    placed = met.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    apart = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).filter("c0 < c1")
+    apart = apart.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    split = placed.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    split = staged(split, "split")
+    if not split.isEmpty():
+        sets = _shingle_sets(texts.join(few(split.select("id").distinct()), "id", "left_semi"), shingle)
+        spread = split.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = spread.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "c")
+        blocks = spread.join(sets, "id").select("key", "i", "j", "block", "id", "c", "shingles").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        more = staged(blocks.mapInArrow(_compare(percent), "a long, b long"), "links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links)
+            found = components(more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    unstage(split)
+    unstage(met)
     whole = again.withColumnRenamed("id", "a").select("a", F.col("rep").alias("b")).join(found.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("component", "b").alias("component"))
     named = found.unionByName(whole).groupBy("id").agg(F.min("component").alias("component"))
     return described.select("id", F.col("n").alias("n_shingles")).join(named, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
