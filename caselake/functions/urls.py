@@ -66,8 +66,7 @@ def base_name(c: Column | str, default: str = "") -> Column:
     return F.coalesce(first_filled(F.substring_index(path(c), "/", -1)), F.lit(default))
 
 
-@F.pandas_udf("string")
-def _join(base: pd.Series, href: pd.Series) -> pd.Series:
+def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)], dtype=object)
 
 
@@ -81,7 +80,7 @@ def resolved(base: Column | str, href: Column | str) -> Column:
     root = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     simple = h.rlike(r"^/[^/.]") & ~F.contains(h, F.lit("/.")) & (root != "")
     absolute = h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+") & ~F.contains(h, F.lit("/."))
-    return F.when(absolute, h).when(simple, F.concat(root, h)).otherwise(_join(b, h))
+    return F.when(absolute, h).when(simple, F.concat(root, h)).otherwise(F.pandas_udf(_joined, "string")(b, h))
 
 
 def normalized(c: Column | str, base: str) -> Column:
