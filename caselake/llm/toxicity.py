@@ -143,12 +143,15 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
             for s, e in slices(b.column(0)):
                 r, k = empty.known(b.column(0).slice(s, e - s))
                 first = np.searchsorted(r, np.arange(e - s + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(s, e - s), pa.ListArray.from_arrays(pa.array(first), pa.array(k.astype(np.int32)))], ["toxic", "terms"])
+                k = k.astype(np.int32)
+                packed = pa.array([k[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(s, e - s), packed], ["toxic", "terms"])
 
-    got = sorted(rows.mapInArrow(encode, "toxic int, terms array<int>").collect(), key=lambda r: (r[0], r[1]))
+    # term numbers stay packed, four bytes each, until they are one array
+    got = sorted((r[0], bytes(r[1])) for r in rows.mapInArrow(encode, "toxic int, terms binary").collect())
     label = np.array([r[0] for r in got], float)
-    size = np.array([len(r[1]) for r in got], np.int64)
-    return _fit(terms, label, np.repeat(np.arange(len(got)), size), np.array([k for r in got for k in r[1]], np.int64))
+    size = np.array([len(r[1]) // 4 for r in got], np.int64)
+    return _fit(terms, label, np.repeat(np.arange(len(got)), size), np.frombuffer(b"".join(r[1] for r in got), np.int32))
 
 
 def toxicity_of(text: Column, machine: Machine) -> Column:
