@@ -22,6 +22,8 @@ from .words import LETTERS, RUNS, Words, mix, slices
 
 #: Bound on the documents whose lines train the field, those of the smallest hash of doc_id.
 MAX_TRAIN_DOCS = 20_000
+#: Text that is tagged at a time; a token takes some 300 bytes meanwhile.
+TEXT_BYTES = 1 << 20
 _DIMS = 1 << 16
 _NEVER = -1e4
 _O, _B, _I = 0, 1, 2
@@ -225,7 +227,7 @@ def fit_secrets(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, most_tokens: in
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s, e in slices(b.column(0)):
+            for s, e in slices(b.column(0), TEXT_BYTES):
                 text = b.column(0).slice(s, e - s)
                 lines = _Lines(text)
                 w = lines.words
@@ -239,19 +241,23 @@ def fit_secrets(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, most_tokens: in
                 hot = np.add.reduceat(tag, lines.line_first) > 0 if len(tag) else np.zeros(0, bool)
                 plain = np.flatnonzero(~hot)
                 _, one = np.unique(lines.row[lines.line_first[plain]], return_index=True)
+                tags, features = [], []
                 for i in np.concatenate((np.flatnonzero(hot), plain[one])):
                     at = np.arange(lines.line_first[i], lines.line_first[i] + lines.line_size[i])
                     if len(at) > most_tokens:
                         mid = int(np.argmax(tag[at] > 0)) if hot[i] else 0
                         low = max(0, min(mid - most_tokens // 2, len(at) - most_tokens))
                         at = at[low : low + most_tokens]
-                    yield pa.RecordBatch.from_pydict({"tags": pa.array([tag[at].tolist()], pa.list_(pa.int32())), "features": pa.array([lines.features[at].ravel().tolist()], pa.list_(pa.int32()))})
+                    tags.append(tag[at].astype(np.int8).tobytes())
+                    features.append(lines.features[at].astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(tags, pa.binary()), pa.array(features, pa.binary())], ["tags", "features"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text").mapInArrow(teach, "tags array<int>, features array<int>")
-    lines = sorted((r[0], r[1]) for r in rows.collect())
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text").mapInArrow(teach, "tags binary, features binary")
+    # tags and features stay packed, one and four bytes each, until a batch of lines needs them
+    lines = sorted((bytes(r[0]), bytes(r[1])) for r in rows.collect())
     if not any(any(t) for t, _ in lines):
         return Field(np.zeros((_DIMS, 3)) + np.array([0.0, _NEVER, _NEVER]), np.zeros((3, 3)))
-    return _train([(np.array(f, np.int64).reshape(len(t), -1), np.array(t, np.int64)) for t, f in lines])
+    return _train([(np.frombuffer(f, np.int32).reshape(len(t), -1), np.frombuffer(t, np.int8)) for t, f in lines])
 
 
 def _crf_spans(lines: _Lines, tag: np.ndarray) -> list[tuple[int, int, int]]:
@@ -281,7 +287,7 @@ def find_secrets(docs: DataFrame, field: Field) -> DataFrame:
     @F.arrow_udf(SPANS)
     def scan(text: pa.Array) -> pa.Array:
         kinds, starts, ends, first = [], [], [], [0]
-        for s, e in slices(text):
+        for s, e in slices(text, TEXT_BYTES):
             lines = _Lines(text.slice(s, e - s))
             w = lines.words
             row_end = np.append(w.row_start[1:], len(w.data))
