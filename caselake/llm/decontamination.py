@@ -100,9 +100,6 @@ def _matches(text: pa.Array, items: _Items) -> tuple[np.ndarray, np.ndarray, np.
     last = w.first[1:] - items.k  # the last word of a row that begins a shingle
     sid = items.sids(g)
     sid[np.arange(len(h)) > last[row]] = -1
-    short = np.flatnonzero((words > 0) & (words < items.k))
-    for r in short:  # a text of fewer words is one shingle
-        sid[w.first[r]] = items.sids(grams(h[w.first[r] : w.first[r + 1]], int(words[r]))[:1])[0]
     hit = np.flatnonzero(sid >= 0)
     n_with = items.first_with[sid[hit] + 1] - items.first_with[sid[hit]]
     at, item = np.repeat(hit, n_with), items.with_shingle[_ranges(items.first_with[sid[hit]], n_with)]
@@ -120,8 +117,14 @@ def _matches(text: pa.Array, items: _Items) -> tuple[np.ndarray, np.ndarray, np.
     # windows of one row and size are the same for every item that asks for them
     wide = np.unique(start * (int(items.size.max(initial=0)) + 1) + size[owner])
     start, size = wide // (int(items.size.max(initial=0)) + 1), wide % (int(items.size.max(initial=0)) + 1)
-    asked = [np.zeros(0, np.int64)] * 4 + [np.zeros(0)]
-    found = [asked]
+    found = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0)]]
+    for n in (n for n in items.by_size if n < items.k):  # such an item is one shingle, and so is a window of its size
+        short = items.sids(grams(h, n))
+        short[np.arange(len(h)) > w.first[1:][row] - n] = -1
+        hit = np.flatnonzero(short >= 0)
+        n_with = items.first_with[short[hit] + 1] - items.first_with[short[hit]]
+        place, item = np.repeat(hit, n_with), items.with_shingle[_ranges(items.first_with[short[hit]], n_with)]
+        found.append([row[place], item, place - w.first[row[place]], np.full(len(place), n), np.ones(len(place))])
     span = np.maximum(size - items.k + 1, 1)
     bounds = np.searchsorted(np.cumsum(span), np.arange(0, int(span.sum()) + 100_000, 100_000))
     for s, e in zip(bounds[:-1], bounds[1:]):
