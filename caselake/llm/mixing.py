@@ -70,9 +70,8 @@ class Domains:
     def __init__(self, names: list[str], prior: list[float], weight: list[list[float]], temperature: float = 1.0) -> None:
         self.names, self.prior, self.weight, self.temperature = names, prior, weight, temperature
 
-    def evidence(self, words: Column) -> list[Column]:
-        """For each domain the sum of its log weights over the distinct bins of ``words``."""
-        bins = _bins(words)
+    def evidence(self, bins: Column) -> list[Column]:
+        """For each domain the sum of its log weights over distinct bins."""
         weights = [_constant(w, "array<double>") for w in self.weight]
         return [F.aggregate(bins, F.lit(0.0), _adding(w)) for w in weights]
 
@@ -95,10 +94,10 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
     known = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(names)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = staged(texts.select((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).alias("test"), "domain", _told(F.col("text")).alias("words")), "labelled")
+    rows = staged(texts.select((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).alias("test"), "domain", _bins(_told(F.col("text"))).alias("bins")), "labelled")
     train = rows.filter("NOT test")
     sizes = {r[0]: r[1] for r in train.groupBy("domain").count().collect()}
-    bins = train.select("domain", F.explode(_bins(F.col("words"))).alias("bin"))
+    bins = train.select("domain", F.explode("bins").alias("bin"))
     counts = {(r[0], r[1]): r[2] for r in bins.groupBy("domain", "bin").count().collect()}
     total = sum(sizes.values())
     whole: dict[int, int] = {}
@@ -116,7 +115,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
                 row[b] = round(math.log(p / q), 4)
         weight.append(row)
     model = Domains(names, prior, weight)
-    evidence = rows.filter("test").select("domain", *[e.alias(f"e{i}") for i, e in enumerate(model.evidence(F.col("words")))])
+    evidence = rows.filter("test").select("domain", *[e.alias(f"e{i}") for i, e in enumerate(model.evidence(F.col("bins")))])
     gains = []
     for t in TEMPERATURES:
         p = model.posterior([F.col(f"e{i}") for i in range(len(names))], t)
@@ -158,12 +157,16 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     model = fit_domains(docs, labelled, names, max_rows)
     p_names = [f"p_{d}" for d in names]
     new = ["n_tokens", *p_names, "rate", "copies"]
-    base = docs.drop(*new).withColumn("_words", _words(F.col("text")))
-    told = base.withColumns({"n_tokens": F.size("_words").cast("long")} | {f"_e{i}": e for i, e in enumerate(model.evidence(F.concat("_words", _signs(F.col("text"), F.col("_words")))))}).drop("_words")
-    told = told.withColumns(dict(zip(p_names, model.posterior([F.col(f"_e{i}") for i in range(len(names))], model.temperature)))).drop(*[f"_e{i}" for i in range(len(names))])
+    # each step is a column of its own, so that no part is worked out twice
+    told = docs.drop(*new).withColumn("_words", _words(F.col("text")))
+    told = told.withColumns({"n_tokens": F.size("_words").cast("long"), "_bins": _bins(F.concat("_words", _signs(F.col("text"), F.col("_words"))))}).drop("_words")
+    evidence = [F.col(f"_e{i}") for i in range(len(names))]
+    told = told.withColumns({f"_e{i}": e for i, e in enumerate(model.evidence(F.col("_bins")))}).drop("_bins")
+    told = told.withColumns(dict(zip(p_names, model.posterior(evidence, model.temperature)))).drop(*[f"_e{i}" for i in range(len(names))])
+    told = staged(told, "told")
 
     posterior = [F.col(p) for p in p_names]
-    slim = staged(told.select("n_tokens", *p_names).filter("n_tokens > 0").withColumn("rate", F.lit(1.0)), "posteriors")
+    slim = told.filter("n_tokens > 0").select("n_tokens", *p_names).withColumn("rate", F.lit(1.0))
     n = len(names)
     pairs = [(i, j) for i in range(n) for j in range(n)]
     sums = slim.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * posterior[i] * posterior[j]) for i, j in pairs]).first()
@@ -184,9 +187,11 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
             surpluses.append(fresh[-1])
             if len(fresh) == 8:  # keep the rates so far, so that a step costs the same early and late
                 moved = staged(slim.withColumn("rate", _rates(F.col("rate"), posterior, fresh, rate_pull)), "posteriors")
-                unstage(slim)
+                if len(surpluses) > 8:
+                    unstage(slim)
                 slim, fresh = moved, []
-    unstage(slim)
+        if len(surpluses) >= 8:
+            unstage(slim)
     rated = told.withColumn("rate", _rates(F.lit(1.0), posterior, surpluses, rate_pull))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
