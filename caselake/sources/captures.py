@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def pages(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """path and html of every captured page below ``path``."""
-    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("wholetext", True).text(path)
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     return read.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
 
 
