@@ -481,3 +481,35 @@ def bulk_pipeline_shape(spark: SparkSession, d: str) -> DataFrame:
     dockets = table(spark, d, "orders").join(table(spark, d, "customer").join(courts, "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), "court")
     clusters = limits.between_years(table(spark, d, "lineitem").select("l_orderkey", "l_shipdate"), "l_shipdate", 1996, 1997)
     return clusters.join(dockets, "l_orderkey").groupBy(F.year("l_shipdate").alias("year"), "court").agg(F.count("*").alias("n_cases"))
+
+
+# ---- elements of pages; event time (extensions) ----
+
+
+@query(r"""
+WITH n AS (SELECT page_id, regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) AS nav FROM pages)
+SELECT page_id, count(*) AS n_links, string_agg(href, '|' ORDER BY i) AS hrefs
+FROM (SELECT page_id, unnest(regexp_extract_all(nav, '<a href="([^"]*)"', 1)) AS href, unnest(range(len(regexp_extract_all(nav, '<a href="([^"]*)"', 1)))) AS i FROM n) GROUP BY page_id""")
+def navigation_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links of each page's menu, found as elements."""
+    from caselake.sources.html import elements
+
+    found = elements(table(spark, d, "pages").select("page_id", "html"), {"link": ("nav a[href]", {})})
+    got = found.groupBy("page_id").agg(F.count("*").alias("n_links"), F.array_sort(F.collect_list(F.struct("element.position", "element.href"))).alias("l"))
+    return got.select("page_id", "n_links", F.array_join("l.href", "|").alias("hrefs"))
+
+
+@query("""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, event_type, count(*) AS n_events, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+def ext_event_windows(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n_events"), F.round(F.sum("value"), 4).alias("total"))
+    return rows.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "n_events", "total")
+
+
+@query("""
+WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
+SELECT user_id, min(ts) AS first_ts, count(*) AS n_events FROM s GROUP BY user_id, s""")
+def ext_sessions(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").groupBy("user_id", F.session_window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n_events"))
+    return rows.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("first_ts"), "n_events")
