@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged, table, unstage
@@ -214,6 +214,30 @@ def _compare(percent: int):
     return compare
 
 
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("id"), blocks).cast("int")
+
+
+def _rest_blocks(split: DataFrame) -> DataFrame:
+    """Blocks that hold the members outside a bucket's main component against one another."""
+    blocks = F.ceil(F.col("rest") / BLOCK)
+    rest = split.filter("c <> main").withColumn("block", _block(blocks)).withColumn("with", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+    return rest.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "c")
+
+
+def _main_blocks(split: DataFrame) -> DataFrame:
+    """Blocks that hold each main component against all members that meet it, once for all their buckets.
+
+    They are keyed by the component; ``i`` is negative, so none is taken for a bucket's.
+    """
+    sides = split.select(F.col("main").alias("key"), "id", "c", (F.col("c") != F.col("main")).alias("out")).distinct()
+    sizes = sides.groupBy("key").agg(*(F.ceil(F.count(F.when(F.col("out") == out, 1)) / BLOCK).alias(n) for n, out in (("ins", False), ("outs", True))))
+    sides = sides.join(sizes, "key").withColumn("own", _block(F.when(F.col("out"), F.col("outs")).otherwise(F.col("ins"))))
+    sides = sides.withColumn("with", F.explode(F.sequence(F.lit(0), (F.when(F.col("out"), F.col("ins")).otherwise(F.col("outs")) - 1).cast("int"))))
+    pair = lambda x, y: F.when(F.col("out"), F.col(x)).otherwise(F.col(y))
+    return sides.select("key", (-1 - pair("own", "with")).alias("i"), pair("with", "own").alias("j"), F.col("out").cast("int").alias("block"), "id", "c")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """id, n_shingles and component of every row of ``docs`` (doc_id, text).
 
@@ -228,9 +252,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     Equal sets are first put into one class, of which only the smallest id goes
     on.  In a bucket, every member is held against the smallest and the largest
     id there, so a bucket of any size gives as many pairs as it has members.
-    Buckets whose members are then still in different components are gone through
-    pair by pair, in blocks of ``BLOCK`` members, so that no link is lost; a block
-    gives no more rows than it has members.
+    Where members of a bucket are then still in different components, one component
+    is the bucket's main one.  The others' members there are held against one
+    another, and against the main component's members of all such buckets once,
+    not bucket by bucket.  Both go in blocks of ``BLOCK`` members a side, so that no
+    link is lost; a block gives no more rows than it has members.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     described = staged(texts.mapInArrow(_describe(shingle, bands, rows), "id long, n long, p long, q long, keys array<long>"), "sketches")
@@ -254,15 +280,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     found = components(_verified(staged(candidates, "pairs"), texts, shingle, percent))
 
     placed = met.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    apart = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).filter("c0 < c1")
-    apart = apart.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    split = placed.join(apart, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    split = staged(split, "split")
+    shares = placed.groupBy("key", "c").agg(F.count("*").alias("m"))
+    apart = shares.groupBy("key").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.sum("m").alias("m"), F.max("m").alias("most"), F.count("*").alias("parts")).filter("parts > 1")
+    split = staged(placed.join(apart.select("key", "main", (F.col("m") - F.col("most")).alias("rest")), "key"), "split")
     if not split.isEmpty():
         sets = _shingle_sets(texts.join(few(split.select("id").distinct()), "id", "left_semi"), shingle)
-        spread = split.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        spread = spread.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "c")
-        blocks = spread.join(sets, "id").select("key", "i", "j", "block", "id", "c", "shingles").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        blocks = _rest_blocks(split).unionByName(_main_blocks(split)).join(sets, "id").select("key", "i", "j", "block", "id", "c", "shingles")
+        blocks = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         more = staged(blocks.mapInArrow(_compare(percent), "a long, b long"), "links")
         if not more.isEmpty():
             found = components(more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
