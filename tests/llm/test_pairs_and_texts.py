@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from caselake.llm import near_duplicates as near
 from caselake.llm.decontamination import drop_leaking, find_leaks
 from caselake.llm.near_duplicates import _links_within, _sketch, components, drop_near_duplicates, near_duplicates
 from caselake.llm.substrings import drop_repeats
@@ -233,3 +234,17 @@ def test_leaks_of_awkward_rows(spark):
     same = frame(spark, [(1, "A b, c d e f g."), (2, "a b c d e f g")], "item_id bigint, text string")
     assert [x.item_id for x in find_leaks(docs, same).collect()[0].leaks] == [1, 2]
     assert find_leaks(docs.limit(0), same).count() == 0
+
+
+def test_blocks_hold_every_pair_of_different_components(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 2)
+    buckets = {7: {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8, 10: 10}, 8: {2: 1, 4: 1, 6: 1, 9: 8}, 1: {8: 8, 9: 8, 10: 10}}
+    main = {7: 1, 8: 1, 1: 8}
+    rows = [(key, i, c, main[key], sum(x != main[key] for x in of.values())) for key, of in buckets.items() for i, c in of.items()]
+    split = spark.createDataFrame(rows, "key long, id long, c long, main long, rest long")
+    groups: dict[tuple, list] = {}
+    for r in near._rest_blocks(split).unionByName(near._main_blocks(split)).collect():
+        groups.setdefault((r["key"], r["i"], r["j"]), []).append(r)
+    held = {tuple(sorted((x["id"], y["id"]))) for (_, i, j), of in groups.items() for x in of for y in of if x["c"] != y["c"] and (i == j or x["block"] != y["block"])}
+    wanted = {tuple(sorted((x, y))) for of in buckets.values() for x in of for y in of if of[x] != of[y]}
+    assert wanted <= held
