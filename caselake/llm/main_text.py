@@ -2,10 +2,10 @@
 
 Of each host a few different pages are aligned by simple tree matching.  Text
 that stands at the same place in all of them is template; the innermost single
-element that holds the text that varies is the container of the content.  The
-wrapper of a host, its container and its constants, is then applied to every
-page of the host; elements that are no article by their tag or name (menus,
-forms, adverts, comments and the like) are skipped wherever they stand.
+element that holds all text that varies is the container of the content.  The
+constants of a host are then left out of every page of the host; elements that
+are no article by their tag or name (menus, forms, adverts, comments and the
+like) are skipped wherever they stand.  Nothing else is left out.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ PAGES_PER_HOST = 8
 LEAST_EQUAL = 6
 #: Children of one element that take part in an alignment.
 MOST_CHILDREN = 64
-#: Share of the varying text that the container holds.
-CONTAINER_SHARE = 0.95
 #: Up to so many wrappers (some 2 kB each) are broadcast.
 BROADCAST_HOSTS = 10_000
 
@@ -259,20 +257,14 @@ def induce(pages: list[str]) -> dict:
                 seen.setdefault(path[:k], set()).add(ids[k - 1])
         for p, s in seen.items():
             often[p] = max(often.get(p, 0), len(s))
-    fit = [p for p in held if often[p] == 1 and p[-1].split(".")[0] in _CONTAINERS and held[p] >= CONTAINER_SHARE * total]
+    fit = [p for p in held if often[p] == 1 and p[-1].split(".")[0] in _CONTAINERS and held[p] == total]
     return {"container": list(max(fit, key=len, default=())), "constants": constants}
 
 
 def _extract(page: str, wrapper: dict) -> str:
-    container = tuple(wrapper["container"])
+    """All blocks that are no constants, wherever they stand: pages of a host may have several layouts."""
     constants = {(tuple(p), t) for p, t in wrapper["constants"]}
-    inside, outside = [], []
-    for path, text, _ in _blocks(page):
-        if (path, text) not in constants:
-            outside.append(text)
-            if path[: len(container)] == container:
-                inside.append(text)
-    return "\n\n".join(inside or outside)
+    return "\n\n".join(text for path, text, _ in _blocks(page) if (path, text) not in constants)
 
 
 def extract_main_text(pages: DataFrame, pages_per_host: int = PAGES_PER_HOST) -> DataFrame:
@@ -282,9 +274,8 @@ def extract_main_text(pages: DataFrame, pages_per_host: int = PAGES_PER_HOST) ->
     one space, joined by two line ends.  Whole pages are read.  A null or empty
     page gives an empty text.  Pages without a host form one host of their own.
     A host with a single page has no constants.  Pages that are equal count once
-    in an alignment, and ``pages_per_host`` of a host take part in it.  A page
-    without text in its host's container is taken outside of it.  A column named
-    text is replaced.  No row is dropped or repeated, and an empty table gives an
+    in an alignment, and ``pages_per_host`` of a host take part in it.  A column
+    named text is replaced.  No row is dropped or repeated, and an empty table gives an
     empty result.
     """
     hosted = pages.drop("text").withColumn("_host", host_of(F.col("url")))

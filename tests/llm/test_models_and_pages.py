@@ -242,6 +242,21 @@ def test_awkward_pages(spark):
     assert extract_main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def main_texts(spark, htmls):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)], "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in extract_main_text(df).collect()}
+
+
+def test_text_outside_a_container_is_kept(spark):
+    long = "body words " * 200
+    news = "<article><h1>Head {n}</h1><div class=lead>Lead {n}</div><div class=body>" + long + "{n}</div></article>"
+    short = "<div class=page><div class=body>Snippet {n}</div></div><div class=story><p>Story {n} " + long + "</p></div>"
+    plain = "<div class=page><div class=body>" + long + "{n}</div></div>"
+    assert main_texts(spark, [news.format(n=i) for i in range(9)]) == {i: f"Head {i}\n\nLead {i}\n\n{long}{i}" for i in range(9)}
+    got = main_texts(spark, [(short if i == 8 else plain).format(n=i) for i in range(9)])
+    assert got == {i: f"{long}{i}" for i in range(8)} | {8: f"Snippet 8\n\nStory 8 {long.strip()}"}
+
+
 # ---- conversations ----
 
 TURNS = "pair_id bigint, turn bigint, role string, text string"
