@@ -28,8 +28,6 @@ from .url_filter import host_of
 PAGES_PER_HOST = 8
 #: Text is template when so many aligned pages have it, and none differs.
 LEAST_EQUAL = 6
-#: Children of one element that take part in an alignment.
-MOST_CHILDREN = 64
 #: Up to so many wrappers (some 2 kB each) are broadcast.
 BROADCAST_HOSTS = 10_000
 
@@ -168,62 +166,102 @@ def _blocks(page: str) -> Iterator[tuple[tuple[str, ...], str, tuple[int, ...]]]
 
 
 class _Node:
-    __slots__ = ("sign", "path", "text", "children")
+    """An element that holds text: the blocks that end in it, and numbers that are equal for equal trees and for equal shapes."""
+
+    __slots__ = ("sign", "path", "blocks", "children", "shape", "same", "size")
 
     def __init__(self, sign: str, path: tuple[str, ...]) -> None:
-        self.sign, self.path, self.text, self.children = sign, path, "", []
+        self.sign, self.path, self.blocks, self.children = sign, path, [], []
 
 
 def _tree(page: str) -> _Node:
-    """The page's elements that may be article, with their own text."""
+    """The page's elements that hold article text, with their blocks; what an article or main holds is no template and left out."""
     root = _Node("", ())
-    stack, skip, inside = [root], 0, 0
-    for kind, value, attributes in _events(page):
-        if kind == "text":
-            if not skip:
-                stack[-1].text += value
-        elif kind == "open":
-            if skip or not _is_article(value, attributes, inside > 0):
-                skip += 1
-                continue
-            inside += value in ("article", "main")
-            sign = _signature(value, attributes)
-            node = _Node(sign, (*stack[-1].path, sign))
-            stack[-1].children.append(node)
-            stack.append(node)
-        elif skip:
-            skip -= 1
-        else:
-            inside -= value in ("article", "main")
-            stack.pop()
+    nodes = {0: root}
+    for path, text, ids in _blocks(page):
+        at, inside = root, False
+        for k, (sign, number) in enumerate(zip(path, ids), 1):
+            if number not in nodes:
+                nodes[number] = _Node(sign, path[:k])
+                at.children.append(nodes[number])
+            at = nodes[number]
+            if inside := _in_article((sign,)):
+                break
+        if not inside:
+            at.blocks.append(text)
+    for node in reversed(nodes.values()):  # children are made after their parents
+        node.shape = hash((node.sign, *[c.shape for c in node.children]))
+        node.same = hash((node.shape, *node.blocks, *[c.same for c in node.children]))
+        node.size = 1 + sum(c.size for c in node.children)
     return root
 
 
+#: So many weights are remembered; beyond that they are worked out again.
+_KNOWN = 200_000
+#: A matched element outweighs all ties between equal subtrees.
+_ELEMENT = 1 << 32
+
+
+class _Weights(dict):
+    """The size of the best match of two elements, by their shapes."""
+
+    def __call__(self, a: _Node, b: _Node) -> int:
+        if a.sign != b.sign:
+            return 0
+        if a.shape == b.shape:
+            return a.size * _ELEMENT + (a.same == b.same)
+        if not a.children or not b.children:
+            return _ELEMENT
+        if (a.shape, b.shape) in self:
+            return self[a.shape, b.shape]
+        best = (1 + _best(a.children, b.children, self)[-1] // _ELEMENT) * _ELEMENT
+        if len(self) >= _KNOWN:
+            self.clear()
+        self[a.shape, b.shape] = best
+        return best
+
+
+def _best(x: list[_Node], y: list[_Node], weight: _Weights) -> list[int]:
+    """The weight of the best order-preserving match of ``x`` with each beginning of ``y``."""
+    best = [0] * (len(y) + 1)
+    for u in x:
+        corner = left = 0
+        for j, v in enumerate(y, 1):
+            here = max(corner + weight(u, v), best[j], left)
+            corner, best[j], left = best[j], here, here
+    return best
+
+
+def _align(x: list[_Node], y: list[_Node], weight: _Weights) -> list[tuple[_Node, _Node]]:
+    """The pairs of a best match of all of ``x`` and ``y``: equal ends first, the rest by halves, so memory is linear."""
+    n, s, e = min(len(x), len(y)), 0, 0
+    while s < n and x[s].same == y[s].same:
+        s += 1
+    while e < n - s and x[-1 - e].same == y[-1 - e].same:
+        e += 1
+    ends = [*zip(x[:s], y[:s]), *zip(x[len(x) - e :], y[len(y) - e :])]
+    x, y = x[s : len(x) - e], y[s : len(y) - e]
+    if not x or not y:
+        return ends
+    if len(x) == 1:
+        v = max(y, key=lambda v: weight(x[0], v))
+        return ends + [(x[0], v)] * (weight(x[0], v) > 0)
+    half = len(x) // 2
+    front, back = _best(x[:half], y, weight), _best(x[:half - 1 : -1], y[::-1], weight)
+    cut = max(range(len(y) + 1), key=lambda j: front[j] + back[len(y) - j])
+    return ends + _align(x[:half], y[:cut], weight) + _align(x[half:], y[cut:], weight)
+
+
 def _match(a: _Node, b: _Node) -> tuple[int, list[tuple[_Node, _Node]]]:
-    """Simple tree matching: the size of the best order-preserving top-down match, and its pairs."""
+    """Simple tree matching: the size of the best order-preserving top-down match, and its pairs; of matches of one size, one with most equal subtrees."""
     if a.sign != b.sign:
         return 0, []
-    x, y = a.children[:MOST_CHILDREN], b.children[:MOST_CHILDREN]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    found = {}
-    for i, u in enumerate(x):
-        for j, v in enumerate(y):
-            w = 0
-            if u.sign == v.sign:
-                found[i, j] = _match(u, v)
-                w = found[i, j][0]
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + w)
-    pairs = [(a, b)]
-    i, j = len(x), len(y)
-    while i and j:
-        if (i - 1, j - 1) in found and best[i][j] == best[i - 1][j - 1] + found[i - 1, j - 1][0]:
-            pairs += found[i - 1, j - 1][1]
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1] + 1, pairs
+    weight, pairs, left = _Weights(), [], [(a, b)]
+    while left:
+        u, v = left.pop()
+        pairs.append((u, v))
+        left += _align(u.children, v.children, weight)
+    return len(pairs), pairs
 
 
 def _in_article(path: tuple[str, ...]) -> bool:
@@ -234,14 +272,14 @@ def _in_article(path: tuple[str, ...]) -> bool:
 def induce(pages: list[str]) -> dict:
     """The wrapper of some pages of one host: container path, and constants as [path, text]."""
     trees = [_tree(p) for p in pages]
-    equal: dict[int, list[int]] = {}
-    nodes: dict[int, _Node] = {}
+    equal: dict[tuple[int, str], list[bool]] = {}
+    paths: dict[int, tuple[str, ...]] = {}
     for other in trees[1:]:
         for u, v in _match(trees[0], other)[1]:
-            if text := " ".join(u.text.split()):
-                nodes[id(u)] = u
-                equal.setdefault(id(u), []).append(int(text == " ".join(v.text.split())))
-    constants = [[list(nodes[k].path), " ".join(nodes[k].text.split())] for k, hits in equal.items() if len(hits) + 1 >= LEAST_EQUAL and all(hits) and not _in_article(nodes[k].path)]
+            for text in u.blocks:
+                paths[id(u)] = u.path
+                equal.setdefault((id(u), text), []).append(text in v.blocks)
+    constants = [[list(paths[k]), text] for (k, text), hits in equal.items() if len(hits) + 1 >= LEAST_EQUAL and all(hits)]
     known = {(tuple(p), t) for p, t in constants}
     held: dict[tuple[str, ...], int] = {}
     often: dict[tuple[str, ...], int] = {}

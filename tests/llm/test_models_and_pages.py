@@ -257,6 +257,34 @@ def test_text_outside_a_container_is_kept(spark):
     assert got == {i: f"{long}{i}" for i in range(8)} | {8: f"Snippet 8\n\nStory 8 {long.strip()}"}
 
 
+def test_template_after_many_children():
+    pages = ["<body>" + "".join(f"<p>text {n} {i}</p>" for i in range(70 + n)) + "<p>Same <b>end</b></p><p>Varies {n}</p></body>".format(n=n) for n in range(8)]
+    assert induce(pages)["constants"] == [[["body", "p"], "Same end"]]
+
+
+def brute_match(a, b):
+    if a.sign != b.sign:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, u in enumerate(a.children):
+        for j, v in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_match(u, v))
+    return best[-1][-1] + 1
+
+
+def test_matches_are_largest():
+    rng = random.Random(4)
+
+    def some(depth):
+        tag = rng.choice(["div", "section", "p"]) if depth else "p"
+        return f"<{tag}>{rng.choice('ab')}{''.join(some(depth - 1) for _ in range(rng.randint(0, 4))) if tag != 'p' else ''}</{tag}>"
+
+    for _ in range(60):
+        a, b = (_tree("".join(some(3) for _ in range(4))) for _ in range(2))
+        size, pairs = _match(a, b)
+        assert size == len(pairs) == len({id(u) for u, _ in pairs}) == len({id(v) for _, v in pairs}) == brute_match(a, b)
+
+
 # ---- conversations ----
 
 TURNS = "pair_id bigint, turn bigint, role string, text string"
