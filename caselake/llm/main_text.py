@@ -1,35 +1,37 @@
 """Main text of web pages by wrapper induction.
 
-Of each host a few different pages are aligned by simple tree matching.  Text
-that stands at the same place in all of them is template; the innermost single
-element that holds all text that varies is the container of the content.  The
-constants of a host are then left out of every page of the host; elements that
-are no article by their tag or name (menus, forms, adverts, comments and the
-like) are skipped wherever they stand.  Nothing else is left out.
+The pages of a host, and those of each layout of a host, are aligned by simple
+tree matching.  Text that stands at the same place in most of them is template
+and is left out of their texts; elements that are no article by their tag or
+name (menus, forms, adverts, comments and the like) are skipped wherever they
+stand.  Nothing else is left out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
-import json
 import re
+import sys
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import staged, table
 from .near_duplicates import few
 from .url_filter import host_of
 
-#: Pages of a host that are aligned: those of the smallest digest among its different pages.
-PAGES_PER_HOST = 8
-#: Text is template when so many aligned pages have it, and none differs.
-LEAST_EQUAL = 6
-#: Up to so many wrappers (some 2 kB each) are broadcast.
+#: Text is template when at least this share of the different pages of a host or layout, and two at least, have it at the same place.
+TEMPLATE_SHARE = 0.75
+#: Elements of a page below html and body that name its layout: containers down to this depth.
+LAYOUT_DEPTH = 2
+#: Up to so many hosts or layouts, with the keys of their template (some 2 kB each), are broadcast.
 BROADCAST_HOSTS = 10_000
+#: Up to so many pages that others are aligned with are broadcast.
+BROADCAST_MODELS = 500
 
 # Kinds of elements, and words that name what is no article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -269,79 +271,142 @@ def _in_article(path: tuple[str, ...]) -> bool:
     return any(p.split(".")[0] in ("article", "main") for p in path)
 
 
+def _number(*words: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(words).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _key(path: tuple[str, ...], text: str) -> int:
+    return _number(*path, "", text)
+
+
+def _profile(page: str) -> tuple[int, int, list[int]]:
+    """A number for all the page's blocks, one for its layout, and the keys of the blocks that may be template."""
+    blocks = [(path, _key(path, text)) for path, text, _ in _blocks(page)]
+    keys, layout = set(), set()
+    for path, key in blocks:
+        if not _in_article(path):
+            keys.add(key)
+        top = [p for p in path if p.split(".")[0] not in ("html", "body")][:LAYOUT_DEPTH]
+        while top and top[-1].split(".")[0] not in _CONTAINERS:
+            top.pop()
+        layout.add("/".join(top))
+    return _number(*[str(key) for _, key in blocks]), _number(*sorted(layout)) or 1, sorted(keys)
+
+
+def _repeated(model: _Node, tree: _Node, wanted: set[int]) -> set[int]:
+    """The ``wanted`` keys of ``model`` whose text the matching element of ``tree`` has too."""
+    return {key for u, v in _match(model, tree)[1] for text in u.blocks if text in v.blocks and (key := _key(u.path, text)) in wanted}
+
+
 def induce(pages: list[str]) -> dict:
-    """The wrapper of some pages of one host: container path, and constants as [path, text]."""
-    trees = [_tree(p) for p in pages]
-    equal: dict[tuple[int, str], list[bool]] = {}
-    paths: dict[int, tuple[str, ...]] = {}
-    for other in trees[1:]:
-        for u, v in _match(trees[0], other)[1]:
-            for text in u.blocks:
-                paths[id(u)] = u.path
-                equal.setdefault((id(u), text), []).append(text in v.blocks)
-    constants = [[list(paths[k]), text] for (k, text), hits in equal.items() if len(hits) + 1 >= LEAST_EQUAL and all(hits)]
-    known = {(tuple(p), t) for p, t in constants}
+    """The wrapper of pages of one layout, as ``extract_main_text`` finds it: constants as [path, text], and the innermost element that holds all else."""
+    different = {p[0]: (page, set(p[2])) for page in sorted(pages) for p in [_profile(page)]}
+    least = max(2, TEMPLATE_SHARE * len(different))
+    keys = [k for _, ks in different.values() for k in ks]
+    often = {k for k in set(keys) if keys.count(k) >= least}
+    trees = {page: _tree(page) for page, _ in different.values()}
+    known = set()
+    for key in often:
+        model = max((len(ks & often), page) for page, ks in different.values() if key in ks)[1]
+        if sum(key in _repeated(trees[model], t, {key}) for t in trees.values()) >= least:
+            known.add(key)
+    constants: dict[int, list] = {}
     held: dict[tuple[str, ...], int] = {}
-    often: dict[tuple[str, ...], int] = {}
+    often_in: dict[tuple[str, ...], int] = {}
     total = 0
     for page in pages:
         seen: dict[tuple[str, ...], set[int]] = {}
         for path, text, ids in _blocks(page):
-            if (path, text) in known:
+            if (key := _key(path, text)) in known:
+                constants[key] = [list(path), text]
                 continue
             total += len(text)
             for k in range(1, len(path) + 1):
                 held[path[:k]] = held.get(path[:k], 0) + len(text)
                 seen.setdefault(path[:k], set()).add(ids[k - 1])
         for p, s in seen.items():
-            often[p] = max(often.get(p, 0), len(s))
-    fit = [p for p in held if often[p] == 1 and p[-1].split(".")[0] in _CONTAINERS and held[p] == total]
-    return {"container": list(max(fit, key=len, default=())), "constants": constants}
+            often_in[p] = max(often_in.get(p, 0), len(s))
+    fit = [p for p in held if often_in[p] == 1 and p[-1].split(".")[0] in _CONTAINERS and held[p] == total]
+    return {"container": list(max(fit, key=len, default=())), "constants": list(constants.values())}
 
 
-def _extract(page: str, wrapper: dict) -> str:
-    """All blocks that are no constants, wherever they stand: pages of a host may have several layouts."""
-    constants = {(tuple(p), t) for p, t in wrapper["constants"]}
-    return "\n\n".join(text for path, text, _ in _blocks(page) if (path, text) not in constants)
+def _extract(page: str, constants: set[int]) -> str:
+    """All blocks that are no constants, wherever they stand."""
+    return "\n\n".join(text for path, text, _ in _blocks(page) if not constants or _key(path, text) not in constants)
 
 
-def extract_main_text(pages: DataFrame, pages_per_host: int = PAGES_PER_HOST) -> DataFrame:
+@F.arrow_udf(T.StructType().add("digest", T.LongType()).add("layout", T.LongType()).add("keys", T.ArrayType(T.LongType())))
+def _profiles(page: pa.Array) -> pa.Array:
+    digest, layout, keys = zip(*[_profile(p.as_py() or "") for p in page]) if len(page) else ((), (), ())
+    return pa.StructArray.from_arrays([pa.array(digest, pa.int64()), pa.array(layout, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["digest", "layout", "keys"])
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _repeats(page: pa.Array, model: pa.Array, wanted: pa.Array) -> pa.Array:
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 100_000))  # elements may be deep
+    trees: dict[str, _Node] = {}
+    out = []
+    for p, m, w in zip(page.to_pylist(), model.to_pylist(), wanted.to_pylist()):
+        if m not in trees:
+            trees[m] = _tree(m)
+        out.append(sorted(_repeated(trees[m], _tree(p), set(w))))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+@F.arrow_udf(T.StringType())
+def _texts(page: pa.Array, of_host: pa.Array, of_layout: pa.Array) -> pa.Array:
+    return pa.array([_extract(p.as_py(), {*(h.as_py() or ()), *(k.as_py() or ())}) if p.as_py() else "" for p, h, k in zip(page, of_host, of_layout)], pa.string())
+
+
+def _constants(hosted: DataFrame) -> DataFrame:
+    """_host, group and keys: the template of each host (group 0) and of each layout of a host.
+
+    Keys are counted over all different pages.  A key that is frequent enough
+    has a model, the page with most such keys among those that have it; all
+    pages of the group are aligned with it, and the aligned repeats are counted.
+    """
+    by = ["_host", "group"]
+    groups = lambda layout: F.explode(F.array(F.lit(0).cast("long"), layout)).alias("group")
+    read = hosted.filter(F.length("html") > 0).select("_host", "html", F.md5(F.col("html").cast("binary")).alias("page"))
+    different = read.select("_host", "page", _profiles("html").alias("p")).groupBy("_host", "p.digest").agg(F.min(F.struct("page", "p.layout", "p.keys")).alias("p"))
+    different = staged(different.select("_host", "p.*"), "different")
+    sizes = different.select("_host", groups("layout")).groupBy(by).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    keyed = different.select("_host", "page", groups("layout"), "keys").select(*by, "page", F.explode("keys").alias("key"))
+    counts = keyed.groupBy(*by, "key").agg(F.count(F.lit(1)).alias("hits")).filter("hits > 1")
+    often = staged(counts.join(few(sizes, BROADCAST_HOSTS), by).filter(F.col("hits") >= F.col("n") * TEMPLATE_SHARE).select(*by, "key", "n"), "often")
+
+    scored = keyed.join(few(often), [*by, "key"]).groupBy(*by, "page").agg(F.collect_set("key").alias("keys"))
+    model = F.max_by("page", F.struct(F.size("keys"), "page")).alias("page")
+    chosen = scored.withColumn("key", F.explode("keys")).groupBy(*by, "key").agg(model)
+    chosen = staged(chosen.groupBy(*by, "page").agg(F.collect_set("key").alias("wanted")), "chosen")
+    html = read.join(few(chosen.select("_host", "page").distinct()), ["_host", "page"]).groupBy("_host", "page").agg(F.first("html").alias("model"))
+    models = staged(chosen.join(html, ["_host", "page"]).drop("page"), "models")
+
+    several = read.join(few(models.select("_host").distinct(), BROADCAST_HOSTS), "_host", "left_semi").select("_host", "html", _profiles("html").alias("p"))
+    pairs = several.select("_host", "html", "p.digest", groups("p.layout")).join(few(models, BROADCAST_MODELS), by)
+    repeats = pairs.select(*by, "digest", F.explode(_repeats("html", "model", "wanted")).alias("key")).distinct()
+    hits = repeats.groupBy(*by, "key").agg(F.count(F.lit(1)).alias("hits"))
+    found = often.join(hits, [*by, "key"]).filter(F.col("hits") >= F.col("n") * TEMPLATE_SHARE)
+    return staged(found.groupBy(by).agg(F.collect_set("key").alias("keys")), "constants")
+
+
+def extract_main_text(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html and any other columns) with a column text.
 
     Blocks of the article in page order, white space inside a block turned into
     one space, joined by two line ends.  Whole pages are read.  A null or empty
     page gives an empty text.  Pages without a host form one host of their own.
-    A host with a single page has no constants.  Pages that are equal count once
-    in an alignment, and ``pages_per_host`` of a host take part in it.  A column
-    named text is replaced.  No row is dropped or repeated, and an empty table gives an
-    empty result.
+    Template is what ``TEMPLATE_SHARE`` of all different pages of a host or of
+    one of its layouts have; pages of the same blocks count once, so a host with
+    one page has none.  A column named text is replaced.  No row is dropped or
+    repeated, and an empty table gives an empty result.
     """
-    hosted = pages.drop("text").withColumn("_host", host_of(F.col("url")))
-    different = hosted.filter(F.length("html") > 0).groupBy("_host", F.md5(F.col("html").cast("binary")).alias("digest")).agg(F.min("page_id").alias("page_id"))
-    rank = F.row_number().over(Window.partitionBy("_host").orderBy("digest"))
-    chosen = different.withColumn("rank", rank).filter(F.col("rank") <= pages_per_host).select("_host", "digest", "rank")
-    chosen = staged(chosen, "chosen")
-    texts = hosted.withColumn("digest", F.md5(F.col("html").cast("binary"))).join(few(chosen), ["_host", "digest"]).groupBy("_host", "rank").agg(F.first("html").alias("html"))
-
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        wrapper = induce(list(group.sort_values("rank")["html"]))
-        return pd.DataFrame({"_host": [group["_host"].iloc[0]], "_wrapper": [json.dumps(wrapper)]})
-
-    wrappers = staged(texts.groupBy("_host").applyInPandas(learn, "_host string, _wrapper string"), "wrappers")
-
-    @F.arrow_udf("string")
-    def apply(page: pa.Array, wrapper: pa.Array) -> pa.Array:
-        parsed: dict[str, dict] = {}
-        out = []
-        for p, w in zip(page, wrapper):
-            p, w = p.as_py(), w.as_py()
-            if w is not None and w not in parsed:
-                parsed[w] = json.loads(w)
-            out.append(_extract(p, parsed[w] if w is not None else {"container": [], "constants": []}) if p else "")
-        return pa.array(out, pa.string())
-
-    joined = hosted.join(few(wrappers, BROADCAST_HOSTS), "_host", "left")
-    return joined.withColumn("text", apply("html", "_wrapper")).drop("_host", "_wrapper")
+    hosted = pages.drop("text").withColumn("_host", F.coalesce(host_of(F.col("url")), F.lit("")))
+    constants = _constants(hosted)
+    of_host = constants.filter("group = 0").select("_host", F.col("keys").alias("_of_host"))
+    of_layout = constants.filter("group <> 0").select("_host", F.col("group").alias("_layout"), F.col("keys").alias("_of_layout"))
+    known = hosted.withColumn("_layout", _profiles("html")["layout"]).join(few(of_host, BROADCAST_HOSTS), "_host", "left").join(few(of_layout, BROADCAST_HOSTS), ["_host", "_layout"], "left")
+    return known.select(*[F.col(f"`{c}`") for c in hosted.columns if c != "_host"], _texts("html", "_of_host", "_of_layout").alias("text"))
 
 
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -285,6 +285,27 @@ def test_matches_are_largest():
         assert size == len(pairs) == len({id(u) for u, _ in pairs}) == len({id(v) for _, v in pairs}) == brute_match(a, b)
 
 
+def test_template_of_small_hosts_and_of_layouts(spark):
+    page = "<html><body><div class=top>{notice}</div><div class={kind}>" + "<p>Words {n} of this page</p>" + "<p>{a}</p><p>{b}</p></div><div>Same <i>end</i></div></body></html>"
+    copy = "<html><head><meta name=id content={n}></head><body><div>One story</div></body></html>"
+    rows, want = [], {}
+
+    def add(host, html, text):
+        want[len(rows)] = text
+        rows.append((len(rows), f"http://{host}/{len(rows)}", html))
+
+    for size in (2, 3, 5):
+        for n in range(size):
+            add(f"small{size}", page.format(notice="Notice", kind="c", n=n, a=f"a{n}", b=f"b{n}"), f"Words {n} of this page\n\na{n}\n\nb{n}")
+    for n in range(40):  # layouts of 25, 12 and 3 pages
+        kind = "c" if n < 25 else "d" if n < 37 else "e"
+        add("large", page.format(notice=f"Notice {kind}", kind=kind, n=n, a=f"a{n}", b=f"b{n}"), f"Words {n} of this page\n\na{n}\n\nb{n}")
+    for n in range(2):
+        add("copies", copy.format(n=n), "One story")
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in extract_main_text(df).collect()} == want
+
+
 # ---- conversations ----
 
 TURNS = "pair_id bigint, turn bigint, role string, text string"
