@@ -29,7 +29,8 @@ LEAKS = "array<struct<item_id:bigint,start_word:int,n_words:int,similarity:doubl
 class _Items:
     """The items of one index: sizes, shingles with weights, fingerprints, blocks."""
 
-    def __init__(self, ids: list[int], texts: list[str], shingle: int, threshold: float, radius: int) -> None:
+    def __init__(self, ids: list[int], texts: list[str], shingle: int, threshold: float, radius: int, whole: tuple[int, np.ndarray, np.ndarray] | None = None) -> None:
+        """``whole``: of a benchmark in several indexes, the number of items, and the shingles of two items or more with their frequencies."""
         w = Words(pa.array(texts, pa.large_string()), lower=True, classes=LETTERS)
         size = w.counts()
         held = np.flatnonzero(size)
@@ -46,9 +47,14 @@ class _Items:
         n = len(self.shingle)
         item, kind = pair // max(n, 1), pair % max(n, 1)
         df = np.bincount(kind, minlength=n)
-        #: rare shingles weigh more; what is in no item weighs most
-        self.weight = np.log1p(len(held) / np.maximum(df, 1))
-        self.other = float(np.log1p(len(held)))
+        n_items, self.common, common_df = (len(held), np.zeros(0, np.uint64), np.zeros(0, np.int64)) if whole is None else whole
+        if whole is not None:
+            at = _places(self.common, self.shingle)
+            df = np.where(at >= 0, common_df[at] if len(common_df) else 1, 1)
+        #: rare shingles weigh more; what is in no item weighs most, as much as what is in one
+        self.weight = np.log1p(n_items / np.maximum(df, 1))
+        self.common_weight = np.log1p(n_items / np.maximum(common_df, 1))
+        self.other = float(np.log1p(n_items))
         self.key, self.count = pair, count
         self.total = np.bincount(item, count * self.weight[kind], len(held))
         order = np.argsort(kind, kind="stable")
@@ -66,11 +72,26 @@ class _Items:
         """Each hash's number among the benchmark's shingles, or -1."""
         out = np.full(len(g), -1, np.int64)
         maybe = np.flatnonzero(self.seen[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.shingle, g[maybe]), max(len(self.shingle) - 1, 0))
-        real = self.shingle[at] == g[maybe] if len(self.shingle) else np.zeros(len(maybe), bool)
-        out[maybe[real]] = at[real]
+        out[maybe] = _places(self.shingle, g[maybe])
         return out
 
+    def weights(self, g: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The weight of each hash in the whole benchmark; ``kind`` is its number here, or -1."""
+        out = np.where(kind >= 0, self.weight[kind] if len(self.weight) else 0.0, self.other)
+        if len(self.common):
+            away = np.flatnonzero(kind < 0)
+            at = _places(self.common, g[away])
+            out[away[at >= 0]] = self.common_weight[at[at >= 0]]
+        return out
+
+
+def _places(known: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """The place of each hash in the sorted ``known``, or -1."""
+    if not len(known):
+        return np.full(len(g), -1, np.int64)
+    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+    return np.where(known[at] == g, at, -1)
+
 
 def _shingles(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k-word shingles of one word sequence; a shorter sequence is one shingle."""
@@ -137,7 +158,7 @@ def _verified(w: Words, g: np.ndarray, sid: np.ndarray, row: np.ndarray, start:
     first = np.cumsum(span) - span
     at = _ranges(start, span)
     kind = sid[at]
-    weight = np.where(kind >= 0, items.weight[kind] if len(items.weight) else 0.0, items.other)
+    weight = items.weights(g[at], kind)
     prints = _fingerprints(g[at], weight, first)
     total = np.add.reduceat(weight, first)
     windows, numbers = [], []
@@ -170,8 +191,27 @@ def _verified(w: Words, g: np.ndarray, sid: np.ndarray, row: np.ndarray, start:
     return [row[start[window]], number, start[window] - w.first[row[start[window]]], size[window], similarity[ok]]
 
 
-def _index(items: list, shingle: int, threshold: float, radius: int) -> _Items:
-    return _Items([r[0] for r in items], [r[1] for r in items], shingle, threshold, radius)
+def _index(items: list, *options) -> _Items:
+    return _Items([r[0] for r in items], [r[1] for r in items], *options)
+
+
+def _frequencies(known: DataFrame, shingle: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of items with words, and the sorted shingles that two items or more have, with the number of those."""
+
+    @F.arrow_udf("array<bigint>")
+    def distinct(text: pa.Array) -> pa.Array:
+        out = []
+        for s, e in slices(text):
+            w = Words(text.slice(s, e - s), lower=True, classes=LETTERS)
+            h = w.hashes()
+            out += [np.unique(_shingles(h[w.first[i] : w.first[i + 1]], shingle)).view(np.int64) for i in range(e - s)]
+        return pa.array(out, pa.list_(pa.int64()))
+
+    lists = known.select(distinct("text").alias("shingles"))
+    often = lists.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").toArrow()
+    hashes = often["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return lists.filter(F.size("shingles") > 0).count(), hashes[order], often["df"].to_numpy().astype(np.int64)[order]
 
 
 def leaks_of(text: Column, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 22, index_chars: int = INDEX_CHARS) -> Column:
@@ -184,15 +224,16 @@ def leaks_of(text: Column, benchmark: DataFrame, shingle: int = 5, threshold: fl
     null id or an item without words leaks nowhere, repeated items leak each
     under its own id, and an empty benchmark leaks nothing.  A benchmark beyond
     ``index_chars`` is held against the texts in several indexes of that size,
-    one after the other.
+    one after the other; weights are those of the whole benchmark in each.
     """
     known = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-chars // index_chars)
+    whole = _frequencies(known, shingle) if parts > 1 else None
     out = F.array().cast(LEAKS)
     for p in range(parts):
         part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) if parts > 1 else known
-        out = F.concat(out, _leaks_udf(_index(sorted(part.collect()), shingle, threshold, radius))(text))
+        out = F.concat(out, _leaks_udf(_index(sorted(part.collect()), shingle, threshold, radius, whole))(text))
     return out
 
 

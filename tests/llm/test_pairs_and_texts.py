@@ -227,6 +227,23 @@ def test_leaks_equal_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_leaks_do_not_depend_on_the_number_of_indexes(spark):
+    rng = random.Random(13)
+    draw = lambda n: [f"w{rng.randrange(80)}" for _ in range(n)]
+    shared = [draw(20) for _ in range(3)]
+    items = [(i, " ".join(draw(rng.randint(0, 25)) + shared[i % 3] * (i % 4 > 0) + draw(rng.randint(0, 12)))) for i in range(40)] + [(50, "two words"), (51, "two words"), (52, "")]
+    docs = [(0, "so two words here")]
+    for d in range(1, 120):
+        w = items[rng.randrange(40)][1].split()
+        for _ in range(rng.randint(0, 2)):
+            w = [x if rng.random() > 0.015 else "changed" for x in w]
+        docs.append((d, " ".join(draw(rng.randint(0, 9)) + w + draw(rng.randint(0, 9)))))
+    benchmark = frame(spark, items, "item_id bigint, text string")
+    found = [{(r.doc_id, *x) for r in find_leaks(frame(spark, docs), benchmark, **size).collect() for x in r.leaks} for size in ({}, {"index_chars": 400})]
+    assert found[0] == found[1]
+    assert {x[:2] for x in found[1]} == brute_leaks(docs, items)
+
+
 def test_leaks_of_awkward_rows(spark):
     docs = frame(spark, [(None, "a b c d e f g", "kept")], "doc_id bigint, text string, leaks string")
     none = frame(spark, [], "item_id bigint, text string")
