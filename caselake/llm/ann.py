@@ -5,7 +5,10 @@ is coded by the nearest centroids of its parts.  A query visits the cells whose
 centroids promise most, adds up tabulated products of its parts for each code,
 and the best of what it finds is ranked again by exact products.
 
-Only centroids are fitted on a bounded sample; every row is indexed.  Cells and
+Equal vectors are filed once, as a class with its smallest ids, so a common
+vector takes one place of a shortlist.
+
+Only centroids are fitted on a bounded sample; every class is indexed.  Cells and
 their visitors are cut into blocks of bounded size, so a cell may hold a third
 of all vectors.
 """
@@ -58,7 +61,7 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Index:
-    """Coarse centroids, a codebook for each part, and the sample they were fitted on."""
+    """Coarse centroids, a codebook for each part, and the sample they were fitted on with the ids of vectors of one id (or None)."""
 
     def __init__(self, centres: np.ndarray, books: list[np.ndarray], sample_ids: np.ndarray, sample: np.ndarray, spread: float) -> None:
         self.centres, self.books, self.sample_ids, self.sample, self.spread = centres, books, sample_ids, sample, spread
@@ -92,10 +95,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
+def _classes(held: DataFrame, k: int) -> DataFrame:
+    """Each different embedding with a number cls, the ``k`` + 1 smallest of its ids with their counts, the least, and whether that is its only id."""
+    rows = held.groupBy("embedding", "vec_id").agg(F.count(F.lit(1)).alias("n"))
+    least = rows.withColumn("r", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
+    ids = least.groupBy("embedding").agg(F.sort_array(F.collect_list(F.struct("vec_id", F.least("n", F.lit(k)).cast("int").alias("n")))).alias("ids"))
+    return ids.select(F.monotonically_increasing_id().alias("cls"), "embedding", "ids", F.col("ids")[0]["vec_id"].alias("least"), (F.size("ids") == 1).alias("single"))
+
+
 def fit_index(vectors: DataFrame, n: int, parts: int = 16, codes: int = 256, max_rows: int = MAX_TRAIN_ROWS) -> Index:
-    """Centroids for ``n`` valid vectors, from at most ``max_rows`` of them (one at least)."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(max_rows).collect()
-    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    """Centroids for ``n`` classes, from at most ``max_rows`` of them (one at least)."""
+    rows = vectors.select("least", "single", "embedding").orderBy(F.xxhash64("least"), "least", "embedding").limit(max_rows).collect()
+    ids, x = np.array([r[0] if r[1] else None for r in rows], object), np.array([r[2] for r in rows], np.float64)
     cells = int(min(MAX_CELLS, len(x), max(1, 2 ** round(np.log2(np.sqrt(n))))))
     centres = _kmeans(x, cells, 1)
     rest = x - centres[_nearest(x, centres)[0]]
@@ -119,14 +130,15 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float =
     empty table gives an empty result.
 
     A query visits the share ``probes`` of the cells, ``least_probes`` at least,
-    and more until they hold fifty times ``k`` vectors.  From each block come its
-    ``k`` best and whatever may beat the query's k-th best in the sample, up to
-    ``refine`` times ``k``; as many over all blocks are ranked exactly.  The
+    and more until they hold fifty times ``k`` different vectors.  From each block
+    come its ``k`` best and whatever may beat the query's k-th best in the sample,
+    up to ``refine`` times ``k``; as many different vectors over all blocks are
+    ranked exactly, and those that stay stand for all their ids.  The
     defaults are for vectors without any cluster structure, the hardest case;
     clustered ones reach the same recall with a tenth of the probes.
     """
     spark = vectors.sparkSession
-    held = staged(valid_vectors(vectors), "vectors")
+    held = staged(_classes(valid_vectors(vectors), k), "vectors")
     n = held.count()
     asked = valid_vectors(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("q"))
     if n == 0:
@@ -137,10 +149,10 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                cell, code = shared.value.encode(_matrix(b.column(1)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], ["vec_id", "cell", "code"])
+                cell, code = shared.value.encode(_matrix(b.column(3)))
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], ["cls", "least", "single", "cell", "code"])
 
-    filed = staged(held.mapInArrow(encode, "vec_id long, cell int, code binary"), "filed")
+    filed = staged(held.select("cls", "least", "single", "embedding").mapInArrow(encode, "cls long, least long, single boolean, cell int, code binary"), "filed")
     sizes = dict(filed.groupBy("cell").count().collect())
     size = np.array([sizes.get(c, 0) for c in range(len(index.centres))])
     n_probes = min(len(size), max(least_probes, int(np.ceil(probes * len(size)))))
@@ -165,38 +177,43 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float =
     guests = dict(visits.groupBy("cell").count().collect())
     cut = spark.createDataFrame([(c, -(-int(size[c]) // BLOCK_ROWS), -(-int(g) // BLOCK_QUERIES)) for c, g in guests.items() if size[c]] or [(-1, 1, 1)], "cell int, blocks int, q_blocks int")
     cut = F.broadcast(cut)  # a row for each cell, so MAX_CELLS at most
-    codes = filed.join(cut, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "vec_id", "code")
+    codes = filed.join(cut, "cell").select("cell", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "cls", "least", "single", "code")
     calls = visits.join(cut, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int").alias("q_block"), "query_id", "q", "floor")
     most = refine * k
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         if len(left) and len(right):
             x = shared.value
-            right = right.sort_values("vec_id")
-            ids, code = right["vec_id"].to_numpy(), np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
+            right = right.sort_values("least", kind="stable")
+            numbers, least, single = (right[c].to_numpy() for c in ("cls", "least", "single"))
+            code = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
             q = np.stack(left["q"].to_numpy())
             tables, base = x.tables(q), q @ x.centres[int(left["cell"].iloc[0])]
             for i, (own, floor) in enumerate(zip(left["query_id"].to_numpy(), left["floor"].to_numpy())):
                 score = base[i] + tables[i][np.arange(code.shape[1])[None, :], code].sum(1)
-                score[ids == own] = -np.inf
+                score[single & (least == own)] = -np.inf
                 best = np.argsort(-score, kind="stable")[:most]
                 best = best[(score[best] >= floor) | (np.arange(len(best)) < k)]
                 best = best[score[best] > -np.inf]
-                out.append((np.full(len(best), own), ids[best], score[best]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "near"), cols)))
+                out.append((np.full(len(best), own), numbers[best], least[best], score[best]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        return pd.DataFrame(dict(zip(("query_id", "cls", "least", "near"), cols)))
 
     keys = ["cell", "block", "q_block"]
-    found = calls.groupBy(keys).cogroup(codes.groupBy(keys)).applyInPandas(scan, "query_id long, vec_id long, near double")
+    found = calls.groupBy(keys).cogroup(codes.groupBy(keys)).applyInPandas(scan, "query_id long, cls long, least long, near double")
     by_query = lambda *order: Window.partitionBy("query_id").orderBy(*order)
-    top = found.withColumn("r", F.row_number().over(by_query(F.desc("near"), "vec_id"))).filter(F.col("r") <= most).select("query_id", "vec_id").distinct()
+    top = found.withColumn("r", F.row_number().over(by_query(F.desc("near"), "least"))).filter(F.col("r") <= most).select("query_id", "cls")
     top = staged(top, "candidates")
     unstage(filed)
     unstage(visits)
     product = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    exact = top.join(held, "vec_id").join(asked, "query_id").select("query_id", "vec_id", product.alias("score"))
-    ranked = exact.withColumn("rank", F.row_number().over(by_query(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k)
+    others = F.filter("ids", lambda x: x["vec_id"] != F.col("query_id"))
+    exact = top.join(held, "cls").join(asked, "query_id").select("query_id", product.alias("score"), others.alias("ids"))
+    # a class of the k best has one id at least, so no id of a later one is among the k best
+    best = exact.withColumn("r", F.row_number().over(by_query(F.desc("score"), F.col("ids")[0]["vec_id"]))).filter(F.col("r") <= k)
+    ids = best.select("query_id", "score", F.explode(F.flatten(F.transform("ids", lambda x: F.array_repeat(x["vec_id"], x["n"])))).alias("vec_id"))
+    ranked = ids.withColumn("rank", F.row_number().over(by_query(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

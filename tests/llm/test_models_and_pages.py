@@ -366,6 +366,29 @@ def test_recall_and_exact_scores(spark):
     assert hit / total >= 0.9
 
 
+def test_a_common_vector_takes_one_place(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, x[7].tolist()) for i in range(1000)]
+    scores = x @ x.T
+    np.fill_diagonal(scores, -np.inf)
+    before = (scores > scores[:, 7:8]).sum(1)  # how many vectors are nearer than the common one
+    near = [int(i) for i in np.flatnonzero((before >= 5) & (before <= 60))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = df.filter(F.col("vec_id").isin(near))
+    found = [(r.query_id, r.vec_id) for r in search(asked, df, probes=1.0).collect()]
+    want = nearest(rows, near, 20)
+    hit = [len({v for q, v in found if q == i} & {v for v, _ in want[i]}) for i in near]
+    assert len(near) >= 20 and len(found) == 20 * len(near) and sum(hit) >= 0.99 * 20 * len(near)
+
+
+def test_ids_that_repeat(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [0.5, 0.0]), (3, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in search(df.filter("vec_id = 1"), df, k=4).collect())
+    assert got == [(1, 1, 2, 1.0), (1, 2, 2, 1.0), (1, 3, 2, 0.5), (1, 4, 3, 0.5)]
+
+
 def test_awkward_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [1.0, None]), (6, [float("inf"), 1.0]), (7, [2.0, 1.0]), (8, []), (None, [1.0, 1.0]), (9, [2.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("rank", F.lit(0))
