@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged, table, unstage
+from .near_duplicates import few
 
 # The rules, as verdict, host and path.
 RULES = (
@@ -25,6 +26,8 @@ RULES = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bound on the labelled urls that the trees are fitted on, those of the smallest hash.
 MAX_TRAIN_ROWS = 50_000
+#: Up to so many suffixes of one length (some 50 bytes each) are broadcast.
+BROADCAST_SUFFIXES = 20_000
 
 
 def host_of(url: Column) -> Column:
@@ -105,41 +108,42 @@ class UrlModel:
 def _features(urls: DataFrame, suffixes: list[DataFrame], share: float) -> DataFrame:
     out = urls
     for k, s in enumerate(suffixes):
-        out = out.withColumn("_suffix", _suffixes(F.col("host"))[k]).join(F.broadcast(s), "_suffix", "left")
+        out = out.withColumn("_suffix", _suffixes(F.col("host"))[k]).join(few(s, BROADCAST_SUFFIXES), "_suffix", "left")
     known = [F.coalesce(F.col(f"_{x}{k}"), F.lit(d)) for k in range(len(suffixes)) for x, d in (("share", share), ("seen", 0.0))]
     numbers = F.transform(F.array(*_lexical(F.col("url"), F.col("host"), F.col("path")), *known), lambda x: F.coalesce(x, F.lit(-1.0)))
     return out.withColumn("_features", array_to_vector(numbers)).drop("_suffix", *[f"_{x}{k}" for k in range(len(suffixes)) for x in ("share", "seen")])
 
 
-def fit_urls(labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, trees: int = 12, depth: int = 4, max_suffixes: int = 2000) -> UrlModel:
+def fit_urls(labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, trees: int = 12, depth: int = 4) -> UrlModel:
     """Fit on at most ``max_rows`` distinct rows of ``labelled`` (url, host, path, blocked 0 or 1).
 
-    Of each suffix length the ``max_suffixes`` most frequent ones in the sample
-    are kept (a table of 100 kB at most, which is broadcast); the statistics of a
-    training row leave out that row's own fold.  Null urls or labels teach
+    The statistics of all suffixes are counted over all distinct rows, also
+    beyond that bound; those of a training row leave out that row's own fold.  Null urls or labels teach
     nothing.  With fewer than two classes there are no trees, and every url
     gets the share of blocked ones.
     """
     known = labelled.filter(F.col("url").isNotNull() & F.col("blocked").isNotNull()).select("url", "host", "path", F.col("blocked").cast("double").alias("blocked")).distinct()
-    rows = staged(known.orderBy(F.xxhash64("url"), "url", "blocked").limit(max_rows).withColumn("_fold", F.pmod(F.xxhash64("url", F.lit(3)), F.lit(2))), "urls")
-    n, blocked = rows.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
+    known = staged(known.withColumn("_fold", F.pmod(F.xxhash64("url", F.lit(3)), F.lit(2))), "labelled")
+    rows = staged(known.orderBy(F.xxhash64("url"), "url", "blocked").limit(max_rows), "urls")
+    n, blocked = known.agg(F.count("*"), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
     share = (blocked + 1.0) / (n + 2.0)
-    if blocked in (0, n):
+    if blocked in (0, n) or rows.select("blocked").distinct().count() < 2:
         return UrlModel(None, [], share)
 
     def statistics(part: DataFrame) -> list[DataFrame]:
         out = []
         for k in range(3):
             seen = part.groupBy(_suffixes(F.col("host"))[k].alias("_suffix")).agg(F.count("*").alias("n"), F.sum("blocked").alias("b"))
-            out.append(seen.orderBy(F.desc("n"), "_suffix").limit(max_suffixes).select("_suffix", ((F.col("b") + 8 * share) / (F.col("n") + 8)).alias(f"_share{k}"), F.log2(F.col("n") + 1.0).alias(f"_seen{k}")))
+            out.append(seen.select("_suffix", ((F.col("b") + 8 * share) / (F.col("n") + 8)).alias(f"_share{k}"), F.log2(F.col("n") + 1.0).alias(f"_seen{k}")))
         return out
 
-    folds = [_features(rows.filter(F.col("_fold") == f), statistics(rows.filter(F.col("_fold") != f)), share) for f in (0, 1)]
+    folds = [_features(rows.filter(F.col("_fold") == f), [staged(s, "fold") for s in statistics(known.filter(F.col("_fold") != f))], share) for f in (0, 1)]
     train = staged(folds[0].unionByName(folds[1]).select(vector_to_array("_features").alias("_features"), "blocked"), "features")
     trees_ = GBTClassifier(featuresCol="_features", labelCol="blocked", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=5, cacheNodeIds=False)
     fitted = trees_.fit(train.select(array_to_vector("_features").alias("_features"), "blocked"))
-    final = [staged(s, "suffixes") for s in statistics(rows)]
+    final = [staged(s, "suffixes") for s in statistics(known)]
     unstage(train)
+    unstage(known)
     unstage(rows)
     return UrlModel(fitted, final, share)
 

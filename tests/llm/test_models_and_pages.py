@@ -192,6 +192,14 @@ def test_trees_generalise(spark):
     assert [r.verdict in ("allow", "block") for r in judge_urls(odd, model).collect()] == [True] * 3
 
 
+def test_suffixes_of_all_labelled_urls_count(spark):
+    rows = [(f"http://h{i}.example.com/{j}", i % 2) for i in range(2100) for j in range(2)]
+    df = judge_by_rules(spark.createDataFrame(rows, "url string, blocked int"), ())
+    model = fit_urls(df, max_rows=400, trees=2)
+    assert [s.count() for s in model.suffixes] == [1, 1, 2100]
+    assert model.suffixes[2].select(F.countDistinct("_share2"), F.min("_seen2"), F.max("_seen2")).first()[:] == (2, np.log2(3), np.log2(3))
+
+
 def test_urls_of_one_class(spark):
     one = judge_by_rules(spark.createDataFrame([("http://a/b", 0)], "url string, blocked int"))
     assert [r.verdict for r in judge_urls(one.select("url"), fit_urls(one)).collect()] == ["allow"]
