@@ -63,3 +63,13 @@ def unstage(df: DataFrame) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underlines before it until ``df`` has no column so called (case aside)."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name = f"_{name}"
+        held.add(name.lower())
+        out.append(name)
+    return out

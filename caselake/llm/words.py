@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes whose hash terms are held at a time, however long a text is.
+CHUNK_BYTES = 1 << 18
 
 #: Byte classes; 0 separates words, and a word ends where the class changes.
 SPACED = np.ones(256, dtype=np.uint8)
@@ -66,12 +68,7 @@ class Words:
 
     def __init__(self, column: pa.Array, lower: bool = False, classes: np.ndarray = SPACED) -> None:
         """``lower`` folds A-Z; with ``LETTERS`` or ``RUNS`` it folds the capitals of Latin-1 too."""
-        column = pc.fill_null(column.cast(pa.large_string()), "")
-        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-        buffer = column.buffers()[2]
-        data = np.frombuffer(buffer, dtype=np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
-        row_start = offsets[:-1] - offsets[0]
-        row_end = offsets[1:] - offsets[0]
+        data, row_start, row_end = self.bounds(column)
         self.text = data
         self.data = _LOWER[data] if lower else data
         if lower and classes is not SPACED and len(data):
@@ -93,38 +90,63 @@ class Words:
         self.row_start = row_start
         self.first = np.searchsorted(self.start, np.append(row_start, len(data)))
 
+    @staticmethod
+    def bounds(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all rows, and where each row starts and ends in them."""
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        buffer = column.buffers()[2]
+        data = np.frombuffer(buffer, dtype=np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
+        return data, offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
     def row_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), self.counts())
 
-    def _terms(self, seed: int) -> np.ndarray:
-        """Each byte's share of its word's polynomial hash; 0 between words."""
-        gap = np.diff(np.concatenate(([0], self.start, [len(self.data)])))
-        at = np.arange(len(self.data)) - np.repeat(np.concatenate(([0], self.start)), gap)
-        value = (self.data.astype(np.uint64) + np.uint64(1)) * _powers(int(at.max()) + 1, (_BASE + 2 * seed) & _MASK)[at]
-        value[self.outside] = 0
-        return value
-
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes, its length included."""
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        return mix(np.add.reduceat(self._terms(seed), self.start) + (self.end - self.start).astype(np.uint64), seed)
+        total = np.zeros(len(self.start), np.uint64)
+        base = (_BASE + 2 * seed) & _MASK
+        low = _powers(1 << 16, base)
+        high = _powers((len(self.data) >> 16) + 1, pow(base, 1 << 16, 1 << 64))
+        for x in range(0, len(self.data) if len(total) else 0, CHUNK_BYTES):
+            y = min(x + CHUNK_BYTES, len(self.data))
+            k, n = np.searchsorted(self.start, x, "right") - 1, np.searchsorted(self.start, y)
+            begins = np.concatenate(([x], self.start[k + 1 : n]))
+            origin = begins if k < 0 else self.start[k:n]
+            at = np.arange(x, y) - np.repeat(origin, np.diff(np.append(begins, y)))
+            value = (self.data[x:y].astype(np.uint64) + np.uint64(1)) * low[at & 0xFFFF]
+            if at.max() >> 16:
+                value *= high[at >> 16]
+            value[self.outside[x:y]] = 0
+            sums = np.add.reduceat(value, begins - x)
+            total[max(k, 0) : n] += sums[1:] if k < 0 else sums
+        return mix(total + (self.end - self.start).astype(np.uint64), seed)
 
     def prefix_hashes(self, lengths: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each length in characters: the words that are longer, and the hash of their first characters."""
-        if not len(self.start):
-            return [(np.zeros(0, np.int64), np.zeros(0, np.uint64)) for _ in lengths]
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self._terms(0))))
-        char_at = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
-        first = np.searchsorted(char_at, self.start)
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {k: [(np.zeros(0, np.int64), np.zeros(0, np.uint64))] for k in lengths}
+        live, most = np.arange(len(self.start)), max(lengths)
+        value, chars = np.zeros(len(live), np.uint64), np.zeros(len(live), np.int64)
+        for j, power in enumerate(_powers(4 * most + 1, _BASE)):
+            going = (self.start[live] + j < self.end[live]) & (chars <= most)
+            live, value, chars = live[going], value[going], chars[going]
+            if not len(live):
+                break
+            byte = self.data[self.start[live] + j]
+            head = (byte & 0xC0) != 0x80
+            chars = chars + head
+            for k in lengths:
+                longer = np.flatnonzero(head & (chars == k + 1))
+                found[k].append((live[longer], mix(value[longer], k)))
+            value = value + (byte.astype(np.uint64) + np.uint64(1)) * power
         out = []
         for k in lengths:
-            cut = char_at[np.minimum(first + k, len(char_at) - 1)]
-            longer = np.flatnonzero(cut < self.end)
-            out.append((longer, mix(total[cut[longer]] - total[self.start[longer]], k)))
+            words, hashes = (np.concatenate(x) for x in zip(*found[k]))
+            order = np.argsort(words)
+            out.append((words[order], hashes[order]))
         return out
 
 
