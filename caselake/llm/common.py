@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_BATCH, _BATCH_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder.
+
+    Texts go to Python in batches of ``_BATCH_BYTES``, unless the session sets
+    another size: with Spark's own default a task holds 64 MB of them twice.
+    """
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, _BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,49 +6,54 @@ domain in proportion.  Nonnegative rates, one for each document, are then
 fitted by projected gradient steps so that the expected tokens of each domain
 match its target share, while rates stay near 1 where the targets leave room.
 
-A step needs one small vector from the whole corpus, the surplus of each domain,
-and a document's rate follows from its posterior and the surpluses so far.
+A step needs a few sums over the whole corpus, the surplus of each domain and
+second moments of the posteriors, and a document's rate follows from its
+posterior and the surpluses so far.  Steps go on until the targets are met or no
+rate moves any more.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table, unstage
+from .common import fresh, staged, table, unstage
 
 BINS = 1 << 16
-#: A bin weighs only if its share in a domain differs from its share elsewhere by so many standard errors.
-LEAST_Z = 2.5
+#: A bin weighs only if its log-likelihood ratio between a domain and the rest is as high as chance makes it once in a thousand times.
+LEAST_RATIO = 10.83
 #: Bound on the labelled rows that train the classifier, those of the smallest hash of doc_id.
 MAX_TRAIN_ROWS = 30_000
-TEMPERATURES = (1, 2, 4, 8, 16, 32, 64)
+TEMPERATURES = (1, 2, 4, 8, 16, 32, 64, 128, 256)
 #: Target shares of tokens in the query and in the pipeline.
 TARGETS = {"high": 0.85, "low": 0.06, "toxic": 0.09}
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _signs(text: Column, words: Column) -> Column:
+def _signs(text: Column, words: Column, kinds: Column) -> Column:
     """Marks that stand beside the words: length, share of other signs, share of distinct words."""
     n, letters = F.size(words), F.char_length(F.array_join(words, ""))
     share = lambda part, whole: F.floor(F.coalesce(F.try_divide(part * 16, whole), F.lit(0))).cast("string")
     return F.array(
         F.concat(F.lit("#words "), F.floor(F.log2(n + 1.0)).cast("string")),
         F.concat(F.lit("#signs "), share(F.char_length(F.coalesce(text, F.lit(""))) - letters - n, letters)),
-        F.concat(F.lit("#distinct "), share(F.size(F.array_distinct(words)), n)),
+        F.concat(F.lit("#distinct "), share(F.size(kinds), n)),
     )
 
 
-def _told(text: Column) -> Column:
-    return F.concat(_words(text), _signs(text, _words(text)))
+def _told(docs: DataFrame, n_tokens: str, bins: str) -> DataFrame:
+    """``docs`` with the number of its words, and the distinct bins of its words and signs; each step is a column of its own, so that no part is worked out twice."""
+    words, kinds = fresh(docs, "words", "kinds")
+    told = docs.withColumn(words, _words(F.col("text"))).withColumn(kinds, F.array_distinct(words))
+    told = told.withColumns({n_tokens: F.size(words).cast("long"), bins: _bins(F.concat(F.col(kinds), _signs(F.col("text"), F.col(words), F.col(kinds))))})
+    return told.drop(words, kinds)
 
 
 def _bins(words: Column) -> Column:
@@ -60,20 +65,25 @@ def _constant(value: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _adding(weight: Column) -> Callable[[Column, Column], Column]:
-    return lambda total, at: total + F.get(weight, at)
+def likelihood_ratio(n: int, seen: int, held: int, total: int) -> float:
+    """Of ``n`` rows of a domain of ``held`` that have a bin, where ``seen`` of all ``total`` rows have it."""
+    cells = [(n, seen * held), (seen - n, seen * (total - held)), (held - n, (total - seen) * held), (total - held - seen + n, (total - seen) * (total - held))]
+    return 2 * sum(o * math.log(o * total / e) for o, e in cells if o)
 
 
 class Domains:
-    """A trained classifier: log weights of each bin for each domain, priors, a temperature."""
+    """A trained classifier: for each domain the log weight of each bin that is there and of all that are not, priors, a temperature."""
 
-    def __init__(self, names: list[str], prior: list[float], weight: list[list[float]], temperature: float = 1.0) -> None:
-        self.names, self.prior, self.weight, self.temperature = names, prior, weight, temperature
+    def __init__(self, names: list[str], prior: list[float], weight: list[list[float]], away: list[float], temperature: float = 1.0) -> None:
+        self.names, self.prior, self.weight, self.away, self.temperature = names, prior, weight, away, temperature
 
-    def evidence(self, bins: Column) -> list[Column]:
-        """For each domain the sum of its log weights over distinct bins."""
+    def evidence(self, bins: Column) -> Column:
+        """A struct of each domain's sum of log weights over distinct bins, there or not; bins without weight are left out first."""
+        weighs = _constant([any(w[b] for w in self.weight) for b in range(BINS)], "array<boolean>")
         weights = [_constant(w, "array<double>") for w in self.weight]
-        return [F.aggregate(bins, F.lit(0.0), _adding(w)) for w in weights]
+        start = F.struct(*[F.lit(float(a)).alias(f"e{i}") for i, a in enumerate(self.away)])
+        add = lambda total, at: F.struct(*[(total[f"e{i}"] + F.get(w, at)).alias(f"e{i}") for i, w in enumerate(weights)])
+        return F.aggregate(F.filter(bins, lambda b: F.get(weighs, b)), start, add)
 
     def posterior(self, evidence: list[Column], temperature: float) -> list[Column]:
         score = [math.log(p) + e / float(temperature) for p, e in zip(self.prior, evidence)]
@@ -86,15 +96,16 @@ class Domains:
 def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows: int = MAX_TRAIN_ROWS) -> Domains:
     """Train on at most ``max_rows`` rows of ``labelled`` (doc_id, domain) with their texts in ``docs``.
 
-    Four fifths of them give the weights; on the last fifth the temperature that
+    Bins that are not in a document count as much as those that are.  Four fifths
+    of the rows give the weights; on the last fifth the temperature that
     gives the likeliest labels is chosen.  Null ids, null domains and domains
     outside ``names`` teach nothing; of several labels of an id the smallest
     counts.  Without labelled rows all posteriors are equal.
     """
     known = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isin(names)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = staged(texts.select((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).alias("test"), "domain", _bins(_told(F.col("text"))).alias("bins")), "labelled")
+    texts = _told(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "n", "bins")
+    rows = staged(texts.select((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).alias("test"), "domain", "bins"), "labelled")
     train = rows.filter("NOT test")
     sizes = {r[0]: r[1] for r in train.groupBy("domain").count().collect()}
     bins = train.select("domain", F.explode("bins").alias("bin"))
@@ -104,18 +115,21 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
     for (_, b), n in counts.items():
         whole[b] = whole.get(b, 0) + n
     prior = [(sizes.get(d, 0) + 1) / (total + len(names)) for d in names]
-    weight = []
+    weight, away = [], []
     for d in names:
         held, others = sizes.get(d, 0), total - sizes.get(d, 0)
         row = [0.0] * BINS
+        away.append(0.0)
         for b, seen in whole.items():
             n = counts.get((d, b), 0)
-            p, q, both = (n + 0.5) / (held + 1), (seen - n + 0.5) / (others + 1), (seen + 1) / (total + 2)
-            if abs(p - q) >= LEAST_Z * math.sqrt(both * (1 - both) * (1 / (held + 1) + 1 / (others + 1))):
-                row[b] = round(math.log(p / q), 4)
+            p, q = (n + 0.5) / (held + 1), (seen - n + 0.5) / (others + 1)
+            if likelihood_ratio(n, seen, held, total) >= LEAST_RATIO:
+                absent = math.log((1 - p) / (1 - q))
+                row[b] = round(math.log(p / q) - absent, 4)
+                away[-1] += absent
         weight.append(row)
-    model = Domains(names, prior, weight)
-    evidence = rows.filter("test").select("domain", *[e.alias(f"e{i}") for i, e in enumerate(model.evidence(F.col("bins")))])
+    model = Domains(names, prior, weight, away)
+    evidence = rows.filter("test").select("domain", model.evidence(F.col("bins")).alias("e")).select("domain", "e.*")
     gains = []
     for t in TEMPERATURES:
         p = model.posterior([F.col(f"e{i}") for i in range(len(names))], t)
@@ -138,63 +152,75 @@ def _rates(start: Column, posterior: list[Column], surpluses: list[list[float]],
     return F.aggregate(_constant(surpluses, "array<array<double>>"), start, lambda r, s: _step(r, posterior, s, rate_pull))
 
 
-def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_TRAIN_ROWS, steps: int = 40, tolerance: float = 1e-4, rate_pull: float = 1e-3, seed: int = 17) -> DataFrame:
-    """``docs`` with n_tokens, p_<domain> for each target, rate and copies.
+def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_TRAIN_ROWS, steps: int | None = None, tolerance: float = 1e-4, still: float = 1e-6, rate_pull: float = 1e-3, seed: int = 17) -> DataFrame:
+    """``docs`` with n_tokens, p_<domain> and achieved_<domain> for each target, rate and copies.
 
     ``docs`` has doc_id and text and any other columns, ``labelled`` doc_id and
     domain; ``targets`` gives each domain's share of the corpus' tokens.  rate is
     the expected number of times a document is to be taken, copies a whole
-    number of that expectation, drawn by a hash of doc_id and text.
+    number of that expectation, drawn by a hash of doc_id and text.  achieved_
+    columns hold, on every row, the shares that these rates give.
 
     A null or empty text has no tokens and the prior as its posterior.  Without
-    any tokens all rates are 1.  No row is dropped, whatever its rate; repeated
-    rows are weighed each.  Columns of the new names are replaced.  Fitting ends
-    after ``steps`` steps or when no domain is off by more than ``tolerance`` of
-    all tokens.
+    any tokens all rates are 1 and achieved shares are null.  No row is dropped,
+    whatever its rate; repeated rows are weighed each.  Columns of the new names
+    are replaced, all others stay.  Steps end when no domain is off by more than
+    ``tolerance`` of all tokens, or when a step moves less than ``still`` of
+    them: then the rates are those of the least squares, and targets that no
+    rates reach show in achieved_.  ``steps`` ends it earlier, if given.
     """
     names = sorted(targets)
     goal = [targets[d] / sum(targets.values()) for d in names]
     model = fit_domains(docs, labelled, names, max_rows)
     p_names = [f"p_{d}" for d in names]
-    new = ["n_tokens", *p_names, "rate", "copies"]
-    # each step is a column of its own, so that no part is worked out twice
-    told = docs.drop(*new).withColumn("_words", _words(F.col("text")))
-    told = told.withColumns({"n_tokens": F.size("_words").cast("long"), "_bins": _bins(F.concat("_words", _signs(F.col("text"), F.col("_words"))))}).drop("_words")
-    evidence = [F.col(f"_e{i}") for i in range(len(names))]
-    told = told.withColumns({f"_e{i}": e for i, e in enumerate(model.evidence(F.col("_bins")))}).drop("_bins")
-    told = told.withColumns(dict(zip(p_names, model.posterior(evidence, model.temperature)))).drop(*[f"_e{i}" for i in range(len(names))])
+    held = docs.drop("n_tokens", *p_names, *[f"achieved_{d}" for d in names], "rate", "copies")
+    bins, evidence = fresh(held, "bins", "evidence")
+    told = _told(held, "n_tokens", bins)
+    told = told.withColumn(evidence, model.evidence(F.col(bins))).drop(bins)
+    told = told.withColumns(dict(zip(p_names, model.posterior([F.col(evidence)[f"e{i}"] for i in range(len(names))], model.temperature)))).drop(evidence)
     told = staged(told, "told")
 
     posterior = [F.col(p) for p in p_names]
     slim = told.filter("n_tokens > 0").select("n_tokens", *p_names).withColumn("rate", F.lit(1.0))
-    n = len(names)
-    pairs = [(i, j) for i in range(n) for j in range(n)]
-    sums = slim.agg(F.sum("n_tokens"), *[F.sum(F.col("n_tokens") * posterior[i] * posterior[j]) for i, j in pairs]).first()
+    n, own = len(names), None
+    weigh = lambda w: [F.sum(w * posterior[i] * posterior[j]) for i in range(n) for j in range(n)]
+    sums = slim.agg(F.sum("n_tokens"), *weigh(F.col("n_tokens"))).first()
     total = float(sums[0] or 0)
     surpluses: list[list[float]] = []
+    share: list[float | None] = [None] * n
     if total:
         # steps are taken in the metric of the posteriors' second moments, so domains that overlap converge alike
-        moments = np.array(sums[1:], float).reshape(n, n) / total
-        metric = np.linalg.inv(moments + 1e-6 * np.eye(n))
-        fresh: list[list[float]] = []
-        for _ in range(steps):
-            rate = _rates(F.col("rate"), posterior, fresh, rate_pull)
-            now = slim.withColumn("r", rate).agg(*[F.sum(F.col("n_tokens") * F.col("r") * p) for p in posterior]).first()
-            off = [x / total - g for x, g in zip(now, goal)]
-            if max(map(abs, off)) <= tolerance:
+        metric_of = lambda m: np.linalg.inv(np.array(m, float).reshape(n, n) / total + 1e-6 * np.eye(n))
+        metric, fresh_ = metric_of(sums[1:]), []
+        while True:
+            before = _rates(F.col("rate"), posterior, fresh_[:-1], rate_pull)
+            now = slim.withColumn("was", before).withColumn("r", _rates(F.col("was"), posterior, fresh_[-1:], rate_pull))
+            tokens = F.col("n_tokens")
+            found = now.agg(
+                F.sum(tokens * F.abs(F.col("r") - F.col("was"))),
+                *[F.sum(tokens * F.col("r") * p) for p in posterior],
+                *weigh(F.when(F.col("r") > 0, tokens).otherwise(0)),
+            ).first()
+            share = [x / total for x in found[1 : n + 1]]
+            off = [x - g for x, g in zip(share, goal)]
+            done = len(surpluses)
+            if max(map(abs, off)) <= tolerance or (done and found[0] / total <= still) or done == steps:
                 break
-            fresh.append((metric @ np.array(off)).tolist())
-            surpluses.append(fresh[-1])
-            if len(fresh) == 8:  # keep the rates so far, so that a step costs the same early and late
-                moved = staged(slim.withColumn("rate", _rates(F.col("rate"), posterior, fresh, rate_pull)), "posteriors")
-                if len(surpluses) > 8:
-                    unstage(slim)
-                slim, fresh = moved, []
-        if len(surpluses) >= 8:
+            if done and done % 16 == 0:  # from here on in the metric of the documents that still have a rate
+                metric = metric_of(found[n + 1 :])
+            fresh_.append((metric @ np.array(off)).tolist())
+            surpluses.append(fresh_[-1])
+            if len(fresh_) == 8:  # keep the rates so far, so that a step costs the same early and late
+                slim, own, old = staged(slim.withColumn("rate", _rates(F.col("rate"), posterior, fresh_, rate_pull)), "posteriors"), True, slim if own else None
+                if old is not None:
+                    unstage(old)
+                fresh_ = []
+        if own:
             unstage(slim)
     rated = told.withColumn("rate", _rates(F.lit(1.0), posterior, surpluses, rate_pull))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    return rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
+    rated = rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
+    return rated.withColumns({f"achieved_{d}": F.lit(x).cast("double") for d, x in zip(names, share)})
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": substrings.op8_substrings,
         "op9_secrets": secrets.op9_secrets,
         "op10_ann": ann.op10_ann,
+        "url_rules": url_filter.url_rules,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_preference": preference.OP1_SQL,
         "op2_near_duplicates": near_duplicates.OP2_SQL,
         "op8_substrings": substrings.OP8_SQL,
+        "url_rules": url_filter.URL_RULES_SQL,
     }

@@ -1,10 +1,10 @@
 """Toxicity scores by a factorisation machine over hashed terms.
 
 Terms are words (runs of letters and digits, folded) and their first 3 to 6 characters,
-so that inflected insults share weight.  Terms whose share differs between the
-classes are screened on the training sample; the machine then learns a weight
-and a vector for each of them, and pairs of terms interact through the inner
-product of their vectors.
+so that inflected insults share weight; each is hashed into one of ``BINS`` bins.
+Bins that speak for the toxic class beyond chance are screened on the training
+sample; the machine then learns a weight and a vector for each of them, and
+pairs of bins interact through the inner product of their vectors.
 """
 
 from __future__ import annotations
@@ -20,47 +20,44 @@ from .common import table
 from .words import LETTERS, Words, slices
 
 PREFIXES = (3, 4, 5, 6)
-#: Bound on the labelled rows that the machine is fitted on; 24 bytes each when broadcast.
-MAX_TRAIN_ROWS = 30_000
-#: Bound on the screened terms, those of the strongest association first.
-MAX_TERMS = 16_384
+#: Terms are hashed into so many bins.
+BITS = 20
+BINS = 1 << BITS
+#: Bounds on the labelled rows that the machine is fitted on, those of the smallest hash of doc_id, and on their characters.
+MAX_TRAIN_ROWS, MAX_TRAIN_CHARS = 30_000, 40_000_000
+#: A bin is screened if its log-likelihood ratio is as high as chance makes it once in a thousand times.
+LEAST_RATIO = 10.83
 
 
-def _doc_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, term hash) of a slice."""
+def _terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bin) of every term of a slice."""
     w = Words(column, lower=True, classes=LETTERS)
     row = w.row_of_word()
     parts = [(row, w.hashes())] + [(row[longer], h) for longer, h in w.prefix_hashes(PREFIXES)]
-    rows, terms = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.lexsort((terms, rows))
-    rows, terms = rows[order], terms[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])
-    return rows[new], terms[new]
+    return np.concatenate([p[0] for p in parts]), (np.concatenate([p[1] for p in parts]) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 class Machine:
-    """A fitted machine: sorted term hashes, their weights and vectors, the bias."""
+    """A fitted machine: the sorted screened bins, their weights and vectors, the bias."""
 
-    def __init__(self, terms: np.ndarray, bias: float, weight: np.ndarray, vector: np.ndarray) -> None:
-        self.terms, self.bias, self.weight, self.vector = terms, bias, weight, vector
-        self._seen = np.zeros(1 << 20, bool)
-        self._seen[(terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+    def __init__(self, bins: np.ndarray, bias: float, weight: np.ndarray, vector: np.ndarray) -> None:
+        self.bins, self.bias, self.weight, self.vector = bins, bias, weight, vector
+        self._number: np.ndarray | None = None
 
     def known(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (row, term number) of a slice, screened terms only, by row."""
-        w = Words(column, lower=True, classes=LETTERS)
-        row = w.row_of_word()
-        rows, numbers = [], []
-        for at, h in [(slice(None), w.hashes()), *w.prefix_hashes(PREFIXES)]:
-            hit = np.flatnonzero(self._seen[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            number = np.searchsorted(self.terms, h[hit])
-            number[number == len(self.terms)] = 0
-            real = self.terms[number] == h[hit] if len(self.terms) else np.zeros(len(hit), bool)
-            rows.append(row[at][hit[real]])
-            numbers.append(number[real])
-        key = np.unique(np.concatenate(rows) * max(len(self.terms), 1) + np.concatenate(numbers))
-        return key // max(len(self.terms), 1), key % max(len(self.terms), 1)
+        """Distinct (row, number of the bin) of a slice, screened bins only, by row."""
+        if self._number is None:
+            self._number = np.full(BINS, -1, np.int32)
+            self._number[self.bins] = np.arange(len(self.bins), dtype=np.int32)
+        row, bin_ = _terms(column)
+        number = self._number[bin_]
+        hit = number >= 0
+        n = max(len(self.bins), 1)
+        key = np.unique(row[hit] * n + number[hit])
+        return key // n, key % n
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_number": None}
 
     def scores(self, rows: np.ndarray, numbers: np.ndarray, n: int) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_raw(self.bias, self.weight, self.vector, rows, numbers, n)[0], -35, 35)))
@@ -74,10 +71,10 @@ def _raw(bias: float, weight: np.ndarray, vector: np.ndarray, rows: np.ndarray,
     return bias + np.bincount(rows, weight[numbers], n) + 0.5 * ((total * total).sum(1) - squares), total
 
 
-def _fit(terms: np.ndarray, label: np.ndarray, rows: np.ndarray, numbers: np.ndarray, factors: int = 8, epochs: int = 30, rate: float = 0.1, decay: float = 1e-4, batch: int = 256) -> Machine:
+def _fit(bins: np.ndarray, label: np.ndarray, rows: np.ndarray, numbers: np.ndarray, factors: int = 8, epochs: int = 30, rate: float = 0.1, decay: float = 1e-4, batch: int = 256) -> Machine:
     """AdaGrad on the logistic loss with weight decay; the rows are shuffled by a fixed seed."""
     rng = np.random.default_rng(7)
-    n, m = len(label), len(terms)
+    n, m = len(label), len(bins)
     weight, vector = np.zeros(m), rng.normal(0, 0.02, (m, factors))
     bias = float(np.log((label.sum() + 0.5) / (n - label.sum() + 0.5)))
     g_weight, g_vector, g_bias = np.full(m, 1e-3), np.full((m, factors), 1e-3), 1e-3
@@ -102,41 +99,50 @@ def _fit(terms: np.ndarray, label: np.ndarray, rows: np.ndarray, numbers: np.nda
             weight[used] -= rate * d_weight / np.sqrt(g_weight[used])
             vector[used] -= 0.3 * rate * d_vector / np.sqrt(g_vector[used])
             bias -= rate * d_bias / np.sqrt(g_bias)
-    return Machine(terms, bias, weight, vector)
+    return Machine(bins, bias, weight, vector)
 
 
-def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_terms: int = MAX_TERMS, least_z: float = 2.5, least_docs: int = 3) -> Machine:
-    """Fit on at most ``max_rows`` labelled rows, those of the smallest hash of doc_id.
+def _ratio(toxic: Column, docs: Column, n1: int, n: int) -> Column:
+    """The log-likelihood ratio of a bin's share among toxic rows against its share among all; 0 if it is not the higher."""
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    share = n1 / max(n, 1)
+    away1, away0 = n1 - toxic, (n - docs) - (n1 - toxic)
+    cells = [part(toxic, docs * share), part(docs - toxic, docs * (1 - share)), part(away1, (n - docs) * share), part(away0, (n - docs) * (1 - share))]
+    return F.when(toxic > docs * share, 2 * sum(cells[1:], cells[0])).otherwise(0.0)
+
+
+def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, max_chars: int = MAX_TRAIN_CHARS, least_ratio: float = LEAST_RATIO) -> Machine:
+    """Fit on at most ``max_rows`` labelled rows of ``max_chars`` characters, those of the smallest hash of doc_id.
 
     ``docs`` has doc_id and text, ``labelled`` has doc_id and toxic (0 or 1).
     Rows with a null id or label teach nothing; of several labels of one id the
     largest counts.  Without labelled rows the machine scores every text 0.5.
+    All bins of the sample that pass the screen take part.
     """
     ids = labelled.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    sample = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    sample = ids.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_rows)
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    size = F.sum(F.coalesce(F.char_length("text"), F.lit(0)))
+    held = sorted(tuple(r) for r in joined.groupBy("h", "doc_id", "toxic").agg(size.alias("chars"), F.count(F.lit(1)).alias("rows")).collect())
+    within = [r for r, total in zip(held, np.cumsum([r[3] for r in held])) if total <= max_chars]
+    last = within[-1][0] if within else -(1 << 63)
+    n, n1 = sum(r[4] for r in within), sum(r[4] * r[2] for r in within)
+    rows = joined.filter(F.col("h") <= last).select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s, e in slices(b.column(0)):
-                r, t = _doc_terms(b.column(0).slice(s, e - s))
+                row, bin_ = _terms(b.column(0).slice(s, e - s))
+                key = np.unique(row * BINS + bin_)
                 y = b.column(1).slice(s, e - s).to_numpy(zero_copy_only=False)
-                term, slot = np.unique(t, return_inverse=True)
-                toxic = np.bincount(slot, y[r], len(term)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(toxic), pa.array(np.bincount(slot, minlength=len(term)))], ["term", "toxic", "docs"])
-
-    n, n1 = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    n0 = n - n1
-    share1, share0 = (F.col("toxic") + 0.5) / (n1 + 1.0), (F.col("docs") - F.col("toxic") + 0.5) / (n0 + 1.0)
-    both = (F.col("docs") + 1.0) / (n + 2.0)
-    z = (share1 - share0) / F.sqrt(both * (1 - both) * (1.0 / (n1 + 1) + 1.0 / (n0 + 1)))
-    screened = (
-        rows.mapInArrow(count, "term long, toxic long, docs long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= least_docs).select("term", F.abs(z).alias("z")).filter(F.col("z") >= least_z)
-        .orderBy(F.desc("z"), "term").limit(max_terms).select("term")
-    )
-    terms = np.sort(np.array([r[0] for r in screened.collect()], np.int64).view(np.uint64))
-    empty = Machine(terms, 0.0, np.zeros(len(terms)), np.zeros((len(terms), 1)))
+                bins, slot = np.unique(key % BINS, return_inverse=True)
+                toxic = np.bincount(slot, y[key // BINS], len(bins)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(toxic), pa.array(np.bincount(slot, minlength=len(bins)))], ["bin", "toxic", "docs"])
+
+    counts = rows.mapInArrow(count, "bin long, toxic long, docs long").groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
+    screened = counts.filter(_ratio(F.col("toxic"), F.col("docs"), n1, n) >= least_ratio).select("bin")
+    bins = np.sort(np.array([r[0] for r in screened.collect()], np.int64))
+    empty = Machine(bins, 0.0, np.zeros(len(bins)), np.zeros((len(bins), 1)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,13 +151,13 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
                 first = np.searchsorted(r, np.arange(e - s + 1)).astype(np.int32)
                 k = k.astype(np.int32)
                 packed = pa.array([k[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(1).slice(s, e - s), packed], ["toxic", "terms"])
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(s, e - s), packed], ["toxic", "bins"])
 
-    # term numbers stay packed, four bytes each, until they are one array
-    got = sorted((r[0], bytes(r[1])) for r in rows.mapInArrow(encode, "toxic int, terms binary").collect())
+    # numbers stay packed, four bytes each, until they are one array
+    got = sorted((r[0], bytes(r[1])) for r in rows.mapInArrow(encode, "toxic int, bins binary").collect())
     label = np.array([r[0] for r in got], float)
     size = np.array([len(r[1]) // 4 for r in got], np.int64)
-    return _fit(terms, label, np.repeat(np.arange(len(got)), size), np.frombuffer(b"".join(r[1] for r in got), np.int32))
+    return _fit(bins, label, np.repeat(np.arange(len(got)), size), np.frombuffer(b"".join(r[1] for r in got), np.int32))
 
 
 def toxicity_of(text: Column, machine: Machine) -> Column:

@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table, unstage
+from .common import fresh, staged, table, unstage
 from .near_duplicates import few
 
 # The rules, as verdict, host and path.
@@ -105,13 +105,16 @@ class UrlModel:
         self.trees, self.suffixes, self.share = trees, suffixes, share
 
 
-def _features(urls: DataFrame, suffixes: list[DataFrame], share: float) -> DataFrame:
-    out = urls
+def _features(urls: DataFrame, suffixes: list[DataFrame], share: float, name: str) -> DataFrame:
+    """``urls`` with a vector called ``name``; all their own columns stay, whatever they are called."""
+    out, known = urls, []
     for k, s in enumerate(suffixes):
-        out = out.withColumn("_suffix", _suffixes(F.col("host"))[k]).join(few(s, BROADCAST_SUFFIXES), "_suffix", "left")
-    known = [F.coalesce(F.col(f"_{x}{k}"), F.lit(d)) for k in range(len(suffixes)) for x, d in (("share", share), ("seen", 0.0))]
-    numbers = F.transform(F.array(*_lexical(F.col("url"), F.col("host"), F.col("path")), *known), lambda x: F.coalesce(x, F.lit(-1.0)))
-    return out.withColumn("_features", array_to_vector(numbers)).drop("_suffix", *[f"_{x}{k}" for k in range(len(suffixes)) for x in ("share", "seen")])
+        key, rate, seen = fresh(out, "suffix", "share", "seen")
+        statistics = s.select(F.col("_suffix").alias(key), F.col(f"_share{k}").alias(rate), F.col(f"_seen{k}").alias(seen))
+        out = out.withColumn(key, _suffixes(F.col("host"))[k]).join(few(statistics, BROADCAST_SUFFIXES), key, "left")
+        known += [(rate, share), (seen, 0.0)]
+    numbers = F.array(*_lexical(F.col("url"), F.col("host"), F.col("path")), *[F.coalesce(F.col(c), F.lit(d)) for c, d in known])
+    return out.withColumn(name, array_to_vector(F.transform(numbers, lambda x: F.coalesce(x, F.lit(-1.0))))).select(*[F.col(f"`{c}`") for c in urls.columns], name)
 
 
 def fit_urls(labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, trees: int = 12, depth: int = 4) -> UrlModel:
@@ -137,7 +140,7 @@ def fit_urls(labelled: DataFrame, max_rows: int = MAX_TRAIN_ROWS, trees: int = 1
             out.append(seen.select("_suffix", ((F.col("b") + 8 * share) / (F.col("n") + 8)).alias(f"_share{k}"), F.log2(F.col("n") + 1.0).alias(f"_seen{k}")))
         return out
 
-    folds = [_features(rows.filter(F.col("_fold") == f), [staged(s, "fold") for s in statistics(known.filter(F.col("_fold") != f))], share) for f in (0, 1)]
+    folds = [_features(rows.filter(F.col("_fold") == f), [staged(s, "fold") for s in statistics(known.filter(F.col("_fold") != f))], share, "_features") for f in (0, 1)]
     train = staged(folds[0].unionByName(folds[1]).select(vector_to_array("_features").alias("_features"), "blocked"), "features")
     trees_ = GBTClassifier(featuresCol="_features", labelCol="blocked", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=5, cacheNodeIds=False)
     fitted = trees_.fit(train.select(array_to_vector("_features").alias("_features"), "blocked"))
@@ -154,14 +157,17 @@ def judge_urls(urls: DataFrame, model: UrlModel, rules: tuple[tuple[str, str, st
     The verdict is the rule's if one fits, else block when the trees' probability
     risk is ``threshold`` or more.  A null or malformed url has an empty host and
     path and is judged by the trees like any other.  Columns of the new names
-    are replaced; no row is dropped or repeated.
+    are replaced, all others stay; no row is dropped or repeated.
     """
     ruled = judge_by_rules(urls.drop("host", "path", "rule", "verdict", "risk"), rules)
+    told = fresh(ruled, "features", "raw", "probability", "prediction")
     if model.trees is None:
         scored = ruled.withColumn("risk", F.lit(model.share))
     else:
-        scored = model.trees.transform(_features(ruled, model.suffixes, model.share))
-        scored = scored.withColumn("risk", F.get(vector_to_array("probability"), F.lit(1))).drop("_features", "rawPrediction", "probability", "prediction")
+        features, raw, probability, prediction = told
+        trees = model.trees.copy().setFeaturesCol(features).setRawPredictionCol(raw).setProbabilityCol(probability).setPredictionCol(prediction)
+        scored = trees.transform(_features(ruled, model.suffixes, model.share, features))
+        scored = scored.withColumn("risk", F.get(vector_to_array(probability), F.lit(1))).drop(*told)
     verdict = F.coalesce("rule_verdict", F.when(F.col("risk") >= threshold, "block").otherwise("allow"))
     return scored.withColumn("verdict", verdict).drop("rule_verdict")
 
@@ -171,3 +177,21 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = table(spark, sf_dir, "pages").select("page_id", "url")
     labelled = judge_by_rules(urls).filter("rule IS NOT NULL").withColumn("blocked", (F.col("rule_verdict") == "block").cast("int"))
     return judge_urls(urls, fit_urls(labelled)).select("page_id", "host", "path", "rule", "verdict", "risk")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules alone say of every page's url."""
+    return judge_by_rules(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "rule_verdict")
+
+
+URL_RULES_SQL = """
+WITH u AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(verdict, h, p) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+fit AS (
+  SELECT page_id, verdict, h || p AS rule, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC, verdict DESC) AS r
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT u.page_id, host, path, rule, verdict AS rule_verdict FROM u LEFT JOIN fit ON fit.page_id = u.page_id AND r = 1
+"""

@@ -156,5 +156,6 @@ def grams(word_hash: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     base = np.uint64(0xC2B2AE3D27D4EB4F)
     for j in range(n):
         out *= base
-        out[: len(out) - j] += word_hash[j:] if j else word_hash
+        if j < len(out):
+            out[: len(out) - j] += word_hash[j:]
     return mix(out, seed + n)
