@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # White space, and the characters that names must not hold.
 WS = r"\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\u001C-\u001F\u0085"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 FORBIDDEN = r'<>:"/\\|?*'
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
@@ -19,14 +20,17 @@ def text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def strip(c: Column, signs: str = WS) -> Column:
-    """``c`` without characters of the class ``signs`` at either end."""
-    return F.regexp_replace(c, f"^[{signs}]+|[{signs}]+$", "")
+def strip(c: Column, signs: str = SPACES) -> Column:
+    """``c`` without any of the characters ``signs`` at either end."""
+    return F.btrim(c, F.lit(signs))
 
 
 def clean_ws(c: Column | str) -> Column:
-    """Runs of white space become one space; none is left at the ends."""
-    return strip(F.regexp_replace(text(c), f"[{WS}]+", " "), " ")
+    """Runs of white space become one space; none is left at the ends.
+
+    A single space is no match, so that most of a text is passed over.
+    """
+    return strip(F.regexp_replace(text(c), f"[{WS}&&[^ ]][{WS}]*| [{WS}]+", " "), " ")
 
 
 def or_unknown(c: Column) -> Column:
@@ -60,7 +64,7 @@ def word_name(c: Column | str, most: int = 200) -> Column:
 def run_masked_name(c: Column | str, most: int = 180) -> Column:
     """Each run of forbidden characters becomes one underscore, white space one space; cut, then no space at the end."""
     kept = F.regexp_replace(text(c), f"[{FORBIDDEN}]+", "_")
-    return F.regexp_replace(F.substring(strip(F.regexp_replace(kept, f"[{WS}]+", " ")), 1, most), f"[{WS}]+$", "")
+    return F.rtrim(F.substring(strip(F.regexp_replace(kept, f"[{WS}]+", " ")), 1, most), F.lit(SPACES))
 
 
 def listed_name(c: Column | str, allowed: str = r"A-Za-z0-9._ \-", ends: str = "._ ", most: int = 180, default: str = "file") -> Column:
@@ -93,7 +97,7 @@ def case_numbers(c: Column | str, pattern: str = r"\b(S\d{2}[A-Z]\d{4})\b") -> C
 def case_title(c: Column | str, pattern: str = r"\bS\d{2}[A-Z]\d{4}\b") -> Column:
     """What follows the first full stop and space; without one, the text without its case numbers."""
     parts = F.split(text(c), r"\. ", 2)
-    bare = strip(F.regexp_replace(text(c), pattern, ""), WS + ",.")
+    bare = strip(F.regexp_replace(text(c), pattern, ""), SPACES + ",.")
     return F.when(F.size(parts) > 1, strip(F.get(parts, F.lit(1)))).otherwise(bare)
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,35 +63,64 @@ def base_name(c: Column | str, default: str = "") -> Column:
     return F.coalesce(first_filled(F.substring_index(path(c), "/", -1)), F.lit(default))
 
 
-def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)], dtype=object)
+def _without_dots(parts: Column) -> Column:
+    """A path's parts without . and .., which takes the part before it along."""
+    step = lambda kept, x: F.when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
+    whole = F.aggregate(parts, F.array().cast("array<string>"), step)
+    open_ = F.element_at(parts, -1).isin(".", "..")
+    return F.when(open_, F.concat(whole, F.array(F.lit("")))).otherwise(whole)
 
 
 def resolved(base: Column | str, href: Column | str) -> Column:
-    """``href`` as seen from ``base``.
+    """``href`` as seen from ``base``, all in expressions.
 
-    Absolute addresses and those from the root are resolved as expressions; only
-    the rest goes to Python, in Arrow batches.
+    An address with a scheme stands as it is; an empty one is the base.
     """
     b, h = text(base), text(href)
-    root = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    simple = h.rlike(r"^/[^/.]") & ~F.contains(h, F.lit("/.")) & (root != "")
-    absolute = h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+") & ~F.contains(h, F.lit("/."))
-    return F.when(absolute, h).when(simple, F.concat(root, h)).otherwise(F.pandas_udf(_joined, "string")(b, h))
-
-
-def normalized(c: Column | str, base: str) -> Column:
-    """Trimmed, given a scheme, resolved; empty unless that is a web address."""
+    root = F.regexp_extract(b, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?)", 1)
+    from_path, from_query = path(b), F.regexp_extract(b, r"^[^?#]*(\?[^#]*)?", 1)
+    to_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    rest = F.regexp_replace(F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1), r"^\?(?=#|$)|#$", "")
+    parts, new = F.split(from_path, "/"), F.split(to_path, "/")
+    folder = F.when(F.element_at(parts, -1) != "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    both = F.concat(folder, new)
+    inner = F.filter(F.slice(both, F.lit(2), F.greatest(F.size(both) - 2, F.lit(0))), lambda x: x != "")
+    flat = F.when(F.size(both) > 2, F.concat(F.slice(both, 1, 1), inner, F.slice(both, -1, 1))).otherwise(both)
+    joined = F.array_join(_without_dots(F.when(F.startswith(to_path, F.lit("/")), new).otherwise(flat)), "/")
+    slash = F.when((joined == "") | (F.contains(root, F.lit("//")) & ~F.startswith(joined, F.lit("/"))), "/").otherwise("")
+    whole = F.concat(root, slash, joined, rest)
+    query_only = F.concat(root, from_path, F.when(F.startswith(rest, F.lit("?")), rest).otherwise(F.concat(from_query, rest)))
+    return (
+        F.when(h == "", b).when((b == "") | h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
+        .when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?", 1), h))
+        .when(to_path == "", query_only).otherwise(whole)
+    )
+
+
+def built(base: str, **parameters: Column) -> Column:
+    """``base`` with a query of the given parameters, in their order, encoded."""
+    pairs = [F.concat(F.lit(f"{k}="), F.url_encode(text(v.cast("string")))) for k, v in parameters.items()]
+    return F.concat(F.lit(base + ("&" if "?" in base else "?")), F.concat_ws("&", *pairs))
+
+
+def normalized(c: Column | str, base: Column | str) -> Column:
+    """Trimmed, given a scheme, resolved from ``base`` (an address, or a column of them); empty unless that is a web address."""
     bare = strip(text(c))
-    whole = F.when(F.startswith(bare, F.lit("//")), F.concat(F.lit("https:"), bare)).otherwise(resolved(F.lit(base), bare))
+    whole = F.when(F.startswith(bare, F.lit("//")), F.concat(F.lit("https:"), bare)).otherwise(resolved(F.lit(base) if isinstance(base, str) else base, bare))
     return F.when((bare != "") & is_http(whole), whole).otherwise("")
 
 
-def pdf_in_text(c: Column | str) -> Column:
-    """The first address of a PDF in running text or markup; null if there is none."""
+def unescaped(c: Column | str) -> Column:
+    """The five references that markup needs, resolved."""
     plain = text(c)
     for name, sign in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         plain = F.replace(plain, F.lit(name), F.lit(sign))
+    return plain
+
+
+def pdf_in_text(c: Column | str) -> Column:
+    """The first address of a PDF in running text or markup; null if there is none."""
+    plain = unescaped(c)
     return F.nullif(F.regexp_extract(plain, r"""(?i)(https?://[^\s"'<>]+?\.pdf[^\s"'<>]*)""", 1), F.lit(""))
 
 

@@ -70,3 +70,23 @@ def carried_forward(rows: DataFrame, by: list[str], order: list[str], value: str
 
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn(alias, F.last(value, ignorenulls=True).over(w))
+
+
+def counts_as_first_seen(rows: DataFrame, by: str, seq: list[str]) -> DataFrame:
+    """The count of each value, in the order in which values first occur."""
+    found = rows.groupBy(by).agg(F.count("*").alias("n_rows"), F.min(F.struct(*seq)).alias("first_seen"))
+    return found.orderBy("first_seen")
+
+
+def total_listed(rows: DataFrame, *lists: str) -> DataFrame:
+    """One row: the number of items in all lists of all rows; null lists hold none."""
+    sizes = [F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0) for c in lists]
+    return rows.agg(F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0)).cast("bigint").alias("n_items"))
+
+
+def field_sample(rows: DataFrame, order: list[str], most: int = 10, chars: int = 60) -> DataFrame:
+    """The last row by ``order`` as field and value: its first ``most`` columns by name, each cut to ``chars``, and the number of columns."""
+    names = sorted(rows.columns)
+    last = rows.agg(F.max_by(F.struct(*[F.substring(F.coalesce(F.col(c).cast("string"), F.lit("(null)")), 1, chars).alias(c) for c in names[:most]]), F.struct(*order)).alias("r")).filter("r IS NOT NULL")
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"r.`{c}`").alias("value")) for c in names[:most]])
+    return last.select(F.inline(pairs), F.lit(len(names)).alias("n_fields")) if names else last

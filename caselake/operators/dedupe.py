@@ -48,8 +48,15 @@ def numbered_names(rows: DataFrame, path: str, seq: list[str], alias: str = "fil
 
 
 def fetch_once(rows: DataFrame, url: str, seq: list[str], alias: str = "fetch_status") -> DataFrame:
-    """All rows; the first of each address is to fetch, the others are skipped, those without one have none."""
-    first = rows.groupBy(url).agg(F.min(F.struct(*seq)).alias("_first"))
+    """All rows; the first of each address is to fetch, the others are skipped, those without one have none.
+
+    Rows of an address that ``seq`` does not tell apart are told apart by all
+    other columns that have an order; rows that are equal in all are of one
+    status.  The first is found by an aggregate, so a hot address costs no sort.
+    """
+    others = [c for c, kind in rows.dtypes if c not in (url, *seq) and "map<" not in kind and kind != "variant"]
+    order = F.struct(*seq, *others)
+    first = rows.groupBy(url).agg(F.min(order).alias("_first"))
     joined = rows.join(first.filter(F.col(url).isNotNull()), url, "left")
-    status = F.when(F.coalesce(F.col(url), F.lit("")) == "", "no_pdf_url").when(F.struct(*seq) == F.col("_first"), "to_fetch").otherwise("skipped_duplicate_url")
+    status = F.when(F.coalesce(F.col(url), F.lit("")) == "", "no_pdf_url").when(order == F.col("_first"), "to_fetch").otherwise("skipped_duplicate_url")
     return joined.withColumn(alias, status).drop("_first").select(*rows.columns, alias)

@@ -75,3 +75,19 @@ def parsed_prefixes(listed: Column) -> Column:
 def coverage(whole: DataFrame, part: DataFrame, on: list[str]) -> DataFrame:
     """``whole`` with ``covered``: whether ``part`` has the key."""
     return whole.join(part.select(*on).distinct().withColumn("covered", F.lit(True)), on, "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
+
+
+def tasks(spark, first: int, last: int, courts: list[str]) -> DataFrame:
+    """Every year of a range with every court: the dimensions of a run, as parameters give them."""
+    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    return years.select("year", F.explode(F.array(*[F.lit(c) for c in courts])).alias("court"))
+
+
+def each_with(rows: DataFrame, listed: Column, alias: str) -> DataFrame:
+    """A row for each item of a list that hangs on the row, as kinds of opinions have their own years; without items the row goes."""
+    return rows.withColumn(alias, F.explode(listed))
+
+
+def filled(rows: DataFrame, defaults: dict) -> DataFrame:
+    """Columns that an older record lacks, or holds as null, get their defaults."""
+    return rows.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c) for c in rows.columns], *[F.lit(v).alias(c) for c, v in defaults.items() if c not in rows.columns])

@@ -22,3 +22,18 @@ def pending(rows: DataFrame, processed: DataFrame, keys: list[str]) -> DataFrame
     for k in keys:
         keyed = keyed.filter(F.length(F.trim(F.col(k).cast("string"))) > 0)
     return keyed.join(processed.select(*keys), keys, "left_anti")
+
+
+def with_id(rows: DataFrame, id: str = "id") -> DataFrame:
+    """Rows whose id counts as one: null and 0 do not."""
+    return rows.filter(F.col(id).isNotNull() & (F.col(id) != 0))
+
+
+def in_phases(rows: DataFrame, phase: str, names: list[str]) -> DataFrame:
+    """Rows whose phase is among ``names``, or not set yet."""
+    return rows.filter(F.col(phase).isNull() | F.col(phase).isin(names))
+
+
+def first_pages(rows: DataFrame, page: str, most: int) -> DataFrame:
+    """Rows of the first ``most`` pages, which are counted from 0."""
+    return rows.filter(F.col(page) < most)

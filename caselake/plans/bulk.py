@@ -10,6 +10,10 @@ from caselake.operators import dedupe, limits
 
 # The courts of appeals and the order in which an opinion's texts are tried.
 COURTS = ("ca1", "ca2", "ca3", "ca4", "ca5", "ca6", "ca7", "ca8", "ca9", "ca10", "ca11", "cadc", "cafc")
+NAMES = {
+    "ca1": "First Circuit", "ca2": "Second Circuit", "ca3": "Third Circuit", "ca4": "Fourth Circuit", "ca5": "Fifth Circuit", "ca6": "Sixth Circuit", "ca7": "Seventh Circuit",
+    "ca8": "Eighth Circuit", "ca9": "Ninth Circuit", "ca10": "Tenth Circuit", "ca11": "Eleventh Circuit", "cadc": "D.C. Circuit", "cafc": "Federal Circuit",
+}
 TEXT_FIELDS = ("html_with_citations", "html_columbia", "html_lawbox", "html_anon_2020", "html", "xml_harvard", "plain_text")
 
 
@@ -21,24 +25,46 @@ def typed_opinions(opinions: DataFrame) -> DataFrame:
     return opinions.select(*fields, *flags, *rest)
 
 
+def court_name(court: Column | str) -> Column:
+    """The court's display name; its code where it has none."""
+    c = F.col(court) if isinstance(court, str) else court
+    return F.coalesce(*[F.when(c == k, v) for k, v in NAMES.items()], c)
+
+
+def case_folder(number: Column | str, slug: Column | str, other_slug: Column | str, id: Column | str) -> Column:
+    """number_slug, of which either may be missing; the cluster's slug before the docket's; case_<id> without both."""
+    key = F.col(id) if isinstance(id, str) else id
+    parts = [F.when(text.first_filled(c).isNotNull(), text.folder_name(c)) for c in (number, F.coalesce(text.first_filled(slug, other_slug), F.lit("")))]
+    return F.when(parts[0].isNull() & parts[1].isNull(), F.concat(F.lit("case_"), key.cast("string"))).otherwise(F.concat_ws("_", *parts))
+
+
+def _column(rows: DataFrame, name: str) -> Column:
+    """The column, or empty text where an extract lacks it."""
+    return F.col(name) if name in rows.columns else F.lit("").alias(name)
+
+
 def cases(dockets: DataFrame, clusters: DataFrame, opinions: DataFrame, first: int, last: int, courts: tuple[str, ...] = COURTS) -> DataFrame:
     """One row for each cluster with an opinion, of one of ``courts`` and filed in the range of years.
 
-    Columns: court, year, cluster_id, docket_id, folder, case_name, opinions
-    (array, by id), n_in_folder (clusters that would share the folder).  Clusters
-    are keyed by id, so none overwrites another.  Years cut the clusters and
-    courts the dockets before anything is shuffled.
+    Columns: court, court_name, year, cluster_id, docket_id, folder, case_name,
+    opinions (array, by id), n_in_folder (clusters that would share the folder).
+    Clusters are keyed by id, so none overwrites another.  Years cut the clusters
+    and courts the dockets; opinions are cut to the clusters that are left, by
+    their ids alone, before a text is read or grouped.
     """
-    ours = dockets.filter(F.col("court_id").isin(*courts)).select(F.col("id").alias("docket_id"), "court_id", "docket_number", "docket_number_core", F.col("case_name").alias("docket_name"), "case_name_short")
+    ours = dockets.filter(F.col("court_id").isin(*courts)).select(F.col("id").alias("docket_id"), "court_id", "docket_number", "docket_number_core", F.col("case_name").alias("docket_name"), "case_name_short", _column(dockets, "slug").alias("docket_slug"))
     filed = limits.between_years(clusters, "date_filed", first, last).select(F.col("id").alias("cluster_id"), "docket_id", "date_filed", "case_name", "slug")
-    placed = filed.join(ours, "docket_id")
-    texts = typed_opinions(opinions).filter("cluster_id IS NOT NULL")
+    placed = filed.join(ours, "docket_id").withColumn("cluster_id", values.whole_number(F.col("cluster_id").cast("string")))
+    wanted = placed.select(F.col("cluster_id").alias("_wanted"))
+    kept = opinions.join(wanted, values.whole_number("cluster_id") == F.col("_wanted"), "left_semi")
+    texts = typed_opinions(kept)
     parts = texts.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct(*[c for c in texts.columns if c != "cluster_id"]))).alias("opinions"))
-    joined = placed.withColumn("cluster_id", values.whole_number(F.col("cluster_id").cast("string"))).join(parts, "cluster_id")
-    name = F.concat_ws("_", text.folder_name("docket_number"), text.folder_name(F.coalesce(text.first_filled("slug", "case_name", "docket_name"), F.lit("unknown"))))
-    named = joined.select(F.col("court_id").alias("court"), F.substring("date_filed", 1, 4).try_cast("int").alias("year"), "cluster_id", "docket_id", name.alias("folder"), F.coalesce(text.first_filled("case_name", "docket_name"), F.lit("")).alias("case_name"), "opinions")
-    shared = dedupe.collisions(named.select(F.concat_ws("/", "court", F.col("year").cast("string"), "folder").alias("path")), "path")
-    return named.withColumn("path", F.concat_ws("/", "court", F.col("year").cast("string"), "folder")).join(shared, "path", "left").withColumn("n_in_folder", F.coalesce("n_rows", F.lit(1).cast("bigint"))).drop("n_rows", "path")
+    joined = placed.join(parts, "cluster_id")
+    folder = case_folder("docket_number", "slug", "docket_slug", "cluster_id")
+    named = joined.select(F.col("court_id").alias("court"), court_name("court_id").alias("court_name"), F.substring("date_filed", 1, 4).try_cast("int").alias("year"), "cluster_id", "docket_id", folder.alias("folder"), F.coalesce(text.first_filled("case_name", "docket_name"), F.lit("")).alias("case_name"), "opinions")
+    path = F.concat_ws("/", "court", F.col("year").cast("string"), "folder")
+    shared = dedupe.collisions(named.select(path.alias("path")), "path")
+    return named.withColumn("path", path).join(shared, "path", "left").withColumn("n_in_folder", F.coalesce("n_rows", F.lit(1).cast("bigint"))).drop("n_rows", "path")
 
 
 def losses(dockets: DataFrame, clusters: DataFrame, opinions: DataFrame, first: int, last: int, courts: tuple[str, ...] = COURTS) -> DataFrame:

@@ -56,30 +56,132 @@ def year_links(pages: DataFrame, level: str | None = None, status: str | None =
     return kept.select(year.cast("int").alias("year"), urls.resolved("url", href).alias("year_url")).distinct().orderBy(F.desc("year"))
 
 
+def opinion_counts(pages: DataFrame, sign: str = "showOpinion") -> DataFrame:
+    """How many links of each page show an opinion; pages without one have none."""
+    rows = elements(pages, {"a": ("a[href]", {})}).filter(F.contains(_e("href"), F.lit(sign)))
+    return pages.select("url").distinct().join(rows.groupBy("url").agg(F.count("*").alias("n")), "url", "left").select("url", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_opinions"))
+
+
+def _case_rows(rows: DataFrame, *more: Column | str) -> DataFrame:
+    """Rows of four cells or more as cases, with the columns ``more``."""
+    rows = rows.filter(F.size(F.col(f"{E}.parts")["cell"]) >= 4)
+    divided = (F.size(F.col(f"{E}.parts")["cell"]) >= 5) & _part("cell", 2).isin("I", "II", "III")
+    at = lambda k: F.when(divided, _part("cell", k + 1)).otherwise(_part("cell", k))
+    out = rows.select(
+        "url", _e("position").alias("position"), _part("cell", 0).alias("file_date"), _part("cell", 1).alias("case_number"), F.when(divided, _part("cell", 2)).otherwise("").alias("division"),
+        F.regexp_replace(at(2), r"^\*\s*", "").alias("case_title"), at(3).alias("file_contains"), _part("cell", 1, "href").alias("href"), *more,
+    )
+    return out.filter("case_number <> '' AND href <> ''").withColumn("case_info_url", urls.resolved("url", "href")).drop("href")
+
+
 def case_tables(pages: DataFrame) -> DataFrame:
     """Rows of four cells or more: date, number, (division I to III,) title, further text.
 
     Rows without a number or a link go, as do headings.
     """
-    rows = elements(pages, {"row": ("table tr", {"cell": "td"})}).filter(F.size(F.col(f"{E}.parts")["cell"]) >= 4)
-    divided = (F.size(F.col(f"{E}.parts")["cell"]) >= 5) & _part("cell", 2).isin("I", "II", "III")
-    at = lambda k: F.when(divided, _part("cell", k + 1)).otherwise(_part("cell", k))
+    return _case_rows(elements(pages, {"row": ("table tr", {"cell": "td"})}))
+
+
+def plain_case_tables(pages: DataFrame) -> DataFrame:
+    """Rows of four cells or more, of either kind: date, number, title, further text; the first row of a table that has others is its heading."""
+    marks = elements(pages, {"table": ("table", {"row": "tr"}), "row": ("table tr", {"cell": "td, th"})})
+    w = Window.partitionBy("url").orderBy(_e("position")).rowsBetween(Window.unboundedPreceding, 0)
+    table = F.last(F.when(_e("kind") == "table", F.struct(_e("position").alias("at"), F.size(F.col(f"{E}.parts")["row"]).alias("n"))), ignorenulls=True).over(w)
+    rows = marks.withColumn("table", table).filter(_e("kind") == "row")
+    first = F.min(_e("position")).over(Window.partitionBy("url", "table.at"))
+    rows = rows.withColumn("first", first).filter(((_e("position") > F.col("first")) | (F.col("table.n") <= 1)) & (F.size(F.col(f"{E}.parts")["cell"]) >= 4))
     out = rows.select(
-        "url", _e("position").alias("position"), _part("cell", 0).alias("file_date"), _part("cell", 1).alias("case_number"), F.when(divided, _part("cell", 2)).otherwise("").alias("division"),
-        F.regexp_replace(at(2), r"^\*\s*", "").alias("case_title"), at(3).alias("file_contains"), _part("cell", 1, "href").alias("href"),
+        "url", _e("position").alias("position"), _part("cell", 0).alias("file_date"), _part("cell", 1).alias("case_number"), F.regexp_replace(_part("cell", 2), r"^\*\s*", "").alias("case_title"),
+        _part("cell", 3).alias("file_contains"), _part("cell", 1, "href").alias("href"),
     )
     return out.filter("case_number <> '' AND href <> ''").withColumn("case_info_url", urls.resolved("url", "href")).drop("href")
 
 
 def month_tables(pages: DataFrame) -> DataFrame:
-    """As ``case_tables``, with the month of the heading above, else of the date; without either a row goes."""
-    marks = elements(pages, {"month": ("h2, h3, h4", {}), "table": ("table", {})})
+    """As ``case_tables``, with the month of the heading above the table, else of the date; without either a row goes."""
+    marks = elements(pages, {"month": ("h2, h3, h4", {}), "table": ("table", {}), "row": ("table tr", {"cell": "td"})})
     marks = _carried("month", "heading", marks, text.month_in(_e("text")))
-    tables = marks.filter(_e("kind") == "table").select("url", _e("position").alias("table_at"), "heading")
-    cases = case_tables(pages)
-    w = F.max(F.struct("table_at", "heading")).alias("t")
-    placed = cases.join(tables, "url").filter("table_at <= position").groupBy(*cases.columns).agg(w)
-    return placed.withColumn("month", F.coalesce("t.heading", text.month_in("file_date"))).filter("month IS NOT NULL").drop("t")
+    marks = _carried("table", "above", marks, F.struct("heading"))
+    cases = _case_rows(marks.filter(_e("kind") == "row"), F.col("above.heading").alias("heading"))
+    return cases.withColumn("month", F.coalesce("heading", text.month_in("file_date"))).filter("month IS NOT NULL").drop("heading")
+
+
+def results_table(pages: DataFrame, signs: tuple[str, ...] = ("supreme court", "court of appeal")) -> DataFrame:
+    """Rows of each page's results: the first table whose headings hold all ``signs``, else its first table.
+
+    The first cell has the number (its link's text, else its first line) and,
+    in its second line, the title; the next two are numbers of other courts,
+    and stand in ``named`` by their headings too.  The first row is the heading.
+    """
+    marks = elements(pages, {"table": ("table", {"head": "tr > th"}), "row": ("table tr", {"cell": "td"}), "cell": ("tr > td", {"link": "a"})})
+    heads = F.transform(F.col(f"{E}.parts")["head"], lambda x: x["text"])
+    line = F.lower(F.array_join(heads, " "))
+    fits = F.lit(True)
+    for sign in signs:
+        fits = fits & F.contains(line, F.lit(sign))
+    tables = marks.filter(_e("kind") == "table").groupBy("url").agg(F.min_by(F.struct(_e("position").alias("at"), heads.alias("heads")), F.struct(~fits, _e("position"))).alias("chosen"))
+    rows = _carried("row", "row_at", _carried("table", "table_at", marks, _e("position")), _e("position"))
+    inside = rows.join(tables, "url").filter((F.col("table_at") == F.col("chosen.at")) & (_e("kind") != "table"))
+    firsts = inside.groupBy("url").agg(F.min("row_at").alias("head_at"))
+    inside = inside.join(firsts, "url").filter("row_at > head_at")
+    lines = _e("lines")
+    number = F.when(F.size(F.col(f"{E}.parts")["link"]) > 0, _part("link")).otherwise(F.coalesce(F.get(lines, F.lit(0)), F.lit("")))
+    told = F.struct(number.alias("case_number"), F.coalesce(F.get(lines, F.lit(1)), F.lit("")).alias("case_title"), _part("link", 0, "href").alias("href"))
+    by_row = inside.groupBy("url", "row_at", "chosen").agg(
+        F.min_by(F.when(_e("kind") == "row", F.col(f"{E}.parts")["cell"]), F.when(_e("kind") == "row", _e("position"))).alias("cells"),
+        F.min_by(F.when(_e("kind") == "cell", told), F.when(_e("kind") == "cell", _e("position"))).alias("first"),
+    )
+    value = lambda k: F.coalesce(F.get("cells", F.lit(k))["text"], F.lit(""))
+    head = lambda k: text.header_name(F.coalesce(F.get("chosen.heads", F.lit(k)), F.lit(f"column_{k}")))
+    pairs = F.filter(F.array(*[F.when(F.size("cells") > k, F.struct(head(k).alias("k"), value(k).alias("v"))) for k in (1, 2)]), lambda x: x.isNotNull())
+    kept = by_row.filter("first IS NOT NULL AND size(cells) > 0")
+    return kept.select(
+        "url", F.col("row_at").alias("position"), "first.case_number", "first.case_title", F.when(F.col("first.href") != "", urls.resolved("url", "first.href")).otherwise("").alias("case_url"),
+        value(1).alias("court_of_appeal_case_number"), value(2).alias("trial_court_case_number"),
+        F.map_from_entries(F.when(F.get(pairs, F.lit(0))["k"] == F.get(pairs, F.lit(1))["k"], F.slice(pairs, 2, 1)).otherwise(pairs)).alias("named"),
+    )
+
+
+def address_of_element(href: Column, attrs: Column, base: Column) -> Column:
+    """Of an element's link, then the values of its attributes, the first that is a PDF's address or holds one; else empty."""
+    def address(value: Column) -> Column:
+        whole = urls.normalized(value, base)
+        return F.coalesce(F.when(urls.looks_like_pdf(whole) & (whole != ""), whole), urls.pdf_in_text(value))
+
+    all_ = F.concat(F.array(F.coalesce(href, F.lit(""))), F.coalesce(attrs, F.array().cast("array<string>")))
+    found = F.filter(F.transform(all_, address), lambda x: F.coalesce(x, F.lit("")) != "")
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+
+
+# Where a result's record may name its document, in order.
+RECORD_KEYS = ("$.clickUri", "$.uri", "$.rawUri", "$.printableUri", "$.raw.uri", "$.raw.clickuri", "$.raw.fileuri", "$.raw.fileurl")
+
+
+def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResult") -> DataFrame:
+    """Results of a search: title (row_<n> without one), date, excerpt, publication, source, size, pages, PDF.
+
+    The PDF is the first that is found in the links of the result, its title's
+    link, its address field, the records that its elements carry (five at most,
+    as they stand or with references resolved), and all else inside it.
+    """
+    field = lambda name: f"span.CoveoFieldValue[data-field=@{name}] span"
+    parts = {
+        "title": ".coveo-result-cell.c-title span.CoveoResultLink", "date": ".coveo-result-cell.c-date span.CoveoFieldValue span", "excerpt": "span.CoveoExcerpt",
+        **{name: field(at) for name, at in (("publication", "publicationtype"), ("source", "source"), ("size", "size"), ("pages", "syspages"), ("uri", "uri"))},
+        "l0": "a.CoveoResultLink", "l1": ".coveo-result-cell.c-title a[href]", "l2": "a[href$=.pdf]", "l3": "a[href*=.pdf?]", "l4": "a[href*=.PDF]", "l5": ".CoveoResultLink", "record": "[data-result]",
+    }
+    rows = elements(pages, {"result": (result, parts)}, inner=("result",))
+    n = F.row_number().over(Window.partitionBy("url").orderBy(_e("position")))
+    last = lambda name: F.coalesce(F.try_element_at(F.col(f"{E}.parts")[name], F.lit(-1))["text"], F.lit(""))
+    of = lambda name: address_of_element(F.get(F.col(f"{E}.parts")[name], F.lit(0))["href"], F.get(F.col(f"{E}.parts")[name], F.lit(0))["attrs"], F.col("url"))
+    records = F.flatten(F.transform(F.slice(F.col(f"{E}.parts")["record"], 1, 5), lambda x: F.flatten(F.transform(x["attrs"], lambda v: F.array(v, urls.unescaped(v))))))
+    told = F.flatten(F.transform(records, lambda r: F.array(*[urls.normalized(F.coalesce(F.get_json_object(r, k), F.lit("")), F.col("url")) for k in RECORD_KEYS])))
+    record = F.get(F.filter(told, lambda x: F.coalesce(x, F.lit("")) != ""), F.lit(0))
+    pdf = text.first_filled(*[of(f"l{k}") for k in range(6)], urls.normalized(_part("uri"), F.col("url")), record, urls.pdf_in_text(_e("inner")))
+    return rows.withColumn("n", n).select(
+        "url", F.col("n").alias("row"), F.coalesce(text.first_filled(_part("title")), F.concat(F.lit("row_"), F.col("n").cast("string"))).alias("title"), _part("date").alias("date"), _part("excerpt").alias("excerpt"),
+        *[last(c).alias(c) for c in ("publication", "source", "size", "pages")], F.coalesce(pdf, F.lit("")).alias("pdf_url"),
+    )
 
 
 def result_cards(pages: DataFrame) -> DataFrame:

@@ -10,16 +10,18 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SELF_CLOSING = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "p": ("p",), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "p": ("div", "td", "li", "article", "body"), "option": ("select",)}
 
-_ITEM = "struct<text:string,href:string,column:string>"
-ELEMENT = f"struct<kind:string,position:int,text:string,href:string,id:string,lines:array<string>,links:array<{_ITEM}>,cells:array<{_ITEM}>,parts:map<string,array<{_ITEM}>>>"
+_ITEM = "struct<text:string,href:string,column:string,attrs:array<string>>"
+ELEMENT = f"struct<kind:string,position:int,text:string,href:string,id:string,inner:string,lines:array<string>,links:array<{_ITEM}>,cells:array<{_ITEM}>,parts:map<string,array<{_ITEM}>>>"
 
 
 class Element:
@@ -30,17 +32,24 @@ class Element:
         self.children: list[Element | str] = []
 
     def walk(self):
-        for c in self.children:
-            if isinstance(c, Element):
-                yield c
-                yield from c.walk()
+        left = [c for c in reversed(self.children) if isinstance(c, Element)]
+        while left:
+            e = left.pop()
+            yield e
+            left += [c for c in reversed(e.children) if isinstance(c, Element)]
 
     def strings(self):
-        for c in self.children:
+        left = self.children[::-1]
+        while left:
+            c = left.pop()
             if isinstance(c, str):
                 yield c
             elif c.tag not in ("script", "style"):
-                yield from c.strings()
+                left += reversed(c.children)
+
+    def inner(self) -> str:
+        """Its text, and the values of all attributes inside, as a place to look for addresses."""
+        return " ".join([*self.strings(), *(v for e in self.walk() for v in e.attrs.values())])
 
     def lines(self) -> list[str]:
         return [x for s in self.strings() if (x := " ".join(s.split()))]
@@ -56,8 +65,8 @@ class _Builder(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         up = self.at
-        while up.parent is not None and up.tag not in _SCOPE.get(tag, ()):
-            if up.tag in _SELF_CLOSING.get(tag, ()):
+        while tag in _SELF_CLOSING and up.parent is not None and up.tag not in _SCOPE[tag]:
+            if up.tag in _SELF_CLOSING[tag]:
                 self.at = up.parent
                 break
             up = up.parent
@@ -140,21 +149,24 @@ def select(top: Element, selector: str) -> list[Element]:
 
 def _item(e: Element) -> dict[str, str | None]:
     link = e if "href" in e.attrs else next((x for x in e.walk() if x.tag == "a" and "href" in x.attrs), None)
-    return {"text": e.text(), "href": link.attrs["href"] if link else e.attrs.get("src") or e.attrs.get("data") or e.attrs.get("data-bs-target"), "column": e.attrs.get("data-column-id")}
+    return {"text": e.text(), "href": link.attrs["href"] if link else e.attrs.get("src") or e.attrs.get("data") or e.attrs.get("data-bs-target"), "column": e.attrs.get("data-column-id"), "attrs": list(e.attrs.values())}
 
 
-def elements(pages: DataFrame, kinds: dict[str, tuple[str, dict[str, str]]], page: str = "html") -> DataFrame:
+def elements(pages: DataFrame, kinds: dict[str, tuple[str, dict[str, str]]], page: str = "html", inner: tuple[str, ...] = ()) -> DataFrame:
     """A row for each matched element of each page, in ``element``; the page's own column goes.
 
     ``kinds`` gives each kind its selector and the selectors of its parts, which
     are looked for inside.  An element that several kinds match gives a row for
-    each.  A null or broken page gives what can be read of it.
+    each; those of the kinds ``inner`` bring all text and attribute values inside
+    along.  A null or broken page gives what can be read of it, however deep.
     """
+    listed = T.DataType.fromDDL(f"array<{ELEMENT}>")
+    shape = to_arrow_type(listed)
 
-    @F.pandas_udf(f"array<{ELEMENT}>")
-    def found(column: pd.Series) -> pd.Series:
+    @F.arrow_udf(listed)
+    def found(column: pa.Array) -> pa.Array:
         out = []
-        for text in column:
+        for text in column.to_pylist():
             root = parse(text or "")
             place = {id(e): i for i, e in enumerate(root.walk())}
             rows = []
@@ -168,14 +180,15 @@ def elements(pages: DataFrame, kinds: dict[str, tuple[str, dict[str, str]]], pag
                             "text": item["text"],
                             "href": item["href"],
                             "id": e.attrs.get("id"),
+                            "inner": e.inner() if kind in inner else None,
                             "lines": e.lines(),
                             "links": [_item(a) for a in ([e] if e.tag == "a" else []) + [x for x in e.walk() if x.tag == "a"]],
                             "cells": [_item(c) for c in e.walk() if c.tag in ("td", "th") or "data-column-id" in c.attrs],
-                            "parts": {p: [_item(x) for x in select(e, s)] for p, s in parts.items()},
+                            "parts": [(p, [_item(x) for x in select(e, s)]) for p, s in parts.items()],
                         }
                     )
             out.append(sorted(rows, key=lambda r: r["position"]))
-        return pd.Series(out)
+        return pa.array(out, shape)
 
     rest = [c for c in pages.columns if c != page]
     return pages.select(*rest, F.explode(found(page)).alias("element"))

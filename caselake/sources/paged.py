@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterator
-from urllib.parse import urljoin
+from urllib.parse import urlencode, urljoin
 from urllib.request import Request, urlopen
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -21,9 +21,16 @@ class _Start(InputPartition):
         self.url = url
 
 
+# Options of the source, and the service's parameters they become.
+PARAMETERS = {"court": "court", "jurisdiction": "court__jurisdiction", "filed_from": "date_filed__gte", "filed_to": "date_filed__lte", "modified_from": "date_modified__gte", "order_by": "order_by"}
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
-        self.starts = [u for u in options["urls"].split() if u]
+        asked = urlencode({name: options[o] for o, name in PARAMETERS.items() if options.get(o)})
+        self.starts = [u + ("&" if "?" in u else "?") * bool(asked) + asked for u in options["urls"].split() if u]
+        self.page_size = int(options.get("page_size", "0"))
+        self.most_pages = int(options.get("max_pages", "0"))
         self.limit = int(options.get("limit", "0"))
         self.wait = float(options.get("seconds_between", "0"))
         self.agent = options.get("user_agent", "caselake")
@@ -33,7 +40,7 @@ class PagedReader(DataSourceReader):
 
     def read(self, partition: _Start) -> Iterator[tuple[str, int, str]]:
         url, n, seen = partition.url, 0, set()
-        while url and url not in seen:
+        while url and url not in seen and not (self.most_pages and len(seen) >= self.most_pages):
             seen.add(url)
             with urlopen(Request(url, headers={"User-Agent": self.agent}), timeout=60) as answer:
                 page = json.load(answer)
@@ -42,12 +49,18 @@ class PagedReader(DataSourceReader):
                     return
                 yield partition.url, n, json.dumps(row)
                 n += 1
-            url = urljoin(url, page["next"]) if page.get("next") else ""
+            whole = self.page_size and page.get("count") and len(seen) * self.page_size >= int(page["count"])
+            url = urljoin(url, page["next"]) if page.get("next") and not whole else ""
             time.sleep(self.wait if url else 0)
 
 
 class PagedSource(DataSource):
-    """``spark.read.format("paged_json").option("urls", "...").load()``: start, position and record (JSON)."""
+    """``spark.read.format("paged_json").option("urls", "...").load()``: start, position and record (JSON).
+
+    Options: urls (start addresses, by blanks), limit (rows of each), max_pages,
+    page_size (reading ends when so many rows a page reach the answer's count),
+    seconds_between, user_agent, and those of ``PARAMETERS``, which are sent along.
+    """
 
     @classmethod
     def name(cls) -> str:

@@ -8,6 +8,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from caselake.operators.dedupe import last_wins
@@ -43,36 +44,141 @@ def furthest_phase(stream: DataFrame, key: str, phase: str, order: list[str]) ->
     return stream.groupBy(key).applyInPandasWithState(advance, f"{key} {kind}, {phase} string, rank int", "rank int", "update", GroupStateTimeout.NoTimeout)
 
 
-def upsert_batches(spark: SparkSession, stream: DataFrame, target: str, keys: list[str], seq: list[str], checkpoint: str):
+#: Key ranges of an upserted table; a batch rewrites only those that its keys fall into.
+BUCKETS = 64
+
+
+def upsert_batches(spark: SparkSession, stream: DataFrame, target: str, keys: list[str], seq: list[str], checkpoint: str, buckets: int = BUCKETS):
     """Run a stream once and upsert its rows into the Parquet table ``target``, the last of each key winning.
 
-    A micro-batch goes to a version folder of its own; ``target/_current`` names
-    the one that counts, so a batch that runs again gives the same table.
+    The table is a list of folders, one for each bucket of keys, and each version
+    of that list is a file of its own under ``target/_versions``.  A micro-batch
+    writes the buckets that it touches into fresh folders and is published by
+    the renaming of one such file; no file that a version names is ever written
+    again.  A batch that runs again after that changes nothing, as versions tell
+    which batches of which checkpoint they hold; one that fails before leaves
+    folders that no version names (``prune`` deletes them).
     """
+    import json
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = last_wins(batch, keys, seq).drop("position")
-        old = latest(spark, target)
-        merged = upserted(old, rows, keys) if old is not None else rows
-        merged.write.mode("overwrite").parquet(f"{target}/v={number}")
-        spark.createDataFrame([(number,)], "version long").coalesce(1).write.mode("append").parquet(f"{target}/_versions")
+        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        apply_batch(spark, target, batch, run, number, keys, seq, buckets)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def apply_batch(spark: SparkSession, target: str, batch: DataFrame, run: str, number: int, keys: list[str], seq: list[str], buckets: int = BUCKETS) -> None:
+    """Upsert batch ``number`` of ``run`` as the table's next version, unless a version holds it."""
+    import json
+    import uuid
+
+    last = _version(spark, target)
+    if last is not None and last["runs"].get(run, -1) >= number:
+        return
+    buckets = last["buckets"] if last else buckets
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    rows = last_wins(batch, keys, seq).drop("position")
+    rows.persist()
+    touched = sorted(r[0] for r in rows.select(bucket.alias("b")).distinct().collect())
+    held = {b: f for b, f in (last["folders"] if last else {}).items() if int(b) in touched}
+    merged = rows
+    if held:
+        old = spark.read.schema(T.StructType.fromJson(last["schema"])).parquet(*[f"{target}/{f}" for f in held.values()])
+        merged = upserted(old, rows, keys)
+    attempt = f"data/{uuid.uuid4().hex}"
+    part = fresh_name(merged, "bucket")
+    merged.withColumn(part, bucket).repartition(part).write.partitionBy(part).parquet(f"{target}/{attempt}")
+    rows.unpersist()
+    now = {
+        "version": (last["version"] if last else 0) + 1,
+        "runs": (last["runs"] if last else {}) | {run: number},
+        "buckets": buckets,
+        "folders": (last["folders"] if last else {}) | {str(b): f"{attempt}/{part}={b}" for b in touched},
+        "schema": json.loads(merged.schema.json()),
+    }
+    _publish(spark, f"{target}/_versions", f"{now['version']:012d}.json", json.dumps(now))
+
+
+def fresh_name(rows: DataFrame, name: str) -> str:
+    """``name``, with underlines before it until no column is called so."""
+    while name.lower() in {c.lower() for c in rows.columns}:
+        name = f"_{name}"
+    return name
+
+
+def _files(spark: SparkSession, folder: str):
+    """Hadoop's file system for a folder, and its Path class."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _publish(spark: SparkSession, folder: str, name: str, content: str) -> None:
+    """Write a file and give it its name in one step; a name that exists is not replaced."""
+    import uuid
+
+    fs, path = _files(spark, folder)
+    draft = path(f"{folder}/_draft-{uuid.uuid4().hex}")
+    out = fs.create(draft)
+    out.write(bytearray(content.encode()))
+    out.close()
+    if fs.exists(path(f"{folder}/{name}")) or not fs.rename(draft, path(f"{folder}/{name}")):
+        fs.delete(draft, False)
+        raise RuntimeError(f"{folder}/{name} was published by another writer")
+
+
+def _version(spark: SparkSession, target: str) -> dict | None:
+    """The last published version, if there is one."""
+    import json
+
+    fs, path = _files(spark, target)
+    if not fs.exists(path(f"{target}/_versions")):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(path(f"{target}/_versions"))]
+    whole = sorted(n for n in names if n.endswith(".json") and n[0].isdigit())
+    return json.loads(spark.read.option("wholetext", True).text(f"{target}/_versions/{whole[-1]}").first()[0]) if whole else None
+
+
 def latest(spark: SparkSession, target: str) -> DataFrame | None:
     """The table as of its last whole batch; None before the first."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        version = spark.read.schema("version long").parquet(f"{target}/_versions").agg(F.max("version")).first()[0]
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    now = _version(spark, target)
+    if now is None:
         return None
-    return None if version is None else spark.read.parquet(f"{target}/v={version}")
+    kind = T.StructType.fromJson(now["schema"])
+    return spark.read.schema(kind).parquet(*[f"{target}/{f}" for f in now["folders"].values()]) if now["folders"] else spark.createDataFrame([], kind)
+
+
+def prune(spark: SparkSession, target: str, keep: int = 2) -> int:
+    """Delete all but the last ``keep`` versions, and data folders that those do not name; the number of folders that went.
+
+    Not while a batch runs, as its folders are named by no version yet.
+    """
+    import json
+
+    fs, path = _files(spark, target)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(path(f"{target}/_versions")))
+    kept = [n for n in names if n.endswith(".json") and n[0].isdigit()][-keep:]
+    used = {f.split("/")[1] for n in kept for f in json.loads(spark.read.option("wholetext", True).text(f"{target}/_versions/{n}").first()[0])["folders"].values()}
+    for n in names:
+        if n not in kept:
+            fs.delete(path(f"{target}/_versions/{n}"), False)
+    gone = [f.getPath() for f in fs.listStatus(path(f"{target}/data")) if f.getPath().getName() not in used]
+    for f in gone:
+        fs.delete(f, True)
+    return len(gone)
+
+
+def modified_since(rows: DataFrame, processed: DataFrame, modified: str, id: str) -> DataFrame:
+    """Rows later than the latest of ``processed``, and those of that very time whose id it lacks.
+
+    The high-watermark is one row, from an aggregate; without processed rows all are new.
+    """
+    mark = processed.agg(F.max(modified).alias("_mark"))
+    late = rows.join(F.broadcast(mark), F.col(modified) >= F.coalesce("_mark", F.col(modified)))
+    same = processed.select(F.col(id), F.col(modified), F.lit(True).alias("_seen")).distinct()
+    return late.join(same, [id, modified], "left").filter("_seen IS NULL").select(*rows.columns)
 
 
 def to_retry(status: DataFrame, keys: list[str], seq: list[str], done: list[str]) -> DataFrame:
