@@ -3,8 +3,10 @@
 Every item of the benchmark has its own window size, its number of words.  A
 window of a document is a candidate for the items of its size whose 64-bit
 SimHash lies within ``radius``; eight blocks of eight bits find all of those,
-as one block at least differs in no more than radius // 8 bits.  Candidates
-are then held against the item by the weighted similarity of their shingles.
+as one block at least differs in no more than radius // 8 bits: for each block,
+items are listed under every value that near to their own, and a window looks
+up its value.  Candidates are then held against the item by the weighted
+similarity of their shingles.
 
 A window without a single shingle of an item cannot be similar to it, so
 windows are laid only where a document has a shingle of the benchmark.
@@ -14,14 +16,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, staged, table, unstage
 from .words import LETTERS, Words, grams, mix, slices
 
-#: Most characters of benchmark text that one index holds (about as many bytes in each worker, times ten).
-INDEX_CHARS = 8_000_000
+#: Most characters of benchmark text that one index holds (about as many bytes in each worker, times fifteen).
+INDEX_CHARS = 4_000_000
+#: So many shingles of windows, and pairs of windows and items, are looked at together.
+STEP = 100_000
 _BITS = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 LEAKS = "array<struct<item_id:bigint,start_word:int,n_words:int,similarity:double>>"
 
@@ -59,14 +63,14 @@ class _Items:
         self.total = np.bincount(item, count * self.weight[kind], len(held))
         order = np.argsort(kind, kind="stable")
         self.with_shingle, self.first_with = item[order], np.searchsorted(kind[order], np.arange(n + 1))
+        #: the different sizes of the items that have a shingle
+        sized = np.unique(kind * (int(self.size.max(initial=0)) + 1) + self.size[item])
+        self.size_with, self.first_size = sized % (int(self.size.max(initial=0)) + 1), np.searchsorted(sized // (int(self.size.max(initial=0)) + 1), np.arange(n + 1))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.shingle & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.print = _fingerprints(flat, self.weight[sid], np.concatenate(([0], np.cumsum(self.n_shingles)))[:-1])
-        near = _BITS[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= radius // 8
-        self.by_size = {}
-        for s in np.unique(self.size):
-            which = np.flatnonzero(self.size == s)
-            self.by_size[int(s)] = (which, [near[:, self.print[which, b]] for b in range(8)])
+        self.by_size = {int(s): np.flatnonzero(self.size == s) for s in np.unique(self.size)}
+        self.blocks = {s: [_block(self.print[which, b], which, radius // 8) for b in range(8)] for s, which in self.by_size.items()}
 
     def sids(self, g: np.ndarray) -> np.ndarray:
         """Each hash's number among the benchmark's shingles, or -1."""
@@ -85,6 +89,14 @@ class _Items:
         return out
 
 
+def _block(values: np.ndarray, items: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """The items under each of 256 values that differs from their own in ``reach`` bits at most, and where each value's begin."""
+    near = np.flatnonzero(_BITS[np.arange(256)] <= reach)
+    value = (values[:, None] ^ near[None, :].astype(np.uint8)).ravel()
+    order = np.argsort(value, kind="stable")
+    return np.repeat(items, len(near))[order].astype(np.int32), np.searchsorted(value[order], np.arange(257))
+
+
 def _places(known: np.ndarray, g: np.ndarray) -> np.ndarray:
     """The place of each hash in the sorted ``known``, or -1."""
     if not len(known):
@@ -114,44 +126,60 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _matches(text: pa.Array, items: _Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one slice: row, item number, start word, words and similarity of each matching window."""
+    """Of one slice: row, item number, start word, words and similarity of the best matching window of each row and item."""
     w = Words(text, lower=True, classes=LETTERS)
     h, words, row = w.hashes(), w.counts(), w.row_of_word()
     g = grams(h, items.k)
     last = w.first[1:] - items.k  # the last word of a row that begins a shingle
     sid = items.sids(g)
     sid[np.arange(len(h)) > last[row]] = -1
-    hit = np.flatnonzero(sid >= 0)
-    n_with = items.first_with[sid[hit] + 1] - items.first_with[sid[hit]]
-    at, item = np.repeat(hit, n_with), items.with_shingle[_ranges(items.first_with[sid[hit]], n_with)]
-    order = np.lexsort((at, item, row[at]))
-    at, item = at[order], item[order]
-    r = row[at]
-    size = np.minimum(items.size[item], words[r])
-    span = np.maximum(size - items.k + 1, 1)  # shingles in a window
-    low, high = np.maximum(at - span + 1, w.first[r]), np.minimum(at, w.first[r + 1] - size)
-    again = np.zeros(len(at), bool)
-    again[1:] = (r[1:] == r[:-1]) & (item[1:] == item[:-1])
-    low[1:] = np.where(again[1:], np.maximum(low[1:], high[:-1] + 1), low[1:])
-    n_starts = np.maximum(high - low + 1, 0)
-    start, owner = _ranges(low, n_starts), np.repeat(np.arange(len(at)), n_starts)
-    # windows of one row and size are the same for every item that asks for them
-    wide = np.unique(start * (int(items.size.max(initial=0)) + 1) + size[owner])
-    start, size = wide // (int(items.size.max(initial=0)) + 1), wide % (int(items.size.max(initial=0)) + 1)
     found = [[np.zeros(0, np.int64)] * 4 + [np.zeros(0)]]
     for n in (n for n in items.by_size if n < items.k):  # such an item is one shingle, and so is a window of its size
         short = items.sids(grams(h, n))
         short[np.arange(len(h)) > w.first[1:][row] - n] = -1
         hit = np.flatnonzero(short >= 0)
+        _, once = np.unique(row[hit] * (len(items.shingle) + 1) + short[hit], return_index=True)  # the first of equal ones in a row
+        hit = hit[once]
         n_with = items.first_with[short[hit] + 1] - items.first_with[short[hit]]
         place, item = np.repeat(hit, n_with), items.with_shingle[_ranges(items.first_with[short[hit]], n_with)]
         found.append([row[place], item, place - w.first[row[place]], np.full(len(place), n), np.ones(len(place))])
-    span = np.maximum(size - items.k + 1, 1)
-    bounds = np.searchsorted(np.cumsum(span), np.arange(0, int(span.sum()) + 100_000, 100_000))
-    for s, e in zip(bounds[:-1], bounds[1:]):
-        if e > s:
-            found.append(_verified(w, g, sid, row, start[s:e], size[s:e], span[s:e], items))
-    return tuple(np.concatenate(x) for x in zip(*found))
+    hit = np.flatnonzero(sid >= 0)
+    n_with = items.first_size[sid[hit] + 1] - items.first_size[sid[hit]]
+    bounds = np.searchsorted(np.cumsum(n_with), np.arange(0, int(n_with.sum()) + STEP, STEP))
+    for s, e in zip(bounds[:-1], np.append(bounds[1:-1], len(hit))):  # windows of some hits; those of neighbours may come twice
+        start, size = _windows(hit[s:e], n_with[s:e], sid, row, w, items)
+        span = np.maximum(size - items.k + 1, 1)
+        steps = np.searchsorted(np.cumsum(span), np.arange(0, int(span.sum()) + STEP, STEP))
+        for a, z in zip(steps[:-1], np.append(steps[1:-1], len(start))):
+            if z > a:
+                found.append(_verified(w, g, sid, row, start[a:z], size[a:z], span[a:z], items))
+        found = [_best(*(np.concatenate(x) for x in zip(*found)))]
+    return _best(*(np.concatenate(x) for x in zip(*found)))
+
+
+def _best(row: np.ndarray, number: np.ndarray, start: np.ndarray, size: np.ndarray, similarity: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the windows of each row and item the most similar, of equal ones the first."""
+    order = np.lexsort((start, -similarity, number, row))
+    row, number, start, size, similarity = (x[order] for x in (row, number, start, size, similarity))
+    best = np.ones(len(row), bool)
+    best[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
+    return row[best], number[best], start[best], size[best], similarity[best]
+
+
+def _windows(hit: np.ndarray, n_with: np.ndarray, sid: np.ndarray, row: np.ndarray, w: Words, items: _Items) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the windows that hold a shingle at one of ``hit``, for each size of the items that have it."""
+    at, size = np.repeat(hit, n_with), items.size_with[_ranges(items.first_size[sid[hit]], n_with)]
+    r = row[at]
+    size = np.minimum(size, w.counts()[r])
+    order = np.lexsort((at, size, r))
+    at, size, r = at[order], size[order], r[order]
+    span = np.maximum(size - items.k + 1, 1)  # shingles in a window
+    low, high = np.maximum(at - span + 1, w.first[r]), np.minimum(at, w.first[r + 1] - size)
+    again = np.zeros(len(at), bool)
+    again[1:] = (r[1:] == r[:-1]) & (size[1:] == size[:-1])
+    low[1:] = np.where(again[1:], np.maximum(low[1:], high[:-1] + 1), low[1:])
+    n_starts = np.maximum(high - low + 1, 0)
+    return _ranges(low, n_starts), np.repeat(size, n_starts)
 
 
 def _verified(w: Words, g: np.ndarray, sid: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray, span: np.ndarray, items: _Items) -> list[np.ndarray]:
@@ -163,17 +191,21 @@ def _verified(w: Words, g: np.ndarray, sid: np.ndarray, row: np.ndarray, start:
     total = np.add.reduceat(weight, first)
     windows, numbers = [], []
     words = w.counts()[row[start]]
-    for n, (which, near) in items.by_size.items():
+    for n, blocks in items.blocks.items():
         mine = np.flatnonzero((size == n) | ((size == words) & (size < n)))  # a text shorter than the item is one window
-        if not len(mine):
-            continue
-        block = near[0][prints[mine, 0]]
-        for b in range(1, 8):
-            block = block | near[b][prints[mine, b]]
-        i, j = np.nonzero(block)
-        close = _BITS[prints[mine[i]] ^ items.print[which[j]]].sum(1) <= items.radius
-        windows.append(mine[i[close]])
-        numbers.append(which[j[close]])
+        step = max(1, STEP // max(1, len(items.by_size[n])))
+        for low in range(0, len(mine), step):
+            some = mine[low : low + step]
+            pairs = [np.zeros(0, np.int64)]
+            for b, (listed, first_of) in enumerate(blocks):
+                value = prints[some, b].astype(np.int64)
+                count = first_of[value + 1] - first_of[value]
+                pairs.append(np.repeat(some, count) * len(items.size) + listed[_ranges(first_of[value], count)])
+            pair = np.unique(np.concatenate(pairs))
+            i, j = pair // max(len(items.size), 1), pair % max(len(items.size), 1)
+            close = _BITS[prints[i] ^ items.print[j]].sum(1) <= items.radius
+            windows.append(i[close])
+            numbers.append(j[close])
     window = np.concatenate([np.zeros(0, np.int64), *windows])
     number = np.concatenate([np.zeros(0, np.int64), *numbers])
     n = max(len(items.shingle), 1)
@@ -191,7 +223,7 @@ def _verified(w: Words, g: np.ndarray, sid: np.ndarray, row: np.ndarray, start:
     return [row[start[window]], number, start[window] - w.first[row[start[window]]], size[window], similarity[ok]]
 
 
-def _index(items: list, *options) -> _Items:
+def _index(items: list[tuple[int, str]], *options) -> _Items:
     return _Items([r[0] for r in items], [r[1] for r in items], *options)
 
 
@@ -214,37 +246,50 @@ def _frequencies(known: DataFrame, shingle: int) -> tuple[int, np.ndarray, np.nd
     return lists.filter(F.size("shingles") > 0).count(), hashes[order], often["df"].to_numpy().astype(np.int64)[order]
 
 
-def leaks_of(text: Column, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 22, index_chars: int = INDEX_CHARS) -> Column:
-    """For each similar item of ``benchmark`` (item_id, text) the best window of ``text``.
+def _told(docs: DataFrame, name: str, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 22, index_chars: int = INDEX_CHARS) -> DataFrame:
+    """``docs`` with a column ``name``: for each similar item of ``benchmark`` (item_id, text) the best window of text.
 
-    A leak is an item with a window of as many words (the whole text, if that is
-    shorter) whose weighted shingle similarity is ``threshold`` or more; of equal
-    windows the first counts.  Words are folded runs of letters and digits; fewer
-    than ``shingle`` words are one shingle.  A null or empty text has no leaks, a
-    null id or an item without words leaks nowhere, repeated items leak each
-    under its own id, and an empty benchmark leaks nothing.  A benchmark beyond
-    ``index_chars`` is held against the texts in several indexes of that size,
-    one after the other; weights are those of the whole benchmark in each.
+    A benchmark of several indexes goes through one after the other, with the
+    result so far staged in between, so that no worker holds two of them.
     """
     known = benchmark.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     chars = known.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-chars // index_chars)
     whole = _frequencies(known, shingle) if parts > 1 else None
-    out = F.array().cast(LEAKS)
+    out = docs.withColumn(name, F.array().cast(LEAKS)) if parts == 0 else docs
     for p in range(parts):
         part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p) if parts > 1 else known
-        out = F.concat(out, _leaks_udf(_index(sorted(part.collect()), shingle, threshold, radius, whole))(text))
+        rows = part.toArrow()
+        items = sorted(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist()))
+        found = _leaks_udf(_index(items, shingle, threshold, radius, whole))(F.col("text"))
+        before, out = out, out.withColumn(name, F.concat(name, found) if p else found)
+        if parts > 1:
+            out = staged(out, "leaks")
+            if p:
+                unstage(before)
     return out
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` with a column leaks, as of ``leaks_of``; a column of that name is replaced."""
-    return docs.withColumn("leaks", leaks_of(F.col("text"), benchmark, **options))
+    """``docs`` with a column leaks: for each similar item of ``benchmark`` (item_id, text) the best window of text.
+
+    A leak is an item with a window of as many words (the whole text, if that is
+    shorter) whose weighted shingle similarity is ``threshold`` or more; of equal
+    windows the first counts.  Words are folded runs of letters and digits; fewer
+    than ``shingle`` words are one shingle.  A null or empty text has no leaks, a
+    null id or an item without words leaks nowhere, repeated items leak each
+    under its own id, and an empty benchmark leaks nothing.  A benchmark beyond
+    ``index_chars`` is held against the texts in several indexes of that size,
+    one after the other; weights are those of the whole benchmark in each.  A
+    column named leaks is replaced, all others stay.
+    """
+    return _told(docs, "leaks", benchmark, **options)
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that leak an item; all columns stay as they are."""
-    return docs.filter(F.size(leaks_of(F.col("text"), benchmark, **options)) == 0)
+    """``docs`` without the rows that leak an item, as ``find_leaks`` finds them; all columns stay as they are."""
+    (name,) = fresh(docs, "leaks")
+    return _told(docs, name, benchmark, **options).filter(F.size(name) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _leaks_udf(items: _Items):
@@ -253,13 +298,9 @@ def _leaks_udf(items: _Items):
         n, first, parts = 0, [0], [[], [], [], []]
         for s, e in slices(text):
             row, number, start, size, similarity = _matches(text.slice(s, e - s), items)
-            order = np.lexsort((start, -similarity, number, row))
-            row, number, start, size, similarity = (x[order] for x in (row, number, start, size, similarity))
-            best = np.ones(len(row), bool)
-            best[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
             for part, x in zip(parts, (items.item_id[number], start, size, similarity)):
-                part.append(x[best])
-            first.extend((n + np.searchsorted(row[best], np.arange(1, e - s + 1))).tolist())
+                part.append(x)
+            first.extend((n + np.searchsorted(row, np.arange(1, e - s + 1))).tolist())
             n = first[-1]
         cols = [np.concatenate(p) if p else np.zeros(0) for p in parts]
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.float64())

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from caselake.llm import decontamination
 from caselake.llm import near_duplicates as near
 from caselake.llm.decontamination import drop_leaking, find_leaks
 from caselake.llm.near_duplicates import _links_within, _sketch, components, drop_near_duplicates, near_duplicates
@@ -265,3 +266,35 @@ def test_blocks_hold_every_pair_of_different_components(spark, monkeypatch):
     held = {tuple(sorted((x["id"], y["id"]))) for (_, i, j), of in groups.items() for x in of for y in of if x["c"] != y["c"] and (i == j or x["block"] != y["block"])}
     wanted = {tuple(sorted((x, y))) for of in buckets.values() for x in of for y in of if of[x] != of[y]}
     assert wanted <= held
+
+
+def test_blocks_list_every_item_within_the_radius():
+    rng = np.random.default_rng(8)
+    items = decontamination._Items(list(range(300)), [" ".join(f"w{x}" for x in rng.integers(0, 50, 12)) for _ in range(300)], 5, 0.8, 22)
+    prints = np.concatenate((items.print[:50] ^ np.packbits(rng.random((50, 64)) < 0.25, axis=1), rng.integers(0, 256, (50, 8)).astype(np.uint8)))
+    distance = np.unpackbits(prints[:, None, :] ^ items.print[None, :, :], axis=2).sum(2)
+    listed = np.zeros((100, 300), bool)
+    for b, (held, first) in enumerate(items.blocks[12]):
+        for i, v in enumerate(prints[:, b]):
+            listed[i, held[first[v] : first[int(v) + 1]]] = True
+    assert ((distance <= 22) <= listed).all() and not listed.all()
+
+
+def test_leaks_in_a_very_long_text_with_common_phrases(spark, monkeypatch):
+    phrase = "one two three four five six seven"
+    items = [(i, f"{phrase} item {i} has some more words {i}") for i in range(200)]
+    long = " ".join([phrase, "and then"] * 6000) + " " + items[17][1] + " end"
+    found = find_leaks(frame(spark, [(1, long), (2, items[3][1].upper())]), frame(spark, items, "item_id bigint, text string"))
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in found.collect()}
+    assert 17 in got[1] and 3 in got[2]
+    plain = decontamination._matches(__import__("pyarrow").array([long[-300:]]), decontamination._index(items, 5, 0.8, 22))
+    monkeypatch.setattr(decontamination, "STEP", 50)
+    small = decontamination._matches(__import__("pyarrow").array([long[-300:]]), decontamination._index(items, 5, 0.8, 22))
+    assert all((a == b).all() for a, b in zip(plain, small)) and 17 in plain[1]
+
+
+def test_documents_keep_columns_of_any_name(spark):
+    names = ["leaks", "_leaks", "id", "component", "_h"]
+    docs = spark.createDataFrame([(1, "a b c d e f g", *names), (2, "other words", *names)], "doc_id bigint, text string, leaks string, _leaks string, id string, component string, _h string")
+    kept = drop_leaking(docs, frame(spark, [(1, "a b c d e f g"), (2, "q r s t u v")], "item_id bigint, text string"), index_chars=10)
+    assert kept.columns == docs.columns and [tuple(r)[2:] for r in kept.collect()] == [tuple(names)]
