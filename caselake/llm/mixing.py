@@ -78,12 +78,26 @@ class Domains:
         self.names, self.prior, self.weight, self.away, self.temperature = names, prior, weight, away, temperature
 
     def evidence(self, bins: Column) -> Column:
-        """A struct of each domain's sum of log weights over distinct bins, there or not; bins without weight are left out first."""
-        weighs = _constant([any(w[b] for w in self.weight) for b in range(BINS)], "array<boolean>")
-        weights = [_constant(w, "array<double>") for w in self.weight]
+        """A struct of each domain's sum of log weights over distinct bins, there or not.
+
+        Weighing bins are marked in a bitmap; a bin's number among them, by
+        counting the marks before it, is the place of its weights.
+        """
+        weighing = [b for b in range(BINS) if any(w[b] for w in self.weight)]
+        marks, before = [0] * (BINS // 64), [0] * (BINS // 64)
+        for n, b in reversed(list(enumerate(weighing))):
+            marks[b // 64] |= 1 << b % 64
+            before[b // 64] = n
+        words = _constant([m - (1 << 64) * (m >> 63) for m in marks], "array<bigint>")
+        first = _constant(before, "array<int>")
+        word = lambda b: F.get(words, F.shiftright(b, 6))
+        below = lambda b: F.bit_count(F.call_function("shiftleft", F.call_function("shiftleft", word(b), F.lit(63) - b.bitwiseAND(63)), F.lit(1)))
+        there = F.filter(bins, lambda b: F.getbit(word(b), b.bitwiseAND(63)) == 1)
+        numbers = F.transform(there, lambda b: F.get(first, F.shiftright(b, 6)) + below(b))
+        weights = [_constant([w[b] for b in weighing], "array<double>") for w in self.weight]
         start = F.struct(*[F.lit(float(a)).alias(f"e{i}") for i, a in enumerate(self.away)])
         add = lambda total, at: F.struct(*[(total[f"e{i}"] + F.get(w, at)).alias(f"e{i}") for i, w in enumerate(weights)])
-        return F.aggregate(F.filter(bins, lambda b: F.get(weighs, b)), start, add)
+        return F.aggregate(numbers, start, add)
 
     def posterior(self, evidence: list[Column], temperature: float) -> list[Column]:
         score = [math.log(p) + e / float(temperature) for p, e in zip(self.prior, evidence)]
@@ -109,7 +123,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
     train = rows.filter("NOT test")
     sizes = {r[0]: r[1] for r in train.groupBy("domain").count().collect()}
     bins = train.select("domain", F.explode("bins").alias("bin"))
-    counts = {(r[0], r[1]): r[2] for r in bins.groupBy("domain", "bin").count().collect()}
+    found = bins.groupBy("domain", "bin").count().toArrow()
+    counts = dict(zip(zip(found["domain"].to_pylist(), found["bin"].to_pylist()), found["count"].to_pylist()))
     total = sum(sizes.values())
     whole: dict[int, int] = {}
     for (_, b), n in counts.items():
@@ -134,9 +149,9 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
     for t in TEMPERATURES:
         p = model.posterior([F.col(f"e{i}") for i in range(len(names))], t)
         gains.append(F.avg(F.log(F.greatest(F.lit(1e-9), F.coalesce(*[F.when(F.col("domain") == d, x) for d, x in zip(names, p)])))))
-    found = evidence.agg(*gains).first()
+    gained = evidence.agg(*gains).first()
     unstage(rows)
-    best = max(range(len(TEMPERATURES)), key=lambda i: (found[i] if found[i] is not None else 0.0, -i))
+    best = max(range(len(TEMPERATURES)), key=lambda i: (gained[i] if gained[i] is not None else 0.0, -i))
     model.temperature = float(TEMPERATURES[best])
     return model
 

@@ -348,11 +348,10 @@ def fit_secrets(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_tokens: int
 
     sizes = rows.mapInArrow(measure, "hot boolean, hash long, n int").groupBy("hot", "hash").agg(F.max("n").alias("n"))
     most: dict[bool, int] = {}
-    for hot in (True, False):  # no more rows than tokens, 16 bytes each
-        got = sizes.filter(F.col("hot") == hot).orderBy("hash").limit(max_tokens // 2).select("hash", "n").collect()
-        total = np.cumsum([r[1] for r in got])
-        taken = [r[0] for r, t in zip(got, total) if t <= max_tokens // 2]
-        most[hot] = max(taken) if taken else -(1 << 63)
+    for hot in (True, False):  # no more rows than tokens, 12 bytes each
+        got = sizes.filter(F.col("hot") == hot).orderBy("hash").limit(max_tokens // 2).select("hash", "n").toArrow()
+        taken = got["hash"].to_numpy()[np.cumsum(got["n"].to_numpy(), dtype=np.int64) <= max_tokens // 2]
+        most[hot] = int(taken.max()) if len(taken) else -(1 << 63)
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -381,7 +380,8 @@ def fit_secrets(docs: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_tokens: int
 
     lessons = rows.mapInArrow(teach, "hash long, variant int, tags binary, features binary").groupBy("hash", "variant").agg(F.min(F.struct("tags", "features")).alias("x"))
     # tags and features stay packed, one and two bytes each, until a batch of lines needs them
-    lines = sorted((bytes(r[0]), bytes(r[1])) for r in lessons.select("x.tags", "x.features").collect())
+    got = lessons.select("x.tags", "x.features").toArrow()
+    lines = sorted(zip(got["tags"].to_pylist(), got["features"].to_pylist()))
     if not any(any(t) for t, _ in lines):
         return Field(np.zeros((_DIMS, 3)) + np.array([0.0, _NEVER, _NEVER]), np.zeros((3, 3)))
     return _train([(np.frombuffer(f, np.uint16).reshape(len(t), -1), np.frombuffer(t, np.int8)) for t, f in lines])

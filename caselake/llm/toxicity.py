@@ -123,10 +123,12 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
     sample = ids.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     size = F.sum(F.coalesce(F.char_length("text"), F.lit(0)))
-    held = sorted(tuple(r) for r in joined.groupBy("h", "doc_id", "toxic").agg(size.alias("chars"), F.count(F.lit(1)).alias("rows")).collect())
-    within = [r for r, total in zip(held, np.cumsum([r[3] for r in held])) if total <= max_chars]
-    last = within[-1][0] if within else -(1 << 63)
-    n, n1 = sum(r[4] for r in within), sum(r[4] * r[2] for r in within)
+    held = joined.groupBy("h", "doc_id", "toxic").agg(size.alias("chars"), F.count(F.lit(1)).alias("n")).select("h", "toxic", "chars", "n").toArrow()
+    h, label, chars, times = (held[c].to_numpy().astype(np.int64) for c in ("h", "toxic", "chars", "n"))
+    order = np.argsort(h)
+    within = order[np.cumsum(chars[order]) <= max_chars]
+    last = int(h[within].max()) if len(within) else -(1 << 63)
+    n, n1 = int(times[within].sum()), int((times * label)[within].sum())
     rows = joined.filter(F.col("h") <= last).select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +143,7 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
 
     counts = rows.mapInArrow(count, "bin long, toxic long, docs long").groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
     screened = counts.filter(_ratio(F.col("toxic"), F.col("docs"), n1, n) >= least_ratio).select("bin")
-    bins = np.sort(np.array([r[0] for r in screened.collect()], np.int64))
+    bins = np.sort(screened.toArrow()["bin"].to_numpy().astype(np.int64))
     empty = Machine(bins, 0.0, np.zeros(len(bins)), np.zeros((len(bins), 1)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,8 @@ def fit_toxicity(docs: DataFrame, labelled: DataFrame, max_rows: int = MAX_TRAIN
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(s, e - s), packed], ["toxic", "bins"])
 
     # numbers stay packed, four bytes each, until they are one array
-    got = sorted((r[0], bytes(r[1])) for r in rows.mapInArrow(encode, "toxic int, bins binary").collect())
+    told = rows.mapInArrow(encode, "toxic int, bins binary").toArrow()
+    got = sorted(zip(told["toxic"].to_pylist(), told["bins"].to_pylist()))
     label = np.array([r[0] for r in got], float)
     size = np.array([len(r[1]) // 4 for r in got], np.int64)
     return _fit(bins, label, np.repeat(np.arange(len(got)), size), np.frombuffer(b"".join(r[1] for r in got), np.int32))
