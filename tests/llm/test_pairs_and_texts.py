@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from caselake.llm import decontamination
+from caselake.llm import decontamination, substrings
 from caselake.llm import near_duplicates as near
 from caselake.llm.decontamination import drop_leaking, find_leaks
 from caselake.llm.near_duplicates import _links_within, _sketch, components, drop_near_duplicates, near_duplicates
@@ -298,3 +298,69 @@ def test_documents_keep_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g", *names), (2, "other words", *names)], "doc_id bigint, text string, leaks string, _leaks string, id string, component string, _h string")
     kept = drop_leaking(docs, frame(spark, [(1, "a b c d e f g"), (2, "q r s t u v")], "item_id bigint, text string"), index_chars=10)
     assert kept.columns == docs.columns and [tuple(r)[2:] for r in kept.collect()] == [tuple(names)]
+
+
+def plain_paths(edges):
+    """Of (source, place, tail, head): the maximal runs of places of a source joined by nodes with one edge in and one out."""
+    out, into = {}, {}
+    for e in edges:
+        out.setdefault(e[2], []).append(e)
+        into.setdefault(e[3], []).append(e)
+    at = {(e[0], e[1]): e for e in edges}
+    goes_on = lambda e, f: f is not None and e[3] == f[2] and len(out[f[2]]) == len(into[f[2]]) == 1
+    path = {}
+    for e in sorted(edges):
+        before = at.get((e[0], e[1] - 1))
+        path[e[0], e[1]] = path[e[0], e[1] - 1] if before and goes_on(before, e) else e[1]
+    return path
+
+
+def test_paths_are_the_nonbranching_runs(spark):
+    rng = random.Random(17)
+    edges = [(1, p, p, p + 1) for p in range(30, 900)]  # one long path, but for what follows
+    edges += [(2, 5, 100, 5000), (2, 6, 5000, 5001), (3, 0, 6000, 400)]  # a way out at node 100, a way into node 400
+    edges += [(4, p, 10_000 + p, 10_001 + p) for p in range(300) if rng.random() < 0.9]
+    edges += [(5, 63, 20_000, 20_001), (5, 64, 20_001, 20_002), (6, 64, 20_500, 20_501), (7, 10, 30_000, 30_000)]
+    found = substrings._paths(spark.createDataFrame(edges, "source_id bigint, source_place int, tail bigint, head bigint")).collect()
+    got = {(r.source_id, p): r.path for r in found for p in range(r.low, r.high + 1)}
+    assert got == plain_paths(edges) and len(set(got.items())) == len(edges)
+    assert {got[1, p] for p in range(30, 900)} == {30, 100, 400}
+    assert substrings._paths(spark.createDataFrame([], "source_id bigint, source_place int, tail bigint, head bigint")).count() == 0
+
+
+def test_repeats_with_gaps_repeated_ids_and_columns_of_any_name(spark):
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(300)]
+    broken = list(base)
+    broken[60], broken[61], broken[200] = "x", "y", "z"
+    rows = [(1, " ".join(base)), (2, " ".join(broken)), (3, " ".join(base[100:] + base[:90])), (4, " ".join(base[40:80])), (4, " ".join(base[40:70])), (5, " ".join(rng.choice(base) for _ in range(50)))]
+    rows += [(i, " ".join(base[20:60])) for i in range(10, 40)]
+    names = ["_copy", "copy", "_spans", "spans", "_cut", "cut"]
+    df = spark.createDataFrame([(*r, *names) for r in rows], "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in names))
+    out = drop_repeats(df)
+    assert out.columns == [*df.columns, "n_words", "n_removed"]
+    got = {}
+    for r in out.collect():
+        assert [r[c] for c in names] == names
+        got.setdefault(r.doc_id, set()).add((r.text, r.n_words, r.n_removed))
+    one = {i: t for i, t in rows if i != 4}
+    want = {i: {x} for i, x in brute_repeats(list(one.items())).items()}
+    assert {i: x for i, x in got.items() if i != 4} == want
+    assert got[4] == {("", 40, 40), ("", 30, 30)}
+
+
+@pytest.mark.parametrize("operator", ["op1_preference", "op2_near_duplicates", "op8_substrings"])
+def test_queries_equal_their_sql(spark, operator):
+    import duckdb
+
+    from caselake.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    df = queries.queries()[operator](spark, folder)
+    want = con.execute(queries.oracle_sql()[operator])
+    columns = [c[0] for c in want.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(map(str, (tuple(r) for r in df.select(*columns).collect()))) == sorted(map(str, want.fetchall()))
