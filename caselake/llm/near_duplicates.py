@@ -120,7 +120,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")  # staged, so that a hub's links can be split in the join
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = staged(large, "large")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -128,6 +128,7 @@ def components(links: DataFrame) -> DataFrame:
         small = staged(small, "small")
         unstage(edges)
         unstage(large)
+        unstage(least)
         edges = small
         # done when all edges lead to a centre that leads nowhere itself
         ends = edges.groupBy("a").agg(F.count("*").alias("n"), F.lit(0).alias("m")).unionByName(edges.select(F.col("b").alias("a")).distinct().select("a", F.lit(1).cast("long").alias("n"), F.lit(1).alias("m")))
@@ -245,7 +246,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     fewer than ``shingle`` words is one shingle.  Two documents are linked when
     the Jaccard similarity of their sets is ``percent`` hundredths or more, and
     a component is named by its smallest id.  A text without words, or null, has
-    no shingles and links with nothing.  A row without id has a null component.
+    no shingles and links with nothing.  Sets are held as 64-bit hashes of their
+    shingles, and taken for equal by 128 bits of a digest.  A row without id has a null component.
     Rows that repeat an id are one document, linked if any of them is.  An empty
     table gives an empty result.
 
@@ -262,14 +264,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     described = staged(texts.mapInArrow(_describe(shingle, bands, rows), "id long, n long, p long, q long, keys array<long>"), "sketches")
     held = described.filter("id IS NOT NULL AND n > 0")
     classes = held.groupBy("p", "q", "n").agg(F.min("id").alias("rep"), F.max("id").alias("other"))
-    copies = classes.filter("rep < other").select("p", "q", "n", "rep")
-    # all but the first of equal sets step back; the join meets copies only
-    again = held.select("id", "p", "q", "n").join(copies, ["p", "q", "n"]).filter("id > rep").select(F.col("id"), "rep").distinct()
-    again = staged(again, "copies")
-    firsts = held.join(few(again.select("id").distinct()), "id", "left_anti")
+    copies = staged(classes.filter("rep < other").select("p", "q", "n", "rep"), "classes")
+    # all but the first of equal sets step back; the join meets copies only, and as classes are staged a large one can be split
+    again = staged(held.select("id", "p", "q", "n").join(few(copies), ["p", "q", "n"]).filter("id > rep").select("id", "rep"), "copies")
+    unstage(copies)
+    firsts = held.join(few(again.select("id")), "id", "left_anti")
     members = firsts.select("id", "n", F.explode("keys").alias("key"))
-    ends = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max(F.struct("id", "n")).alias("high")).filter("low.id < high.id")
+    ends = staged(members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max(F.struct("id", "n")).alias("high")).filter("low.id < high.id"), "ends")
     met = staged(members.join(ends, "key").select("key", "id", "n", "low", "high"), "buckets")
+    unstage(ends)
 
     small, big = lambda x, y: F.least(x, y) * 100, lambda x, y: F.greatest(x, y) * percent
     near = lambda x, y: small(x, y) >= big(x, y)
@@ -277,7 +280,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     candidates = ordered(
         met.filter(near("n", "low.n")).select("id", F.col("low.id").alias("to")).unionByName(met.filter(near("n", "high.n")).select("id", F.col("high.id").alias("to"))), "id", "to"
     )
-    found = components(_verified(staged(candidates, "pairs"), texts, shingle, percent))
+    candidates = staged(candidates, "pairs")
+    links = _verified(candidates, texts, shingle, percent)
+    unstage(candidates)
+    found = components(links)
+    unstage(links)
 
     placed = met.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     shares = placed.groupBy("key", "c").agg(F.count("*").alias("m"))
@@ -290,6 +297,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         more = staged(blocks.mapInArrow(_compare(percent), "a long, b long"), "links")
         if not more.isEmpty():
             found = components(more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        unstage(more)
     unstage(split)
     unstage(met)
     whole = again.withColumnRenamed("id", "a").select("a", F.col("rep").alias("b")).join(found.withColumnRenamed("id", "b"), "b", "left").select(F.col("a").alias("id"), F.coalesce("component", "b").alias("component"))
