@@ -8,9 +8,10 @@ and the best of what it finds is ranked again by exact products.
 Equal vectors are filed once, as a class with its smallest ids, so a common
 vector takes one place of a shortlist.
 
-Only centroids are fitted on a bounded sample; every class is indexed.  Cells and
-their visitors are cut into blocks of bounded size, so a cell may hold a third
-of all vectors.
+Only centroids are fitted on a bounded sample; every class is indexed.  Cells are
+packed into shards of bounded size, a large one into several, so a cell may hold
+a third of all vectors; a query goes to a shard once, with the cells it visits.
+How many cells a query visits is measured on the sample.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged, table, unstage
+from .near_duplicates import few
 
 #: Bound on the vectors that the centroids are fitted on, those of the smallest hash of the id.
 MAX_TRAIN_ROWS = 20_000
@@ -65,6 +67,8 @@ class Index:
 
     def __init__(self, centres: np.ndarray, books: list[np.ndarray], sample_ids: np.ndarray, sample: np.ndarray, spread: float) -> None:
         self.centres, self.books, self.sample_ids, self.sample, self.spread = centres, books, sample_ids, sample, spread
+        #: of each cell the first of its shards and their number, once they are packed
+        self.shard, self.n_shards = np.zeros(len(centres), np.int64), np.ones(len(centres), np.int64)
         self.width = sum(b.shape[1] for b in books)
 
     def split(self, x: np.ndarray) -> list[np.ndarray]:
@@ -83,6 +87,30 @@ class Index:
         return np.stack([np.pad(p @ b.T, ((0, 0), (0, wide - len(b)))) for p, b in zip(self.split(q), self.books)], 1)
 
 
+    def probes(self, k: int, share: float, most_queries: int = 256) -> int:
+        """So many cells, the most promising first, hold ``share`` of the ``k`` nearest in the sample of some of its vectors."""
+        n = min(most_queries, len(self.sample))
+        products = self.sample[:n] @ self.sample.T
+        products[np.arange(n), np.arange(n)] = -np.inf
+        best = np.argsort(-products, axis=1, kind="stable")[:, : min(k, len(self.sample) - 1)]
+        cell = _nearest(self.sample, self.centres)[0]
+        rank = np.argsort(np.argsort(-(self.sample[:n] @ self.centres.T), axis=1, kind="stable"), axis=1)
+        places = np.sort(np.take_along_axis(rank, cell[best], axis=1).ravel())
+        return int(places[min(len(places) - 1, int(np.ceil(share * len(places))) - 1)]) + 1 if len(places) else 1
+
+    def pack(self, size: np.ndarray) -> None:
+        """Deal cells out to shards of ``BLOCK_ROWS`` vectors or fewer, a larger cell to several of its own."""
+        shard = held = 0
+        for c, n in enumerate(size.tolist()):
+            blocks = -(-n // BLOCK_ROWS)
+            if blocks > 1 or held + n > BLOCK_ROWS:
+                shard, held = shard + (held > 0), 0
+            self.shard[c], self.n_shards[c] = shard, max(blocks, 1)
+            held += n
+            if blocks > 1:
+                shard, held = shard + blocks, 0
+
+
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding (doubles) of the rows that take part."""
     x = F.transform("embedding", lambda v: v.cast("double"))
@@ -95,6 +123,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
+def common_width(vectors: DataFrame) -> int:
+    """The width that most of the valid ``vectors`` have, of equally many the smallest; 0 without vectors."""
+    first = vectors.groupBy(F.size("embedding").alias("w")).count().orderBy(F.desc("count"), "w").first()
+    return first[0] if first else 0
+
+
 def _classes(held: DataFrame, k: int) -> DataFrame:
     """Each different embedding with a number cls, the ``k`` + 1 smallest of its ids with their counts, the least, and whether that is its only id."""
     rows = held.groupBy("embedding", "vec_id").agg(F.count(F.lit(1)).alias("n"))
@@ -117,31 +151,41 @@ def fit_index(vectors: DataFrame, n: int, parts: int = 16, codes: int = 256, max
     return Index(centres, books, ids, x, float(np.sqrt((left**2).sum(1).mean() / max(x.shape[1], 1))))
 
 
-def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float = 0.6, least_probes: int = 8, refine: int = 20) -> DataFrame:
+def _top(score: np.ndarray, least: np.ndarray, most: int) -> np.ndarray:
+    """The places of the ``most`` best scores, best first, ties to the smaller id."""
+    edge = np.partition(score, len(score) - most)[len(score) - most]
+    at = np.flatnonzero(score >= edge)
+    return at[np.lexsort((least[at], -score[at]))][:most]
+
+
+def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float | None = None, least_probes: int = 8, refine: int = 20, share: float = 0.95) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest vectors found for each query.
 
-    ``queries`` and ``vectors`` have vec_id and embedding, all of one width.
-    Nearest is the largest inner product in double precision, ties go to the
-    smaller vec_id, and the vector with the query's own id is no candidate.
-    Vectors that are null, empty, zero, or hold a null or non-finite component
-    take no part on either side, nor do rows without vec_id.  Rows that repeat a
-    vec_id are candidates each; a repeated query is answered for its smallest
-    vector.  With fewer candidates than ``k`` all that are found come back; an
-    empty table gives an empty result.
-
-    A query visits the share ``probes`` of the cells, ``least_probes`` at least,
-    and more until they hold fifty times ``k`` different vectors.  From each block
-    come its ``k`` best and whatever may beat the query's k-th best in the sample,
-    up to ``refine`` times ``k``; as many different vectors over all blocks are
-    ranked exactly, and those that stay stand for all their ids.  The
-    defaults are for vectors without any cluster structure, the hardest case;
-    clustered ones reach the same recall with a tenth of the probes.
+    ``queries`` and ``vectors`` have vec_id and embedding.  Nearest is the
+    largest inner product in double precision, ties go to the smaller vec_id, and
+    the vector with the query's own id is no candidate.  Vectors that are null,
+    empty, zero, or hold a null or non-finite component take no part on either
+    side, nor do rows without vec_id, nor vectors of another width than most of
+    ``vectors``.  Rows that repeat a vec_id are candidates each; a repeated query
+    is answered for its smallest vector.  With fewer candidates than ``k`` all
+    that are found come back; an empty table gives an empty result.
+
+    A query visits as many cells as hold ``share`` of the nearest in the sample,
+    or the share ``probes`` of all cells if that is given; ``least_probes`` at
+    least, and more until they hold fifty times ``k`` different vectors.  From each
+    shard come its ``k`` best and whatever may beat the query's k-th best in the
+    sample, up to ``refine`` times ``k``; as many different vectors over all
+    shards are ranked exactly, and those that stay stand for all their ids.
     """
     spark = vectors.sparkSession
-    held = staged(_classes(valid_vectors(vectors), k), "vectors")
+    valid = valid_vectors(vectors)
+    width = common_width(valid)
+    held = staged(_classes(valid.filter(F.size("embedding") == width), k), "vectors")
     n = held.count()
-    asked = valid_vectors(queries).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("q"))
+    fit = valid_vectors(queries).filter(F.size("embedding") == width)
+    asked = fit.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("q"))
     if n == 0:
+        unstage(held)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit_index(held, n)
     shared = spark.sparkContext.broadcast(index)
@@ -155,58 +199,81 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float =
     filed = staged(held.select("cls", "least", "single", "embedding").mapInArrow(encode, "cls long, least long, single boolean, cell int, code binary"), "filed")
     sizes = dict(filed.groupBy("cell").count().collect())
     size = np.array([sizes.get(c, 0) for c in range(len(index.centres))])
-    n_probes = min(len(size), max(least_probes, int(np.ceil(probes * len(size)))))
+    wanted = index.probes(k, share) if probes is None else int(np.ceil(probes * len(size)))
+    n_probes = min(len(size), max(least_probes, wanted))
+    index.pack(size)
+    packed = spark.sparkContext.broadcast(index)
+    # a row for each cell, so MAX_CELLS at most
+    shards = F.broadcast(spark.createDataFrame([(c, int(s), int(b)) for c, (s, b) in enumerate(zip(index.shard, index.n_shards))], "cell int, shard int, n_shards int"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = shared.value
+        x = packed.value
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 ids = b.column(0).slice(s, 256).to_numpy(zero_copy_only=False)
                 q = _matrix(b.column(1).slice(s, 256))
                 order = np.argsort(-(q @ x.centres.T), axis=1, kind="stable")
                 held_so_far = np.cumsum(size[order], axis=1) - size[order]
-                go = (np.arange(len(size)) < n_probes) | (held_so_far < 50 * k)
+                go = ((np.arange(len(size)) < n_probes) | (held_so_far < 50 * k)) & (size[order] > 0)
                 products = q @ x.sample.T
                 products[ids[:, None] == x.sample_ids[None, :]] = -np.inf
                 floor = np.sort(products, axis=1)[:, -k] if products.shape[1] >= k else np.full(len(q), -np.inf)
                 floor = floor - 3 * x.spread * np.sqrt((q * q).sum(1))
                 at, place = np.nonzero(go)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), b.column(1).slice(s, 256).take(pa.array(at)), pa.array(floor[at]), pa.array(order[at, place].astype(np.int32))], ["query_id", "q", "floor", "cell"])
-
-    visits = staged(asked.mapInArrow(visit, "query_id long, q array<double>, floor double, cell int"), "visits")
-    guests = dict(visits.groupBy("cell").count().collect())
-    cut = spark.createDataFrame([(c, -(-int(size[c]) // BLOCK_ROWS), -(-int(g) // BLOCK_QUERIES)) for c, g in guests.items() if size[c]] or [(-1, 1, 1)], "cell int, blocks int, q_blocks int")
-    cut = F.broadcast(cut)  # a row for each cell, so MAX_CELLS at most
-    codes = filed.join(cut, "cell").select("cell", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "cls", "least", "single", "code")
-    calls = visits.join(cut, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int").alias("q_block"), "query_id", "q", "floor")
+                cell = order[at, place]
+                # a cell of several shards is visited in each of them
+                times = x.n_shards[cell]
+                at, cell = np.repeat(at, times), np.repeat(cell, times)
+                shard = x.shard[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(times) - times, times)
+                by = np.lexsort((cell, shard, at))
+                at, cell, shard = at[by], cell[by], shard[by]
+                new = np.flatnonzero(np.concatenate((np.ones(min(1, len(at)), bool), (at[1:] != at[:-1]) | (shard[1:] != shard[:-1]))))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)).astype(np.int32)), pa.array(cell.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at[new]]), b.column(1).slice(s, 256).take(pa.array(at[new])), pa.array(floor[at[new]]), pa.array(shard[new].astype(np.int32)), lists], ["query_id", "q", "floor", "shard", "cells"])
+
+    visits = staged(asked.mapInArrow(visit, "query_id long, q array<double>, floor double, shard int, cells array<int>"), "visits")
+    guests = visits.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("q_blocks"))
+    guests = staged(guests, "guests")  # a row for each shard that a query visits
+    codes = filed.join(shards, "cell").withColumn("shard", (F.col("shard") + F.pmod(F.xxhash64("cls"), F.col("n_shards"))).cast("int"))
+    codes = codes.join(few(guests), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("q_block"), "cell", "cls", "least", "single", "code")
+    calls = visits.join(few(guests), "shard").select("shard", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int").alias("q_block"), "query_id", "q", "floor", "cells")
     most = refine * k
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[np.ndarray, ...]] = []
         if len(left) and len(right):
-            x = shared.value
-            right = right.sort_values("least", kind="stable")
+            x = packed.value
+            right = right.sort_values(["cell", "least"], kind="stable")
             numbers, least, single = (right[c].to_numpy() for c in ("cls", "least", "single"))
-            code = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1)
+            cells, first, place = np.unique(right["cell"].to_numpy(), return_index=True, return_inverse=True)
+            ends = np.append(first[1:], len(right))
+            code = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(right), -1).astype(np.int64)
             q = np.stack(left["q"].to_numpy())
-            tables, base = x.tables(q), q @ x.centres[int(left["cell"].iloc[0])]
-            for i, (own, floor) in enumerate(zip(left["query_id"].to_numpy(), left["floor"].to_numpy())):
-                score = base[i] + tables[i][np.arange(code.shape[1])[None, :], code].sum(1)
-                score[single & (least == own)] = -np.inf
-                best = np.argsort(-score, kind="stable")[:most]
+            base = q @ x.centres[cells].T
+            tables = x.tables(q)
+            code += np.arange(code.shape[1]) * tables.shape[2]
+            tables = tables.reshape(len(q), -1)
+            for i, (own, floor, visited) in enumerate(zip(left["query_id"].to_numpy(), left["floor"].to_numpy(), left["cells"])):
+                at = np.flatnonzero(np.isin(cells, visited))
+                some = slice(None) if len(at) == len(cells) else np.concatenate([np.zeros(0, np.int64), *(np.arange(first[c], ends[c]) for c in at)])
+                score = base[i][place[some]] + tables[i][code[some]].sum(1)
+                score[single[some] & (least[some] == own)] = -np.inf
+                # ties of the shortlist go to the class of the smaller id
+                best = np.lexsort((least[some], -score))[:most] if len(score) <= most else _top(score, least[some], most)
                 best = best[(score[best] >= floor) | (np.arange(len(best)) < k)]
                 best = best[score[best] > -np.inf]
-                out.append((np.full(len(best), own), numbers[best], least[best], score[best]))
+                out.append((np.full(len(best), own), numbers[some][best], least[some][best], score[best]))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
         return pd.DataFrame(dict(zip(("query_id", "cls", "least", "near"), cols)))
 
-    keys = ["cell", "block", "q_block"]
+    keys = ["shard", "q_block"]
     found = calls.groupBy(keys).cogroup(codes.groupBy(keys)).applyInPandas(scan, "query_id long, cls long, least long, near double")
     by_query = lambda *order: Window.partitionBy("query_id").orderBy(*order)
     top = found.withColumn("r", F.row_number().over(by_query(F.desc("near"), "least"))).filter(F.col("r") <= most).select("query_id", "cls")
     top = staged(top, "candidates")
     unstage(filed)
     unstage(visits)
+    unstage(guests)
     product = F.aggregate(F.zip_with("q", "embedding", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     others = F.filter("ids", lambda x: x["vec_id"] != F.col("query_id"))
     exact = top.join(held, "cls").join(asked, "query_id").select("query_id", product.alias("score"), others.alias("ids"))

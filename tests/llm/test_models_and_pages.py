@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caselake.llm.ann import search
+from caselake.llm.ann import Index, _classes, fit_index, search, valid_vectors
 from caselake.llm.main_text import _blocks, _events, _match, _tree, extract_main_text, induce
 from caselake.llm.mixing import mix_to_targets
 from caselake.llm.preference import format_preferences, swapped_answers
@@ -403,3 +403,34 @@ def test_awkward_vectors(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in search(df, df, k=2).collect())
     assert got == [(1, 1, 7, 2.0), (1, 2, 9, 2.0), (7, 1, 9, 5.0), (7, 2, 1, 2.0), (9, 1, 7, 5.0), (9, 2, 1, 2.0)]
     assert search(df.limit(0), df).count() == 0 and search(df, df.limit(0)).count() == 0
+
+
+def test_vectors_of_another_width_take_no_part(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 1.0]), (3, [1.0]), (4, [3.0, 1.0, 1.0]), (5, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in search(df, df, k=5).collect())
+    assert got == [(1, 1, 2), (1, 2, 5), (2, 1, 1), (2, 2, 5), (5, 1, 2), (5, 2, 1)]
+
+
+def test_clustered_vectors_need_few_cells(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 16)) * 6
+    x = centres[rng.integers(0, 60, 3000)] + rng.normal(size=(3000, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    index = fit_index(_classes(valid_vectors(df), 20), 3000)
+    assert index.probes(20, 0.95) <= len(index.centres) // 3
+    queries = [i for i in range(0, 3000, 50)]
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    found = {}
+    for r in search(df.filter("vec_id % 50 = 0"), df).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(found[q] & set(w.tolist())) / 20 for q, w in zip(queries, want)]) >= 0.9
+
+
+def test_shards_are_of_bounded_size():
+    index = Index(np.zeros((6, 2)), [np.zeros((1, 2))], np.zeros(1), np.zeros((1, 2)), 0.0)
+    index.pack(np.array([5000, 3000, 3000, 20_000, 0, 10]))
+    assert index.shard.tolist() == [0, 0, 1, 2, 5, 5] and index.n_shards.tolist() == [1, 1, 1, 3, 1, 1]
