@@ -173,11 +173,11 @@ def dedupe_fallback_key(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT user_id, event_type, min(event_id) AS event_id FROM events e
-WHERE ts >= TIMESTAMP '2024-01-15' AND NOT EXISTS (SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-15' AND p.user_id = e.user_id AND p.event_type = e.event_type)
+WHERE ts >= TIMESTAMP '2024-01-03' AND NOT EXISTS (SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-03' AND p.user_id = e.user_id AND p.event_type = e.event_type)
 GROUP BY user_id, event_type""")
 def dedupe_across_runs(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts")
-    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    cut = F.lit("2024-01-03").cast("timestamp_ntz")
     early, late = events.filter(F.col("ts").cast("timestamp_ntz") < cut), events.filter(F.col("ts").cast("timestamp_ntz") >= cut)
     return dedupe.first_across_runs(late, early, ["user_id", "event_type"], ["event_id"]).select("user_id", "event_type", "event_id")
 
@@ -438,10 +438,10 @@ def limit_per_group_year(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT e.event_id, e.user_id FROM events e WHERE e.ts >= TIMESTAMP '2024-01-20'
-AND NOT EXISTS (SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-20' AND p.event_type = 'purchase' AND p.user_id = e.user_id)""")
+SELECT e.event_id, e.user_id FROM events e WHERE e.ts >= TIMESTAMP '2024-01-03'
+AND NOT EXISTS (SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-03' AND p.event_type = 'purchase' AND p.user_id = e.user_id)""")
 def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
-    events, cut = table(spark, d, "events"), F.lit("2024-01-20").cast("timestamp_ntz")
+    events, cut = table(spark, d, "events"), F.lit("2024-01-03").cast("timestamp_ntz")
     done = events.filter((F.col("ts").cast("timestamp_ntz") < cut) & (F.col("event_type") == "purchase"))
     return limits.pending(events.filter(F.col("ts").cast("timestamp_ntz") >= cut), done, ["user_id"]).select("event_id", "user_id")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from caselake import __main__ as command
 from caselake.functions import text, urls
 from caselake.operators import aggregate, dedupe, joins, limits
-from caselake.plans import bulk, listings
+from caselake.plans import bulk, catalogue, listings, rendered
 from caselake.register import register
 from caselake.sources import html, paged
 from caselake.streaming import incremental
@@ -259,3 +259,26 @@ def test_the_entry_works_without_the_separable_part(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; assert len(e.queries()) >= 50 and set(e.oracle_sql()) <= set(e.queries()); assert not any(q.startswith('op') for q in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+# ---- the catalogue ----
+
+
+@pytest.mark.parametrize("name", sorted(n for n, f in catalogue.QUERIES.items() if f.__module__ == rendered.__name__))
+def test_rendered_pages_equal_their_sql(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    for t in ("customer", "supplier", "part", "orders", "nation"):
+        duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    got = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    columns = sorted(got.columns)
+    want = duck.sql(f"SELECT {', '.join(columns)} FROM ({catalogue.SQL[name]})")
+    assert sorted(duck.sql(catalogue.SQL[name]).columns) == columns
+    rows = sorted(tuple(map(str, r)) for r in got.select(*columns).collect())
+    assert rows == sorted(tuple(map(str, r)) for r in want.fetchall()) and rows
+
+
+@pytest.mark.parametrize("name", ["dedupe_across_runs", "resume_antijoin"])
+def test_queries_of_increments_are_not_empty(spark, name):
+    assert catalogue.QUERIES[name](spark, "/root/testdata/sf0.01").count() > 0
