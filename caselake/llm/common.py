@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OWNED: set[str] = set()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -44,14 +45,28 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one, which goes when the driver ends."""
+    folder = f"{shared_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    if folder not in _OWNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWNED.add(folder)
+    return folder
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage with files that outlive any executor.  The shuffle
-    files behind them are given back as soon as the write has ended.
+    files behind them are given back as soon as the write has ended.  What
+    ``unstage`` does not delete before, as a lazy result still reads it, goes
+    with the application.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
