@@ -121,14 +121,14 @@ OP1_SQL = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 final AS (
-  SELECT conv_id, max(turn) AS last_turn, arg_max(text, turn) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
+  SELECT conv_id, max({'turn': turn, 'text': text}).turn AS last_turn, max({'turn': turn, 'text': text}).text AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
 r AS (
-  SELECT t.conv_id, turn, role, text FROM t LEFT JOIN final USING (conv_id) WHERE last_turn IS NULL OR turn < last_turn
+  SELECT t.conv_id, turn, role, text FROM t LEFT JOIN final USING (conv_id) WHERE last_turn IS NULL OR turn IS NULL OR turn < last_turn
   UNION ALL
   SELECT k.conv_id, 9223372036854775807, 'assistant', f.answer
   FROM (SELECT DISTINCT conv_id FROM t) k JOIN final f ON f.conv_id = xor(k.conv_id, 1)),
-a AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS a FROM t GROUP BY conv_id),
-b AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS b FROM r GROUP BY conv_id),
+a AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS a FROM t GROUP BY conv_id),
+b AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS b FROM r GROUP BY conv_id),
 ab AS (
   SELECT conv_id, a, coalesce(b, []) AS b FROM a LEFT JOIN b USING (conv_id)),
 cut AS (

@@ -340,6 +340,19 @@ def test_swapped_answers(spark):
     assert got == [(2, 0, "q"), (2, last, "B"), (3, 0, "r"), (3, last, "A"), (4, 0, "s")]
 
 
+def test_preferences_with_nulls_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from caselake.llm.preference import OP1_SQL, op1_preference
+
+    rows = [(2, None, "user", "early"), (2, 0, "user", None), (2, 1, "assistant", "A"), (3, 0, None, "r"), (3, 1, "assistant", None), (3, 1, "assistant", "B"), (4, 0, "user", "s"), (None, 0, "user", "x"), (5, 7, "assistant", "")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = op1_preference(spark, str(tmp_path))
+    want = duckdb.connect().execute(f"WITH conversations AS (SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'), {OP1_SQL.strip().removeprefix('WITH ')}")
+    columns = [c[0] for c in want.description]
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
+
+
 # ---- vectors ----
 
 
