@@ -6,6 +6,8 @@ and other wide spaces, so the class is spelled out.  Missing text counts as empt
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,40 +39,50 @@ def or_unknown(c: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
 
 
+def _begin(c: Column, name: Callable[[Column], Column], most: int) -> Column:
+    """The first ``most`` characters of ``name(c)``.
+
+    A name of a text's beginning is the beginning of the whole text's name, but
+    for its last character.  So a long text is read to its end only where its
+    beginning does not give enough characters.
+    """
+    near = name(F.substring(c, 1, 8 * most))
+    enough = (F.char_length(c) > 8 * most) & (F.char_length(near) > most + 1)
+    return F.substring(F.when(enough, near).otherwise(name(c)), 1, most)
+
+
 def slugify(c: Column | str, most: int = 60) -> Column:
     """Lower-case words of letters, digits and hyphens, joined by hyphens; ``unknown`` if nothing is left."""
-    kept = strip(F.regexp_replace(F.lower(text(c)), rf"[^\p{{L}}\p{{N}}_{WS}-]", ""))
-    joined = F.regexp_replace(F.regexp_replace(kept, f"[{WS}_]+", "-"), "-+", "-")
-    return or_unknown(strip(F.substring(joined, 1, most), "-"))
+    kept = lambda t: strip(F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{N}}_{WS}-]", ""))
+    joined = lambda t: F.regexp_replace(F.regexp_replace(kept(t), f"[{WS}_]+", "-"), "-+", "-")
+    return or_unknown(strip(_begin(text(c), joined, most), "-"))
 
 
 def folder_name(c: Column | str, most: int = 120) -> Column:
     """Forbidden characters go, white space becomes a hyphen; hyphens and dots go at the ends before the cut."""
-    kept = F.regexp_replace(text(c), f"[{FORBIDDEN}]", "")
-    return F.substring(strip(F.regexp_replace(kept, f"[{WS}]+", "-"), "-."), 1, most)
+    return _begin(text(c), lambda t: strip(F.regexp_replace(F.regexp_replace(t, f"[{FORBIDDEN}]", ""), f"[{WS}]+", "-"), "-."), most)
 
 
 def masked_name(c: Column | str, most: int = 200) -> Column:
     """Every forbidden character becomes an underscore."""
-    return F.substring(F.regexp_replace(text(c), f"[{FORBIDDEN}]", "_"), 1, most)
+    return F.regexp_replace(F.substring(text(c), 1, most), f"[{FORBIDDEN}]", "_")
 
 
 def word_name(c: Column | str, most: int = 200) -> Column:
     """Letters, digits, underscores and hyphens; white space becomes one underscore."""
-    kept = F.regexp_replace(text(c), rf"[^\p{{L}}\p{{N}}_{WS}-]", "")
-    return F.substring(strip(F.regexp_replace(kept, f"[{WS}]+", "_"), "_"), 1, most)
+    return _begin(text(c), lambda t: strip(F.regexp_replace(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}_{WS}-]", ""), f"[{WS}]+", "_"), "_"), most)
 
 
 def run_masked_name(c: Column | str, most: int = 180) -> Column:
     """Each run of forbidden characters becomes one underscore, white space one space; cut, then no space at the end."""
-    kept = F.regexp_replace(text(c), f"[{FORBIDDEN}]+", "_")
-    return F.rtrim(F.substring(strip(F.regexp_replace(kept, f"[{WS}]+", " ")), 1, most), F.lit(SPACES))
+    kept = lambda t: strip(F.regexp_replace(F.regexp_replace(t, f"[{FORBIDDEN}]+", "_"), f"[{WS}]+", " "))
+    return F.rtrim(_begin(text(c), kept, most), F.lit(SPACES))
 
 
 def listed_name(c: Column | str, allowed: str = r"A-Za-z0-9._ \-", ends: str = "._ ", most: int = 180, default: str = "file") -> Column:
     """Each run of characters outside the class ``allowed`` becomes an underscore; ``ends`` go at both ends."""
-    kept = strip(F.regexp_replace(clean_ws(c), f"[^{allowed}]+", "_"), ends)
-    return F.coalesce(F.nullif(F.substring(kept, 1, most), F.lit("")), F.lit(default))
+    kept = lambda t: strip(F.regexp_replace(clean_ws(t), f"[^{allowed}]+", "_"), ends)
+    return F.coalesce(F.nullif(_begin(text(c), kept, most), F.lit("")), F.lit(default))
 
 
 def header_name(c: Column | str) -> Column:

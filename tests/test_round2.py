@@ -107,6 +107,23 @@ def test_trims_equal_pythons(spark):
     assert got[4][2] == "a.-b"
 
 
+def test_names_of_long_texts_are_those_of_the_whole(spark):
+    """Texts whose beginnings give few characters, and cuts at every place of a run."""
+    import random
+
+    rng = random.Random(4)
+    texts = ["*" * 5000 + "abc def", " " * 4000 + "x", ("ab " * 900), "\u03a3" * 3000, "a" + "?" * 479 + "b" * 700, "_-. " * 700 + "end"]
+    texts += ["".join(rng.choice("aB1_-. *?\u00e9\u00a0/") for _ in range(rng.choice([470, 481, 960, 1441, 3000]))) for _ in range(60)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    functions = [text.slugify, text.folder_name, text.masked_name, text.word_name, text.run_masked_name, text.listed_name]
+    got = [tuple(r) for r in df.select(*[f("t") for f in functions]).collect()]
+    plain, text._begin = text._begin, lambda c, name, most: F.substring(name(c), 1, most)
+    try:
+        assert got == [tuple(r) for r in df.select(*[f("t") for f in functions]).collect()]
+    finally:
+        text._begin = plain
+
+
 # ---- extractors ----
 
 
