@@ -137,13 +137,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose full sets are similar, staged."""
+    """Those of the distinct ``pairs`` (a, b) whose full sets are similar, staged; rows that repeat an id may repeat a link."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = staged(_shingle_sets(docs.join(few(ids), "id", "left_semi"), k), "sets")
     a, b = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     held = pairs.join(a, "a").join(b, "b").select("a", "b", shared.alias("s"), (F.size("x") + F.size("y") - shared).alias("u"))
-    out = staged(held.filter(F.col("s") * 100 >= F.col("u") * percent).select("a", "b").distinct(), "links")
+    # no distinct here: it would tie the joins' tasks to their keys, and a hub's pairs could not be split
+    out = staged(held.filter(F.col("s") * 100 >= F.col("u") * percent).select("a", "b"), "links")
     unstage(sets)
     return out
 
