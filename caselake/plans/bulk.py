@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from caselake.functions import text, values
 from caselake.operators import dedupe, limits
 
-# The courts of appeals and the order in which an opinion's texts are tried.
+# The courts of appeals, their display names, and the order in which an opinion's texts are tried.
 COURTS = ("ca1", "ca2", "ca3", "ca4", "ca5", "ca6", "ca7", "ca8", "ca9", "ca10", "ca11", "cadc", "cafc")
 NAMES = {
-    "ca1": "First Circuit", "ca2": "Second Circuit", "ca3": "Third Circuit", "ca4": "Fourth Circuit", "ca5": "Fifth Circuit", "ca6": "Sixth Circuit", "ca7": "Seventh Circuit",
-    "ca8": "Eighth Circuit", "ca9": "Ninth Circuit", "ca10": "Tenth Circuit", "ca11": "Eleventh Circuit", "cadc": "D.C. Circuit", "cafc": "Federal Circuit",
+    "ca1": "1st Circuit", "ca2": "2nd Circuit", "ca3": "3rd Circuit", "ca4": "4th Circuit", "ca5": "5th Circuit", "ca6": "6th Circuit", "ca7": "7th Circuit",
+    "ca8": "8th Circuit", "ca9": "9th Circuit", "ca10": "10th Circuit", "ca11": "11th Circuit", "cadc": "DC Circuit", "cafc": "Federal Circuit",
 }
 TEXT_FIELDS = ("html_with_citations", "html_columbia", "html_lawbox", "html_anon_2020", "html", "xml_harvard", "plain_text")
 
