@@ -31,7 +31,8 @@ from .near_duplicates import few
 MAX_TRAIN_ROWS = 20_000
 #: Bound on the number of cells, about the square root of the number of vectors below it.
 MAX_CELLS = 16_384
-BLOCK_ROWS, BLOCK_QUERIES = 8192, 2048
+#: A shard's vectors, and the queries that meet them in one task.
+BLOCK_ROWS, BLOCK_QUERIES = 2048, 512
 
 
 def _kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:

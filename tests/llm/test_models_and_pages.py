@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from caselake.llm import ann
 from caselake.llm.ann import Index, _classes, fit_index, search, valid_vectors
 from caselake.llm.main_text import _blocks, _events, _match, _tree, extract_main_text, induce
 from caselake.llm.mixing import mix_to_targets
@@ -443,7 +444,8 @@ def test_clustered_vectors_need_few_cells(spark):
     assert np.mean([len(found[q] & set(w.tolist())) / 20 for q, w in zip(queries, want)]) >= 0.9
 
 
-def test_shards_are_of_bounded_size():
+def test_shards_are_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 8192)
     index = Index(np.zeros((6, 2)), [np.zeros((1, 2))], np.zeros(1), np.zeros((1, 2)), 0.0)
     index.pack(np.array([5000, 3000, 3000, 20_000, 0, 10]))
     assert index.shard.tolist() == [0, 0, 1, 2, 5, 5] and index.n_shards.tolist() == [1, 1, 1, 3, 1, 1]
