@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontamination, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
+from . import ann, decontamination, exact_search, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": substrings.op8_substrings,
         "op9_secrets": secrets.op9_secrets,
         "op10_ann": ann.op10_ann,
+        "op11_exact_search": exact_search.op11_exact_search,
         "url_rules": url_filter.url_rules,
     }
 
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_preference": preference.OP1_SQL,
         "op2_near_duplicates": near_duplicates.OP2_SQL,
         "op8_substrings": substrings.OP8_SQL,
+        "op11_exact_search": exact_search.OP11_SQL,
         "url_rules": url_filter.URL_RULES_SQL,
     }
