@@ -1,5 +1,6 @@
 """Exact search, vector codes and phrases against brute force, and on awkward rows."""
 
+import hashlib
 import math
 import random
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caselake.llm import exact_search
+from caselake.llm import exact_search, vector_codes
 
 VECTORS = "vec_id bigint, embedding array<double>, label int"
 
@@ -71,3 +72,61 @@ def test_products_and_floors_at_the_ends_of_the_range():
     assert exact_search.scaled(np.array([1e308, -1e308, -0.001, 0.0])).tolist() == [2**63 - 1, -(2**63), -1, 0]
     score = np.array([[5, -(2**63), 2**63 - 1, 5]], np.int64)
     assert exact_search.best(score, np.array([[True, True, True, False]]), 3).tolist() == [[2, 0, 1]]
+
+
+# ---- codes of vectors ----
+
+
+def brute_codes(rows, parts, entries, rounds):
+    """Plainly, in Python's integers: rows of vec_id, code, error and label_error, and the codebooks' digest."""
+    fine = [r for r in rows if r[1] and all(x is not None and math.isfinite(x) for x in r[1])]
+    widths = [len(r[1]) for r in fine]
+    width = min(set(widths), key=lambda w: (-widths.count(w), w))
+    fine = sorted((r for r in fine if len(r[1]) == width), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    ints = [[min(max(math.floor(256 * x) if abs(x) < 2**50 else 256 * int(x), -(2**63)), 2**63 - 1) for x in r[1]] for r in fine]
+    step = -(-width // parts)
+    cut = [[v[p * step : (p + 1) * step] for p in range(parts)] for v in ints]
+    books = [[list(v[p]) for v in cut[:entries]] for p in range(parts)]
+
+    def near(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), n) for n, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            codes = [near(v[p], books[p])[1] for v in cut]
+            for n in set(codes):
+                own = [v[p] for v, c in zip(cut, codes) if c == n]
+                books[p][n] = [sum(x) // len(own) for x in zip(*own)]
+    found = [[near(v[p], books[p]) for p in range(parts)] for v in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    cap = lambda x: min(x, 2**63 - 1)
+    by_label = {r[2]: sum(cap(e) for e, s in zip(errors, fine) if s[2] == r[2]) for r in fine}
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return sorted(((-1 if r[0] is None else r[0]), bytes(n for _, n in f).hex(), cap(e), cap(by_label[r[2]]), digest) for r, f, e in zip(fine, found, errors))
+
+
+@pytest.mark.parametrize("case", ["plain", "uneven", "few", "huge"])
+def test_codes_equal_brute_force(spark, case):
+    width, parts, entries = {"plain": (8, 4, 16), "uneven": (7, 4, 5), "few": (6, 16, 64), "huge": (8, 2, 20)}[case]
+    rows = vectors(5, 12 if case == "few" else 200, width) + [(9, [0.5] * width, None), (None, [0.25] * width, 3), (9, [0.5] * width, None)] + [r for r in awkward() if r[1] != [0.5] * 8]
+    if case != "huge":
+        rows = [r for r in rows if not r[1] or all(x is None or not math.isfinite(x) or abs(x) < 1e6 for x in r[1])]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, VECTORS).withColumn("code", F.lit("x")).withColumn("_label", F.lit(1)).repartition(3)
+    got = vector_codes.compress(df, parts=parts, entries=entries).fillna({"vec_id": -1})
+    assert sorted((r.vec_id, bytes(r.code).hex(), r.error, r.label_error, r.codebooks_sha256) for r in got.collect()) == brute_codes(rows, parts, entries, 2)
+
+
+def test_codes_of_no_vectors(spark):
+    df = spark.createDataFrame(awkward()[:5], VECTORS).filter("vec_id IS NOT NULL")
+    assert vector_codes.compress(df).count() == 0 and vector_codes.compress(df.limit(0)).count() == 0
+
+
+def test_partial_distances_find_the_nearest():
+    rng = np.random.default_rng(8)
+    for spread in (2, 50, 2**40):
+        book, v = rng.integers(-spread, spread, (37, 5)), rng.integers(-spread, spread, (500, 5))
+        gap = v[:, None].astype(object) - book[None].astype(object)
+        full = (gap * gap).sum(2)
+        code, best = vector_codes.Codebook(book).nearest(v)
+        assert code.tolist() == [min(range(37), key=lambda e: (f[e], e)) for f in full] and [int(b) for b in best] == [min(f) for f in full]
