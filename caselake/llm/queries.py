@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontamination, exact_search, main_text, mixing, near_duplicates, preference, secrets, substrings, toxicity, url_filter, vector_codes
+from . import ann, decontamination, exact_search, main_text, mixing, near_duplicates, phrases, preference, secrets, substrings, toxicity, url_filter, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": secrets.op9_secrets,
         "op10_ann": ann.op10_ann,
         "op11_exact_search": exact_search.op11_exact_search,
+        "op12_phrases": phrases.op12_phrases,
         "op13_vector_codes": vector_codes.op13_vector_codes,
         "url_rules": url_filter.url_rules,
     }
@@ -33,6 +34,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_near_duplicates": near_duplicates.OP2_SQL,
         "op8_substrings": substrings.OP8_SQL,
         "op11_exact_search": exact_search.OP11_SQL,
+        "op12_phrases": phrases.OP12_SQL,
         "op13_vector_codes": vector_codes.OP13_SQL,
         "url_rules": url_filter.URL_RULES_SQL,
     }

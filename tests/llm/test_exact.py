@@ -3,12 +3,14 @@
 import hashlib
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caselake.llm import exact_search, vector_codes
+from caselake.llm import exact_search, phrases, vector_codes
 
 VECTORS = "vec_id bigint, embedding array<double>, label int"
 
@@ -130,3 +132,75 @@ def test_partial_distances_find_the_nearest():
         full = (gap * gap).sum(2)
         code, best = vector_codes.Codebook(book).nearest(v)
         assert code.tolist() == [min(range(37), key=lambda e: (f[e], e)) for f in full] and [int(b) for b in best] == [min(f) for f in full]
+
+
+# ---- phrases ----
+
+DOCS = "lang string, text string"
+
+
+def brute_phrases(rows, least, longest, most):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                f.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    out = {}
+    for (lang, p), a in f.items():
+        if len(p) < 2 or a < least:
+            continue
+        if any(g == lang and len(q) > len(p) and 100 * b >= 100 * a and any(q[i : i + len(p)] == p for i in range(len(q))) for (g, q), b in f.items() if b >= least):
+            continue
+        cuts = [(1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p))]
+        score, k = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]], n[lang]))
+    return sorted((lang, i, p.decode(), -a, x, y, m, -s) for lang, found in out.items() for i, (s, a, p, x, y, m) in enumerate(sorted(found)[:most], 1))
+
+
+def prose(seed, n=60):
+    rng = random.Random(seed)
+    common = ["the", "of", "É", "été", "court", "THE", "x-y", "a\x00b", "　", "naïve"]
+    passage = "By Order of the court it is so ordered"
+    rows = [(None, None), ("en", ""), ("en", " \t\n"), (None, "the of the of"), ("und", "The OF the"), ("", "the of the"), ("en", "a a a a a a a")]
+    for i in range(n):
+        words = [rng.choice(common) for _ in range(rng.randint(0, 60))]
+        if i % 3 == 0:
+            words.insert(rng.randint(0, len(words)), passage)
+        rows.append((rng.choice(["en", "fr", None]), "".join(w + rng.choice([" ", "  ", "\t", " ", " ", ". ", ",", "\n", "\x0b"]) for w in words)))
+    return rows + [rows[-1]] * 2
+
+
+@pytest.mark.parametrize("sizes", [(1 << 20, 1 << 20, 1 << 26), (64, 3, 1 << 10)])
+def test_phrases_equal_brute_force(spark, monkeypatch, sizes):
+    for name, value in zip(("TEXT_BYTES", "MOST_HASHES", "BITMAP_BITS"), sizes):
+        monkeypatch.setattr(phrases, name, value)
+    rows = prose(4)
+    df = spark.createDataFrame(rows, DOCS).withColumn("phrase", F.lit("x")).withColumn("f", F.lit(1)).repartition(3)
+    for least, longest, most in ((4, 5, 2000), (9, 3, 7)):
+        got = phrases.collocations(df, least, longest, most)
+        assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+        assert sorted(map(tuple, got.collect())) == brute_phrases(rows, least, longest, most)
+
+
+def test_phrases_of_a_long_text_and_of_nothing(spark):
+    rng = random.Random(6)
+    text = " ".join(rng.choice(["one", "two", "three.", "f" * 9000]) for _ in range(3000)) + " \t" * 5000 + "one two"
+    rows = [("en", text * 2), ("en", "w" * 3_000_000), ("en", "one two")]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted(map(tuple, phrases.collocations(df, 20, 5).collect()))
+    assert got == brute_phrases(rows, 20, 5, 2000) and len(got) > 20
+    assert phrases.collocations(df.limit(0)).count() == 0 and phrases.collocations(df, 10**6).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 5])
+def test_parts_of_a_long_text_hold_each_run_of_words_once(monkeypatch, k):
+    rng = random.Random(k)
+    for size in (1, 7, 50, 5000):
+        monkeypatch.setattr(phrases, "TEXT_BYTES", size)
+        text = "".join(rng.choice("ab é.\t") for _ in range(4000))
+        runs = lambda t: Counter(tuple(w) for w in zip(*[re.findall(r"[^ .\t]+", t)[j:] for j in range(k)]))
+        assert sum((runs(p.decode()) for p in phrases._pieces(text, k)), Counter()) == runs(text)
