@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,13 +37,13 @@ def decoded(c: Column) -> Column:
 
 def is_pdf(c: Column | str) -> Column:
     """True if path and query, decoded, name a PDF."""
-    return F.contains(F.lower(decoded(F.concat_ws("?", path(c), query(c)))), F.lit(".pdf"))
+    return bound(text(c), lambda t: F.contains(F.lower(bound(F.concat_ws("?", path(t), query(t)), decoded)), F.lit(".pdf")))
 
 
 def looks_like_pdf(c: Column | str) -> Column:
     """As ``is_pdf``, or an address that asks for that format."""
-    low = F.lower(text(c))
-    return is_pdf(c) | F.contains(low, F.lit("filetype=pdf")) | F.contains(low, F.lit("format=pdf"))
+    asked = lambda low: F.contains(low, F.lit("filetype=pdf")) | F.contains(low, F.lit("format=pdf"))
+    return bound(text(c), lambda t: is_pdf(t) | asked(F.lower(t)))
 
 
 def parameter(c: Column | str, name: str) -> Column:
@@ -63,12 +65,44 @@ def base_name(c: Column | str, default: str = "") -> Column:
     return F.coalesce(first_filled(F.substring_index(path(c), "/", -1)), F.lit(default))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is named there.
+
+    Plain columns are put in wherever they are named, so that an expression of
+    several steps would be planned and evaluated many times over.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _without_dots(parts: Column) -> Column:
     """A path's parts without . and .., which takes the part before it along."""
     step = lambda kept, x: F.when(x == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.concat(kept, F.array(x)))
     whole = F.aggregate(parts, F.array().cast("array<string>"), step)
-    open_ = F.element_at(parts, -1).isin(".", "..")
-    return F.when(open_, F.concat(whole, F.array(F.lit("")))).otherwise(whole)
+    return F.concat(whole, F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+
+
+def _from_folder(from_path: Column, to_path: Column) -> Column:
+    """The parts of a path as seen from the folder of another one, without empty ones inside."""
+    folder = bound(F.split(from_path, "/"), lambda p: F.when(F.element_at(p, -1) != "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
+    both = F.concat(folder, F.split(to_path, "/"))
+    return bound(both, lambda p: F.when(F.size(p) > 2, F.concat(F.slice(p, 1, 1), F.filter(F.slice(p, F.lit(2), F.size(p) - 2), lambda x: x != ""), F.slice(p, -1, 1))).otherwise(p))
+
+
+def _with_path(a: Column) -> Column:
+    """The address of a relative reference: root and from of its base, path and rest of its own."""
+    parts = F.when(F.startswith(a["path"], F.lit("/")), F.split(a["path"], "/")).otherwise(_from_folder(a["from"], a["path"]))
+    slash = lambda joined: F.when((joined == "") | (F.contains(a["root"], F.lit("//")) & ~F.startswith(joined, F.lit("/"))), "/").otherwise("")
+    return bound(F.array_join(bound(parts, _without_dots), "/"), lambda joined: F.concat(a["root"], slash(joined), joined, a["rest"]))
+
+
+def _relative(b: Column, h: Column) -> Column:
+    """A reference without scheme and host, seen from a base."""
+    split = F.named_struct(
+        F.lit("root"), F.regexp_extract(b, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?)", 1), F.lit("from"), path(b), F.lit("query"), F.regexp_extract(b, r"^[^?#]*(\?[^#]*)?", 1),
+        F.lit("path"), F.regexp_extract(h, r"^([^?#]*)", 1), F.lit("rest"), F.regexp_replace(F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1), r"^\?(?=#|$)|#$", ""),
+    )
+    same_path = lambda a: F.concat(a["root"], a["from"], F.when(F.startswith(a["rest"], F.lit("?")), a["rest"]).otherwise(F.concat(a["query"], a["rest"])))
+    return bound(split, lambda a: F.when(a["path"] == "", same_path(a)).otherwise(_with_path(a)))
 
 
 def resolved(base: Column | str, href: Column | str) -> Column:
@@ -76,25 +110,15 @@ def resolved(base: Column | str, href: Column | str) -> Column:
 
     An address with a scheme stands as it is; an empty one is the base.
     """
-    b, h = text(base), text(href)
-    root = F.regexp_extract(b, r"^((?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?)", 1)
-    from_path, from_query = path(b), F.regexp_extract(b, r"^[^?#]*(\?[^#]*)?", 1)
-    to_path = F.regexp_extract(h, r"^([^?#]*)", 1)
-    rest = F.regexp_replace(F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1), r"^\?(?=#|$)|#$", "")
-    parts, new = F.split(from_path, "/"), F.split(to_path, "/")
-    folder = F.when(F.element_at(parts, -1) != "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
-    both = F.concat(folder, new)
-    inner = F.filter(F.slice(both, F.lit(2), F.greatest(F.size(both) - 2, F.lit(0))), lambda x: x != "")
-    flat = F.when(F.size(both) > 2, F.concat(F.slice(both, 1, 1), inner, F.slice(both, -1, 1))).otherwise(both)
-    joined = F.array_join(_without_dots(F.when(F.startswith(to_path, F.lit("/")), new).otherwise(flat)), "/")
-    slash = F.when((joined == "") | (F.contains(root, F.lit("//")) & ~F.startswith(joined, F.lit("/"))), "/").otherwise("")
-    whole = F.concat(root, slash, joined, rest)
-    query_only = F.concat(root, from_path, F.when(F.startswith(rest, F.lit("?")), rest).otherwise(F.concat(from_query, rest)))
-    return (
-        F.when(h == "", b).when((b == "") | h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
-        .when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?", 1), h))
-        .when(to_path == "", query_only).otherwise(whole)
-    )
+
+    def seen(x: Column) -> Column:
+        b, h = x["b"], x["h"]
+        return (
+            F.when(h == "", b).when((b == "") | h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
+            .when(F.startswith(h, F.lit("//")), F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?", 1), h)).otherwise(_relative(b, h))
+        )
+
+    return bound(F.named_struct(F.lit("b"), text(base), F.lit("h"), text(href)), seen)
 
 
 def built(base: str, **parameters: Column) -> Column:
@@ -105,9 +129,10 @@ def built(base: str, **parameters: Column) -> Column:
 
 def normalized(c: Column | str, base: Column | str) -> Column:
     """Trimmed, given a scheme, resolved from ``base`` (an address, or a column of them); empty unless that is a web address."""
-    bare = strip(text(c))
-    whole = F.when(F.startswith(bare, F.lit("//")), F.concat(F.lit("https:"), bare)).otherwise(resolved(F.lit(base) if isinstance(base, str) else base, bare))
-    return F.when((bare != "") & is_http(whole), whole).otherwise("")
+    from_ = F.lit(base) if isinstance(base, str) else base
+    whole = lambda bare: F.when(F.startswith(bare, F.lit("//")), F.concat(F.lit("https:"), bare)).otherwise(resolved(from_, bare))
+    web = lambda bare: bound(whole(bare), lambda w: F.when(is_http(w), w).otherwise(""))
+    return bound(strip(text(c)), lambda bare: F.when(bare != "", web(bare)).otherwise(""))
 
 
 def unescaped(c: Column | str) -> Column:

@@ -7,6 +7,8 @@ expressions and windows within a page.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,15 +144,21 @@ def results_table(pages: DataFrame, signs: tuple[str, ...] = ("supreme court", "
     )
 
 
-def address_of_element(href: Column, attrs: Column, base: Column) -> Column:
-    """Of an element's link, then the values of its attributes, the first that is a PDF's address or holds one; else empty."""
-    def address(value: Column) -> Column:
-        whole = urls.normalized(value, base)
-        return F.coalesce(F.when(urls.looks_like_pdf(whole) & (whole != ""), whole), urls.pdf_in_text(value))
+def _first(values: Column, found: Callable[[Column], Column]) -> Column:
+    """What ``found`` gives for the first value for which that is neither null nor empty; else empty.  Later ones are not looked at."""
+    return F.aggregate(values, F.lit(""), lambda held, x: F.when(held != "", held).otherwise(F.coalesce(found(x), F.lit(""))))
+
+
+def _document(value: Column, base: Column) -> Column:
+    """The address itself if it looks like a PDF's, else the first one of a PDF in the text."""
+    whole = urls.bound(urls.normalized(value, base), lambda w: F.when((w != "") & urls.looks_like_pdf(w), w))
+    return F.coalesce(whole, urls.pdf_in_text(value))
+
 
-    all_ = F.concat(F.array(F.coalesce(href, F.lit(""))), F.coalesce(attrs, F.array().cast("array<string>")))
-    found = F.filter(F.transform(all_, address), lambda x: F.coalesce(x, F.lit("")) != "")
-    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+def address_of_element(items: Column, base: Column) -> Column:
+    """Of some elements' links and the values of their attributes, in order, the first that is a PDF's address or holds one; else empty."""
+    values = F.flatten(F.transform(items, lambda i: F.concat(F.array(F.coalesce(i["href"], F.lit(""))), F.coalesce(i["attrs"], F.array().cast("array<string>")))))
+    return _first(values, lambda v: _document(v, base))
 
 
 # Where a result's record may name its document, in order.
@@ -173,11 +181,11 @@ def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResu
     rows = elements(pages, {"result": (result, parts)}, inner=("result",))
     n = F.row_number().over(Window.partitionBy("url").orderBy(_e("position")))
     last = lambda name: F.coalesce(F.try_element_at(F.col(f"{E}.parts")[name], F.lit(-1))["text"], F.lit(""))
-    of = lambda name: address_of_element(F.get(F.col(f"{E}.parts")[name], F.lit(0))["href"], F.get(F.col(f"{E}.parts")[name], F.lit(0))["attrs"], F.col("url"))
+    links = F.flatten(F.array(*[F.slice(F.col(f"{E}.parts")[f"l{k}"], 1, 1) for k in range(6)]))
     records = F.flatten(F.transform(F.slice(F.col(f"{E}.parts")["record"], 1, 5), lambda x: F.flatten(F.transform(x["attrs"], lambda v: F.array(v, urls.unescaped(v))))))
-    told = F.flatten(F.transform(records, lambda r: F.array(*[urls.normalized(F.coalesce(F.get_json_object(r, k), F.lit("")), F.col("url")) for k in RECORD_KEYS])))
-    record = F.get(F.filter(told, lambda x: F.coalesce(x, F.lit("")) != ""), F.lit(0))
-    pdf = text.first_filled(*[of(f"l{k}") for k in range(6)], urls.normalized(_part("uri"), F.col("url")), record, urls.pdf_in_text(_e("inner")))
+    told = lambda r: _first(F.array(*[F.coalesce(F.get_json_object(r, k), F.lit("")) for k in RECORD_KEYS]), lambda v: urls.normalized(v, F.col("url")))
+    # in order, each looked at only if those before have no address
+    pdf = text.first_filled(address_of_element(links, F.col("url")), urls.normalized(_part("uri"), F.col("url")), _first(records, told), urls.pdf_in_text(_e("inner")))
     return rows.withColumn("n", n).select(
         "url", F.col("n").alias("row"), F.coalesce(text.first_filled(_part("title")), F.concat(F.lit("row_"), F.col("n").cast("string"))).alias("title"), _part("date").alias("date"), _part("excerpt").alias("excerpt"),
         *[last(c).alias(c) for c in ("publication", "source", "size", "pages")], F.coalesce(pdf, F.lit("")).alias("pdf_url"),
