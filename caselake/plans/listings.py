@@ -48,7 +48,7 @@ def _carried(kind: str, alias: str, rows: DataFrame, value: Column) -> DataFrame
 
 def year_links(pages: DataFrame, level: str | None = None, status: str | None = None) -> DataFrame:
     """Links whose text begins with a year, latest first; for one court level and publication status if given."""
-    rows = elements(pages, {"a": ("a[href]", {})})
+    rows = elements(pages, {"a": ("a[href]", {})}, fields=())
     year, href = F.regexp_extract(_e("text"), r"^(\d{4})\b", 1), _e("href")
     kept = rows.filter(year != "")
     if level:
@@ -60,7 +60,7 @@ def year_links(pages: DataFrame, level: str | None = None, status: str | None =
 
 def opinion_counts(pages: DataFrame, sign: str = "showOpinion") -> DataFrame:
     """How many links of each page show an opinion; pages without one have none."""
-    rows = elements(pages, {"a": ("a[href]", {})}).filter(F.contains(_e("href"), F.lit(sign)))
+    rows = elements(pages, {"a": ("a[href]", {})}, fields=()).filter(F.contains(_e("href"), F.lit(sign)))
     return pages.select("url").distinct().join(rows.groupBy("url").agg(F.count("*").alias("n")), "url", "left").select("url", F.coalesce("n", F.lit(0).cast("bigint")).alias("n_opinions"))
 
 
@@ -81,12 +81,12 @@ def case_tables(pages: DataFrame) -> DataFrame:
 
     Rows without a number or a link go, as do headings.
     """
-    return _case_rows(elements(pages, {"row": ("table tr", {"cell": "td"})}))
+    return _case_rows(elements(pages, {"row": ("table tr", {"cell": "td"})}, fields=()))
 
 
 def plain_case_tables(pages: DataFrame) -> DataFrame:
     """Rows of four cells or more, of either kind: date, number, title, further text; the first row of a table that has others is its heading."""
-    marks = elements(pages, {"table": ("table", {"row": "tr"}), "row": ("table tr", {"cell": "td, th"})})
+    marks = elements(pages, {"table": ("table", {"row": "tr"}), "row": ("table tr", {"cell": "td, th"})}, fields=())
     w = Window.partitionBy("url").orderBy(_e("position")).rowsBetween(Window.unboundedPreceding, 0)
     table = F.last(F.when(_e("kind") == "table", F.struct(_e("position").alias("at"), F.size(F.col(f"{E}.parts")["row"]).alias("n"))), ignorenulls=True).over(w)
     rows = marks.withColumn("table", table).filter(_e("kind") == "row")
@@ -101,7 +101,7 @@ def plain_case_tables(pages: DataFrame) -> DataFrame:
 
 def month_tables(pages: DataFrame) -> DataFrame:
     """As ``case_tables``, with the month of the heading above the table, else of the date; without either a row goes."""
-    marks = elements(pages, {"month": ("h2, h3, h4", {}), "table": ("table", {}), "row": ("table tr", {"cell": "td"})})
+    marks = elements(pages, {"month": ("h2, h3, h4", {}), "table": ("table", {}), "row": ("table tr", {"cell": "td"})}, fields=())
     marks = _carried("month", "heading", marks, text.month_in(_e("text")))
     marks = _carried("table", "above", marks, F.struct("heading"))
     cases = _case_rows(marks.filter(_e("kind") == "row"), F.col("above.heading").alias("heading"))
@@ -115,7 +115,7 @@ def results_table(pages: DataFrame, signs: tuple[str, ...] = ("supreme court", "
     in its second line, the title; the next two are numbers of other courts,
     and stand in ``named`` by their headings too.  The first row is the heading.
     """
-    marks = elements(pages, {"table": ("table", {"head": "tr > th"}), "row": ("table tr", {"cell": "td"}), "cell": ("tr > td", {"link": "a"})})
+    marks = elements(pages, {"table": ("table", {"head": "tr > th"}), "row": ("table tr", {"cell": "td"}), "cell": ("tr > td", {"link": "a"})}, fields=("lines",))
     heads = F.transform(F.col(f"{E}.parts")["head"], lambda x: x["text"])
     line = F.lower(F.array_join(heads, " "))
     fits = F.lit(True)
@@ -178,7 +178,7 @@ def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResu
         **{name: field(at) for name, at in (("publication", "publicationtype"), ("source", "source"), ("size", "size"), ("pages", "syspages"), ("uri", "uri"))},
         "l0": "a.CoveoResultLink", "l1": ".coveo-result-cell.c-title a[href]", "l2": "a[href$=.pdf]", "l3": "a[href*=.pdf?]", "l4": "a[href*=.PDF]", "l5": ".CoveoResultLink", "record": "[data-result]",
     }
-    rows = elements(pages, {"result": (result, parts)}, inner=("result",))
+    rows = elements(pages, {"result": (result, parts)}, inner=("result",), fields=())
     n = F.row_number().over(Window.partitionBy("url").orderBy(_e("position")))
     last = lambda name: F.coalesce(F.try_element_at(F.col(f"{E}.parts")[name], F.lit(-1))["text"], F.lit(""))
     links = F.flatten(F.array(*[F.slice(F.col(f"{E}.parts")[f"l{k}"], 1, 1) for k in range(6)]))
@@ -194,7 +194,7 @@ def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResu
 
 def result_cards(pages: DataFrame) -> DataFrame:
     """Cards of a search: number (else the doc_no of its link), court and kind, title, date, first PDF."""
-    rows = elements(pages, {"card": ("div.result-excerpt", {"number": ".case-number", "title": ".title, h3", "date": ".date", "notation": ".notation", "link": "a[href]"})})
+    rows = elements(pages, {"card": ("div.result-excerpt", {"number": ".case-number", "title": ".title, h3", "date": ".date", "notation": ".notation", "link": "a[href]"})}, fields=("links",))
     info = urls.resolved("url", _part("link", 0, "href"))
     number = F.coalesce(text.first_filled(_part("number")), urls.parameter(_part("link", 0, "href"), "doc_no"), F.lit(""))
     both = text.split_once(_part("notation"), "•")
@@ -208,7 +208,7 @@ def result_cards(pages: DataFrame) -> DataFrame:
 
 def badge_cards(pages: DataFrame, card: str = "article.w-100 div.card.mb-3") -> DataFrame:
     """Cards with a number and a court as badges; the description is the body of the dialog they point to."""
-    rows = elements(pages, {"card": (card, {"badge": ".badge", "title": ".card-title", "link": ".card-title a[href]", "date": "time, .date", "pdf": "a[href*=.pdf]", "target": "[data-bs-target]"}), "dialog": (".modal[id]", {"p": ".modal-body p"})})
+    rows = elements(pages, {"card": (card, {"badge": ".badge", "title": ".card-title", "link": ".card-title a[href]", "date": "time, .date", "pdf": "a[href*=.pdf]", "target": "[data-bs-target]"}), "dialog": (".modal[id]", {"p": ".modal-body p"})}, fields=())
     dialogs = rows.filter(_e("kind") == "dialog").select("url", _e("id").alias("dialog"), F.array_join(_texts("p"), " ").alias("description"))
     cards = rows.filter(_e("kind") == "card").select(
         "url", _e("position").alias("position"), _part("date").alias("date"), _part("badge", 0).alias("no"), _part("badge", 1).alias("court"), _part("title").alias("case_name"),
@@ -220,7 +220,7 @@ def badge_cards(pages: DataFrame, card: str = "article.w-100 div.card.mb-3") ->
 
 def dated_articles(pages: DataFrame, court: str | None = None) -> DataFrame:
     """Articles whose filled spans are court, docket and status, or docket and status if ``court`` is given."""
-    rows = elements(pages, {"article": ("article", {"span": "span", "title": "h2, h3", "link": "h2 a[href], h3 a[href]", "text": "p", "pdf": "a[href*=.pdf]", "zip": "a[href*=.zip]", "date": "time, .date"})})
+    rows = elements(pages, {"article": ("article", {"span": "span", "title": "h2, h3", "link": "h2 a[href], h3 a[href]", "text": "p", "pdf": "a[href*=.pdf]", "zip": "a[href*=.zip]", "date": "time, .date"})}, fields=())
     spans, n = _texts("span"), F.size(_texts("span"))
     at = lambda k: F.coalesce(F.get(spans, F.lit(k)), F.lit(""))
     last = F.coalesce(F.try_element_at(spans, F.lit(-1)), F.lit(""))
@@ -234,7 +234,7 @@ def dated_articles(pages: DataFrame, court: str | None = None) -> DataFrame:
 
 def metadata_items(pages: DataFrame, item: str = "li.result") -> DataFrame:
     """Items with a line of metadata: court, date and, joined by bars, the rest."""
-    rows = elements(pages, {"item": (item, {"id": ".case-id", "title": ".title", "link": "a[href]", "meta": ".meta"})})
+    rows = elements(pages, {"item": (item, {"id": ".case-id", "title": ".title", "link": "a[href]", "meta": ".meta"})}, fields=())
     meta = F.transform(F.col(f"{E}.parts")["meta"], lambda x: x["text"])
     return rows.select(
         "url", _part("id").alias("case_id"), _part("title").alias("title"), F.coalesce(F.get(meta, F.lit(0)), F.lit("")).alias("court"), F.coalesce(F.get(meta, F.lit(1)), F.lit("")).alias("date"),
@@ -244,7 +244,7 @@ def metadata_items(pages: DataFrame, item: str = "li.result") -> DataFrame:
 
 def grid_rows(pages: DataFrame, row: str = "[role=row]") -> DataFrame:
     """Rows of a grid by the number of their columns; the last PDF in a cell wins, else one of the row."""
-    rows = elements(pages, {"row": (row, {})})
+    rows = elements(pages, {"row": (row, {})}, fields=("links", "cells"))
     by = lambda k: F.coalesce(F.get(F.filter(_e("cells"), lambda c: c["column"] == str(k)), F.lit(0))["text"], F.lit(""))
     pdfs = lambda c: F.filter(F.transform(c, lambda x: x["href"]), lambda h: F.contains(F.lower(h), F.lit(".pdf")))
     pdf = F.coalesce(F.try_element_at(pdfs(_e("cells")), F.lit(-1)), F.get(pdfs(_e("links")), F.lit(0)))
@@ -259,7 +259,7 @@ def sectioned_items(pages: DataFrame, pattern: str = r"\b(S\d{2}[A-Z]\d{4})\b")
 
     An item needs a date above it, a PDF and a case number.
     """
-    rows = elements(pages, {"month": ("h3", {}), "date": ("p > strong", {}), "item": ("ul > li", {})})
+    rows = elements(pages, {"month": ("h3", {}), "date": ("p > strong", {}), "item": ("ul > li", {})}, fields=("links",))
     rows = _carried("date", "date", _carried("month", "month", rows, _e("text")), text.before_dash(_e("text")))
     pdf = _first_link(lambda h: F.contains(F.lower(h), F.lit(".pdf")))
     items = rows.filter((_e("kind") == "item") & F.col("date").isNotNull() & (pdf != ""))
@@ -268,7 +268,7 @@ def sectioned_items(pages: DataFrame, pattern: str = r"\b(S\d{2}[A-Z]\d{4})\b")
 
 def term_links(pages: DataFrame) -> DataFrame:
     """Links to the pages of single terms, latest first."""
-    rows = elements(pages, {"a": ("a[href]", {})}).filter(F.regexp_like(_e("href"), F.lit(r"(?:^|/)slipopinion/\d{2}/?$")))
+    rows = elements(pages, {"a": ("a[href]", {})}, fields=()).filter(F.regexp_like(_e("href"), F.lit(r"(?:^|/)slipopinion/\d{2}/?$")))
     nn = F.regexp_extract(_e("href"), r"(\d{2})/?$", 1).cast("int")
     return rows.select(urls.resolved("url", _e("href")).alias("term_url"), nn.alias("nn")).distinct().orderBy(F.desc("nn"))
 
@@ -276,7 +276,7 @@ def term_links(pages: DataFrame) -> DataFrame:
 def term_rows(pages: DataFrame) -> DataFrame:
     """Opinions of a term: number, date (M/D/YY), docket, name, justice and citation; headings and revisions go."""
     marks = pages.withColumn("term_year", dates.term_year("html", "url"))
-    rows = elements(marks, {"row": ("tr", {"cell": "td"})}).filter(F.size(F.col(f"{E}.parts")["cell"]) >= 5)
+    rows = elements(marks, {"row": ("tr", {"cell": "td"})}, fields=("links",)).filter(F.size(F.col(f"{E}.parts")["cell"]) >= 5)
     head = (F.lower(_part("cell", 0)) == "r-") | F.startswith(_e("text"), F.lit("Revisions:"))
     link = _first_link(lambda h: F.contains(F.lower(h), F.lit(".pdf")))
     cells = F.transform(F.col(f"{E}.parts")["cell"], lambda x: x["text"])
@@ -287,14 +287,14 @@ def term_rows(pages: DataFrame) -> DataFrame:
 
 def next_pages(pages: DataFrame) -> DataFrame:
     """The address each page names as the next one."""
-    rows = elements(pages, {"next": ("a[rel=next], link[rel=next]", {}), "other": (".pager-next a[href], a.next", {})})
+    rows = elements(pages, {"next": ("a[rel=next], link[rel=next]", {}), "other": (".pager-next a[href], a.next", {})}, fields=())
     best = rows.groupBy("url").agg(F.min_by(_e("href"), F.struct(_e("kind"), _e("position"))).alias("href"))
     return best.select("url", urls.resolved("url", "href").alias("next_url"))
 
 
 def pdf_links(pages: DataFrame) -> DataFrame:
     """The PDF of each page: of a slip opinion, else the first link, frame or address in the markup, else made from filename=."""
-    rows = elements(pages.withColumn("raw", F.col("html")), {"link": ("a[href], embed[src], iframe[src], object[data]", {})})
+    rows = elements(pages.withColumn("raw", F.col("html")), {"link": ("a[href], embed[src], iframe[src], object[data]", {})}, fields=())
     pdf = F.coalesce(_e("href"), F.lit(""))
     rank = F.when(F.contains(F.lower(_e("text")), F.lit("slip opinion")) & urls.looks_like_pdf(pdf), 0).when(urls.looks_like_pdf(pdf), 1)
     best = rows.withColumn("rank", rank).filter("rank IS NOT NULL").groupBy("url").agg(F.min_by(_e("href"), F.struct("rank", _e("position"))).alias("href"))

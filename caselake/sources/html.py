@@ -8,6 +8,8 @@ is left to expressions on the rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,28 +26,25 @@ _ITEM = "struct<text:string,href:string,column:string,attrs:array<string>>"
 ELEMENT = f"struct<kind:string,position:int,text:string,href:string,id:string,inner:string,lines:array<string>,links:array<{_ITEM}>,cells:array<{_ITEM}>,parts:map<string,array<{_ITEM}>>>"
 
 
+_HIDDEN = ("script", "style")
+
+
 class Element:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    """An element of a page; ``at`` and ``end`` are its place and that of the next one outside of it, ``first`` and ``last`` the same for its strings."""
+
+    __slots__ = ("tag", "attrs", "children", "parent", "page", "at", "end", "first", "last")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Element | str] = []
 
-    def walk(self):
-        left = [c for c in reversed(self.children) if isinstance(c, Element)]
-        while left:
-            e = left.pop()
-            yield e
-            left += [c for c in reversed(e.children) if isinstance(c, Element)]
+    def walk(self) -> list[Element]:
+        return self.page.nodes[self.at + 1 : self.end]
 
-    def strings(self):
-        left = self.children[::-1]
-        while left:
-            c = left.pop()
-            if isinstance(c, str):
-                yield c
-            elif c.tag not in ("script", "style"):
-                left += reversed(c.children)
+    def strings(self) -> list[str]:
+        if self.tag in _HIDDEN:
+            return [c for c in self.children if isinstance(c, str)]
+        return self.page.strings[self.first : self.last]
 
     def inner(self) -> str:
         """Its text, and the values of all attributes inside, as a place to look for addresses."""
@@ -58,6 +57,40 @@ class Element:
         return " ".join(" ".join(self.strings()).split())
 
 
+class _Page:
+    """All elements and strings of a page in its order, and where the elements of each tag, class and id are."""
+
+    def __init__(self, root: Element) -> None:
+        self.nodes: list[Element] = []
+        self.strings: list[str] = []
+        self.by: dict[str, list[int]] = {}
+        left: list[Element | str | tuple[Element]] = [root]
+        hidden = 0
+        while left:
+            x = left.pop()
+            if isinstance(x, str):
+                if not hidden:
+                    self.strings.append(x)
+            elif isinstance(x, tuple):
+                x[0].end, x[0].last = len(self.nodes), len(self.strings)
+                hidden -= x[0].tag in _HIDDEN
+            else:
+                x.page, x.at, x.first = self, len(self.nodes), len(self.strings)
+                self.nodes.append(x)
+                hidden += x.tag in _HIDDEN
+                for key in (x.tag, *{f".{c}" for c in x.attrs.get("class", "").split()}, f"#{x.attrs.get('id', '')}"):
+                    self.by.setdefault(key, []).append(x.at)
+                left.append((x,))
+                left += reversed(x.children)
+
+    def inside(self, top: Element, key: str) -> list[Element]:
+        """Elements inside ``top`` that have the tag, .class or #id; all of them without a key."""
+        if not key:
+            return top.walk()
+        places = self.by.get(key, [])
+        return [self.nodes[i] for i in places[bisect_right(places, top.at) : bisect_left(places, top.end)]]
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -94,34 +127,48 @@ def parse(page: str) -> Element:
     builder = _Builder()
     builder.feed(page)
     builder.close()
+    _Page(builder.root)
     return builder.root
 
 
 _SIMPLE = re.compile(r"""([a-zA-Z][\w-]*|\*)?((?:\.[\w-]+|\#[\w-]+|\[[^\]]+\])*)""")
 _TEST = re.compile(r"""\.([\w-]+)|\#([\w-]+)|\[([\w-]+)(?:([\^$*]?=)["']?([^"'\]]*)["']?)?\]""")
+_HOW = {"=": str.__eq__, "^=": str.startswith, "$=": str.endswith, "*=": str.__contains__}
 
 
-def _fits(e: Element, simple: str) -> bool:
-    m = _SIMPLE.fullmatch(simple)
-    if not m:
-        raise ValueError(f"selector not understood: {simple}")
-    if m[1] not in (None, "*") and e.tag != m[1].lower():
-        return False
-    for name, ident, attr, how, value in _TEST.findall(m[2]):
-        if name and name not in e.attrs.get("class", "").split():
+class _Simple:
+    """One step of a selector: a tag and what is asked of classes, id and attributes."""
+
+    def __init__(self, simple: str) -> None:
+        m = _SIMPLE.fullmatch(simple)
+        if not m:
+            raise ValueError(f"selector not understood: {simple}")
+        self.tag = m[1].lower() if m[1] not in (None, "*") else ""
+        found = _TEST.findall(m[2])
+        self.classes, self.ids = [f[0] for f in found if f[0]], [f[1] for f in found if f[1]]
+        self.attrs = [(f[2], _HOW.get(f[3]), f[4]) for f in found if f[2]]
+        #: by which its elements are looked up
+        self.key = f".{self.classes[0]}" if self.classes else f"#{self.ids[0]}" if self.ids else self.tag
+
+    def fits(self, e: Element) -> bool:
+        if self.tag and e.tag != self.tag:
+            return False
+        if self.classes and not set(self.classes) <= set(e.attrs.get("class", "").split()):
             return False
-        if ident and e.attrs.get("id") != ident:
+        if any(e.attrs.get("id") != i for i in self.ids):
             return False
-        if attr:
-            have = e.attrs.get(attr)
-            ok = have is not None and (not how or {"=": have == value, "^=": have.startswith(value), "$=": have.endswith(value), "*=": value in have}[how])
-            if not ok:
-                return False
-    return True
+        return all((have := e.attrs.get(name)) is not None and (how is None or how(have, value)) for name, how, value in self.attrs)
 
 
-def _matches(e: Element, steps: list[str], top: Element) -> bool:
-    if not _fits(e, steps[-1]):
+@lru_cache(maxsize=4096)
+def _steps(selector: str) -> list[list[_Simple | str]]:
+    """The alternatives of a selector, each as its steps; > between two stands for a child."""
+    choices = [re.findall(r">|[^\s>\[]*(?:\[[^\]]*\][^\s>\[]*)*", s.strip()) for s in selector.split(",")]
+    return [[x if x == ">" else _Simple(x) for x in c if x] for c in choices]
+
+
+def _matches(e: Element, steps: list[_Simple | str], top: Element) -> bool:
+    if not steps[-1].fits(e):
         return False
     rest = steps[:-1]
     if not rest:
@@ -142,53 +189,58 @@ def select(top: Element, selector: str) -> list[Element]:
     Understood are tag, .class, #id, [attr], [attr=v] with ^=, $= and *=, a space
     for descendants, > for children, and a comma between alternatives.
     """
-    choices = [re.findall(r">|[^\s>\[]*(?:\[[^\]]*\][^\s>\[]*)*", s.strip()) for s in selector.split(",")]
-    choices = [[x for x in c if x] for c in choices]
-    return [e for e in top.walk() if any(_matches(e, c, top) for c in choices)]
+    found = {e.at: e for steps in _steps(selector) for e in top.page.inside(top, steps[-1].key) if _matches(e, steps, top)}
+    return [found[i] for i in sorted(found)]
 
 
 def _item(e: Element) -> dict[str, str | None]:
-    link = e if "href" in e.attrs else next((x for x in e.walk() if x.tag == "a" and "href" in x.attrs), None)
+    link = e if "href" in e.attrs else next((x for x in e.page.inside(e, "a") if "href" in x.attrs), None)
     return {"text": e.text(), "href": link.attrs["href"] if link else e.attrs.get("src") or e.attrs.get("data") or e.attrs.get("data-bs-target"), "column": e.attrs.get("data-column-id"), "attrs": list(e.attrs.values())}
 
 
-def elements(pages: DataFrame, kinds: dict[str, tuple[str, dict[str, str]]], page: str = "html", inner: tuple[str, ...] = ()) -> DataFrame:
+#: What an element may bring along besides its text, link, id and parts.
+FIELDS = ("lines", "links", "cells")
+
+
+def found_elements(page: str | None, kinds: dict[str, tuple[str, dict[str, str]]], inner: tuple[str, ...] = (), fields: tuple[str, ...] = FIELDS) -> list[dict]:
+    """The elements of one page, as ``elements`` gives them."""
+    root = parse(page or "")
+    rows = []
+    for kind, (selector, parts) in kinds.items():
+        for e in select(root, selector):
+            item = _item(e)
+            rows.append(
+                {
+                    "kind": kind,
+                    "position": e.at - 1,
+                    "text": item["text"],
+                    "href": item["href"],
+                    "id": e.attrs.get("id"),
+                    "inner": e.inner() if kind in inner else None,
+                    "lines": e.lines() if "lines" in fields else None,
+                    "links": [_item(a) for a in ([e] if e.tag == "a" else []) + e.page.inside(e, "a")] if "links" in fields else None,
+                    "cells": [_item(c) for c in e.walk() if c.tag in ("td", "th") or "data-column-id" in c.attrs] if "cells" in fields else None,
+                    "parts": [(p, [_item(x) for x in select(e, s)]) for p, s in parts.items()],
+                }
+            )
+    return sorted(rows, key=lambda r: r["position"])
+
+
+def elements(pages: DataFrame, kinds: dict[str, tuple[str, dict[str, str]]], page: str = "html", inner: tuple[str, ...] = (), fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """A row for each matched element of each page, in ``element``; the page's own column goes.
 
     ``kinds`` gives each kind its selector and the selectors of its parts, which
     are looked for inside.  An element that several kinds match gives a row for
     each; those of the kinds ``inner`` bring all text and attribute values inside
-    along.  A null or broken page gives what can be read of it, however deep.
+    along, and all of them the ``fields`` named.  A null or broken page gives what
+    can be read of it, however deep.
     """
     listed = T.DataType.fromDDL(f"array<{ELEMENT}>")
     shape = to_arrow_type(listed)
 
     @F.arrow_udf(listed)
     def found(column: pa.Array) -> pa.Array:
-        out = []
-        for text in column.to_pylist():
-            root = parse(text or "")
-            place = {id(e): i for i, e in enumerate(root.walk())}
-            rows = []
-            for kind, (selector, parts) in kinds.items():
-                for e in select(root, selector):
-                    item = _item(e)
-                    rows.append(
-                        {
-                            "kind": kind,
-                            "position": place[id(e)],
-                            "text": item["text"],
-                            "href": item["href"],
-                            "id": e.attrs.get("id"),
-                            "inner": e.inner() if kind in inner else None,
-                            "lines": e.lines(),
-                            "links": [_item(a) for a in ([e] if e.tag == "a" else []) + [x for x in e.walk() if x.tag == "a"]],
-                            "cells": [_item(c) for c in e.walk() if c.tag in ("td", "th") or "data-column-id" in c.attrs],
-                            "parts": [(p, [_item(x) for x in select(e, s)]) for p, s in parts.items()],
-                        }
-                    )
-            out.append(sorted(rows, key=lambda r: r["position"]))
-        return pa.array(out, shape)
+        return pa.array([found_elements(text, kinds, inner, fields) for text in column.to_pylist()], shape)
 
     rest = [c for c in pages.columns if c != page]
     return pages.select(*rest, F.explode(found(page)).alias("element"))
