@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caselake.sources.split_csv import split_csv
+
 
 def pages(spark: SparkSession, path: str, glob: str = "*.html") -> DataFrame:
     """path and html of every captured page below ``path``."""
@@ -18,12 +20,14 @@ def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return read.withColumn("name", F.substring_index("path", "/", -1)).withColumn("folder", F.expr("left(path, length(path) - length(name) - 1)"))
 
 
-def bulk_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """An extract with a header and quoted texts over several lines, compressed or not.
+def whole_csv(spark: SparkSession, path: str, schema: str, escape: str = '"') -> DataFrame:
+    """An extract with a header and quoted texts over several lines, each file read by one task."""
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", escape).csv(path)
 
-    Such a file can't be split, so write it as Parquet once and read that.
-    """
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
+
+def bulk_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An extract with a header and quoted texts over several lines, compressed or not, each file read by all the tasks it can be cut for."""
+    return split_csv(spark, path, schema)
 
 
 def records(spark: SparkSession, path: str, schema: str, glob: str = "*.json") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caselake.functions import urls
 from caselake.plans import catalogue, rendered
+from caselake.sources import captures, split_csv
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,3 +29,85 @@ def test_listings_have_small_plans(spark, name):
     began = time.time()
     size = plan_size(catalogue.QUERIES[name](spark, SMALL))
     assert size < 50_000 and time.time() - began < 10
+
+
+# ---- extracts read by many tasks ----
+
+CSV_SCHEMA = "id int, text string, more string"
+
+
+def csv_text(rows, end, escape):
+    """As a database writes it: quotes around what needs them, now and then around what does not."""
+    def field(v, always):
+        if v is None:
+            return ""
+        special = always or v == "" or any(c in v for c in '",\n\r\\') or v != v.strip()
+        return '"' + v.replace(escape, escape * 2).replace('"', escape + '"' if escape != '"' else '"') + '"' if special else v
+
+    return "".join(",".join(field(v, i % 3 == 0) for i, v in enumerate(r)) + end for r in [("id", "te\nxt" if end == "\n" else "text", "more"), *rows])
+
+
+def csv_rows(seed, n):
+    import random
+
+    rng = random.Random(seed)
+    bits = ["a", "é", '"', '""', "\n", "\n\n", ",", " ", "\r\n", '",', '\n"', "x" * 40, "", "'"]
+    some = lambda: None if rng.random() < 0.1 else "".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))
+    return [(str(i), some(), some()) for i in range(n)]
+
+
+def same_rows(got, want):
+    key = lambda r: tuple((v is not None, v) for v in r)
+    return sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want), key=key)
+
+
+@pytest.fixture
+def cut_into(spark):
+    """Sets the size of splits, and puts the session's own back."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def cut(size, tasks=64):
+        for n, v in zip(names, (size, size, tasks)):
+            spark.conf.set(n, str(v))
+
+    yield cut
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("end,escape", [("\n", '"'), ("\r\n", '"'), ("\n", "\\")])
+def test_split_extracts_equal_the_one_task_reader(spark, tmp_path, cut_into, end, escape):
+    for name, seed, n in (("a.csv", 1, 60), ("b.csv", 2, 25), ("c.csv", 3, 0)):
+        (tmp_path / name).write_bytes(csv_text(csv_rows(seed, n), end, escape).encode())
+    (tmp_path / "long.csv").write_bytes(csv_text([("7", "l\n" * 400 + '"', "z"), ("8", None, "")], end, escape).encode())
+    want = captures.whole_csv(spark, str(tmp_path), CSV_SCHEMA, escape=escape).collect()
+    assert len(want) == 87 and len({r.id for r in want}) == 60
+    for size in (40, 300, 10**6):
+        cut_into(size)
+        got = split_csv.split_csv(spark, str(tmp_path), CSV_SCHEMA, escape=escape)
+        assert same_rows(got, want)
+        lines = split_csv._lines(spark, str(tmp_path))
+        assert size > 100 or lines.select("path", "start").distinct().count() > 20
+
+
+def test_split_extracts_of_a_splittable_codec(spark, tmp_path, cut_into):
+    import bz2
+    import random
+
+    rng = random.Random(5)
+    rows = [(str(i), "\n".join("".join(rng.choices('abcdefghij "klmnop,', k=60)) for _ in range(rng.randint(1, 6))), None) for i in range(6000)]
+    (tmp_path / "x.csv.bz2").write_bytes(bz2.compress(csv_text(rows, "\n", '"').encode(), 1))
+    cut_into(100_000, 8)
+    got = split_csv.split_csv(spark, str(tmp_path), CSV_SCHEMA)
+    assert split_csv._lines(spark, str(tmp_path)).select("start").distinct().count() > 3
+    assert same_rows(got, captures.whole_csv(spark, str(tmp_path), CSV_SCHEMA).collect())
+
+
+def test_split_extracts_without_rows_or_header(spark, tmp_path, cut_into):
+    (tmp_path / "e.csv").write_text("")
+    assert split_csv.split_csv(spark, str(tmp_path), CSV_SCHEMA).count() == 0
+    (tmp_path / "f.csv").write_text('1,"a\nb",\n\n2,c,d\n3,"open\nend')
+    cut_into(5)
+    got = sorted(tuple(r) for r in split_csv.split_csv(spark, str(tmp_path), CSV_SCHEMA, header=False).collect())
+    assert [r[:2] for r in got] == [(1, "a\nb"), (2, "c"), (3, "open\nend")]
