@@ -1,10 +1,11 @@
-"""Names for SQL: the paged source, and functions that read like the Column ones."""
+"""Names for SQL: the paged source, functions that read like the Column ones, and listings as table functions."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 from caselake.functions import text
+from caselake.plans.table_functions import register_tables
 from caselake.sources.paged import PagedSource
 
 
@@ -28,10 +29,10 @@ def functions() -> dict[str, tuple[str, str, str]]:
 
 
 def register(spark: SparkSession) -> list[str]:
-    """Register the data source ``paged_json`` and the SQL functions of ``functions`` for this session; their names."""
+    """Register the data source ``paged_json``, the SQL functions of ``functions`` and the table functions for this session; their names."""
     spark.dataSource.register(PagedSource)
     names = []
     for name, (parameters, kind, body) in functions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")
         names.append(name)
-    return [PagedSource.name(), *names]
+    return [PagedSource.name(), *names, *register_tables(spark)]

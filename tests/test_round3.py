@@ -3,10 +3,11 @@
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from caselake.functions import urls
-from caselake.plans import catalogue, rendered
+from caselake.plans import catalogue, listings, rendered, table_functions
 from caselake.sources import captures, split_csv
 
 SMALL = "/root/testdata/sf0.001"
@@ -111,3 +112,43 @@ def test_split_extracts_without_rows_or_header(spark, tmp_path, cut_into):
     cut_into(5)
     got = sorted(tuple(r) for r in split_csv.split_csv(spark, str(tmp_path), CSV_SCHEMA, header=False).collect())
     assert [r[:2] for r in got] == [(1, "a\nb"), (2, "c"), (3, "open\nend")]
+
+
+# ---- table functions ----
+
+
+def test_table_functions_read_awkward_pages(spark):
+    names = table_functions.register_tables(spark)
+    pages = spark.createDataFrame([(1, None, "http://h/"), (2, "", None), (3, "<a href=x>2024 |</a><a>2023</a><a href='/y'>2022</a><a href=x>2024</a>", None), (4, "<tr><td>", "http://h/25")], "id int, html string, url string")
+    for name in names[:-1]:
+        got = spark.sql(f"SELECT p.id, c.* FROM {{pages}} AS p, LATERAL {name}(p.html, p.url) AS c", pages=pages).collect()
+        assert sorted(tuple(r) for r in got) == ([(3, 2022, "/y"), (3, 2024, "x")] if name == "listed_years" else [])
+    plan = spark.sql("SELECT p.id, c.* FROM {pages} AS p, LATERAL listed_cards(p.html, p.url) AS c", pages=pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    with pytest.raises(AnalysisException, match="html must be a string"):
+        spark.sql("SELECT * FROM listed_cards(1, 'x')")
+
+
+def test_table_functions_agree_with_the_extractors(spark):
+    row = lambda d, n, t="T": f'<tr><td>{d}</td><td><a href="c{n}">{n}</a></td><td>{t}</td><td>f</td><td>g</td></tr>'
+    body = f"<table>{row('x', 1)}{row('Apr. 2', 2, 'III')}</table><h3>March 2025</h3><table>{row('x', 3, '* A')}</table><h4>none</h4><table>{row('x', 4)}</table>"
+    body += "<article><h2><a href=a>B</a></h2><span>C</span><span>D</span><p>E</p><a href=z.zip>z</a></article><div class=result-excerpt><a href='v?doc_no=S%2F9&amp;x=1'>i</a></div>"
+    body += "<h3>M</h3><p><strong>Jan 1 - x — </strong></p><ul><li>S24A0001, S24A0002 name <a href=/q.PDF>p</a></li></ul>"
+    pages = spark.createDataFrame([("https://h/l/25", body), ("https://h/m", "<div>")], "url string, html string")
+    same = {"listed_case_tables": listings.month_tables, "listed_articles": listings.dated_articles, "listed_cards": listings.result_cards, "listed_sections": listings.sectioned_items, "listed_terms": listings.term_rows, "listed_grid": listings.grid_rows}
+    for name, read in same.items():
+        want = read(pages)
+        got = table_functions.read_by(name)(pages).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    assert table_functions.read_by("listed_sections")(pages).count() == 2
+
+
+def test_values_are_carried_forward_within_partitions(spark):
+    table_functions.register_tables(spark)
+    rows = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, None), ("b", 1, None), (None, 1, "y"), (None, 2, None)], "k string, o int, v string")
+    ask = "SELECT k, o, w FROM carry_forward(TABLE(SELECT * FROM {rows}) PARTITION BY k ORDER BY (o), '%s', '%s')"
+    got = spark.sql(ask % ("v", "w"), rows=rows).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [("a", 1, None), ("a", 2, "x"), ("a", 3, "x"), ("b", 1, None), (None, 1, "y"), (None, 2, "y")]))
+    for wrong in (("z", "w"), ("v", "o")):
+        with pytest.raises(AnalysisException):
+            spark.sql(ask % wrong, rows=rows)
