@@ -31,6 +31,7 @@ def functions() -> dict[str, tuple[str, str, str]]:
 def register(spark: SparkSession) -> list[str]:
     """Register the data source ``paged_json``, the SQL functions of ``functions`` and the table functions for this session; their names."""
     spark.dataSource.register(PagedSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     names = []
     for name, (parameters, kind, body) in functions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")

@@ -1,6 +1,11 @@
 """Plans of bounded size, and the sources, sinks and streams of the third round."""
 
+import json
+import os
+import threading
 import time
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import parse_qs, urlencode, urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +13,8 @@ from pyspark.sql import functions as F
 
 from caselake.functions import urls
 from caselake.plans import catalogue, listings, rendered, table_functions
-from caselake.sources import captures, split_csv
+from caselake.register import register
+from caselake.sources import captures, paged, split_csv
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -152,3 +158,152 @@ def test_values_are_carried_forward_within_partitions(spark):
     for wrong in (("z", "w"), ("v", "o")):
         with pytest.raises(AnalysisException):
             spark.sql(ask % wrong, rows=rows)
+
+
+# ---- the paged service ----
+
+
+class Service:
+    """Records behind a local address, filtered and ordered by the service's own parameters; ``asked`` holds what it was asked."""
+
+    def __init__(self, records, size=3):
+        self.records, self.size, self.asked, self.failures = list(records), size, [], []
+        outer = self
+
+        class Pages(BaseHTTPRequestHandler):
+            def do_GET(self):
+                query = {k: v[0] for k, v in parse_qs(urlparse(self.path).query).items()}
+                if outer.failures and (code := outer.failures.pop(0)):
+                    self.send_response(code)
+                    self.end_headers()
+                    return
+                page = int(query.pop("page", 0))
+                if not page:
+                    outer.asked.append(dict(query))
+                rows = [r for r in outer.records if all(outer.fits(r, k, v) for k, v in query.items())]
+                for key in reversed([k for k in query.get("order_by", "").split(",") if k]):
+                    rows.sort(key=lambda r: r[key.lstrip("-")], reverse=key.startswith("-"))
+                rest = urlencode(query | {"page": page + 1})
+                body = {"count": len(rows), "results": rows[page * outer.size : (page + 1) * outer.size], "next": f"?{rest}" if (page + 1) * outer.size < len(rows) else None}
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(json.dumps(body).encode())
+
+            def log_message(self, *args):
+                pass
+
+        self.server = ThreadingHTTPServer(("127.0.0.1", 0), Pages)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}/api"
+
+    @staticmethod
+    def fits(r, k, v):
+        name, _, how = k.partition("__")
+        if name == "order_by":
+            return True
+        have = r.get(name)
+        return have is not None and {"": have == v, "gte": have >= v, "lte": have[: len(v)] <= v}[how]
+
+
+@pytest.fixture
+def service():
+    courts, made = ["ca1", "ca2", "cafc", None], []
+
+    def make(n, **kw):
+        rows = [{"id": i, "court": courts[i % 4], "date_filed": None if i % 11 == 0 else f"20{20 + i % 4}-0{1 + i % 9}-1{i % 3}", "date_modified": f"2024-01-0{1 + i // 7 % 8}T00:00:00Z", "name": f"n{i}", "more": {"x": i}} for i in range(n)]
+        made.append(Service(rows, **kw))
+        return made[-1]
+
+    yield make
+    for s in made:
+        s.server.shutdown()
+
+
+TYPED = "id bigint, court string, date_filed date, date_modified timestamp, name string, more string"
+
+
+@pytest.mark.parametrize(
+    "where,asked",
+    [
+        ("court = 'ca1'", [{"court": "ca1"}]),
+        ("court IN ('ca1', 'cafc') AND date_filed >= DATE '2021-03-11'", [{"court": c, "date_filed__gte": "2021-03-11"} for c in ("ca1", "cafc")]),
+        ("date_filed BETWEEN DATE '2021-01-01' AND DATE '2022-12-31' AND length(name) = 3", [{"date_filed__gte": "2021-01-01", "date_filed__lte": "2022-12-31"}]),
+        ("date_filed > DATE '2021-02-11' AND name <> 'n5'", [{"date_filed__gte": "2021-02-11"}]),
+        ("date_filed = DATE '2021-02-11' OR court = 'ca2'", [{}]),
+        ("court = 'ca1' AND court = 'ca2'", []),
+        ("court IS NULL", [{}]),
+        ("date_modified >= TIMESTAMP '2024-01-04 00:00:00'", [{"date_modified__gte": "2024-01-03"}]),
+    ],
+)
+def test_conditions_become_parameters_of_the_service(spark, service, where, asked):
+    register(spark)
+    s = service(50)
+    rows = spark.read.format("paged_json").schema(TYPED).option("urls", s.url).load()
+    want = sorted(map(str, (r for r in rows.collect())))
+    assert len(want) == 50
+    told = spark.createDataFrame(rows.collect(), TYPED).filter(where)
+    s.asked.clear()
+    got = sorted(map(str, rows.filter(where).collect()))
+    assert got == sorted(map(str, told.collect())) and (got or not asked)
+    key = lambda a: sorted(a.items())
+    distinct = [dict(t) for t in {tuple(sorted(a.items())) for a in s.asked}]
+    assert sorted(distinct, key=key) == sorted(asked, key=key)
+
+
+def test_ranges_are_read_by_year_and_options_hold(spark, service):
+    register(spark)
+    s = service(50)
+    read = spark.read.format("paged_json").schema(TYPED).options(urls=s.url, by_year="true", filed_from="2021-05-01", court="ca2").load()
+    s.asked.clear()
+    got = read.filter("date_filed <= DATE '2023-02-12'")
+    assert got.rdd.getNumPartitions() == 3
+    want = sorted(r["id"] for r in s.records if r["court"] == "ca2" and r["date_filed"] and "2021-05-01" <= r["date_filed"] <= "2023-02-12")
+    assert sorted(r.id for r in got.collect()) == want and want
+    assert {(a["date_filed__gte"], a["date_filed__lte"], a["court"]) for a in s.asked} == {("2021-05-01", "2021-12-31", "ca2"), ("2022-01-01", "2022-12-31", "ca2"), ("2023-01-01", "2023-02-12", "ca2")}
+    assert read.filter("court = 'ca1'").count() == 0
+
+
+def test_a_failing_service_is_tried_again_and_then_fails(spark, service):
+    from urllib.error import HTTPError
+
+    s = service(7)
+    s.failures = [503, 0, 429]
+    read = lambda **o: paged.PagedReader({"urls": s.url, "seconds_before_retry": "0.01", **o})
+    first = read()
+    assert [json.loads(r[2])["id"] for r in first.read(first.partitions()[0])] == list(range(7))
+    for failures in ([500] * 3, [404]):
+        s.failures = list(failures)
+        with pytest.raises(HTTPError):
+            list(first.read(first.partitions()[0]))
+        assert not s.failures
+    assert [paged.wait_before(n, 10) for n in (1, 2, 6, 2000)] == [10, 20, 300, 300] and paged.wait_before(2, 10, 429) == 60
+
+
+def test_a_stream_of_changes_goes_on_where_it_stopped(spark, service, tmp_path):
+    register(spark)
+    s = service(20)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        stream = spark.readStream.format("paged_json").schema(TYPED).option("urls", s.url).load()
+        stream.select("id", "name", F.date_format("date_modified", "dd").alias("day")).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        return sorted((r.id, r.name) for r in spark.read.parquet(out).collect())
+
+    first = [(i, f"n{i}") for i in range(20)]
+    assert run() == first and run() == first
+    last = s.records[-1]["date_modified"]
+    s.records += [dict(s.records[0], id=i, name="tie", date_modified=last) for i in (30, 31)]  # of the very time of the last one
+    s.records[3] = dict(s.records[3], name="changed", date_modified="2024-02-01T00:00:00Z")
+    s.asked.clear()
+    more = sorted([*first, (30, "tie"), (31, "tie"), (3, "changed")])
+    assert run() == more
+    assert [a["date_modified__gte"] for a in s.asked if "date_modified__gte" in a] and all(a["date_modified__gte"] == last for a in s.asked if "date_modified__gte" in a)
+    # a batch that ran but was not committed runs again, and the sink drops it
+    newest = max(int(f) for f in os.listdir(f"{checkpoint}/commits") if f.isdigit())
+    for f in (f"{newest}", f".{newest}.crc"):
+        os.remove(f"{checkpoint}/commits/{f}")
+    assert run() == more
+    s.records += [dict(s.records[0], id=32, name="late", date_modified="2024-02-01T00:00:00Z")]
+    assert run() == sorted([*more, (32, "late")])
+    empty = service(0)
+    assert paged.PagedStream({"urls": empty.url}).latestOffset() == {"modified": "", "id": -1}
