@@ -15,6 +15,7 @@ from caselake.functions import urls
 from caselake.plans import catalogue, listings, rendered, table_functions
 from caselake.register import register
 from caselake.sources import captures, paged, split_csv
+from caselake.streaming import tries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -307,3 +308,82 @@ def test_a_stream_of_changes_goes_on_where_it_stopped(spark, service, tmp_path):
     assert run() == sorted([*more, (32, "late")])
     empty = service(0)
     assert paged.PagedStream({"urls": empty.url}).latestOffset() == {"modified": "", "id": -1}
+
+
+# ---- state with an end ----
+
+OUTCOMES = "k string, at timestamp, status string, n int"
+
+
+def outcome(k, second, status, n=0):
+    import datetime
+
+    return (k, datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=second), status, n)
+
+
+def run_stream(spark, make, source, checkpoint, sink):
+    """Batches of one file each, whatever there is; what came out, and the state's rows at the end."""
+    stream = spark.readStream.schema(OUTCOMES).option("maxFilesPerTrigger", 1).parquet(source)
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{sink}/{number}")
+
+    query = make(stream).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    folders = sorted(os.listdir(sink), key=int)
+    return [tuple(r) for f in folders for r in spark.read.parquet(f"{sink}/{f}").collect()], states
+
+
+@pytest.fixture
+def stateful(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    yield tries.with_state(spark)
+    spark.conf.set(name, before)
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_failed_keys_are_tried_again_by_timers_and_forgotten(stateful, tmp_path):
+    spark, source = stateful, str(tmp_path / "in")
+    add = lambda *rows: spark.createDataFrame(list(rows), OUTCOMES).coalesce(1).write.mode("append").parquet(source)
+    make = lambda s: tries.next_tries(s, "k", "status", "at", "1 second", base=10, most=3, keep_seconds=100).select("k", "event", "tries", F.unix_seconds("at") - 1704067200, "statuses")
+    check, sink = str(tmp_path / "cp"), str(tmp_path / "out")
+    add(outcome("a", 0, "failed"), outcome("b", 0, "429"), outcome("c", 1, "Success"), outcome(None, 1, "failed"), outcome("d", 0, None))
+    got, _ = run_stream(spark, make, source, check, sink)
+    assert set(got) == {("a", "wait", 1, 10, "failed"), ("b", "wait", 1, 30, "429"), ("c", "done", 0, 1, ""), ("d", "wait", 1, 10, "")}
+    add(outcome("z", 20, "Success"))  # the watermark passes 10: a and d are due
+    add(outcome("a", 25, "Success"), outcome("b", 21, "failed"), outcome("b", 22, "failed"), outcome("d", 21, "429"))
+    add(outcome("z", 1000, "Success"))  # all is due, then forgotten
+    before = len(got)
+    got, states = run_stream(spark, make, source, check, sink)
+    assert set(got[before:]) == {
+        ("z", "done", 0, 20, ""), ("a", "retry", 1, 10, "failed"), ("d", "retry", 1, 10, ""), ("a", "done", 0, 25, ""), ("b", "given up", 3, 22, "429,failed,failed"), ("d", "wait", 2, 81, ",429"),
+        ("z", "done", 0, 1000, ""), ("d", "retry", 2, 81, ",429"), ("d", "forgotten", 2, 181, ",429"), ("b", "forgotten", 3, 122, "429,failed,failed"),
+    }
+    assert max(states) > 0 and states[-1] == 0
+    replay, _ = run_stream(spark, make, source, str(tmp_path / "cp2"), str(tmp_path / "out2"))
+    assert sorted(replay) == sorted(got)
+
+
+def test_phases_are_forgotten_by_the_clock(stateful, tmp_path):
+    spark, source = stateful, str(tmp_path / "in")
+    add = lambda *rows: spark.createDataFrame(list(rows), OUTCOMES).coalesce(1).write.mode("append").parquet(source)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # by the clock there is always another one
+    run = lambda keep, cp: run_stream(spark, lambda s: tries.furthest_phase_kept(s, "k", "status", ["one", "two"], keep), source, str(tmp_path / cp), str(tmp_path / f"out{cp}"))[0]
+    add(outcome("a", 0, "one"), outcome("b", 0, "two"), outcome("c", 0, "none"))
+    for keep, cp in ((3600, "long"), (1, "short")):
+        assert sorted(run(keep, cp)) == [("a", "one", 1), ("b", "two", 2)]
+    time.sleep(1.5)
+    add(outcome("a", 0, "two"), outcome("b", 0, "one"))
+    assert sorted(run(3600, "long"))[2:] == [("b", "two", 2)] and len(run(3600, "long")) == 3
+    assert sorted(run(1, "short")) == [("a", "one", 1), ("a", "two", 2), ("b", "one", 1), ("b", "two", 2)]
+
+
+def test_due_tries_of_a_table(spark):
+    rows = [outcome("a", 0, "failed"), outcome("a", 5, "Success"), outcome("a", 6, "429"), outcome("b", 1, "failed", 1), outcome("b", 1, "Success", 2), outcome("c", 0, None), outcome("c", 9, "failed"), *[outcome("d", i, "x") for i in range(9)], outcome(None, 0, "x"), ("e", None, "x", 0)]
+    got = tries.due_tries(spark.createDataFrame(rows, OUTCOMES), "k", "status", "at", ["n"], base=10, most=5)
+    assert sorted(tuple(r) for r in got.select("k", "tries", "status", F.unix_seconds("due") - 1704067200).collect()) == [("a", 1, "429", 36), ("c", 2, "failed", 29), ("d", 9, "x", None)]
+    assert tries.due_tries(spark.createDataFrame([], OUTCOMES), "k", "status", "at", []).count() == 0
+    seconds = spark.range(1, 70).select("id", *[tries.wait_seconds(F.col("id"), F.lit(t), 2.0).alias(str(t)) for t in (True, False)]).collect()
+    assert all(r["True"] == paged.wait_before(r.id, 2.0, 429) and r["False"] == paged.wait_before(r.id, 2.0) for r in seconds)
