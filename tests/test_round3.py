@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from caselake.functions import urls
 from caselake.plans import catalogue, listings, rendered, table_functions
 from caselake.register import register
-from caselake.sources import captures, paged, split_csv
+from caselake.sources import captures, case_files, paged, split_csv
 from caselake.streaming import tries
 
 SMALL = "/root/testdata/sf0.001"
@@ -387,3 +387,71 @@ def test_due_tries_of_a_table(spark):
     assert tries.due_tries(spark.createDataFrame([], OUTCOMES), "k", "status", "at", []).count() == 0
     seconds = spark.range(1, 70).select("id", *[tries.wait_seconds(F.col("id"), F.lit(t), 2.0).alias(str(t)) for t in (True, False)]).collect()
     assert all(r["True"] == paged.wait_before(r.id, 2.0, 429) and r["False"] == paged.wait_before(r.id, 2.0) for r in seconds)
+
+
+# ---- files of cases ----
+
+CASES = "court string, year int, folder string, docket string, cluster struct<id:int,name:string>, opinion string, id int"
+
+
+def case_rows(spark, rows):
+    return spark.createDataFrame(rows, CASES)
+
+
+def held(spark, uri):
+    return {(r.court, r.year, r.folder, r.kind, r.number): r.json for r in case_files.case_files(spark, uri).collect()}
+
+
+def test_case_files_are_published_as_a_whole(spark, tmp_path):
+    uri = f"file://{tmp_path}/tree"
+    assert case_files.case_files(spark, uri) is None
+    first = [("ca1", 2020, "1-1_a", '{"id": 1}', (10, "x"), '{"id": 100}', 2), ("ca1", 2020, "1-1_a", '{"id": 9}', (11, "é"), None, 3), ("ca2", 2021, "b +%c", None, None, '{"id": 200}', 1)]
+    case_files.write_case_files(case_rows(spark, first), uri, ["id"])
+    want = {
+        ("ca1", 2020, "1-1_a", "docket", 1): '{"id": 1}', ("ca1", 2020, "1-1_a", "cluster", 1): '{"id":10,"name":"x"}', ("ca1", 2020, "1-1_a", "cluster", 2): '{"id":11,"name":"é"}',
+        ("ca1", 2020, "1-1_a", "opinion", 1): '{"id": 100}', ("ca2", 2021, "b +%c", "opinion", 1): '{"id": 200}',
+    }
+    assert held(spark, uri) == want
+    # a run that fails in one of its tasks leaves the old tree, and its rest can be pruned
+    bad = [*[("ca3", 2022, f"f{i}", "{}", None, None, i) for i in range(40)], ("ca3", 2022, "a/b", "{}", None, None, 1)]
+    for wrong in (bad, [("ca1", 2020, None, "{}", None, None, 1)], [("ca1", 2020, "..", "{}", None, None, 1)]):
+        with pytest.raises(Exception, match="no name for a folder"):
+            case_files.write_case_files(case_rows(spark, wrong), uri, ["id"])
+    assert held(spark, uri) == want and len(os.listdir(tmp_path / "tree/_versions")) == 1
+    case_files.prune_case_files(uri)
+    assert held(spark, uri) == want and case_files.prune_case_files(uri) == 0
+    # a folder that is written again counts as a whole, others stay
+    case_files.write_case_files(case_rows(spark, [("ca1", 2020, "1-1_a", "{}", None, None, 1)]), uri, ["id"])
+    assert held(spark, uri) == {("ca1", 2020, "1-1_a", "docket", 1): "{}", ("ca2", 2021, "b +%c", "opinion", 1): '{"id": 200}'}
+    case_files.write_case_files(case_rows(spark, [("cadc", 1999, "z", "{}", None, None, 1)]), uri, ["id"], overwrite=True)
+    assert held(spark, uri) == {("cadc", 1999, "z", "docket", 1): "{}"}
+    case_files.write_case_files(case_rows(spark, []), uri, ["id"], overwrite=True)
+    assert held(spark, uri) == {} and case_files.prune_case_files(uri) > 0
+
+
+def test_a_writer_that_is_killed_leaves_the_version(tmp_path):
+    """As the driver sees it: tasks that never report, an abort, and two commits of one number."""
+    uri = f"file://{tmp_path}/tree"
+    row = {"court": "c", "year": 1, "folder": "f", "docket": "{}", "cluster": None, "opinion": "{}"}
+    writer = case_files.CaseWriter(uri, False)
+    done, lost = writer.write(iter([row])), writer.write(iter([row, row]))
+    assert lost.files == {"docket": 1, "opinion": 2} and not os.path.exists(tmp_path / "tree/_versions")
+    writer.abort([lost, None])
+    assert os.listdir(tmp_path / "tree/data") == [done.attempt.split("/")[1]]
+    writer.commit([done, None])
+    assert sorted(os.listdir(tmp_path / "tree/_versions")) == ["000000000001.json"]
+
+
+def test_conditions_on_court_and_year_leave_other_folders_unread(spark, tmp_path):
+    uri = f"file://{tmp_path}/tree"
+    rows = [(c, y, f"f{i}", "{}", None, None, i) for c in ("ca1", "ca2", "ca3") for y in (2020, 2021) for i in range(3)]
+    case_files.write_case_files(case_rows(spark, rows), uri, ["id"])
+    some = case_files.case_files(spark, uri).filter("court = 'ca1' AND year = 2021")
+    assert len(some.collect()) == 3
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(court" in plan
+    courts = spark.createDataFrame([("ca2", "x"), ("ca9", "y")], "court string, name string").write.mode("overwrite")
+    courts.parquet(f"{tmp_path}/courts")
+    joined = case_files.case_files(spark, uri).join(spark.read.parquet(f"{tmp_path}/courts").filter("name = 'x'"), "court")
+    assert joined.count() == 6
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
