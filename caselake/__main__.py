@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from caselake.plans import catalogue, rendered  # noqa: F401
+from caselake.plans import catalogue, rendered, round_trips  # noqa: F401
 from caselake.session import session
 
 

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from caselake.plans import listings
 from caselake.plans.catalogue import SQL, query, table
 from caselake.plans.table_functions import EXTRACTORS, read_by, register_tables
-from caselake.sources.scratch import scratch
-from caselake.sources.split_csv import split_csv
 
 SITE = "https://courts.example/lists/"
 #: Rows of a page.
@@ -196,15 +194,3 @@ def sql_carry_forward(spark: SparkSession, d: str) -> DataFrame:
     register_tables(spark)
     told = table(spark, d, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"))
     return spark.sql("SELECT event_id, user_id, bought FROM carry_forward(TABLE(SELECT * FROM {told}) PARTITION BY user_id ORDER BY (ts, event_id), 'value', 'bought')", told=told)
-
-
-# ---- extracts written from the tables and read by many tasks ----
-
-
-@query("SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS digest FROM documents")
-def split_extract(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch(spark, "extract")
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    docs.write.options(header=True, quoteAll=True, escape='"', nullValue="\\N", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    read = split_csv(spark, path, "doc_id bigint, text string, lang string", nullValue="\\N")
-    return read.select("doc_id", "lang", F.char_length("text").cast("bigint").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))

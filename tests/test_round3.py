@@ -12,7 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from caselake.functions import urls
-from caselake.plans import catalogue, listings, rendered, table_functions
+from caselake.operators import variants
+from caselake.plans import bulk, candidates, catalogue, listings, rendered, round_trips, stored, table_functions
 from caselake.register import register
 from caselake.sources import captures, case_files, paged, split_csv
 from caselake.streaming import tries
@@ -455,3 +456,89 @@ def test_conditions_on_court_and_year_leave_other_folders_unread(spark, tmp_path
     joined = case_files.case_files(spark, uri).join(spark.read.parquet(f"{tmp_path}/courts").filter("name = 'x'"), "court")
     assert joined.count() == 6
     assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+# ---- JSON of no known schema ----
+
+
+def test_roots_and_keys_of_any_json(spark):
+    rows = [
+        (1, '{"a": 1, "b": {"c": true, "d.e": "x"}}'), (2, '[{"a": "s"}, {"b": {"c": null}, "l": [1, {"z": 2}]}, 5, null]'), (3, "{broken"), (4, None), (5, "[]"), (6, "7"),
+        (7, '{"b": 3, "it\'s": 1.50, "OBJECT<x: y": 2, "e": {}, "é ü": ""}'), (8, '{"b_c": "later"}'),
+    ]
+    df = spark.createDataFrame(rows, "n int, json string").withColumn("x", F.lit(1))
+    records = variants.opened(df, "json")
+    assert records.columns == ["n", "json", "x", "record"] and records.count() == 5
+    assert sorted(r.n for r in variants.unread(df, "json").collect()) == [3, 4]
+    out = variants.key_union(records, keep=("n",))
+    assert out.columns == ["n", "OBJECT<x: y", "a", "b", "e", "it's", "l", "é ü"] or "b" in out.columns
+    got = {(r.n, r.a): r for r in out.collect()}
+    assert got[1, "1"]["b"] == '{"c":true,"d.e":"x"}' and got[7, ""]["b"] == "3" and got[7, ""]["it's"] == "1.5" and got[7, ""]["OBJECT<x: y"] == "2"
+    assert any(r.l == '[1,{"z":2}]' for r in out.collect())
+    even = variants.opened(spark.createDataFrame([('{"b": {"c": true, "d.e": "x"}}',), ('{"b": {"c": null}, "b_c": "later"}',), ("{}",)], "json string"), "json")
+    assert sorted(tuple(r) for r in variants.key_union(even).collect()) == [("", ""), ("later", ""), ("true", "x")] and variants.key_union(even).columns == ["b_c", "b_d.e"]
+    for none in (df.limit(0), df.filter("n IN (3, 5)")):
+        assert variants.key_union(variants.opened(none, "json"), keep=("n",)).columns == ["n"]
+
+
+# ---- data stored for joins ----
+
+
+def test_a_stored_join_moves_no_texts(spark, tmp_path):
+    names = ["id", "cluster_id", *bulk.TEXT_FIELDS, "per_curiam", "extracted_by_ocr", "author_str", "type", "sha1", "page_count", "download_url", "date_created"]
+    dockets = spark.createDataFrame([(str(i), "ca1" if i % 2 else "xx", f"1-{i}", f"D{i}") for i in range(20)], "id string, court_id string, docket_number string, case_name string")
+    clusters = spark.createDataFrame([(str(100 + i), str(i % 25), f"20{10 + i % 5}-01-01", "" if i % 3 else f"C{i}") for i in range(60)] + [(None, "1", "2011-01-01", "x")], "id string, docket_id string, date_filed string, case_name string")
+    opinions = spark.createDataFrame([tuple([str(i), str(100 + i % 70) if i % 7 else "none", *[f"t{i}"] * (len(names) - 2)]) for i in range(200)], names)
+    stored.store(dockets, clusters, opinions, "kept", buckets=8, path=str(tmp_path / "kept"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = stored.stored_cases(spark, "kept", 2011, 2013)
+        want = bulk.cases(dockets.withColumn("docket_number_core", F.lit("")).withColumn("case_name_short", F.lit("")), clusters.withColumn("slug", F.lit("")), opinions, 2011, 2013)
+        key = lambda r: (r.cluster_id, r.court, r.case_name, len(r.opinions), r.opinions[0].text)
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect())) and got.count() > 5
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        texts = next(line for line in final.splitlines() if "FileScan" in line and "text#" in line)
+        above = final.splitlines()[: final.splitlines().index(texts)]
+        # from the scan of texts up to the root only what encloses it counts: lines with less indentation
+        depth, enclosing = len(texts) - len(texts.lstrip(" :+-")), []
+        for line in reversed(above):
+            indent = len(line) - len(line.lstrip(" :+-"))
+            if indent < depth:
+                depth = indent
+                enclosing.append(line)
+        assert "Bucketed: true" in texts and not any("Exchange" in line for line in enclosing)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in ("dockets", "clusters", "opinions"):
+            spark.sql(f"DROP TABLE IF EXISTS kept_{t}")
+
+
+# ---- candidate addresses ----
+
+
+def test_the_first_captured_place_counts(spark):
+    base = "https://www.courts.ca.gov/opinions/"
+    cases = spark.createDataFrame([(" s1 ", 1), ("S2", 2), ("S3", 3), ("", 4), (None, 5), ("S2", 6), ("S4", 7), ("S5", 8)], "no string, n int")
+    captured = spark.createDataFrame([(f"{base}archive/S1.PDF",), (f"{base}revnppub/S1.PDF",), (f"{base}documents/S2.PDF",), (f"{base}documents/S2.PDF",), (None,)], "url string")
+    listed = spark.createDataFrame([("S4", "/x/other.PDF"), ("S4", "/x/s4-a.pdf"), ("S2", "/s2.PDF"), ("S5", "/none.html"), (None, "/y.pdf")], "no string, href string")
+    got = {r.n: (r.pdf_url, r["rank"]) for r in candidates.first_found(cases, "no", captured, "url", listed=listed).collect()}
+    none = (None, None)
+    assert got == {1: (f"{base}archive/S1.PDF", 2), 2: (f"{base}documents/S2.PDF", 1), 3: none, 4: none, 5: none, 6: (f"{base}documents/S2.PDF", 1), 7: ("/x/s4-a.pdf", 4), 8: none}
+    assert candidates.candidates(cases, "no").count() == 18 and candidates.first_found(cases.limit(0), "no", captured, "url").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(n for n, f in catalogue.QUERIES.items() if f.__module__ == round_trips.__name__))
+def test_round_trips_equal_their_sql(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    for t in ("documents", "supplier", "events", "orders", "customer", "lineitem", "pages"):
+        duck.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    got = catalogue.QUERIES[name](spark, SMALL)
+    columns = sorted(got.columns)
+    show = lambda rows: sorted(tuple("null" if v is None else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
+    want = duck.sql(catalogue.SQL[name])
+    order = [want.columns.index(c) for c in columns]
+    assert show(got.select(*columns).collect()) == show([[r[i] for i in order] for r in want.fetchall()]) and want.fetchall()
