@@ -30,9 +30,10 @@ def fetch_status(raw: Column | str) -> Column:
     """fetched, cached, pending, skipped, missing, blocked or failed, from any source's own words."""
     s = F.lower(text.text(raw))
     has = lambda *w: reduce(lambda a, b: a | b, [F.contains(s, F.lit(x)) for x in w])
+    word = lambda w: F.regexp_like(s, F.lit(f"(^|[^a-z]){w}($|[^a-z])"))  # noqa: E731, "ok" also stands in "token" and "lookup"
     return (
         F.when(has("blocked"), "blocked").when(has("html_instead", "fail", "error"), "failed").when(has("not found", "missing", "no_pdf", "no-pdf", "no-file"), "missing")
-        .when(has("skipped"), "skipped").when(has("already_exists", "cached"), "cached").when(has("success", "downloaded", "ok", "saved"), "fetched").otherwise("pending")
+        .when(has("skipped"), "skipped").when(has("already_exists", "cached"), "cached").when(has("success", "downloaded", "saved") | word("ok"), "fetched").otherwise("pending")
     )
 
 

@@ -1 +1 @@
-"""Incremental work: resumption by processed keys, phases, throttling, latest status."""
+"""Incremental work: resumption by processed keys, phases, latest status."""

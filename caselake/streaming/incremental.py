@@ -173,7 +173,9 @@ def prune(spark: SparkSession, target: str, keep: int = 2) -> int:
 def modified_since(rows: DataFrame, processed: DataFrame, modified: str, id: str) -> DataFrame:
     """Rows later than the latest of ``processed``, and those of that very time whose id it lacks.
 
-    The high-watermark is one row, from an aggregate; without processed rows all are new.
+    The high-watermark is one row, from an aggregate; without processed rows all
+    are new.  Rows without a time are never new, as no time tells when they were
+    processed; ``rows.filter("<modified> IS NULL")`` has them.
     """
     mark = processed.agg(F.max(modified).alias("_mark"))
     late = rows.join(F.broadcast(mark), F.col(modified) >= F.coalesce("_mark", F.col(modified)))
@@ -184,18 +186,3 @@ def modified_since(rows: DataFrame, processed: DataFrame, modified: str, id: str
 def to_retry(status: DataFrame, keys: list[str], seq: list[str], done: list[str]) -> DataFrame:
     """Keys whose latest status is not among ``done``."""
     return last_wins(status, keys, seq).drop("position").filter(~F.coalesce(F.col("status").isin(done), F.lit(False)))
-
-
-def throttled(arrivals: DataFrame, group: str, at: str, rate: float, burst: float) -> DataFrame:
-    """When each arrival may go, if its group holds ``burst`` tokens and gains ``rate`` a second.
-
-    Arrival number i waits for the i-th token: the times at which tokens are due
-    are a running maximum over the group, so no state is kept outside of Spark.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(group).orderBy(at)
-    n = F.row_number().over(w)
-    slack = F.max(F.col(at) - (n - 1) / F.lit(rate)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    due = slack + (n - 1 - burst + 1) / F.lit(rate)
-    return arrivals.withColumn("starts_at", F.greatest(F.col(at), due))

@@ -79,26 +79,6 @@ def test_limits(spark):
     assert rows(limits.pending(df, spark.createDataFrame([("a",)], "g string"), ["g"]), "id") == [(3,)]
 
 
-def test_throttle_agrees_with_a_bucket(spark):
-    import random
-
-    random.seed(3)
-    at = sorted(random.uniform(0, 10) for _ in range(70))
-    rate, burst, tokens, now, want = 5.0, 4.0, 4.0, 0.0, []
-    for t in at:
-        start = max(t, now)
-        tokens = min(burst, tokens + (start - now) * rate) if want or start > now else tokens
-        if tokens < 1:
-            start += (1 - tokens) / rate
-            tokens = 1
-        tokens -= 1
-        now = start
-        want.append(start)
-    df = spark.createDataFrame([("g", t) for t in at], "g string, t double")
-    got = [r.starts_at for r in incremental.throttled(df, "g", "t", rate, burst).orderBy("t").collect()]
-    assert all(abs(a - b) < 1e-6 for a, b in zip(got, want))
-
-
 def test_stream_upserts_once(spark, tmp_path):
     schema = "k string, v int, seq int"
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
