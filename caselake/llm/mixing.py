@@ -167,6 +167,61 @@ def _rates(start: Column, posterior: list[Column], surpluses: list[list[float]],
     return F.aggregate(_constant(surpluses, "array<array<double>>"), start, lambda r, s: _step(r, posterior, s, rate_pull))
 
 
+class _Search:
+    """The driver's side of the steps: how long they are, what they gain, and when they end.
+
+    The objective is half the squares of what the shares are off, in the metric of
+    all documents, and ``rate_pull`` halves of the rates' squared distance from 1.
+    A plain step never raises it.  From ``PLAIN`` steps on longer ones are tried in
+    the same pass over the documents, and the one that lowers it most is taken.
+    """
+
+    PLAIN, WINDOW, GAIN = 16, 6, 1e-2
+
+    def __init__(self, goal: list[float], metric: np.ndarray, tolerance: float, still: float, rate_pull: float) -> None:
+        self.goal, self.aim, self.metric = np.array(goal), np.array(goal), metric
+        self.tolerance, self.still, self.rate_pull = tolerance, still, rate_pull
+        self.values: list[float] = []
+        self.moved, self.miss, self.off = float("inf"), float("inf"), np.zeros(len(goal))
+        #: if targets can't be met: how many steps led to the least squares, and the shares there
+        self.kept: int | None = None
+        self.share: list[float] = []
+
+    def value(self, share: list[float], pull: float) -> float:
+        off = np.array(share) - self.aim
+        return float(0.5 * off @ self.metric @ off + 0.5 * self.rate_pull * pull)
+
+    def over(self, share: list[float], pull: float, done: int) -> bool:
+        """True when targets are met, or can't be: the least squares for ``goal`` are then ``kept``.
+
+        Where the squares fall no more though targets are missed, the pull of the
+        rates may be what holds them, so the aim is moved on by what is missed.  If
+        that does not bring the targets nearer by a third, no rates reach them.
+        """
+        miss = np.array(share) - self.goal
+        self.off = np.array(share) - self.aim
+        if np.abs(miss).max() <= self.tolerance:
+            self.kept = None
+            return True
+        self.values.append(self.value(share, pull))
+        ended = self.moved <= self.still or len(self.values) > self.WINDOW and self.values[-1] > (1 - self.GAIN) * self.values[-1 - self.WINDOW]
+        if done < self.PLAIN or not ended:
+            return False
+        if self.kept is None:
+            self.kept, self.share = done, list(share)
+        if np.abs(miss).max() > 0.7 * self.miss:
+            return True
+        self.miss, self.values, self.moved = float(np.abs(miss).max()), [], float("inf")
+        self.aim = self.aim - miss
+        self.off = np.array(share) - self.aim
+        return False
+
+    def steps(self, metric: np.ndarray, done: int) -> list[list[float]]:
+        """What is to be tried: a plain step, and from some on one in ``metric``, of the documents that still have a rate, and longer ones."""
+        plain = self.metric @ self.off
+        return [x.tolist() for x in ([plain] if done < self.PLAIN else [plain, metric @ self.off, 4 * plain, 16 * plain])]
+
+
 def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_TRAIN_ROWS, steps: int | None = None, tolerance: float = 1e-4, still: float = 1e-6, rate_pull: float = 1e-3, seed: int = 17) -> DataFrame:
     """``docs`` with n_tokens, p_<domain> and achieved_<domain> for each target, rate and copies.
 
@@ -179,10 +234,12 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     A null or empty text has no tokens and the prior as its posterior.  Without
     any tokens all rates are 1 and achieved shares are null.  No row is dropped,
     whatever its rate; repeated rows are weighed each.  Columns of the new names
-    are replaced, all others stay.  Steps end when no domain is off by more than
-    ``tolerance`` of all tokens, or when a step moves less than ``still`` of
-    them: then the rates are those of the least squares, and targets that no
-    rates reach show in achieved_.  ``steps`` ends it earlier, if given.
+    are replaced, all others stay.  Each step lowers the objective (``_Search``).
+    Steps end when no domain is off by more than ``tolerance`` of all tokens, or
+    when a step moves less than ``still`` of them or six lower the objective by
+    less than a hundredth: then the rates are those of the least squares, and
+    targets that no rates reach show in achieved_.  ``steps`` ends it earlier, if
+    given.
     """
     names = sorted(targets)
     goal = [targets[d] / sum(targets.values()) for d in names]
@@ -197,39 +254,40 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
 
     posterior = [F.col(p) for p in p_names]
     slim = told.filter("n_tokens > 0").select("n_tokens", *p_names).withColumn("rate", F.lit(1.0))
-    n, own = len(names), None
+    n, own, tokens = len(names), None, F.col("n_tokens")
     weigh = lambda w: [F.sum(w * posterior[i] * posterior[j]) for i in range(n) for j in range(n)]
-    sums = slim.agg(F.sum("n_tokens"), *weigh(F.col("n_tokens"))).first()
+    sums = slim.agg(F.sum("n_tokens"), *[F.sum(tokens * p) for p in posterior], *weigh(tokens)).first()
     total = float(sums[0] or 0)
     surpluses: list[list[float]] = []
     share: list[float | None] = [None] * n
     if total:
         # steps are taken in the metric of the posteriors' second moments, so domains that overlap converge alike
         metric_of = lambda m: np.linalg.inv(np.array(m, float).reshape(n, n) / total + 1e-6 * np.eye(n))
-        metric, fresh_ = metric_of(sums[1:]), []
-        while True:
-            before = _rates(F.col("rate"), posterior, fresh_[:-1], rate_pull)
-            now = slim.withColumn("was", before).withColumn("r", _rates(F.col("was"), posterior, fresh_[-1:], rate_pull))
-            tokens = F.col("n_tokens")
-            found = now.agg(
-                F.sum(tokens * F.abs(F.col("r") - F.col("was"))),
-                *[F.sum(tokens * F.col("r") * p) for p in posterior],
-                *weigh(F.when(F.col("r") > 0, tokens).otherwise(0)),
-            ).first()
-            share = [x / total for x in found[1 : n + 1]]
-            off = [x - g for x, g in zip(share, goal)]
-            done = len(surpluses)
-            if max(map(abs, off)) <= tolerance or (done and found[0] / total <= still) or done == steps:
-                break
-            if done and done % 16 == 0:  # from here on in the metric of the documents that still have a rate
-                metric = metric_of(found[n + 1 :])
-            fresh_.append((metric @ np.array(off)).tolist())
-            surpluses.append(fresh_[-1])
+        metric = metric_of(sums[n + 1 :])
+        search = _Search(goal, metric, tolerance, still, rate_pull)
+        share, pull, moments, fresh_ = [x / total for x in sums[1 : n + 1]], 0.0, sums[n + 1 :], []
+        while not search.over(share, pull, len(surpluses)) and len(surpluses) != steps:
+            tried = search.steps(metric_of(moments), len(surpluses))
+            now = slim.withColumn("was", _rates(F.col("rate"), posterior, fresh_, rate_pull))
+            now = now.withColumns({f"r{i}": _rates(F.col("was"), posterior, [x], rate_pull) for i, x in enumerate(tried)})
+            found = now.agg(*[
+                x for r in (F.col(f"r{i}") for i in range(len(tried)))
+                for x in (F.sum(tokens * F.abs(r - F.col("was"))), F.sum(tokens * (r - 1.0) * (r - 1.0)), *[F.sum(tokens * r * p) for p in posterior], *weigh(F.when(r > 0, tokens).otherwise(0)))
+            ]).first()
+            wide = 2 + n + n * n
+            ends = [found[i * wide : (i + 1) * wide] for i in range(len(tried))]
+            search.moved = ends[0][0] / total
+            best = min(range(len(tried)), key=lambda i: search.value([x / total for x in ends[i][2 : n + 2]], ends[i][1] / total))
+            share, pull, moments = [x / total for x in ends[best][2 : n + 2]], ends[best][1] / total, ends[best][n + 2 :]
+            fresh_.append(tried[best])
+            surpluses.append(tried[best])
             if len(fresh_) == 8:  # keep the rates so far, so that a step costs the same early and late
                 slim, own, old = staged(slim.withColumn("rate", _rates(F.col("rate"), posterior, fresh_, rate_pull)), "posteriors"), True, slim if own else None
                 if old is not None:
                     unstage(old)
                 fresh_ = []
+        if search.kept is not None:
+            surpluses, share = surpluses[: search.kept], search.share
         if own:
             unstage(slim)
     rated = told.withColumn("rate", _rates(F.lit(1.0), posterior, surpluses, rate_pull))

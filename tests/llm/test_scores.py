@@ -110,6 +110,32 @@ def test_steps_go_on_until_the_least_squares(spark):
     assert (np.abs(slope[r > 0]) < 1e-2).all() and (slope[r == 0] > -1e-2).all()
 
 
+def test_steps_always_end_and_the_objective_falls():
+    """The driver's side with all documents in numpy: random targets, most of which no rates reach."""
+    rng = np.random.default_rng(0)
+    ends = {"met": 0, "missed": 0}
+    for case in range(60):
+        n, rows = int(rng.integers(2, 6)), int(rng.integers(5, 1500))
+        p, t = rng.dirichlet(rng.uniform(0.05, 3, size=n), size=rows), rng.integers(1, 1000, size=rows).astype(float)
+        reachable = case % 2 == 0
+        goal = (t * rng.gamma(0.5, 1, size=rows)) @ p if reachable else rng.dirichlet(np.full(n, 0.5))
+        goal, total = goal / goal.sum(), t.sum()
+        moments = lambda w: np.linalg.inv((p * w[:, None]).T @ p / total + 1e-6 * np.eye(n))
+        step = lambda r, x: np.maximum(0, r - (p @ np.array(x) + 1e-3 * (r - 1)) / 1.001)
+        told = lambda r: ((t * r) @ p / total, float((t * (r - 1) ** 2).sum() / total))
+        search, r, done = mixing._Search(goal.tolist(), moments(t), 1e-4, 1e-6, 1e-3), np.ones(rows), 0
+        while not search.over(*told(r), done):
+            rates = [step(r, x) for x in search.steps(moments(t * (r > 0)), done)]
+            values = [search.value(*told(x)) for x in rates]
+            assert min(values) <= search.value(*told(r)) + 1e-12
+            search.moved = float((t * np.abs(rates[0] - r)).sum() / total)
+            r, done = rates[int(np.argmin(values))], done + 1
+            assert done < 400
+        ends["met" if search.kept is None else "missed"] += 1
+        assert not reachable or np.abs(told(r)[0] - goal).max() < 3e-3
+    assert ends["met"] >= 30 and ends["missed"] >= 10
+
+
 def test_targets_are_met_on_the_tables(spark):
     out = mixing.op4_mixing(spark, "/root/testdata/sf0.01")
     p = [f"sum(n_tokens * rate * p_{d}) / sum(n_tokens) AS {d}" for d in mixing.TARGETS]
