@@ -34,7 +34,9 @@ BROADCAST_CHARS = 16_000_000
 
 # Kinds of elements, and words that name what is no article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe template svg math xmp object".split())
+_RAW = frozenset("script style textarea title iframe template svg annotation xmp object".split())
+#: What a head holds; it ends before anything else, whether its end is written or not.
+_HEAD = frozenset("base link meta noscript script style template title".split())
 #: Raw elements that reach to the end of the page if they are not closed.
 _CODE = frozenset("script style textarea title".split())
 _SKIPPED = frozenset("head nav footer aside form dialog menu button select".split())
@@ -48,15 +50,15 @@ _CLOSES = {
 }
 _CONTAINERS = frozenset("article main section div body td".split())
 _NO_ARTICLE = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer cookie cookies consent notice notices banner comment comments disqus respond replies related recommended share sharing social newsletter subscribe popup modal widget login signup search pagination".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer cookie cookies consent notice notices banner comment comments feedback disqus respond replies related recommended share sharing social newsletter subscribe popup modal widget login signup search pagination".split()
 )
 #: Words that may stand beside one of those in a name; with any other the name is about something else, as related-work is.
 _BESIDE = frozenset(
-    "area bar block body bottom box button buttons col column container content count desktop form global group header icon icons inline inner item items left link links list main mobile module outer page panel post posts primary region right row secondary section site slot stories text thread title top unit wrap wrapper x y z".split()
+    "area bar block body bottom box button buttons col column container content count desktop form global group header icon icons inline inner item items left link links list main mobile module outer page panel post posts primary reader readers region right row secondary section site slot stories text thread title top unit user users wrap wrapper x y z".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)""", re.DOTALL)
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>|([^<]+|<)""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -77,6 +79,8 @@ def _events(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             at = n if end < 0 else end + 1
             continue
         at = m.end()
+        if stack and stack[-1] == "head" and (m[4].strip() if m[4] is not None else m[2] and not m[1] and m[2].lower() not in _HEAD):
+            yield closed()
         if m[4] is not None:
             yield "text", _html.unescape(m[4]), {}
             continue
@@ -134,15 +138,19 @@ def _no_article_name(words: list[str]) -> bool:
     return not _NO_ARTICLE.isdisjoint(words) and all(w in _NO_ARTICLE or w in _BESIDE or w.isdigit() for w in words)
 
 
-def _is_article(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """False for what is skipped; a header counts as article inside of one."""
-    if tag in _RAW or tag in _SKIPPED or (tag == "header" and not inside):
+#: Inside an article these have ids for links to them, which say what the text is about.
+_ANCHORS = frozenset("section h1 h2 h3 h4 h5 h6 p dt dd li figure".split())
+
+
+def _is_article(tag: str, attributes: dict[str, str], inside: bool, section: bool = False) -> bool:
+    """False for what is skipped; a header counts as article inside of one or of a section, and what stands for scripts inside of one."""
+    if tag in _RAW or tag in _SKIPPED or (tag == "header" and not inside and not section) or (tag == "noscript" and not inside):
         return False
     if not attributes:
         return True
     if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "") or attributes.get("role", "").lower() in _ROLES:
         return False
-    return tag in ("html", "body", "article", "main") or not any(map(_no_article_name, _names(attributes)))
+    return tag in ("html", "body", "article", "main") or not any(map(_no_article_name, _names(attributes, ("class",) if inside and tag in _ANCHORS else ("class", "id"))))
 
 
 def _signature(tag: str, attributes: dict[str, str]) -> str:
@@ -152,10 +160,11 @@ def _signature(tag: str, attributes: dict[str, str]) -> str:
 class _Place:
     """An open element: its sign, the one around it, a number for the whole path, its first elements below body, and the outermost article around it."""
 
-    __slots__ = ("sign", "up", "number", "top", "article")
+    __slots__ = ("sign", "up", "number", "top", "article", "section")
 
     def __init__(self, sign: str, up: _Place | None) -> None:
         tag = sign.split(".")[0]
+        self.section = tag == "section" or (up is not None and up.section)
         self.sign, self.up = sign, up
         self.number = _number(str(up.number), sign) if up else 0
         above = up.top if up else ()
@@ -217,7 +226,7 @@ def _blocks(page: str) -> Iterator[tuple[_Place, str]]:
             text.append(" ")
         if kind == "open":
             made += 1
-            if skip or not (made in whole or _is_article(value, attributes, at.article is not None)):
+            if skip or not (made in whole or _is_article(value, attributes, at.article is not None, at.section)):
                 skip += 1
             else:
                 at = _Place(_signature(value, attributes), at)

@@ -75,3 +75,15 @@ def test_the_query_returns_every_page(spark):
     for r in rows:
         html = pages[r.page_id].html or ""
         assert r.n_chars == len(r.text) and (r.text == "") == ("<article>" not in html)
+
+
+def test_no_text_is_lost_to_optional_tags_and_odd_comments():
+    from caselake.llm.main_text import _blocks
+
+    read = lambda page: "\n\n".join(t for _, t in _blocks(page))
+    assert read("<html><head><title>T</title><meta charset=x><p>one<p>two</html>") == "one\n\ntwo"
+    assert read("<head><title>T</title>bare <b>text</b>") == "bare text" and read("<head> <style>x</style> </head><p>a") == "a"
+    assert read("<p>one<!--><p>two<!---><p>three<!-- x --!><p>four<!-- gone") == "one\n\ntwo\n\nthree\n\nfour"
+    assert read("<article>Let <math><mi>x</mi><annotation>\\x</annotation></math> be.<noscript><p>plain</p></noscript></article><noscript>enable</noscript>") == "Let x be.\n\nplain"
+    assert read("<article><section id=notice><h2 id=comments>Notice</h2><p>a</p></section><div id=comments>c</div><section class=notice>d</section></article>") == "Notice\n\na"
+    assert read("<header>site</header><section><header><h1>Head</h1></header><p>a</p></section><div class=user-feedback>f</div>") == "Head\n\na"
