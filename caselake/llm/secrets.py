@@ -9,7 +9,8 @@ names.  Every line of every text is decoded with the Viterbi algorithm.
 
 Texts are tagged in pieces of bounded size, cut where no pattern can reach
 across: at line ends, and at blanks between letters where a line is longer than
-a piece.  A chain is a line or ``MAX_CHAIN`` tokens of it.
+a piece.  A chain is a line or ``MAX_CHAIN`` tokens of it; the best
+tags of a longer line are found over all its chains.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ MAX_TRAIN_DOCS = 20_000
 MAX_TRAIN_TOKENS = 300_000
 #: Text that is tagged at a time; a token takes some 300 bytes meanwhile.
 TEXT_BYTES = 1 << 19
-#: Most tokens of a chain; a longer line is several chains.
+#: Most tokens of a chain; a longer line is several, through which the best way is found as through one.
 MAX_CHAIN = 4096
 _DIMS = 1 << 16
 _NEVER = -1e4
@@ -134,7 +135,7 @@ class _Lines:
         self.row = w.row_of_word()
         if not n:
             self.features, self.line_first, self.line_size = np.zeros((0, 12), np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
-            self.hash = np.zeros(0, np.uint64)
+            self.hash, self.goes_on, self.is_gone_on = np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
             return
         size = w.end - w.start
         digit, lower, upper = (raw >= 48) & (raw <= 57), (raw >= 97) & (raw <= 122), (raw >= 65) & (raw <= 90)
@@ -176,6 +177,9 @@ class _Lines:
         place = np.arange(n) - np.flatnonzero(first)[line]
         first |= place % MAX_CHAIN == 0
         self.line_first = np.flatnonzero(first)
+        #: chains that go on a line, and those that one goes on from
+        self.goes_on = place[self.line_first] > 0
+        self.is_gone_on = np.append(self.goes_on[1:], False)
         self.line_size = np.diff(np.append(self.line_first, n))
         #: a hash of each chain's words
         self.hash = np.add.reduceat(mix(h, 77) * (2 * (place % MAX_CHAIN).astype(np.uint64) + np.uint64(1)), self.line_first)
@@ -196,30 +200,73 @@ class Field:
         self.emit, self.move = emit.astype(np.float32), move.astype(np.float32)
 
     def decode(self, lines: _Lines) -> np.ndarray:
-        """The best tag of every token: Viterbi over all chains at once, longest first."""
+        """The best tag of every token: Viterbi over all chains at once, longest first.
+
+        A chain that goes on a longer line is worked out for each tag that the one
+        before may end in; which one it is, is settled line by line afterwards.
+        """
         n = len(lines.row)
         score = np.zeros((n, 3), np.float32)
         for f in range(lines.features.shape[1]):
             score += self.emit[lines.features[:, f]]
         score[1:][lines.words.start[1:] > lines.words.end[:-1], _I] = _NEVER  # no secret goes on across white space
-        order = np.argsort(-lines.line_size, kind="stable")
-        first, size = lines.line_first[order], lines.line_size[order]
-        back = np.zeros((n, 3), np.int8)
-        best = score[first] + np.array([0, 0, _NEVER], np.float32)
-        live = np.searchsorted(-size, -np.arange(int(size.max(initial=0)) + 1), "left")  # lines of more than t tokens
-        for t in range(1, int(size.max(initial=0))):
+        tag = np.zeros(n, np.int8)
+        alone, parts = np.flatnonzero(~lines.goes_on & ~lines.is_gone_on), np.flatnonzero(lines.goes_on | lines.is_gone_on)
+        begin = score[lines.line_first] + np.array([0, 0, _NEVER], np.float32)
+        for last, back in self._ways(lines, alone, begin[alone], score):
+            self._follow(lines, alone, last.argmax(1), back, tag)
+        if len(parts):
+            ways = []
+            for entry in range(3):
+                enter = np.where(lines.goes_on[parts, None], self.move[entry] + score[lines.line_first[parts]], begin[parts])
+                ways += self._ways(lines, parts, enter, score)
+            whole = np.stack([last for last, _ in ways], 1)  # chain, tag before, last tag
+            came = np.zeros((len(parts), 3), np.int64)
+            total = np.zeros(3)
+            for c in range(len(parts)):
+                paths = (total[:, None] if lines.goes_on[parts[c]] else 0) + whole[c].astype(np.float64)
+                came[c], total = paths.argmax(0), paths.max(0)
+                total = total - total.max()
+                whole[c, 0] = total  # from here on the best up to here
+            end, entry = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+            for c in range(len(parts) - 1, -1, -1):
+                follows = c + 1 < len(parts) and lines.goes_on[parts[c + 1]]
+                end[c] = entry[c + 1] if follows else whole[c, 0].argmax()
+                entry[c] = came[c, end[c]]
+            for e in range(3):
+                mine = np.flatnonzero(entry == e)
+                self._follow(lines, parts[mine], end[mine], ways[e][1], tag)
+        return tag
+
+    def _ways(self, lines: _Lines, chains: np.ndarray, begin: np.ndarray, score: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The scores of the best ways to the last tags of some chains from the scores of their first ones, and the tags before on these ways."""
+        order = np.argsort(-lines.line_size[chains], kind="stable")
+        first, size = lines.line_first[chains][order], lines.line_size[chains][order]
+        back = np.zeros((len(score), 3), np.int8)
+        best = begin[order]
+        most = int(size.max(initial=0))
+        live = np.searchsorted(-size, -np.arange(most + 1), "left")  # chains of more than t tokens
+        for t in range(1, most):
             k = live[t]
             paths = best[:k, :, None] + self.move
             at = first[:k] + t
             back[at] = paths.argmax(1)
             best[:k] = paths.max(1) + score[at]
-        tag = np.zeros(n, np.int8)
-        tag[first + size - 1] = now = best.argmax(1)
-        for t in range(int(size.max(initial=0)) - 1, 0, -1):
+        out = np.empty_like(best)
+        out[order] = best
+        yield out, back
+
+    def _follow(self, lines: _Lines, chains: np.ndarray, end: np.ndarray, back: np.ndarray, tag: np.ndarray) -> None:
+        """Write the tags of some chains from their last ones."""
+        order = np.argsort(-lines.line_size[chains], kind="stable")
+        first, size, now = lines.line_first[chains][order], lines.line_size[chains][order], end[order].copy()
+        tag[first + size - 1] = now
+        most = int(size.max(initial=0))
+        live = np.searchsorted(-size, -np.arange(most + 1), "left")
+        for t in range(most - 1, 0, -1):
             k = live[t]
             now[:k] = back[first[:k] + t, now[:k]]
             tag[first[:k] + t - 1] = now[:k]
-        return tag
 
 
 def _forward_backward(score: np.ndarray, mask: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

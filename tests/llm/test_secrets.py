@@ -117,3 +117,25 @@ def test_query_holds_every_document(spark, tmp_path):
             base = pattern_spans(rows[r.doc_id])
             assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
             assert [x for x in r.spans.split(",") if x and not x.startswith("crf")] == [f"{KINDS[k]}:{a}:{b}" for a, k, b in base]
+
+
+def test_long_lines_are_decoded_as_one(monkeypatch):
+    """Chains that go on give the tags of the whole line, ties aside."""
+    import pyarrow as pa
+
+    from caselake.llm import secrets
+
+    rng = np.random.default_rng(3)
+    words = ["the", "key", "=", "a1b2", "Zz9-x", "of", "42", "f00d"]
+    texts = [" ".join(rng.choice(words, n)) + "\n" * int(rng.integers(0, 2)) + " ".join(rng.choice(words, 5)) for n in (1, 2, 7, 40, 300, 0)]
+    texts = [t.replace(" = ", "=") for t in texts]
+    emit, move = rng.normal(0, 1, (secrets._DIMS, 3)), rng.normal(0, 2, (3, 3))
+    move[0, 2] = secrets._NEVER
+    field = secrets.Field(emit, move)
+    column, file = pa.array(texts, pa.large_string()), np.zeros(len(texts), np.int64)
+    whole = field.decode(secrets._Lines(column, file))
+    assert len(set(whole.tolist())) == 3
+    for most in (1, 2, 3, 10):
+        monkeypatch.setattr(secrets, "MAX_CHAIN", most)
+        lines = secrets._Lines(column, file)
+        assert lines.goes_on.any() and field.decode(lines).tolist() == whole.tolist()
