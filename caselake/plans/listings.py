@@ -165,6 +165,14 @@ def address_of_element(items: Column, base: Column) -> Column:
 RECORD_KEYS = ("$.clickUri", "$.uri", "$.rawUri", "$.printableUri", "$.raw.uri", "$.raw.clickuri", "$.raw.fileuri", "$.raw.fileurl")
 
 
+#: Selectors of what a result of a search holds; l0 to l5 are where its document may be linked, in order.
+RESULT_PARTS = {
+    "title": ".coveo-result-cell.c-title span.CoveoResultLink", "date": ".coveo-result-cell.c-date span.CoveoFieldValue span", "excerpt": "span.CoveoExcerpt",
+    **{name: f"span.CoveoFieldValue[data-field=@{at}] span" for name, at in (("publication", "publicationtype"), ("source", "source"), ("size", "size"), ("pages", "syspages"), ("uri", "uri"))},
+    "l0": "a.CoveoResultLink", "l1": ".coveo-result-cell.c-title a[href]", "l2": "a[href$=.pdf]", "l3": "a[href*=.pdf?]", "l4": "a[href*=.PDF]", "l5": ".CoveoResultLink", "record": "[data-result]",
+}
+
+
 def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResult") -> DataFrame:
     """Results of a search: title (row_<n> without one), date, excerpt, publication, source, size, pages, PDF.
 
@@ -172,13 +180,7 @@ def result_rows(pages: DataFrame, result: str = "div.coveo-list-layout.CoveoResu
     link, its address field, the records that its elements carry (five at most,
     as they stand or with references resolved), and all else inside it.
     """
-    field = lambda name: f"span.CoveoFieldValue[data-field=@{name}] span"
-    parts = {
-        "title": ".coveo-result-cell.c-title span.CoveoResultLink", "date": ".coveo-result-cell.c-date span.CoveoFieldValue span", "excerpt": "span.CoveoExcerpt",
-        **{name: field(at) for name, at in (("publication", "publicationtype"), ("source", "source"), ("size", "size"), ("pages", "syspages"), ("uri", "uri"))},
-        "l0": "a.CoveoResultLink", "l1": ".coveo-result-cell.c-title a[href]", "l2": "a[href$=.pdf]", "l3": "a[href*=.pdf?]", "l4": "a[href*=.PDF]", "l5": ".CoveoResultLink", "record": "[data-result]",
-    }
-    rows = elements(pages, {"result": (result, parts)}, inner=("result",), fields=())
+    rows = elements(pages, {"result": (result, RESULT_PARTS)}, inner=("result",), fields=())
     n = F.row_number().over(Window.partitionBy("url").orderBy(_e("position")))
     last = lambda name: F.coalesce(F.try_element_at(F.col(f"{E}.parts")[name], F.lit(-1))["text"], F.lit(""))
     links = F.flatten(F.array(*[F.slice(F.col(f"{E}.parts")[f"l{k}"], 1, 1) for k in range(6)]))

@@ -54,10 +54,10 @@ def listed_case_tables(spark: SparkSession, d: str, read: Read = listings.month_
 SELECT c_custkey // 50 AS page, 'd' || c_custkey AS file_date, 'N' || c_custkey AS case_number, c_name AS case_title, c_mktsegment AS file_contains,
   'https://courts.example/lists/' || (c_custkey // 50) || '/c' || c_custkey AS case_info_url
 FROM customer WHERE c_custkey % 50 <> 0""")
-def listed_plain_tables(spark: SparkSession, d: str) -> DataFrame:
+def listed_plain_tables(spark: SparkSession, d: str, read: Read = listings.plain_case_tables) -> DataFrame:
     row = "<tr><{if(c_custkey % 2 = 0, \"td\", \"th\")}>d{c_custkey}</td><td><a href=c{c_custkey}>N{c_custkey}</a></td><th>{c_name}</th><td>{c_mktsegment}</td></tr>"
     pages = rendered(table(spark, d, "customer"), "c_custkey", _tags(row), "'<table>'", "'</table>'")
-    return listings.plain_case_tables(pages).select(_page().alias("page"), "file_date", "case_number", "case_title", "file_contains", "case_info_url")
+    return read(pages).select(_page().alias("page"), "file_date", "case_number", "case_title", "file_contains", "case_info_url")
 
 
 @query("""
@@ -71,9 +71,9 @@ def listed_years(spark: SparkSession, d: str, read: Read = lambda pages: listing
 
 @query("""
 SELECT p AS page, count(*) FILTER (s_nationkey % 2 = 0) AS n_opinions FROM (SELECT *, s_suppkey // 50 AS p FROM supplier) GROUP BY p""")
-def listed_opinion_counts(spark: SparkSession, d: str) -> DataFrame:
+def listed_opinion_counts(spark: SparkSession, d: str, read: Read = listings.opinion_counts) -> DataFrame:
     pages = rendered(table(spark, d, "supplier"), "s_suppkey", _tags("<a href=\"?fa=opinions.{if(s_nationkey % 2 = 0, \"showOpinion\", \"byYear\")}&f={s_suppkey}\">x</a>"))
-    return listings.opinion_counts(pages).select(_page().alias("page"), "n_opinions")
+    return read(pages).select(_page().alias("page"), "n_opinions")
 
 
 @query("""
@@ -139,11 +139,11 @@ def listed_terms(spark: SparkSession, d: str, read: Read = listings.term_rows) -
 SELECT 'S' || c_custkey AS case_number, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS case_title, 'https://courts.example/s?id=' || c_custkey AS case_url, 'B' || c_nationkey AS court_of_appeal_case_number, c_mktsegment AS trial_court_case_number,
   'court_of_appeal=B' || c_nationkey || ';trial_no=' || c_mktsegment AS named
 FROM customer""")
-def listed_results(spark: SparkSession, d: str) -> DataFrame:
+def listed_results(spark: SparkSession, d: str, read: Read = listings.results_table) -> DataFrame:
     row = "<tr><td><a href=\"/s?id={c_custkey}\">S{c_custkey}</a>{if(c_custkey % 3 = 0, \"\", concat(\"<br>\", c_name))}</td><td>B{c_nationkey}</td><td>{c_mktsegment}</td></tr>"
     head = "'<table><tr><th>Menu</th></tr><tr><td>x</td></tr></table><table><tr><th>Supreme Court</th><th>Court of Appeal</th><th>Trial #</th></tr>'"
     named = F.array_join(F.transform(F.array_sort(F.map_entries("named")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
-    return listings.results_table(rendered(table(spark, d, "customer"), "c_custkey", _tags(row), head, "'</table>'")).select("case_number", "case_title", "case_url", "court_of_appeal_case_number", "trial_court_case_number", named.alias("named"))
+    return read(rendered(table(spark, d, "customer"), "c_custkey", _tags(row), head, "'</table>'")).select("case_number", "case_title", "case_url", "court_of_appeal_case_number", "trial_court_case_number", named.alias("named"))
 
 
 @query("""
@@ -151,14 +151,14 @@ SELECT p_partkey // 50 AS page, (row_number() OVER (PARTITION BY p_partkey // 50
   CASE p_partkey % 5 WHEN 0 THEN 'https://courts.example/d/' || p_partkey || '.pdf' WHEN 1 THEN 'https://d.example/' || p_partkey WHEN 2 THEN 'https://r.example/' || p_partkey || '.pdf'
     WHEN 3 THEN 'https://t.example/' || p_partkey || '.pdf' ELSE '' END AS pdf_url
 FROM part""")
-def listed_search(spark: SparkSession, d: str) -> DataFrame:
+def listed_search(spark: SparkSession, d: str, read: Read = listings.result_rows) -> DataFrame:
     where = (
         "{case p_partkey % 5 when 0 then concat(\"<a class=CoveoResultLink href=/d/\", p_partkey, \".pdf></a>\") when 1 then concat(\"<span class=CoveoFieldValue data-field=@uri><span>//d.example/\", p_partkey, \"</span></span>\") "
         "when 2 then concat(\"<b data-result=\", chr(39), replace(to_json(named_struct(\"uri\", \"\", \"raw\", named_struct(\"fileuri\", concat(\"https://r.example/\", p_partkey, \".pdf\")))), chr(34), concat(\"&amp;quot\", chr(59))), chr(39), \"></b>\") "
         "when 3 then concat(\"<p>see https://t.example/\", p_partkey, \".pdf there</p>\") else \"\" end}"
     )
     row = "<div class=\"coveo-list-layout CoveoResult\"><div class=\"coveo-result-cell c-title\"><span class=CoveoResultLink>{p_name}</span></div><span class=CoveoExcerpt>E {p_brand}</span><span class=CoveoFieldValue data-field=@size><span>Size</span><span>{p_size} KB</span></span>" + where + "</div>"
-    return listings.result_rows(rendered(table(spark, d, "part"), "p_partkey", _tags(row))).select(_page().alias("page"), "row", "title", "excerpt", "size", "pdf_url")
+    return read(rendered(table(spark, d, "part"), "p_partkey", _tags(row))).select(_page().alias("page"), "row", "title", "excerpt", "size", "pdf_url")
 
 
 # ---- the same pages read by the table functions, and by SQL as its users write it ----
@@ -176,7 +176,7 @@ def _by_table_function(name: str) -> None:
 
 # years of other courts are on the pages too, and the table function takes all
 for _name in EXTRACTORS:
-    if _name != "listed_years":
+    if _name in globals() and _name != "listed_years":
         _by_table_function(_name)
 
 

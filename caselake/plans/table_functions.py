@@ -9,9 +9,10 @@ row to row of any table.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
-from urllib.parse import parse_qs, urljoin, urlsplit
+from urllib.parse import parse_qs, unquote, urljoin, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from caselake.functions.text import MONTHS
+from caselake.plans.listings import RECORD_KEYS, RESULT_PARTS
 from caselake.sources.html import found_elements
 
 #: Extractors by their SQL names: columns, and the rows of a page.
@@ -41,7 +43,8 @@ class _Seen:
     def __init__(self, element: dict, url: str) -> None:
         self.parts, self.url = dict(element["parts"]), url
         self.kind, self.text, self.at, self.href, self.id = (element[k] for k in ("kind", "text", "position", "href", "id"))
-        self.links, self.cells = element["links"] or [], element["cells"] or []
+        self.links, self.cells, self.lines = (element[k] or [] for k in ("links", "cells", "lines"))
+        self.inner = element["inner"] or ""
 
     def of(self, name: str, at: int = 0, field: str = "text") -> str:
         found = self.parts.get(name, [])
@@ -57,8 +60,8 @@ class _Seen:
         return next((x["href"] for x in self.links if x["href"] is not None and test(x["href"])), "")
 
 
-def _elements(html: str, url: str, kinds: dict, fields: tuple[str, ...] = ()) -> Iterator[_Seen]:
-    return (_Seen(e, url) for e in found_elements(html, kinds, fields=fields))
+def _elements(html: str, url: str, kinds: dict, fields: tuple[str, ...] = (), inner: tuple[str, ...] = ()) -> Iterator[_Seen]:
+    return (_Seen(e, url) for e in found_elements(html, kinds, inner, fields))
 
 
 def _month(t: str) -> str | None:
@@ -168,9 +171,141 @@ def listed_terms(html: str, url: str) -> Iterator[tuple]:
             yield year, e.at, at(0), at(1), at(2), at(3), at(-2), at(-1), urljoin(url, pdf)
 
 
+@extractor("n_opinions bigint")
+def listed_opinion_counts(html: str, url: str) -> Iterator[tuple]:
+    """How many links of the page show an opinion."""
+    yield (sum("showOpinion" in (e.href or "") for e in _elements(html, url, {"a": ("a[href]", {})})),)
+
+
+@extractor("position int, file_date, case_number, case_title, file_contains, case_info_url")
+def listed_plain_tables(html: str, url: str) -> Iterator[tuple]:
+    """Rows of four cells or more of either kind; the first row of a table that has others is its heading."""
+    rows, first = 0, None
+    for e in _elements(html, url, {"table": ("table", {"row": "tr"}), "row": ("table tr", {"cell": "td, th"})}):
+        if e.kind == "table":
+            rows, first = len(e.parts["row"]), None
+            continue
+        heading, first = first is None and rows > 1, e.at if first is None else first
+        number, href = e.of("cell", 1), e.of("cell", 1, "href")
+        if not heading and len(e.parts["cell"]) >= 4 and number and href:
+            yield e.at, e.of("cell"), number, re.sub(r"^\*\s*", "", e.of("cell", 2), flags=re.ASCII), e.of("cell", 3), urljoin(url, href)
+
+
+def _column(heading: str) -> str:
+    return re.sub(r"\s+", "_", heading.lower().replace("#", "no").strip()).strip("_")
+
+
+@extractor("position int, case_number, case_title, case_url, court_of_appeal_case_number, trial_court_case_number, named map")
+def listed_results(html: str, url: str) -> Iterator[tuple]:
+    """Rows of the page's results: the first table whose headings hold both signs, else its first one."""
+    signs = ("supreme court", "court of appeal")
+    found = list(_elements(html, url, {"table": ("table", {"head": "tr > th"}), "row": ("table tr", {"cell": "td"}), "cell": ("tr > td", {"link": "a"})}, ("lines",)))
+    heads = lambda e: [x["text"] for x in e.parts["head"]]
+    tables = [e for e in found if e.kind == "table"]
+    chosen = min(tables, key=lambda e: (not all(s in " ".join(heads(e)).lower() for s in signs), e.at), default=None)
+    table, row, cells = None, None, {}
+    rows: dict[int, tuple[_Seen, list[_Seen]]] = {}
+    for e in found:
+        if e.kind == "table":
+            table = e
+        elif e.kind == "row":
+            row = e
+            if table is chosen:
+                rows[e.at] = (e, [])
+        elif row is not None and table is chosen and row.at in rows:
+            rows[row.at][1].append(e)
+    for at in sorted(rows)[1:]:
+        row, firsts = rows[at]
+        cells = [x["text"] for x in row.parts["cell"]]
+        if not cells or not firsts:
+            continue
+        one = firsts[0]
+        number = one.of("link") if one.parts["link"] else (one.lines or [""])[0]
+        named = {_column(heads(chosen)[k] if k < len(heads(chosen)) else f"column_{k}"): cells[k] for k in (1, 2) if len(cells) > k}
+        value = lambda k: cells[k] if len(cells) > k else ""
+        yield at, number, one.lines[1] if len(one.lines) > 1 else "", one.seen(one.of("link", 0, "href")), value(1), value(2), named
+
+
+def _web(value: str, base: str) -> str:
+    """The address if it is one of the web, else empty."""
+    bare = value.strip()
+    whole = f"https:{bare}" if bare.startswith("//") else urljoin(base, bare)
+    return whole if bare and re.match("https?://[^/?#]", whole, re.IGNORECASE) else ""
+
+
+def _unescaped(text: str) -> str:
+    """The five references that markup needs, resolved."""
+    for name, sign in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = text.replace(name, sign)
+    return text
+
+
+def _pdf_in(text: str) -> str:
+    """The first address of a PDF in running text or markup."""
+    found = re.search(r"""https?://[^\s"'<>]+?\.pdf[^\s"'<>]*""", _unescaped(text), re.IGNORECASE | re.ASCII)
+    return found[0] if found else ""
+
+
+def _document(value: str, base: str) -> str:
+    """The address itself if it looks like a PDF's, else the first one in the text."""
+    whole = _web(value, base)
+    split = urlsplit(whole)
+    looks = ".pdf" in unquote(f"{split.path}?{split.query}").lower() or any(x in whole.lower() for x in ("filetype=pdf", "format=pdf"))
+    return whole if whole and looks else _pdf_in(value)
+
+
+def _told(record: str, base: str) -> str:
+    """The first address in a result's record, where it is one."""
+    for path in RECORD_KEYS:
+        try:
+            at = json.loads(record)
+            for step in path.split(".")[1:]:
+                at = at[step]
+        except (ValueError, KeyError, TypeError, IndexError):
+            continue
+        if at is not None and (found := _web(str(at), base)):
+            return found
+    return ""
+
+
+@extractor("row int, title, date, excerpt, publication, source, size, pages, pdf_url")
+def listed_search(html: str, url: str) -> Iterator[tuple]:
+    """Results of a search; the PDF is the first of their links, address field, records and all else inside."""
+    kinds = {"result": ("div.coveo-list-layout.CoveoResult", RESULT_PARTS)}
+    for n, e in enumerate(_elements(html, url, kinds, inner=("result",)), 1):
+        links = [v for k in range(6) for x in e.parts[f"l{k}"][:1] for v in (x["href"] or "", *x["attrs"])]
+        records = [r for x in e.parts["record"][:5] for v in x["attrs"] for r in (v, _unescaped(v))]
+        ways = (*((_document, v) for v in links), (_web, e.of("uri")), *((_told, r) for r in records))
+        pdf = next((found for way, v in ways if (found := way(v, url))), "") or _pdf_in(e.inner)
+        yield n, e.of("title") or f"row_{n}", e.of("date"), e.of("excerpt"), *(e.of(c, -1) for c in ("publication", "source", "size", "pages")), pdf
+
+
+@extractor("case_id, title, court, date, citation, detail_url")
+def listed_items(html: str, url: str) -> Iterator[tuple]:
+    """Items with a line of metadata: court, date and the rest."""
+    for e in _elements(html, url, {"item": ("li.result", {"id": ".case-id", "title": ".title", "link": "a[href]", "meta": ".meta"})}):
+        meta = [x["text"] for x in e.parts["meta"]]
+        yield e.of("id"), e.of("title"), e.of("meta"), e.of("meta", 1), " | ".join(meta[2:]), urljoin(url, e.of("link", 0, "href"))
+
+
+@extractor("term_url, nn int")
+def listed_term_links(html: str, url: str) -> Iterator[tuple]:
+    """Links to the pages of single terms, each once."""
+    found = ((re.search(r"(?:^|/)slipopinion/([0-9]{2})/?$", e.href or ""), e) for e in _elements(html, url, {"a": ("a[href]", {})}))
+    yield from dict.fromkeys((urljoin(url, e.href), int(m[1])) for m, e in found if m)
+
+
+@extractor("next_url")
+def listed_next(html: str, url: str) -> Iterator[tuple]:
+    """The address that the page names as the next one."""
+    found = _elements(html, url, {"next": ("a[rel=next], link[rel=next]", {}), "other": (".pager-next a[href], a.next", {})})
+    if (best := min(found, key=lambda e: (e.kind, e.at), default=None)) is not None:
+        yield (urljoin(url, best.href or ""),)
+
+
 def _typed(columns: str) -> T.StructType:
     """Names, each with a type or text, as a schema; without a session, as workers have none."""
-    kinds = {"int": T.IntegerType(), "": T.StringType()}
+    kinds = {"int": T.IntegerType(), "bigint": T.LongType(), "map": T.MapType(T.StringType(), T.StringType()), "": T.StringType()}
     return T.StructType([T.StructField(name, kinds[kind]) for name, _, kind in (c.strip().partition(" ") for c in columns.split(","))])
 
 

@@ -129,6 +129,8 @@ def test_table_functions_read_awkward_pages(spark):
     names = table_functions.register_tables(spark)
     pages = spark.createDataFrame([(1, None, "http://h/"), (2, "", None), (3, "<a href=x>2024 |</a><a>2023</a><a href='/y'>2022</a><a href=x>2024</a>", None), (4, "<tr><td>", "http://h/25")], "id int, html string, url string")
     for name in names[:-1]:
+        if name == "listed_opinion_counts":  # a row for each page
+            continue
         got = spark.sql(f"SELECT p.id, c.* FROM {{pages}} AS p, LATERAL {name}(p.html, p.url) AS c", pages=pages).collect()
         assert sorted(tuple(r) for r in got) == ([(3, 2022, "/y"), (3, 2024, "x")] if name == "listed_years" else [])
     plan = spark.sql("SELECT p.id, c.* FROM {pages} AS p, LATERAL listed_cards(p.html, p.url) AS c", pages=pages)._jdf.queryExecution().executedPlan().toString()
@@ -142,8 +144,9 @@ def test_table_functions_agree_with_the_extractors(spark):
     body = f"<table>{row('x', 1)}{row('Apr. 2', 2, 'III')}</table><h3>March 2025</h3><table>{row('x', 3, '* A')}</table><h4>none</h4><table>{row('x', 4)}</table>"
     body += "<article><h2><a href=a>B</a></h2><span>C</span><span>D</span><p>E</p><a href=z.zip>z</a></article><div class=result-excerpt><a href='v?doc_no=S%2F9&amp;x=1'>i</a></div>"
     body += "<h3>M</h3><p><strong>Jan 1 - x — </strong></p><ul><li>S24A0001, S24A0002 name <a href=/q.PDF>p</a></li></ul>"
+    body += "<ul><li class=result><b class=case-id>1</b><i class=title>T</i><a href=d>x</a><p class=meta>C</p><p class=meta>D</p><p class=meta>E</p><p class=meta>F</p></li></ul><a rel=next href='?p=2'>n</a><a href=/slipopinion/24/>t</a><a href=/slipopinion/24/>u</a>"
     pages = spark.createDataFrame([("https://h/l/25", body), ("https://h/m", "<div>")], "url string, html string")
-    same = {"listed_case_tables": listings.month_tables, "listed_articles": listings.dated_articles, "listed_cards": listings.result_cards, "listed_sections": listings.sectioned_items, "listed_terms": listings.term_rows, "listed_grid": listings.grid_rows}
+    same = {"listed_case_tables": listings.month_tables, "listed_articles": listings.dated_articles, "listed_cards": listings.result_cards, "listed_sections": listings.sectioned_items, "listed_terms": listings.term_rows, "listed_grid": listings.grid_rows, "listed_items": listings.metadata_items, "listed_term_links": listings.term_links, "listed_next": listings.next_pages, "listed_opinion_counts": listings.opinion_counts, "listed_plain_tables": listings.plain_case_tables, "listed_results": listings.results_table, "listed_search": listings.result_rows}
     for name, read in same.items():
         want = read(pages)
         got = table_functions.read_by(name)(pages).select(*want.columns)
