@@ -1,8 +1,8 @@
 """A folder of JSON files for each case, written so that a run that fails leaves what was there.
 
 ``data/attempt=<id>/court=<court>/year=<year>/<folder>/`` holds docket.json, cluster.json and
-opinion.json, further ones as cluster_2.json and so on.  A task writes into a
-folder of its own with a fresh name.  Only when all tasks are through is a small
+opinion.json, further ones as cluster_2.json and so on, and files of any kind
+under their own names.  A task writes into a folder of its own with a fresh name.  Only when all tasks are through is a small
 file published that names those folders; it is the version that readers go by.
 """
 
@@ -14,13 +14,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 # The kinds of files of a case.
 KINDS = ("docket", "cluster", "opinion")
-SCHEMA = "court string, year int, folder string, docket string, cluster string, opinion string"
+SCHEMA = "court string, year int, folder string, docket string, cluster string, opinion string, files array<struct<name:string,content:binary>>"
 _VERSIONS = "_versions"
 
 
@@ -56,10 +56,11 @@ class CaseWriter(DataSourceWriter):
         at, seen = None, {}
         for row in iterator:
             parts = (str(row["court"]), str(row["year"]), str(row["folder"]))
-            if any("/" in p or p in ("", ".", "..", "None") for p in parts):
-                raise ValueError(f"no name for a folder: {parts}")
+            own = row["files"] or []
+            if any("/" in p or p in ("", ".", "..", "None") for p in (*parts, *(str(f["name"]) for f in own))):
+                raise ValueError(f"no name for a folder or file: {parts}, {[f['name'] for f in own]}")
             if parts != at:
-                at, seen = parts, dict.fromkeys(KINDS, 0)
+                at, seen, names = parts, dict.fromkeys(KINDS, 0), set()
                 folder = f"{root}/{out.attempt}/court={parts[0]}/year={parts[1]}/{parts[2]}"
                 files.create_dir(folder, recursive=True)
             for kind in KINDS:
@@ -69,6 +70,15 @@ class CaseWriter(DataSourceWriter):
                 with files.open_output_stream(f"{folder}/{kind}{'' if seen[kind] == 1 else f'_{seen[kind]}'}.json") as f:
                     f.write(row[kind].encode())
                 out.files[kind] = out.files.get(kind, 0) + 1
+            if own:
+                files.create_dir(f"{folder}/files", recursive=True)
+            for file in own:
+                if file["name"] in names or file["content"] is None:  # the first of a name counts
+                    continue
+                names.add(file["name"])
+                with files.open_output_stream(f"{folder}/files/{file['name']}") as f:
+                    f.write(bytes(file["content"]))
+                out.files["files"] = out.files.get("files", 0) + 1
         return out
 
     def commit(self, messages: list[_Written | None]) -> None:
@@ -76,7 +86,7 @@ class CaseWriter(DataSourceWriter):
         told = [m for m in messages if m is not None and m.files]
         last = _latest(files, root)
         runs = [*([] if self.overwrite else last["runs"]), *([[m.attempt for m in told]] if told else [])]
-        now = {"version": last["version"] + 1, "runs": runs, "files": {k: sum(m.files.get(k, 0) for m in told) for k in KINDS}}
+        now = {"version": last["version"] + 1, "runs": runs, "files": {k: sum(m.files.get(k, 0) for m in told) for k in (*KINDS, "files")}}
         files.create_dir(f"{root}/{_VERSIONS}", recursive=True)
         draft, name = f"{root}/{_VERSIONS}/_draft-{uuid.uuid4().hex}", f"{root}/{_VERSIONS}/{now['version']:012d}.json"
         with files.open_output_stream(draft) as f:
@@ -111,17 +121,19 @@ def write_case_files(cases: DataFrame, uri: str, order: list[str], overwrite: bo
     """Write rows of court, year, folder, docket, cluster and opinion (structs or JSON; null for none) as files below ``uri``.
 
     Rows of one folder are one case: its first docket, and its clusters and
-    opinions by ``order``.  A folder that is written again takes the place of the
+    opinions by ``order``; a column ``files`` (array of name and content) has
+    documents, as PDFs, the first of a name counting.  A folder that is written again takes the place of the
     older one as a whole; with ``overwrite`` all others go too.  ``uri`` names a
     place that all executors reach, as file:///shared/..., hdfs:// or s3://.
     Rows without court, year or folder, or such that name no folder, fail.
     """
     cases.sparkSession.dataSource.register(CaseFiles)
     asked = [F.col(k).cast("string") if cases.schema[k].dataType.typeName() in ("string", "void") else F.when(F.col(k).isNotNull(), F.to_json(k)) for k in KINDS]
-    rows = cases.select("court", F.col("year").cast("int").alias("year"), "folder", *[c.alias(k) for c, k in zip(asked, KINDS)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    own = F.col("files") if "files" in cases.columns else F.lit(None)
+    rows = cases.select("court", F.col("year").cast("int").alias("year"), "folder", *[c.alias(k) for c, k in zip(asked, KINDS)], own.cast("array<struct<name:string,content:binary>>").alias("files"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     place = ["court", "year", "folder"]
     together = rows.repartition(*place).sortWithinPartitions(*place, *[f"_o{i}" for i in range(len(order))])
-    together.select(*place, *KINDS).write.format("case_files").mode("overwrite" if overwrite else "append").save(uri)
+    together.select(*place, *KINDS, "files").write.format("case_files").mode("overwrite" if overwrite else "append").save(uri)
 
 
 def case_files(spark: SparkSession, uri: str) -> DataFrame | None:
@@ -136,15 +148,38 @@ def case_files(spark: SparkSession, uri: str) -> DataFrame | None:
         return None
     if not now["runs"]:
         return spark.createDataFrame([], "folder string, kind string, number int, json string, court string, year int")
+    name = lambda k: F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/([a-z]+)(?:_([0-9]+))?\.json$", k)
+    rows = _read(spark, uri, now, "text", "*.json", wholetext=True)
+    rows = rows.filter(~F.contains("_metadata.file_path", F.lit("/files/"))).select(_decoded(name(1)).alias("folder"), name(2).alias("kind"), F.coalesce(F.nullif(name(3), F.lit("")).cast("int"), F.lit(1)).alias("number"), F.col("value").alias("json"), F.col("court").cast("string").alias("court"), "year", "attempt")
+    return _last_run(rows, now)
+
+
+def case_documents(spark: SparkSession, uri: str) -> DataFrame | None:
+    """court, year, folder, name, length and content of the documents of the last version; None before the first.  Contents are read only if asked for; empty files have no row."""
+    files, root = fs.FileSystem.from_uri(uri)
+    now = _latest(files, root)
+    if not now["runs"]:
+        return None if not now["version"] else spark.createDataFrame([], "folder string, name string, length bigint, content binary, court string, year int")
+    part = lambda k: F.regexp_extract("path", r"/([^/]+)/files/([^/]+)$", k)
+    rows = _read(spark, uri, now, "binaryFile", "*").filter(F.contains("path", F.lit("/files/")))
+    return _last_run(rows.select(_decoded(part(1)).alias("folder"), _decoded(part(2)).alias("name"), "length", "content", F.col("court").cast("string").alias("court"), "year", "attempt"), now)
+
+
+def _decoded(name: Column) -> Column:
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _read(spark: SparkSession, uri: str, now: dict, kind: str, names: str, **options) -> DataFrame:
+    """The files of a version, with its folders as partitions."""
     paths = [f"{uri.rstrip('/')}/{a}" for run in now["runs"] for a in run]
-    read = spark.read.option("wholetext", True).option("basePath", f"{uri.rstrip('/')}/data").text(paths)
-    name = F.col("_metadata.file_path")
-    part = lambda k: F.regexp_extract(name, r"/([^/]+)/([a-z]+)(?:_([0-9]+))?\.json$", k)
-    rows = read.select(F.url_decode(F.replace(part(1), F.lit("+"), F.lit("%2B"))).alias("folder"), part(2).alias("kind"), F.coalesce(F.nullif(part(3), F.lit("")).cast("int"), F.lit(1)).alias("number"), F.col("value").alias("json"), F.col("court").cast("string").alias("court"), "year", F.concat(F.lit("data/attempt="), "attempt").alias("attempt"))
+    return spark.read.format(kind).options(pathGlobFilter=names, basePath=f"{uri.rstrip('/')}/data", **options).load(paths)
+
+
+def _last_run(rows: DataFrame, now: dict) -> DataFrame:
+    """Rows of each folder as the last run that wrote it has them."""
     if len(now["runs"]) == 1:
         return rows.drop("attempt")
-    # a folder that several runs wrote counts as the last one has it
-    run = F.create_map(*[F.lit(x) for i, attempts in enumerate(now["runs"]) for a in attempts for x in (a, i)])[F.col("attempt")]
+    run = F.create_map(*[F.lit(x) for i, attempts in enumerate(now["runs"]) for a in attempts for x in (a.split("=")[1], i)])[F.col("attempt")]
     last = F.max("run").over(Window.partitionBy("court", "year", "folder"))
     return rows.withColumn("run", run).withColumn("last", last).filter("run = last").drop("attempt", "run", "last")
 

@@ -433,10 +433,27 @@ def test_case_files_are_published_as_a_whole(spark, tmp_path):
     assert held(spark, uri) == {} and case_files.prune_case_files(uri) > 0
 
 
+def test_documents_of_cases(spark, tmp_path):
+    uri = f"file://{tmp_path}/tree"
+    kind = CASES + ", files array<struct<name:string,content:binary>>"
+    rows = [
+        ("ca1", 2020, "a", "{}", None, None, 1, [("x y+z.pdf", b"%PDF\x00\xff"), ("docket.json", b"[]"), ("none.pdf", None)]), ("ca1", 2020, "a", None, None, None, 2, [("x y+z.pdf", b"second")]),
+        ("ca1", 2020, "b", "{}", None, None, 3, []), ("ca2", 2021, "c", None, None, None, 4, [("e.pdf", b"e")]),
+    ]
+    case_files.write_case_files(spark.createDataFrame(rows, kind), uri, ["id"])
+    told = lambda: {(r.court, r.folder, r.name): bytes(r.content) for r in case_files.case_documents(spark, uri).collect()}
+    want = {("ca1", "a", "x y+z.pdf"): b"%PDF\x00\xff", ("ca1", "a", "docket.json"): b"[]", ("ca2", "c", "e.pdf"): b"e"}
+    assert told() == want and set(held(spark, uri)) == {("ca1", 2020, "a", "docket", 1), ("ca1", 2020, "b", "docket", 1)}
+    case_files.write_case_files(spark.createDataFrame([("ca1", 2020, "a", "{}", None, None, 1, [("n.pdf", b"n")])], kind), uri, ["id"])
+    assert told() == {("ca1", "a", "n.pdf"): b"n", ("ca2", "c", "e.pdf"): b"e"}
+    with pytest.raises(Exception, match="no name for a folder or file"):
+        case_files.write_case_files(spark.createDataFrame([("ca1", 2020, "a", "{}", None, None, 1, [("../n.pdf", b"n")])], kind), uri, ["id"])
+
+
 def test_a_writer_that_is_killed_leaves_the_version(tmp_path):
     """As the driver sees it: tasks that never report, an abort, and two commits of one number."""
     uri = f"file://{tmp_path}/tree"
-    row = {"court": "c", "year": 1, "folder": "f", "docket": "{}", "cluster": None, "opinion": "{}"}
+    row = {"court": "c", "year": 1, "folder": "f", "docket": "{}", "cluster": None, "opinion": "{}", "files": None}
     writer = case_files.CaseWriter(uri, False)
     done, lost = writer.write(iter([row])), writer.write(iter([row, row]))
     assert lost.files == {"docket": 1, "opinion": 2} and not os.path.exists(tmp_path / "tree/_versions")
