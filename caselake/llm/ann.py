@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import staged, table, unstage
 from .near_duplicates import few
 
-#: Bound on the vectors that the centroids are fitted on, those of the smallest hash of the id.
-MAX_TRAIN_ROWS = 20_000
+#: Bounds on the vectors that the centroids are fitted on, those of the smallest hash of the id: their number, and bytes (one vector at least).
+MAX_TRAIN_ROWS, MAX_TRAIN_BYTES = 20_000, 64 << 20
 #: Bound on the number of cells, about the square root of the number of vectors below it.
 MAX_CELLS = 16_384
 #: A shard's vectors, and the queries that meet them in one task.
@@ -139,9 +139,12 @@ def _classes(held: DataFrame, k: int) -> DataFrame:
 
 
 def fit_index(vectors: DataFrame, n: int, parts: int = 16, codes: int = 256, max_rows: int = MAX_TRAIN_ROWS) -> Index:
-    """Centroids for ``n`` classes, from at most ``max_rows`` of them (one at least)."""
-    rows = vectors.select("least", "single", "embedding").orderBy(F.xxhash64("least"), "least", "embedding").limit(max_rows).collect()
-    ids, x = np.array([r[0] if r[1] else None for r in rows], object), np.array([r[2] for r in rows], np.float64)
+    """Centroids for ``n`` classes, from at most ``max_rows`` of them (one at least) within ``MAX_TRAIN_BYTES``."""
+    width = vectors.select(F.max(F.size("embedding"))).first()[0]
+    most = max(1, min(max_rows, MAX_TRAIN_BYTES // (8 * width)))
+    rows = vectors.select("least", "single", "embedding").orderBy(F.xxhash64("least"), "least", "embedding").limit(most).toArrow().combine_chunks()
+    least, single = (rows[c].to_numpy() for c in ("least", "single"))
+    ids, x = np.where(single, least.astype(object), None), _matrix(rows["embedding"].combine_chunks())
     cells = int(min(MAX_CELLS, len(x), max(1, 2 ** round(np.log2(np.sqrt(n))))))
     centres = _kmeans(x, cells, 1)
     rest = x - centres[_nearest(x, centres)[0]]
@@ -189,7 +192,8 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float |
         unstage(held)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = fit_index(held, n)
-    shared = spark.sparkContext.broadcast(index)
+    # vectors are coded without the sample, which only the queries need
+    shared = spark.sparkContext.broadcast(Index(index.centres, index.books, index.sample_ids[:0], index.sample[:0], index.spread))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -198,6 +202,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 20, probes: float |
                 yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary())], ["cls", "least", "single", "cell", "code"])
 
     filed = staged(held.select("cls", "least", "single", "embedding").mapInArrow(encode, "cls long, least long, single boolean, cell int, code binary"), "filed")
+    shared.unpersist()
     sizes = dict(filed.groupBy("cell").count().collect())
     size = np.array([sizes.get(c, 0) for c in range(len(index.centres))])
     wanted = index.probes(k, share) if probes is None else int(np.ceil(probes * len(size)))
