@@ -313,18 +313,17 @@ def case_ids_explode(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH t AS (SELECT doc_id, substring(text, 1, 400) AS x, text FROM documents)
 SELECT doc_id,
-  CASE WHEN contains(text, '. ') THEN trim(substring(text, strpos(text, '. ') + 2), chr(9) || chr(10) || chr(13) || ' ') END AS title,
+  CASE WHEN contains(text, '. ') THEN trim(substring(text, strpos(text, '. ') + 2), chr(9) || chr(10) || chr(13) || ' ')
+    ELSE trim(regexp_replace(coalesce(text, ''), '\bS[0-9]{2}[A-Z][0-9]{4}\b', '', 'g'), chr(9) || chr(10) || chr(13) || ' ,.') END AS title,
   CASE WHEN contains(lower(text), 'jan') THEN 'January' WHEN contains(lower(text), 'feb') THEN 'February' WHEN contains(lower(text), 'mar') THEN 'March' WHEN contains(lower(text), 'apr') THEN 'April'
     WHEN contains(lower(text), 'may') THEN 'May' WHEN contains(lower(text), 'jun') THEN 'June' WHEN contains(lower(text), 'jul') THEN 'July' WHEN contains(lower(text), 'aug') THEN 'August'
     WHEN contains(lower(text), 'sep') THEN 'September' WHEN contains(lower(text), 'oct') THEN 'October' WHEN contains(lower(text), 'nov') THEN 'November' WHEN contains(lower(text), 'dec') THEN 'December' END AS month,
   CASE WHEN contains(text, '; ') THEN 2 ELSE 1 END AS n_parts
-FROM t""")
+FROM documents""")
 def titles_and_months(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    title = F.when(F.contains("text", F.lit(". ")), text.case_title("text"))
-    return docs.select("doc_id", title.alias("title"), text.month_in("text").alias("month"), F.size(text.split_once("text", "; ")).alias("n_parts"))
+    return docs.select("doc_id", text.case_title("text").alias("title"), text.month_in("text").alias("month"), F.size(text.split_once("text", "; ")).alias("n_parts"))
 
 
 @query(r"""

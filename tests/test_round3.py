@@ -562,3 +562,11 @@ def test_round_trips_equal_their_sql(spark, name):
     want = duck.sql(catalogue.SQL[name])
     order = [want.columns.index(c) for c in columns]
     assert show(got.select(*columns).collect()) == show([[r[i] for i in order] for r in want.fetchall()]) and want.fetchall()
+
+
+def test_statuses_by_whole_words(spark):
+    from caselake.plans import unify
+
+    words = {"token refresh": "pending", "lookup broken": "pending", "ok": "fetched", "pdf:ok": "fetched", "OK.": "fetched", "not ok?": "fetched", "saved": "fetched"}
+    df = spark.createDataFrame(list(words.items()), "s string, want string")
+    assert df.filter(unify.fetch_status("s") != F.col("want")).collect() == []
