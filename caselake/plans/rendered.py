@@ -25,7 +25,8 @@ Read = Callable[[DataFrame], DataFrame]
 def rendered(rows: DataFrame, key: str, row: str, head: str = "''", tail: str = "''") -> DataFrame:
     """url and html: pages of ``ROWS`` keys each; ``row`` is SQL of a row's markup, ``head`` and ``tail`` of the page's, where ``p`` is its number."""
     shown = rows.select(F.col(key).alias("k"), F.expr(row).alias("m"), (F.col(key) / ROWS).cast("bigint").alias("p"))
-    pages = shown.groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "m"))), lambda x: x["m"]), "\n").alias("body"))
+    # as many tasks as there are cores: pages are short, but reading them takes time, so their bytes are no measure
+    pages = shown.repartition(rows.sparkSession.sparkContext.defaultParallelism, "p").groupBy("p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "m"))), lambda x: x["m"]), "\n").alias("body"))
     return pages.select(F.concat(F.lit(SITE), F.col("p").cast("string"), F.lit("/page.html")).alias("url"), F.concat(F.lit("<!DOCTYPE html><html><body>"), F.expr(head), F.col("body"), F.expr(tail), F.lit("</body></html>")).alias("html"))
 
 
