@@ -136,6 +136,21 @@ class PagedReader(_Service, DataSourceReader):
         first, last = int(low[:4]), int(high[:4])
         return [dict(zip(RANGES["date_filed"], (max(low, f"{y:04d}-01-01"), min(high, f"{y:04d}-12-31")))) for y in range(first, last + 1)]
 
+    def partitions(self) -> list[InputPartition]:
+        return [_Start(u) for u in self.starts]
+
+    def read(self, partition: _Start) -> Iterator[tuple]:
+        if partition is None:  # no court or year is left
+            return
+        for n, record in enumerate(self.records(partition.url)):
+            if self.limit and n >= self.limit:
+                return
+            yield self.row(partition.url, n, record)
+
+
+class FilteringReader(PagedReader):
+    """A reader of typed columns, to which conditions are handed on."""
+
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Takes what the service can tell; what it can't, or only nearly, goes back to Spark."""
         for f in filters:
@@ -160,17 +175,6 @@ class PagedReader(_Service, DataSourceReader):
             self.asked[high] = min(self.asked.get(high, "9999-12-31"), (f.value + day).isoformat()[:10])
         return exact and column == "date_filed" and not isinstance(f, (GreaterThan, LessThan))
 
-    def partitions(self) -> list[InputPartition]:
-        return [_Start(u) for u in self.starts]
-
-    def read(self, partition: _Start) -> Iterator[tuple]:
-        if partition is None:  # no court or year is left
-            return
-        for n, record in enumerate(self.records(partition.url)):
-            if self.limit and n >= self.limit:
-                return
-            yield self.row(partition.url, n, record)
-
 
 class PagedStream(_Service, DataSourceStreamReader):
     """New and changed records in the order of (date_modified, id).
@@ -215,8 +219,8 @@ class PagedSource(DataSource):
 
     With ``.schema("id bigint, court string, date_filed date, ...")`` fields of the
     records become columns, null where they can't be, and conditions on court,
-    date_filed and date_modified are sent along (with
-    ``spark.sql.python.filterPushdown.enabled``, which ``register`` sets).
+    date_filed and date_modified are sent along; this needs
+    ``spark.sql.python.filterPushdown.enabled``, which ``register`` sets.
     ``readStream`` gives new and changed records by (date_modified, id).
 
     Options: urls (start addresses, by blanks), limit (rows of each), max_pages,
@@ -235,7 +239,8 @@ class PagedSource(DataSource):
         return ROW
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return PagedReader(self.options, schema)
+        # a reader that takes filters needs the session's leave, so one that has none to take goes without
+        return PagedReader(self.options) if schema == ROW else FilteringReader(self.options, schema)
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         return PagedStream(self.options, schema)
