@@ -444,6 +444,21 @@ def test_clustered_vectors_need_few_cells(spark):
     assert np.mean([len(found[q] & set(w.tolist())) / 20 for q, w in zip(queries, want)]) >= 0.9
 
 
+def test_queries_unlike_the_other_vectors_find_their_nearest(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(321, 32))[rng.permutation(8000) // 25] + rng.normal(size=(8000, 32)) * 0.01
+    queries = np.arange(0, 8000, 40)
+    x[queries] = rng.normal(size=(200, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    found = {}
+    for r in search(df.filter("vec_id % 40 = 0"), df).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(found[q] & set(w.tolist())) / 20 for q, w in zip(queries.tolist(), want)]) >= 0.9
+
+
 def test_shards_are_of_bounded_size(monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 8192)
     index = Index(np.zeros((6, 2)), [np.zeros((1, 2))], np.zeros(1), np.zeros((1, 2)), 0.0)
