@@ -296,7 +296,7 @@ def next_pages(pages: DataFrame) -> DataFrame:
 
 def pdf_links(pages: DataFrame) -> DataFrame:
     """The PDF of each page: of a slip opinion, else the first link, frame or address in the markup, else made from filename=."""
-    rows = elements(pages.withColumn("raw", F.col("html")), {"link": ("a[href], embed[src], iframe[src], object[data]", {})}, fields=())
+    rows = elements(pages, {"link": ("a[href], embed[src], iframe[src], object[data]", {})}, fields=())
     pdf = F.coalesce(_e("href"), F.lit(""))
     rank = F.when(F.contains(F.lower(_e("text")), F.lit("slip opinion")) & urls.looks_like_pdf(pdf), 0).when(urls.looks_like_pdf(pdf), 1)
     best = rows.withColumn("rank", rank).filter("rank IS NOT NULL").groupBy("url").agg(F.min_by(_e("href"), F.struct("rank", _e("position"))).alias("href"))

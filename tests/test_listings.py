@@ -190,3 +190,25 @@ def test_sinks_run_again(spark, tmp_path):
     sinks.append_once(df.select("a"), str(tmp_path / "log"), "r2")
     assert [tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()] == [("1", "x")]
     assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_elements_go_back_a_few_pages_at_a_time(spark):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    read = []
+
+    def find(text):
+        read.append(text)
+        return html.found_elements(text, {"a": ("a", {})})
+
+    page = "<a href=x>t</a>" * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([page, None] * 10)], ["n", "html"])
+    out = html.element_batches([batch], find, to_arrow_type(T.DataType.fromDDL(f"array<{html.ELEMENT}>")))
+    first = next(out)
+    assert len(read) <= 4 and [len(r) for r in first["element"].to_pylist()] == [256, 44] * 2 and first["n"].to_pylist() == [0, 0, 2, 2]
+    assert sum(len(r) for b in out for r in b["element"].to_pylist()) == 8 * 300
+    rows = html.elements(spark.createDataFrame([(1, page, "u"), (2, None, "v")], "n int, html string, url string"), {"a": ("a", {})})
+    assert rows.columns == ["n", "url", "element"] and rows.filter("n = 1 AND url = 'u' AND element.text = 't'").count() == 300
+    assert "MapInArrow" in rows._jdf.queryExecution().executedPlan().toString()
