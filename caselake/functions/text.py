@@ -43,12 +43,17 @@ def _begin(c: Column, name: Callable[[Column], Column], most: int) -> Column:
     """The first ``most`` characters of ``name(c)``.
 
     A name of a text's beginning is the beginning of the whole text's name, but
-    for its last character.  So a long text is read to its end only where its
-    beginning does not give enough characters.
+    for its last character.  So a longer beginning, and at last the whole text,
+    is read only where a shorter one does not give enough characters; each is
+    read once.
     """
-    near = name(F.substring(c, 1, 8 * most))
-    enough = (F.char_length(c) > 8 * most) & (F.char_length(near) > most + 1)
-    return F.substring(F.when(enough, near).otherwise(name(c)), 1, most)
+
+    def of(times: int, longer: Column) -> Column:
+        whole = F.char_length(c) <= times * most
+        near = F.array(name(F.substring(c, 1, times * most)))
+        return F.get(F.transform(near, lambda t: F.when(whole | (F.char_length(t) > most + 1), t).otherwise(longer)), F.lit(0))
+
+    return F.substring(of(2, of(8, name(c))), 1, most)
 
 
 def slugify(c: Column | str, most: int = 60) -> Column:

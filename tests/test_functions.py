@@ -88,3 +88,16 @@ def test_bodies(spark):
     assert one(spark, values.percent(F.lit(1), F.lit(0))) == 0.0
     r = one(spark, values.page_counts(X), "1 - 4 of 1,204 Records Found.")
     assert (r["first"], r["last"], r["total"]) == (1, 4, 1204)
+
+
+def test_a_name_of_a_long_text_is_worked_out_once_of_its_beginning(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["a" * 1000, "?" * 15 + "b" * 985, "?" * 500 + "c" * 500, "d" * 12, "?" * 19 + " e" * 60, "", " " * 30 + "f g" * 200]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    name = lambda t: text.strip(F.replace(t, F.lit("?")))
+    got = df.select("t", text._begin(F.col("t"), name, 10).alias("n"))
+    assert {r.t: r.n for r in got.collect()} == {t: t.replace("?", "").strip()[:10] for t in texts}
+    # each beginning is named once in the plan
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("1, 20)") == plan.count("1, 80)") == 1
