@@ -478,6 +478,34 @@ def test_conditions_on_court_and_year_leave_other_folders_unread(spark, tmp_path
     assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_readers_list_the_index_and_not_the_cases(spark, tmp_path):
+    uri = f"file://{tmp_path}/tree"
+    kind = CASES + ", files array<struct<name:string,content:binary>>"
+    rows = [(c, 2020 + i % 2, f"f{i}", f'{{"id": {i}}}', None, None, i, [("n.pdf", b"n")] if i == 7 else []) for c in ("01", "c%41 d") for i in range(150)]
+    rows += [("01", 2020, "files", "{}", None, "", 1, [])]
+    case_files.write_case_files(spark.createDataFrame(rows, kind), uri, ["id"])
+    listed = case_files.case_files(spark, uri)
+    assert len(listed.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism
+    want = {(r[0], r[1], r[2], "docket", 1): r[3] for r in rows}
+    papers = lambda: {(r.court, r.year, r.folder, r.name, r.length, bytes(r.content)) for r in case_files.case_documents(spark, uri).collect()}
+    told = {(c, 2021, "f7", "n.pdf", 1, b"n") for c in ("01", "c%41 d")}
+    assert held(spark, uri) == want and papers() == told
+    # a case that is written again without documents has none, those written without an index are listed
+    os.rename(tmp_path / "tree/index", tmp_path / "gone")
+    old = held(spark, uri)
+    assert {k: v for k, v in old.items() if k[0] == "01"} == {k: v for k, v in want.items() if k[0] == "01"} and len(old) == len(want)
+    case_files.write_case_files(case_rows(spark, [("01", 2021, "f7", "{}", None, None, 1)]), uri, ["id"])
+    assert held(spark, uri).get(("01", 2021, "f7", "docket", 1)) == "{}" and len(held(spark, uri)) == len(want) and len(papers()) == 1
+
+
+def test_files_go_back_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(case_files, "_READ_BYTES", 1000)
+    uri = f"file://{tmp_path}/tree"
+    rows = [("ca1", 2020, f"f{i}", json.dumps({"id": i, "t": "é" * (i * 37 % 700)}, ensure_ascii=False), None, None, i) for i in range(60)]
+    case_files.write_case_files(case_rows(spark, rows), uri, ["id"])
+    assert held(spark, uri) == {(*r[:3], "docket", 1): r[3] for r in rows}
+
+
 # ---- JSON of no known schema ----
 
 
