@@ -212,3 +212,25 @@ def test_elements_go_back_a_few_pages_at_a_time(spark):
     rows = html.elements(spark.createDataFrame([(1, page, "u"), (2, None, "v")], "n int, html string, url string"), {"a": ("a", {})})
     assert rows.columns == ["n", "url", "element"] and rows.filter("n = 1 AND url = 'u' AND element.text = 't'").count() == 300
     assert "MapInArrow" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_go_to_python_a_few_megabytes_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    def sizes(batches, find, listed):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0)[:1], pa.array([[{"kind": str(b.num_rows), "position": b.nbytes}]], listed)], ["url", "element"])
+
+    monkeypatch.setattr(html, "element_batches", sizes)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.unset(size)
+    try:
+        pages = spark.range(0, 300, 1, 1).select(F.col("id").cast("string").alias("url"), F.repeat(F.lit("x"), 100_000).alias("html"))
+        got = html.elements(pages, {"a": ("a", {})}).select("element.*").collect()
+        assert sum(int(r.kind) for r in got) == 300 and max(r.position for r in got) < 5_000_000
+        spark.conf.set(size, "1m")
+        html.elements(pages, {"a": ("a", {})})
+        assert spark.conf.get(size) == "1m"
+    finally:
+        spark.conf.set(size, before)
