@@ -234,3 +234,29 @@ def test_pages_go_to_python_a_few_megabytes_at_a_time(spark, monkeypatch):
         assert spark.conf.get(size) == "1m"
     finally:
         spark.conf.set(size, before)
+
+
+def test_cards_of_many_pages_are_not_held_at_once(spark, monkeypatch):
+    import os
+
+    real = html.found_elements
+
+    def found(*args, **more):
+        rows = real(*args, **more)
+        with open("/proc/self/statm") as f:
+            held = int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+        return [r | {"parts": [(p, [x | {"text": f"{os.getpid()} {held}"} for x in items] if p == "date" else items) for p, items in r["parts"]]} for r in rows]
+
+    monkeypatch.setattr(html, "found_elements", found)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.unset(size)
+    try:
+        card = F.concat(F.lit("<div class=result-excerpt><i class=case-number>S1</i><i class=date>1</i><h3>"), F.repeat(F.lit("x"), 100_000), F.lit("</h3></div>"))
+        pages = spark.range(0, 1000, 1, 1).select(F.lit(URL).alias("url"), card.alias("html"))
+        got = [r.date.split() for r in listings.result_cards(pages).select("date").collect()]
+    finally:
+        spark.conf.set(size, before)
+    held = [int(mb) for _, mb in got]
+    # several batches have gone through by the 200th page; the rest add nothing
+    assert len(got) == 1000 and len({pid for pid, _ in got}) == 1 and max(held) - max(held[:200]) < 60, held[::50]
