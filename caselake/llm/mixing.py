@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,27 +38,33 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _signs(text: Column, words: Column, kinds: Column) -> Column:
-    """Marks that stand beside the words: length, share of other signs, share of distinct words."""
-    n, letters = F.size(words), F.char_length(F.array_join(words, ""))
+def _signs(text: Column, n: Column, letters: Column, kinds: Column) -> Column:
+    """Marks that stand beside ``n`` words of so many letters: length, share of other signs, share of distinct words."""
     share = lambda part, whole: F.floor(F.coalesce(F.try_divide(part * 16, whole), F.lit(0))).cast("string")
     return F.array(
         F.concat(F.lit("#words "), F.floor(F.log2(n + 1.0)).cast("string")),
         F.concat(F.lit("#signs "), share(F.char_length(F.coalesce(text, F.lit(""))) - letters - n, letters)),
-        F.concat(F.lit("#distinct "), share(F.size(kinds), n)),
+        F.concat(F.lit("#distinct "), share(kinds, n)),
     )
 
 
-def _told(docs: DataFrame, n_tokens: str, bins: str) -> DataFrame:
-    """``docs`` with the number of its words, and the distinct bins of its words and signs; each step is a column of its own, so that no part is worked out twice."""
-    words, kinds = fresh(docs, "words", "kinds")
-    told = docs.withColumn(words, _words(F.col("text"))).withColumn(kinds, F.array_distinct(words))
-    told = told.withColumns({n_tokens: F.size(words).cast("long"), bins: _bins(F.concat(F.col(kinds), _signs(F.col("text"), F.col(words), F.col(kinds))))})
-    return told.drop(words, kinds)
+def _bin(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(F.lit(BINS - 1)).cast("int")
 
 
-def _bins(words: Column) -> Column:
-    return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BINS)).cast("int")))
+def _told(docs: DataFrame, n_tokens: str, bins: str, number: Callable[[Column], Column] = lambda b: b) -> DataFrame:
+    """``docs`` with the number of its words, and the distinct bins of its words and signs, or what ``number`` makes of each bin.
+
+    Each step is a column of its own, so that no part is worked out twice.  What
+    needs all words stands before the hashes: lambdas are not compiled, and the
+    rows that reach them are copied.
+    """
+    words, kinds, letters = fresh(docs, "words", "kinds", "letters")
+    told = docs.withColumn(words, _words(F.col("text")))
+    told = told.withColumns({kinds: F.array_distinct(words), n_tokens: F.size(words).cast("long"), letters: F.char_length(F.array_join(words, ""))}).drop(words)
+    signs = _signs(F.col("text"), F.col(n_tokens), F.col(letters), F.size(kinds))
+    told = told.withColumn(bins, F.array_distinct(F.transform(F.concat(F.col(kinds), signs), lambda w: number(_bin(w)))))
+    return told.drop(kinds, letters)
 
 
 def _constant(value: list, kind: str) -> Column:
@@ -76,28 +83,21 @@ class Domains:
 
     def __init__(self, names: list[str], prior: list[float], weight: list[list[float]], away: list[float], temperature: float = 1.0) -> None:
         self.names, self.prior, self.weight, self.away, self.temperature = names, prior, weight, away, temperature
-
-    def evidence(self, bins: Column) -> Column:
-        """A struct of each domain's sum of log weights over distinct bins, there or not.
-
-        Weighing bins are marked in a bitmap; a bin's number among them, by
-        counting the marks before it, is the place of its weights.
-        """
-        weighing = [b for b in range(BINS) if any(w[b] for w in self.weight)]
-        marks, before = [0] * (BINS // 64), [0] * (BINS // 64)
-        for n, b in reversed(list(enumerate(weighing))):
-            marks[b // 64] |= 1 << b % 64
-            before[b // 64] = n
-        words = _constant([m - (1 << 64) * (m >> 63) for m in marks], "array<bigint>")
-        first = _constant(before, "array<int>")
-        word = lambda b: F.get(words, F.shiftright(b, 6))
-        below = lambda b: F.bit_count(F.call_function("shiftleft", F.call_function("shiftleft", word(b), F.lit(63) - b.bitwiseAND(63)), F.lit(1)))
-        there = F.filter(bins, lambda b: F.getbit(word(b), b.bitwiseAND(63)) == 1)
-        numbers = F.transform(there, lambda b: F.get(first, F.shiftright(b, 6)) + below(b))
-        weights = [_constant([w[b] for b in weighing], "array<double>") for w in self.weight]
-        start = F.struct(*[F.lit(float(a)).alias(f"e{i}") for i, a in enumerate(self.away)])
-        add = lambda total, at: F.struct(*[(total[f"e{i}"] + F.get(w, at)).alias(f"e{i}") for i, w in enumerate(weights)])
-        return F.aggregate(numbers, start, add)
+        self.weighing = [b for b in range(BINS) if any(w[b] for w in weight)]
+
+    def place(self) -> Callable[[Column], Column]:
+        """What gives a bin's place among those that weigh, from 1, and 0 for all others."""
+        places = [0] * BINS
+        for n, b in enumerate(self.weighing, 1):
+            places[b] = n
+        held = _constant(places, "array<int>")
+        return lambda b: F.get(held, b)
+
+    def evidence(self, places: Column) -> list[Column]:
+        """Each domain's sum of log weights over distinct bins, there or not; ``places`` are those of the bins that are."""
+        weights = [_constant([0.0, *(w[b] for b in self.weighing)], "array<double>") for w in self.weight]
+        add = lambda w: lambda total, at: total + F.get(w, at)
+        return [F.aggregate(places, F.lit(float(a)), add(w)) for a, w in zip(self.away, weights)]
 
     def posterior(self, evidence: list[Column], temperature: float) -> list[Column]:
         score = [math.log(p) + e / float(temperature) for p, e in zip(self.prior, evidence)]
@@ -144,7 +144,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, names: list[str], max_rows
                 away[-1] += absent
         weight.append(row)
     model = Domains(names, prior, weight, away)
-    evidence = rows.filter("test").select("domain", model.evidence(F.col("bins")).alias("e")).select("domain", "e.*")
+    places = rows.filter("test").select("domain", F.transform("bins", model.place()).alias("places"))
+    evidence = places.select("domain", *[e.alias(f"e{i}") for i, e in enumerate(model.evidence(F.col("places")))])
     gains = []
     for t in TEMPERATURES:
         p = model.posterior([F.col(f"e{i}") for i in range(len(names))], t)
@@ -222,14 +223,15 @@ class _Search:
         return [x.tolist() for x in ([plain] if done < self.PLAIN else [plain, metric @ self.off, 4 * plain, 16 * plain])]
 
 
-def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_TRAIN_ROWS, steps: int | None = None, tolerance: float = 1e-4, still: float = 1e-6, rate_pull: float = 1e-3, seed: int = 17) -> DataFrame:
+def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], max_rows: int = MAX_TRAIN_ROWS, steps: int | None = None, tolerance: float = 1e-4, still: float = 1e-6, rate_pull: float = 1e-3, seed: int = 17, without: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with n_tokens, p_<domain> and achieved_<domain> for each target, rate and copies.
 
     ``docs`` has doc_id and text and any other columns, ``labelled`` doc_id and
     domain; ``targets`` gives each domain's share of the corpus' tokens.  rate is
     the expected number of times a document is to be taken, copies a whole
     number of that expectation, drawn by a hash of doc_id and text.  achieved_
-    columns hold, on every row, the shares that these rates give.
+    columns hold, on every row, the shares that these rates give.  Columns named
+    in ``without`` are read, but neither staged nor returned.
 
     A null or empty text has no tokens and the prior as its posterior.  Without
     any tokens all rates are 1 and achieved shares are null.  No row is dropped,
@@ -246,23 +248,29 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     model = fit_domains(docs, labelled, names, max_rows)
     p_names = [f"p_{d}" for d in names]
     held = docs.drop("n_tokens", *p_names, *[f"achieved_{d}" for d in names], "rate", "copies")
-    bins, evidence = fresh(held, "bins", "evidence")
-    told = _told(held, "n_tokens", bins)
-    told = told.withColumn(evidence, model.evidence(F.col(bins))).drop(bins)
-    told = told.withColumns(dict(zip(p_names, model.posterior([F.col(evidence)[f"e{i}"] for i in range(len(names))], model.temperature)))).drop(evidence)
-    told = staged(told, "told")
+    places, draw, *evidence = fresh(held, "places", "draw", *[f"evidence_{d}" for d in names])
+    told = _told(held, "n_tokens", places, model.place())
+    told = told.withColumns(dict(zip(evidence, model.evidence(F.col(places))))).drop(places)
+    told = told.withColumns(dict(zip(p_names, model.posterior([F.col(e) for e in evidence], model.temperature)))).drop(*evidence)
+    told = told.withColumn(draw, F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 20)) / float(1 << 20))
+    told = staged(told.drop(*without), "told")
 
     posterior = [F.col(p) for p in p_names]
     slim = told.filter("n_tokens > 0").select("n_tokens", *p_names).withColumn("rate", F.lit(1.0))
     n, own, tokens = len(names), None, F.col("n_tokens")
-    weigh = lambda w: [F.sum(w * posterior[i] * posterior[j]) for i in range(n) for j in range(n)]
+    pairs = np.tril_indices(n)
+    weigh = lambda w: [F.sum(w * posterior[i] * posterior[j]) for i, j in zip(*pairs)]
     sums = slim.agg(F.sum("n_tokens"), *[F.sum(tokens * p) for p in posterior], *weigh(tokens)).first()
     total = float(sums[0] or 0)
     surpluses: list[list[float]] = []
     share: list[float | None] = [None] * n
     if total:
         # steps are taken in the metric of the posteriors' second moments, so domains that overlap converge alike
-        metric_of = lambda m: np.linalg.inv(np.array(m, float).reshape(n, n) / total + 1e-6 * np.eye(n))
+        def metric_of(moments: list[float]) -> np.ndarray:
+            whole = np.zeros((n, n))
+            whole[pairs] = whole.T[pairs] = moments
+            return np.linalg.inv(whole / total + 1e-6 * np.eye(n))
+
         metric = metric_of(sums[n + 1 :])
         search = _Search(goal, metric, tolerance, still, rate_pull)
         share, pull, moments, fresh_ = [x / total for x in sums[1 : n + 1]], 0.0, sums[n + 1 :], []
@@ -274,7 +282,7 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
                 x for r in (F.col(f"r{i}") for i in range(len(tried)))
                 for x in (F.sum(tokens * F.abs(r - F.col("was"))), F.sum(tokens * (r - 1.0) * (r - 1.0)), *[F.sum(tokens * r * p) for p in posterior], *weigh(F.when(r > 0, tokens).otherwise(0)))
             ]).first()
-            wide = 2 + n + n * n
+            wide = 2 + n + len(pairs[0])
             ends = [found[i * wide : (i + 1) * wide] for i in range(len(tried))]
             search.moved = ends[0][0] / total
             best = min(range(len(tried)), key=lambda i: search.value([x / total for x in ends[i][2 : n + 2]], ends[i][1] / total))
@@ -291,8 +299,7 @@ def mix_to_targets(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
         if own:
             unstage(slim)
     rated = told.withColumn("rate", _rates(F.lit(1.0), posterior, surpluses, rate_pull))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    rated = rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
+    rated = rated.withColumn("copies", F.floor(F.col("rate") + F.col(draw)).cast("long")).drop(draw)
     return rated.withColumns({f"achieved_{d}": F.lit(x).cast("double") for d, x in zip(names, share)})
 
 
@@ -305,4 +312,4 @@ def label_domains(labels: DataFrame) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rate and copies of every document for the target shares."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return mix_to_targets(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS).drop("text")
+    return mix_to_targets(docs, label_domains(table(spark, sf_dir, "labels")), TARGETS, without=("text",))

@@ -145,6 +145,31 @@ def test_targets_are_met_on_the_tables(spark):
         assert abs(got[d] - goal) < 0.005 and abs(told[d] - got[d]) < 1e-6
 
 
+def test_evidence_is_the_sum_over_places(spark):
+    """Bins that weigh for one domain only, the first and the last of all bins, bins that weigh nowhere."""
+    weight = [[0.0] * mixing.BINS for _ in range(2)]
+    weight[0][0], weight[0][700], weight[1][700], weight[1][mixing.BINS - 1] = 0.5, -1.25, 2.0, 4.0
+    model = mixing.Domains(["a", "b"], [0.5, 0.5], weight, [-0.125, 0.25])
+    rows = [[], [0], [0, 700, 5], [mixing.BINS - 1, 699, 701], [700, mixing.BINS - 1, 0]]
+    df = spark.createDataFrame([(b,) for b in rows], "bins array<int>").coalesce(1).select("bins", F.transform("bins", model.place()).alias("places"))
+    got = df.select("bins", *model.evidence(F.col("places"))).collect()
+    assert [(a, b) for _, a, b in got] == [tuple(x + sum(w[b] for b in bins) for x, w in zip((-0.125, 0.25), weight)) for bins in rows]
+
+
+def test_the_query_stages_no_texts(spark):
+    """The texts are read once for the scores; what the steps and the result read holds numbers only."""
+    from caselake.llm.common import table
+
+    out = mixing.op4_mixing(spark, "/root/testdata/sf0.001")
+    held = spark.read.parquet(*{f.rpartition("/")[0] for f in out.inputFiles()})
+    assert "text" not in held.columns and held.count() == out.count()
+    docs, labels = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    whole = mixing.mix_to_targets(docs.select("doc_id", "text"), mixing.label_domains(labels), mixing.TARGETS)
+    assert [c for c in whole.columns if c != "text"] == out.columns
+    assert sorted(map(tuple, whole.select("doc_id", "n_tokens", "copies").collect())) == sorted(map(tuple, out.select("doc_id", "n_tokens", "copies").collect()))
+    assert {r.doc_id: r.text for r in whole.collect()} == {r.doc_id: r.text for r in docs.collect()}
+
+
 def test_mixing_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, "ant the", "w"), (2, "bee the", "w"), (3, None, "w")], DOCS + ", words string").selectExpr("*", "words AS kinds", "words AS bins", "words AS evidence", "words AS _e0", "words AS was", "words AS r", "words AS achieved_a")
     out = mixing.mix_to_targets(df, df.selectExpr("doc_id", "if(doc_id = 1, 'a', 'b') AS domain"), {"a": 1.0, "b": 1.0})
